@@ -22,7 +22,7 @@ _RAW_SLICES = {
 }
 
 
-class Pipeline:
+class Warehouse:
     """One warehouse under one folder. Runs are given their id and time, so a
     run can be repeated; one run at a time is assumed."""
 
@@ -203,7 +203,7 @@ class Pipeline:
             "dim_date": "date_key date, year int, quarter int, month int, month_name string, "
             "week_number int, day_of_month int",
         }
-        tables = {n: self._table(f"mart/{n}", schemas._schema(d)) for n, d in dims.items()}
+        tables = {n: self._table(f"mart/{n}", schemas.fields(d)) for n, d in dims.items()}
         return {
             "fact_ticket_sales": self.fact.read(),
             **{n: t.read() for n, t in tables.items()},

@@ -5,32 +5,50 @@ from pyspark.sql import types as T
 _META = "batch_id string, load_ts timestamp_ntz, source_system string"
 
 
-def _schema(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(),
+    "int": T.IntegerType(),
+    "bigint": T.LongType(),
+    "date": T.DateType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
+def _type(name: str) -> T.DataType:
+    if name.startswith("decimal"):
+        precision, scale = name[8:-1].split(",")
+        return T.DecimalType(int(precision), int(scale))
+    return _TYPES[name]
+
+
+def fields(listed: str) -> T.StructType:
+    """Schema from ``name type, name type``; needs no running session."""
+    pairs = [f.split() for f in listed.split(", ")]
+    return T.StructType([T.StructField(n, _type(t)) for n, t in pairs])
 
 
-ORGANIZERS = _schema(
+ORGANIZERS = fields(
     "organizer_id string, organizer_name string, country string, region string, "
     "updated_at timestamp_ntz"
 )
-RESELLERS = _schema(
+RESELLERS = fields(
     "reseller_id string, reseller_name string, country string, region string, "
     "updated_at timestamp_ntz"
 )
-AGREEMENTS = _schema(
+AGREEMENTS = fields(
     "agreement_id int, organizer_id string, reseller_id string, "
     "commission_rate decimal(5,2), effective_from date, effective_to date, "
     "updated_at timestamp_ntz"
 )
-EVENTS = _schema(
+EVENTS = fields(
     "event_id string, organizer_id string, event_name string, event_type string, "
     "venue string, region string, event_date date, updated_at timestamp_ntz"
 )
-CUSTOMERS = _schema(
+CUSTOMERS = fields(
     "customer_id string, first_name string, last_name string, email string, "
     "country string, updated_at timestamp_ntz"
 )
-TICKET_SALES = _schema(
+TICKET_SALES = fields(
     "ticket_id string, event_id string, organizer_id string, reseller_id string, "
     "seller_type string, seller_id string, seller_name string, customer_id string, "
     "sales_channel string, quantity int, unit_price decimal(10,2), "
@@ -65,10 +83,10 @@ VARIANT_KEYS = {
     "reseller_daily_sales": (["reseller_id", "sale_date"], "updated_at"),
 }
 RAW = {
-    name: T.StructType(list(schema) + list(_schema(_META)))
+    name: T.StructType(list(schema) + list(fields(_META)))
     for name, schema in SOURCES.items()
 }
-DAILY_SALES = _schema(
+DAILY_SALES = fields(
     "transaction_id decimal(38,0), reseller_id string, event_name string, "
     "number_of_purchased_tickets decimal(10,0), total_amount decimal(12,2), "
     "sales_channel string, customer_first_name string, customer_last_name string, "
@@ -79,7 +97,7 @@ DAILY_SALES = _schema(
 RAW["reseller_daily_sales"] = DAILY_SALES
 
 # The alternate, positional layout of a reseller export.
-POSITIONAL_DROP = _schema(
+POSITIONAL_DROP = fields(
     "sale_date date, reseller_id string, reseller_name string, "
     "reseller_region string, event_id bigint, event_name string, "
     "event_type string, ticket_type_id bigint, ticket_name string, "
@@ -88,24 +106,24 @@ POSITIONAL_DROP = _schema(
     "customer_email string, currency string"
 )
 
-WATERMARKS = _schema(
+WATERMARKS = fields(
     "source_table string, last_updated_at timestamp_ntz, "
     "updated_ts timestamp_ntz, batch_id string"
 )
-FILE_HISTORY = _schema(
+FILE_HISTORY = fields(
     "file_name string, file_sha string, load_date timestamp_ntz, "
     "record_count bigint, status string, error_message string"
 )
-JOB_AUDIT = _schema(
+JOB_AUDIT = fields(
     "job_name string, start_time timestamp_ntz, end_time timestamp_ntz, "
     "status string, records_loaded bigint, files_processed bigint, "
     "error_message string"
 )
-REJECTS = _schema(
+REJECTS = fields(
     "batch_id string, source_name string, source_file string, reason string, "
     "raw_payload string, rejected_at timestamp_ntz"
 )
-CHECK_LOG = _schema(
+CHECK_LOG = fields(
     "batch_id string, check_name string, table_name string, status string, "
     "failed_count bigint, checked_at timestamp_ntz"
 )
@@ -118,7 +136,7 @@ SALES_COLUMNS = [
     "unit_price", "sales_date", "office_location", "source_file_name",
     "load_ts", "source_system", "batch_id", "updated_at",
 ]
-FACT = _schema(
+FACT = fields(
     "sales_key string, sales_id string, sales_source string, customer_id string, "
     "reseller_id string, organizer_id string, event_id string, sales_date date, "
     "sales_channel string, seller_type string, seller_id string, "

@@ -7,6 +7,12 @@ from pyspark.sql import types as T
 from ..operators.shape import conform
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on whatever file system it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def csv_scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header line and quoted fields, read with a given schema."""
     return (

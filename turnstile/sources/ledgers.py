@@ -1,6 +1,5 @@
 """Append-only ledgers: watermarks, file history, job audit, rejects, checks."""
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +8,7 @@ from .. import schemas
 from ..fixed import EPOCH_MARK
 from ..operators.latest import latest_by
 from ..operators.shape import conform
+from .files import exists
 
 
 class Ledger:
@@ -18,12 +18,9 @@ class Ledger:
         self.spark, self.path, self.schema = spark, path, schema
 
     def read(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(self.schema).parquet(self.path)
-        except AnalysisException as missing:
-            if missing.getCondition() == "PATH_NOT_FOUND":
-                return self.spark.createDataFrame([], self.schema)
-            raise
+        if not exists(self.spark, self.path):
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(self.path)
 
     def append(self, df: DataFrame) -> None:
         conform(df, self.schema).write.mode("append").parquet(self.path)

@@ -13,7 +13,6 @@ new row; the other slices are carried over by name, not copied.
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,8 +20,10 @@ from pyspark.sql import types as T
 from ..fixed import EPOCH_MARK
 from ..operators.incremental import reconcile
 from ..operators.upsert import MergeConflict, apply_upsert, merge_conflicts
+from ..schemas import fields
+from .files import exists
 
-_MANIFEST = T.StructType.fromDDL(
+_MANIFEST = fields(
     "version bigint, slice string, folder string, rows bigint, mark timestamp_ntz"
 )
 _SLICE = "slice_"
@@ -58,13 +59,10 @@ class VersionedTable:
     def _manifest(self) -> list[Row]:
         """Rows of the current version: one per folder, so a bounded list."""
         fs_path = f"{self.path}/manifest"
-        try:
-            log = self.spark.read.schema(_MANIFEST).parquet(fs_path)
-            newest = log.agg(F.max("version")).first()[0]
-        except AnalysisException as missing:  # the table was never published
-            if missing.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
+        if not exists(self.spark, fs_path):  # the table was never published
+            return []
+        log = self.spark.read.schema(_MANIFEST).parquet(fs_path)
+        newest = log.agg(F.max("version")).first()[0]
         return log.where(F.col("version") == F.lit(newest)).collect()
 
     @property
