@@ -586,11 +586,8 @@ _model("q13_source_report", _log([
 ]))
 _add("q14_rejects", """
 SELECT 'BATCH_3' AS batch_id, 'reseller_exports' AS source_name,
-  'malformed line' AS reason, '2024-03-01 00:00:00' AS rejected_at,
-  ts::DATE::VARCHAR || ',R' || user_id || ',"Seller, Ltd",Europe,' || event_id
-    || ',Show ' || event_id || ',error,5001,VIP,WEB,n/a,'
-    || "value"::DECIMAL(12,2)::VARCHAR || ',' || "value"::DECIMAL(12,2)::VARCHAR
-    || ',10.00,someone@example.org,USD' AS line
+  'bad quantity' AS reason, '2024-03-01 00:00:00' AS rejected_at, event_id,
+  'Seller, Ltd' AS reseller_name
 FROM events WHERE event_type = 'error'""")
 _model("q15_check_log", "SELECT 'B1' AS batch_id, *, '2024-03-01 00:00:00' AS checked_at FROM (" + _log([
     ("accepted_values(sales_channel)", "ticket_sales", _rows("stg_ticket_sales",

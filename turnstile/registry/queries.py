@@ -1168,8 +1168,12 @@ def _(d):
     _, bad = positional_drops(
         d.spark, export_positional(d.spark, d.folder), "BATCH_3", ts(RUN)
     )
-    line = F.get_json_object("raw_payload", "$.line")
-    return bad.select("batch_id", "source_name", "reason", "rejected_at", line.alias("line"))
+    event = F.get_json_object("raw_payload", "$.event_id").cast("bigint")
+    seller = F.get_json_object("raw_payload", "$.reseller_name")
+    return bad.select(
+        "batch_id", "source_name", "reason", "rejected_at",
+        event.alias("event_id"), seller.alias("reseller_name"),
+    )
 
 
 @query("q15_check_log")

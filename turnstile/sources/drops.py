@@ -16,7 +16,7 @@ from ..functions.filenames import drop_file_date, drop_file_reseller
 from ..operators.joins import lookup_join
 from ..operators.rejects import reject_reason, split_rejects
 from ..operators.shape import add_missing_columns, conform, rename_columns, stamp
-from ..schemas import DAILY_SALES, FILE_HISTORY, POSITIONAL_DROP, REJECTS
+from ..schemas import DAILY_SALES, FILE_HISTORY, POSITIONAL_DROP
 from .ledgers import Ledgers
 from .tables import VersionedTable
 
@@ -108,11 +108,21 @@ def _read_layout(
     )
 
 
-def _malformed(column: str) -> Column:
-    """Whether a line did not fit. Spark refuses a query that touches the
-    corrupt-record column alone, so a test that is never true names another."""
-    never = F.length(F.col(column).cast("string")) < 0
-    return F.col(_BAD).isNotNull() | F.coalesce(never, F.lit(False))
+def _row_rules(target: T.StructType, named: list[str]) -> dict[str, Column]:
+    """A line must fit the layout and each text the target's type.
+
+    Fields are read as text and tested here, not typed by the CSV reader: that
+    converts only the columns a query asks for, so whether a row counts as bad
+    would depend on the query.
+    """
+    rules = {"malformed line": F.col(_BAD).isNotNull()}
+    for field in target:
+        if field.name in named and field.dataType != T.StringType():
+            raw = F.col(field.name)
+            rules[f"bad {field.name}"] = (
+                raw.isNotNull() & raw.try_cast(field.dataType).isNull()
+            )
+    return rules
 
 
 def _to_target(rows: DataFrame) -> DataFrame:
@@ -134,15 +144,9 @@ def drop_rows(
         reseller=drop_file_reseller("source_file_name", pattern),
     )
     rules = {
-        "malformed line": _malformed("transaction_id"),
+        **_row_rules(DAILY_SALES, DROP_TEXT.fieldNames()),
         "missing transaction_id": F.col("transaction_id").isNull(),
     }
-    for field in DAILY_SALES:
-        if field.name in DROP_TEXT.fieldNames() and field.dataType != T.StringType():
-            raw = F.col(field.name)
-            rules[f"bad {field.name}"] = (
-                raw.isNotNull() & raw.try_cast(field.dataType).isNull()
-            )
     return stamped, rules
 
 
@@ -260,27 +264,26 @@ def positional_drops(
 
     Lines that do not fit the types are set aside and the load goes on.
     """
-    full = T.StructType(list(schema) + [T.StructField(_BAD, T.StringType())])
+    text = [T.StructField(f.name, T.StringType()) for f in schema]
     rows = (
-        spark.read.schema(full)
+        spark.read.schema(T.StructType([*text, T.StructField(_BAD, T.StringType())]))
         .option("header", True)
-        .option("enforceSchema", True)
         .option("escape", '"')
         .option("columnNameOfCorruptRecord", _BAD)
         .option("columnPruning", False)
-        .csv(path, pathGlobFilter=CSV_GLOB)
+        .option("pathGlobFilter", CSV_GLOB)
+        .csv(path)
         .withColumn("file_name", F.col("_metadata.file_name"))
-        .withColumn("file_sale_date", drop_file_date("file_name"))
-        .withColumn("batch_id", F.lit(batch_id))
-        .withColumn("load_ts", run_ts)
     )
-    bad = _malformed(schema[0].name)
-    rejects = rows.where(bad).select(
-        "batch_id",
-        F.lit("reseller_exports").alias("source_name"),
-        F.col("file_name").alias("source_file"),
-        F.lit("malformed line").alias("reason"),
-        F.to_json(F.struct(F.col(_BAD).alias("line"))).alias("raw_payload"),
-        F.col("load_ts").alias("rejected_at"),
+    rules = _row_rules(schema, schema.fieldNames())
+    good, rejects = split_rejects(
+        rows, rules, batch_id, "reseller_exports", run_ts, "file_name"
+    )
+    loaded = good.select(
+        *[F.col(f.name).cast(f.dataType) for f in schema],
+        "file_name",
+        drop_file_date("file_name").alias("file_sale_date"),
+        F.lit(batch_id).alias("batch_id"),
+        run_ts.alias("load_ts"),
     )
-    return rows.where(~bad).drop(_BAD), conform(rejects, REJECTS)
+    return loaded, rejects
