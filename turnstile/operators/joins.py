@@ -95,7 +95,10 @@ def lookup_join(
                 any_null = any_null | F.col(l).isNull()
             salt = F.when(any_null, piece).otherwise(salt)
         left = left.withColumn("_salt", salt)
-        ref = ref.withColumn("_r_salt", F.explode(copies) if hot else F.lit(0))
+        # Always 0 for other rows, but no constant in the optimizer's eyes: it
+        # would fold one into a filter and take the salt out of the exchange.
+        zero = F.pmod(_token([r for _, r in keys]), F.lit(1)).cast("int")
+        ref = ref.withColumn("_r_salt", F.explode(copies) if hot else zero)
         condition.append(F.col("_salt") == F.col("_r_salt"))
     if within is not None:
         condition.append(within)

@@ -15,10 +15,14 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..fixed import SYSTEM_DATABASE, SYSTEM_FILES
 from ..operators.latest import latest_by
 
+# Schemas of the given, read-only files, so that footers are read once.
+_SCHEMAS: dict[str, T.StructType] = {}
+
 TABLES_LOADED = "2002-01-01 00:00:00"
 FILES_LOADED = "2024-02-01 00:00:00"
 
@@ -54,7 +58,10 @@ class Domain:
 
     def __call__(self, name: str) -> DataFrame:
         if name not in self._given:
-            self._given[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+            path = f"{self.folder}/{name}.parquet"
+            if path not in _SCHEMAS:
+                _SCHEMAS[path] = self.spark.read.parquet(path).schema
+            self._given[name] = self.spark.read.schema(_SCHEMAS[path]).parquet(path)
         return self._given[name]
 
     def organizers(self) -> DataFrame:

@@ -142,11 +142,15 @@ def dims(d: Domain) -> Lazy:
 
 
 def models(d: Domain) -> dict[str, DataFrame]:
-    """All models by name; sales and fact are written once and read back."""
-    s = staged(d)
+    """All models by name. As in the warehouse, ticket sales, unified sales and
+    the fact are written once and read back by whatever follows."""
+    s = dict(staged(d))
+    root = scratch_dir(d.spark, "models")
+    tickets = VersionedTable(d.spark, f"{root}/tickets", s["ticket_sales"].schema)
+    tickets.publish(s["ticket_sales"])
+    s["ticket_sales"] = tickets.read()
     named = {f"stg_{n}": df for n, df in s.items()}
     named["stg_commissions"] = named.pop("stg_commission_agreements")
-    root = scratch_dir(d.spark, "models")
     unified = unified_sales(s)
     stored = VersionedTable(d.spark, f"{root}/sales", unified.schema)
     stored.publish(unified)
@@ -154,7 +158,8 @@ def models(d: Domain) -> dict[str, DataFrame]:
     facts = VersionedTable(d.spark, f"{root}/fact", schemas.FACT)
     facts.publish(star.fact_ticket_sales(stored.read(), s["commission_agreements"]))
     named["fact_ticket_sales"] = facts.read()
-    return {**named, **dims(d), "dim_date": star.dim_date(stored.read())}
+    named |= {k: v for k, v in star.star_schema(s, stored.read()).items() if k != "fact_ticket_sales"}
+    return named
 
 
 def union(*parts: DataFrame) -> DataFrame:
@@ -898,7 +903,9 @@ def _(d):
 
 @query("i03_incremental_staging")
 def _(d):
-    raw = d.ticket_sales()
+    landed = scratch_dir(d.spark, "landing")
+    land(d.ticket_sales(), landed)
+    raw = d.spark.read.parquet(landed)
     first = staging.stg_ticket_sales(raw.where(F.col("updated_at") <= ts(_CUT)))
     t = VersionedTable(
         d.spark, scratch_dir(d.spark, "stg"), first.schema, months("purchase_date")

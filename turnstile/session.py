@@ -1,5 +1,6 @@
 """Session set-up and the shared scratch folder."""
 
+import functools
 import tempfile
 import uuid
 
@@ -27,14 +28,21 @@ def session(master: str | None = None, **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="turnstile-")
+
+
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
+    """A fresh folder under the shared folder the cluster names in
+    ``spark.checkpoint.dir``.
 
-    Only where the cluster names none (tests on one machine) is a local
-    temporary folder used and recorded in the session.
+    Where none is named, a temporary folder stands in on a single machine; on a
+    cluster that is an error, since executors could not see it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="turnstile-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        root = _local_root()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -52,7 +52,8 @@ class VersionedTable:
         self.path = path.rstrip("/")
         self.schema = schema
         self.mark = mark
-        self._slices = F.lit("all") if slices is None else slices
+        self._sliced = slices is not None
+        self._slices = slices if self._sliced else F.lit("all")
 
     # -- reading ----------------------------------------------------------
 
@@ -107,6 +108,10 @@ class VersionedTable:
             *[F.col(f.name).cast(f.dataType) for f in self.schema],
             F.coalesce(self._slices.cast("string"), F.lit("none")).alias(_SLICE),
         ).observe(seen, F.count(F.lit(1)).alias("rows"))
+        if self._sliced:
+            # Brings a slice's rows together, so tasks do not each write a small
+            # file per slice; a large slice is split over several tasks.
+            tagged = tagged.hint("rebalance", F.col(_SLICE))
         (
             tagged.write.mode("overwrite")
             .partitionBy(_SLICE)
