@@ -1,6 +1,8 @@
 """The whole load: two feeds into raw tables, raw tables into the star schema."""
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +24,16 @@ _RAW_SLICES = {
 }
 
 
+# Independent small tables would each leave most of a cluster idle.
+_AT_ONCE = 4
+
+
+def _side_by_side(work: Callable[[str], Any], names: Sequence[str]) -> dict[str, Any]:
+    """Run independent table jobs a few at a time; the first error is raised."""
+    with ThreadPoolExecutor(_AT_ONCE) as pool:
+        return dict(zip(names, pool.map(work, names)))
+
+
 class Warehouse:
     """One warehouse under one folder. Runs are given their id and time, so a
     run can be repeated; one run at a time is assumed."""
@@ -62,23 +74,26 @@ class Warehouse:
         All tables are merged before any watermark moves: a run that dies in
         between is repeated in full, and the keyed merge makes that harmless.
         """
-        marks, counts = {}, {}
+
+        def merge(name: str) -> dict:
+            changed = incremental_scan(sources[name], self.ledgers.watermark(name))
+            rows = conform(
+                stamp(changed, batch_id, SYSTEM_DATABASE, run_ts), schemas.RAW[name]
+            )
+            folder = f"{self.root}/landing/{name}/batch_id={batch_id}"
+            seen = land(rows, folder)
+            if seen["rows"]:
+                delta = load_by_name(self.spark, folder, schemas.RAW[name])
+                keys, guard = schemas.SOURCE_KEYS[name]
+                self.raw[name].upsert(delta, keys, guard)
+            return seen
+
         try:
-            for name, source in sources.items():
-                changed = incremental_scan(source, self.ledgers.watermark(name))
-                rows = conform(
-                    stamp(changed, batch_id, SYSTEM_DATABASE, run_ts), schemas.RAW[name]
-                )
-                folder = f"{self.root}/landing/{name}/batch_id={batch_id}"
-                seen = land(rows, folder)
-                counts[name] = seen["rows"]
-                if seen["rows"]:
-                    delta = load_by_name(self.spark, folder, schemas.RAW[name])
-                    keys, guard = schemas.SOURCE_KEYS[name]
-                    self.raw[name].upsert(delta, keys, guard)
-                    marks[name] = seen["mark"]
-            for name, mark in marks.items():
-                self.ledgers.set_watermark(name, mark, batch_id, run_ts)
+            seen = _side_by_side(merge, list(sources))
+            counts = {name: s["rows"] for name, s in seen.items()}
+            for name, s in seen.items():
+                if s["rows"]:
+                    self.ledgers.set_watermark(name, s["mark"], batch_id, run_ts)
         except Exception as error:
             self._audit("load_tables", run_ts, "FAILED", 0, 0, str(error)[:1000])
             raise
@@ -165,12 +180,15 @@ class Warehouse:
             for n, df in star.star_schema(staged, stored.read()).items()
             if n.startswith("dim_")
         }
-        counts = {}
-        for name, df in dims.items():
-            table = self._table(f"mart/{name}", df.schema)
-            table.publish(df)
-            named[name] = table.read()
-            counts[name] = table.row_count()
+
+        def publish(name: str) -> VersionedTable:
+            table = self._table(f"mart/{name}", dims[name].schema)
+            table.publish(dims[name])
+            return table
+
+        published = _side_by_side(publish, list(dims))
+        named |= {name: table.read() for name, table in published.items()}
+        counts = {name: table.row_count() for name, table in published.items()}
         self._gate(named, self._checks("dim_"), f"{batch_id}-dim", run_ts)
 
         since = {}

@@ -52,19 +52,29 @@ class VersionedTable:
         self.path = path.rstrip("/")
         self.schema = schema
         self.mark = mark
+        self._current: list[Row] | None = None
         self._sliced = slices is not None
         self._slices = slices if self._sliced else F.lit("all")
 
     # -- reading ----------------------------------------------------------
 
     def _manifest(self) -> list[Row]:
-        """Rows of the current version: one per folder, so a bounded list."""
-        fs_path = f"{self.path}/manifest"
-        if not exists(self.spark, fs_path):  # the table was never published
+        """Rows of the current version: one per folder, so a bounded list.
+
+        Read once per object, which so keeps a consistent view of the table and
+        of its own changes; open a new object to see another writer's.
+        """
+        if self._current is None:
+            self._current = self._newest()
+        return self._current
+
+    def _newest(self) -> list[Row]:
+        folder = f"{self.path}/manifest"
+        if not exists(self.spark, folder):  # the table was never published
             return []
-        log = self.spark.read.schema(_MANIFEST).parquet(fs_path)
-        newest = log.agg(F.max("version")).first()[0]
-        return log.where(F.col("version") == F.lit(newest)).collect()
+        log = self.spark.read.schema(_MANIFEST).parquet(folder)
+        newest = log.agg(F.max("version")).scalar()
+        return log.where(F.col("version") == newest).collect()
 
     @property
     def version(self) -> int:
@@ -147,6 +157,7 @@ class VersionedTable:
             .write.mode("append")
             .parquet(f"{self.path}/manifest")
         )
+        self._current = [Row(*_MANIFEST.fieldNames())(*r) for r in rows]
         return version
 
     def publish(self, df: DataFrame) -> int:
