@@ -12,7 +12,7 @@ from turnstile import session  # noqa: E402
 def spark(tmp_path_factory):
     s = session.session(
         "local[8]",
-        spark_sql_shuffle_partitions="8",
+        spark_sql_shuffle_partitions="4",
         spark_driver_memory="4g",
         spark_ui_showConsoleProgress="false",
         spark_checkpoint_dir=str(tmp_path_factory.mktemp("shared")),

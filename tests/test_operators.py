@@ -13,6 +13,7 @@ from turnstile.operators import (
     duplicate_keys,
     effective_join,
     high_water_mark,
+    hot_for,
     hot_tokens,
     incremental_rows,
     latest_by,
@@ -122,15 +123,27 @@ def test_salt_spreads_hot_and_null_keys(spark, skewed, no_broadcast):
     hot = hot_tokens(left, ["k"])
     assert 1 <= len(hot) <= 100
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
     try:
         joined = lookup_join(left, right, {"k": "rk"}, spread=["id"], hot=hot)
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-    # Unsalted, one of the 8 partitions holds a third of the rows or more.
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    # Unsalted, one of the 8 partitions would hold a third of the rows or more.
     assert max(r["count"] for r in sizes) < 30000 / 4
 
 
+def test_hot_keys_are_looked_for_only_beyond_broadcast(spark, skewed):
+    left, right = skewed
+    assert hot_for(left, ["k"], right) == []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10")
+    try:
+        assert len(hot_for(left, ["k"], right)) >= 1
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_salted_keys_must_agree_in_type(spark):
     left, right = spark.range(5), spark.range(5).select(F.col("id").cast("int").alias("r"))
     with pytest.raises(TypeError):

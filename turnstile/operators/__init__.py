@@ -9,7 +9,14 @@ from .aggregates import (
     totals,
 )
 from .incremental import incremental_rows, reconcile
-from .joins import effective_join, hot_tokens, lookup_join, name_join
+from .joins import (
+    effective_join,
+    fits_broadcast,
+    hot_for,
+    hot_tokens,
+    lookup_join,
+    name_join,
+)
 from .latest import latest_by
 from .orphans import orphan_count, orphan_rows
 from .rejects import split_rejects
@@ -25,7 +32,8 @@ from .upsert import MergeConflict, apply_upsert, merge_conflicts
 __all__ = [
     "MergeConflict", "add_missing_columns", "apply_upsert", "coerce_timestamps",
     "conform", "date_range", "duplicate_keys", "effective_join",
-    "filtered_totals", "high_water_mark", "hot_tokens", "incremental_rows",
+    "filtered_totals", "fits_broadcast", "high_water_mark", "hot_for",
+    "hot_tokens", "incremental_rows",
     "labelled_counts", "latest_by", "lookup_join", "merge_conflicts",
     "name_join", "orphan_count", "orphan_rows", "reconcile", "rename_columns",
     "split_rejects", "stamp", "top_k", "top_k_per", "totals",

@@ -44,6 +44,24 @@ def hot_tokens(
     return list(token.stat.freqItems(["k"], share).first()[0])
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's size estimate lets it broadcast ``df`` by itself."""
+    session = df.sparkSession._jsparkSession
+    limit = session.sessionState().conf().autoBroadcastJoinThreshold()
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(str(size)) <= limit
+
+
+def hot_for(
+    left: DataFrame, keys: Sequence[str], right: DataFrame, share: float = 0.01
+) -> list[int]:
+    """Hot keys of ``left`` where they matter: the join to ``right`` will shuffle.
+
+    Give ``left`` as stored rows rather than a costly plan; its keys are read.
+    """
+    return [] if fits_broadcast(right) else hot_tokens(left, keys, share)
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,

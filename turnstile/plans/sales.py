@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..fixed import SELLER_RESELLER, SOURCE_PLATFORM, SOURCE_VENDOR
 from ..functions import join_name, unit_price
 from ..functions.numbers import UNIT_PRICE
-from ..operators.joins import hot_tokens, lookup_join, name_join
+from ..operators.joins import hot_for, lookup_join, name_join
 from ..schemas import SALES_COLUMNS
 
 def _no_text() -> Column:
@@ -129,25 +129,26 @@ def platform_sales(
     )
 
 
-def hot_sales_keys(
-    tickets: DataFrame, daily: DataFrame, share: float = 0.01
-) -> dict[str, Sequence[int]]:
-    """Hot keys of the sales feeds, to salt the joins of ``unified_sales``.
-
-    Worth its pass over five columns when a reference side outgrows broadcast.
-    """
+def hot_sales_keys(staged: Mapping[str, DataFrame]) -> dict[str, Sequence[int]]:
+    """Hot keys of the sales feeds for each reference table too large to broadcast."""
+    tickets, daily = staged["ticket_sales"], staged["reseller_daily_sales"]
+    events, resellers = staged["events"], staged["resellers"]
     named = daily.select(join_name("event_name").alias("_name"))
     return {
-        "event": hot_tokens(tickets, ["event_id"], share),
-        "customer": hot_tokens(tickets, ["customer_id"], share),
-        "reseller": hot_tokens(tickets, ["reseller_id"], share),
-        "event_name": hot_tokens(named, ["_name"], share),
-        "daily_reseller": hot_tokens(daily, ["reseller_id"], share),
+        "event": hot_for(tickets, ["event_id"], events),
+        "customer": hot_for(tickets, ["customer_id"], staged["customers"]),
+        "reseller": hot_for(tickets, ["reseller_id"], resellers),
+        "event_name": hot_for(named, ["_name"], events),
+        "daily_reseller": hot_for(daily, ["reseller_id"], resellers),
     }
 
 
 def unified_sales(staged: Mapping[str, DataFrame], hot: Mapping = {}) -> DataFrame:
-    """All sales in 26 columns. Duplicate names or ids on a reference side fan out."""
+    """All sales in 26 columns. Duplicate names or ids on a reference side fan out.
+
+    ``hot`` comes from ``hot_sales_keys``; without it only rows with null keys are
+    spread, and hot keys are left to adaptive skew splitting.
+    """
     events, resellers = staged["events"], staged["resellers"]
     vendor = vendor_sales(staged["reseller_daily_sales"], events, resellers, hot)
     platform = platform_sales(

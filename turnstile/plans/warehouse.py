@@ -10,20 +10,15 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..fixed import EPOCH_MARK, FILE_NAME_STRICT, SYSTEM_DATABASE
 from ..operators.checks import Check, assert_checks, run_checks
+from ..operators.incremental import incremental_rows
+from ..operators.joins import hot_for
 from ..operators.shape import conform, stamp
 from ..sources.drops import DropFeed
 from ..sources.files import incremental_scan, land, load_by_name
 from ..sources.ledgers import Ledgers
-from ..sources.tables import VersionedTable, key_buckets, months
+from ..sources.tables import Slices, VersionedTable, key_buckets, months
 from . import quality, sales, staging, star
 
-# Slices of the large tables: an upsert rewrites only the slices it touches.
-_RAW_SLICES = {
-    "ticket_sales": lambda n: months("purchase_date"),
-    "customers": lambda n: key_buckets(["customer_id"], n),
-}
-
-
 # Independent small tables would each leave most of a cluster idle.
 _AT_ONCE = 4
 
@@ -36,12 +31,18 @@ def _side_by_side(work: Callable[[str], Any], names: Sequence[str]) -> dict[str,
 
 class Warehouse:
     """One warehouse under one folder. Runs are given their id and time, so a
-    run can be repeated; one run at a time is assumed."""
+    run can be repeated; one run at a time is assumed.
+
+    Sales are cut by date (``slice_sales``: ``months`` or, for very large tables,
+    ``days``), customers and events into ``buckets`` by key: an upsert rewrites
+    only the slices it touches.
+    """
 
     def __init__(
         self,
         spark: SparkSession,
         root: str,
+        slice_sales: Callable[[str], Slices] = months,
         buckets: int = 64,
         file_pattern: str = FILE_NAME_STRICT,
         severity: str = "error",
@@ -49,19 +50,25 @@ class Warehouse:
     ):
         self.spark, self.root = spark, root.rstrip("/")
         self.severity, self.as_of = severity, as_of
+        self.slice_sales = slice_sales
         self.ledgers = Ledgers(spark, f"{self.root}/audit")
+        slices = {
+            "ticket_sales": slice_sales("purchase_date"),
+            "customers": key_buckets(["customer_id"], buckets),
+            "events": key_buckets(["event_id"], buckets),
+        }
         self.raw = {
             name: self._table(
-                f"raw/{name}", schema, _RAW_SLICES.get(name, lambda n: None)(buckets)
+                f"raw/{name}", schema, slices.get(name)
             )
             for name, schema in schemas.RAW.items()
         }
         self.feed = DropFeed(
             spark, self.raw["reseller_daily_sales"], self.ledgers, file_pattern
         )
-        self.fact = self._table("mart/fact_ticket_sales", schemas.FACT, months("sales_date"))
+        self.fact = self._table("mart/fact_ticket_sales", schemas.FACT, slice_sales("sales_date"))
 
-    def _table(self, name: str, schema, slices: Column | None = None) -> VersionedTable:
+    def _table(self, name: str, schema, slices: Slices | None = None) -> VersionedTable:
         return VersionedTable(self.spark, f"{self.root}/{name}", schema, slices)
 
     # -- feeds ------------------------------------------------------------
@@ -146,17 +153,25 @@ class Warehouse:
             c for c in quality.model_checks(as_of=self.as_of) if c.table.startswith(prefix)
         ]
 
-    def build(self, batch_id: str, run_ts: Column, by: str | None = None) -> dict[str, int]:
+    def build(
+        self,
+        batch_id: str,
+        run_ts: Column,
+        by: str | None = None,
+        rebuild_sales: bool = True,
+    ) -> dict[str, int]:
         """Staging, unified sales, dimensions and the incremental fact.
 
-        ``by`` keeps the fact's mark per value of a column (see
-        ``incremental_rows``) instead of one mark over both feeds.
+        by             keep the fact's mark per value of a column (see
+                       ``incremental_rows``) instead of one mark over both feeds
+        rebuild_sales  write the unified sales anew, so that changed names reach
+                       old sales; otherwise only sales changed since are merged
         """
         raw = {n: t.read() for n, t in self.raw.items()}
         tickets = self._table(
             "staging/ticket_sales",
             staging.stg_ticket_sales(raw["ticket_sales"]).schema,
-            months("purchase_date"),
+            self.slice_sales("purchase_date"),
         )
         mark = tickets.high_mark() if tickets.exists() else None
         tickets.upsert(
@@ -168,10 +183,18 @@ class Warehouse:
         named["stg_commissions"] = named.pop("stg_commission_agreements")
         self._gate(named, self._checks("stg_"), f"{batch_id}-stg", run_ts)
 
-        unified = sales.unified_sales(staged)
+        hot = sales.hot_sales_keys(staged)
+        unified = sales.unified_sales(staged, hot)
         # Read by the fact, the date dimension and the checks: written once.
-        stored = self._table("intermediate/sales", unified.schema, months("sales_date"))
-        stored.publish(unified)
+        stored = self._table(
+            "intermediate/sales", unified.schema, self.slice_sales("sales_date")
+        )
+        if rebuild_sales or not stored.exists():
+            stored.publish(unified)
+        else:
+            # The filter is on the sale, so only changed sales are joined.
+            changed = incremental_rows(unified, stored.read(), by="source_system")
+            stored.upsert(changed, ["sales_id", "sales_source"])
         named["int_sales_transactions"] = stored.read()
         self._gate(named, self._checks("int_"), f"{batch_id}-int", run_ts)
 
@@ -198,9 +221,9 @@ class Warehouse:
                 if by
                 else {"mark": self.fact.high_mark()}
             )
-        rows = star.fact_ticket_sales(
-            stored.read(), staged["commission_agreements"], **since
-        )
+        agreements = staged["commission_agreements"]
+        pairs = hot_for(stored.read(), ["organizer_id", "reseller_id"], agreements)
+        rows = star.fact_ticket_sales(stored.read(), agreements, hot=pairs, **since)
         folder = f"{self.root}/landing/fact_ticket_sales/batch_id={batch_id}"
         land(rows, folder)
         delta = load_by_name(self.spark, folder, schemas.FACT)

@@ -12,12 +12,14 @@ new row; the other slices are carried over by name, not copied.
 """
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixed import EPOCH_MARK
+from ..operators.aggregates import duplicate_keys
 from ..operators.incremental import reconcile
 from ..operators.upsert import MergeConflict, apply_upsert, merge_conflicts
 from ..schemas import fields
@@ -29,14 +31,26 @@ _MANIFEST = fields(
 _SLICE = "slice_"
 
 
-def key_buckets(keys: Sequence[str], buckets: int) -> Column:
-    """Slice expression: hash bucket of the key."""
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets))
+@dataclass(frozen=True)
+class Slices:
+    """How a table is cut. ``by_key``: a row's slice follows from its key, so an
+    upsert finds the slices of a delta without looking at the stored rows."""
 
+    value: Column
+    by_key: bool = False
 
-def months(column: str) -> Column:
-    """Slice expression: month of a date."""
-    return F.date_format(F.col(column), "yyyy-MM")
+
+def key_buckets(keys: Sequence[str], buckets: int) -> Slices:
+    """Hash buckets of the key."""
+    return Slices(F.pmod(F.xxhash64(*keys), F.lit(buckets)), by_key=True)
+
+
+def months(column: str) -> Slices:
+    return Slices(F.date_format(F.col(column), "yyyy-MM"))
+
+
+def days(column: str) -> Slices:
+    return Slices(F.date_format(F.col(column), "yyyy-MM-dd"))
 
 
 class VersionedTable:
@@ -45,7 +59,7 @@ class VersionedTable:
         spark: SparkSession,
         path: str,
         schema: T.StructType,
-        slices: Column | None = None,
+        slices: Slices | None = None,
         mark: str = "updated_at",
     ):
         self.spark = spark
@@ -54,7 +68,9 @@ class VersionedTable:
         self.mark = mark
         self._current: list[Row] | None = None
         self._sliced = slices is not None
-        self._slices = slices if self._sliced else F.lit("all")
+        slices = slices or Slices(F.lit("all"))
+        self._by_key = slices.by_key
+        self._slice = F.coalesce(slices.value.cast("string"), F.lit("none")).alias(_SLICE)
 
     # -- reading ----------------------------------------------------------
 
@@ -113,11 +129,9 @@ class VersionedTable:
     def _write(self, df: DataFrame, version: int) -> list[tuple]:
         """Write rows into the folders of a version, one folder per slice."""
         folder = f"data/v{version}"
-        seen = Observation()
         tagged = df.select(
-            *[F.col(f.name).cast(f.dataType) for f in self.schema],
-            F.coalesce(self._slices.cast("string"), F.lit("none")).alias(_SLICE),
-        ).observe(seen, F.count(F.lit(1)).alias("rows"))
+            *[F.col(f.name).cast(f.dataType) for f in self.schema], self._slice
+        )
         if self._sliced:
             # Brings a slice's rows together, so tasks do not each write a small
             # file per slice; a large slice is split over several tasks.
@@ -127,8 +141,6 @@ class VersionedTable:
             .partitionBy(_SLICE)
             .parquet(f"{self.path}/{folder}")
         )
-        if not seen.get["rows"]:
-            return []
         # Reads the mark column only, of the files just written.
         stats = (
             self.spark.read.schema(
@@ -198,7 +210,9 @@ class VersionedTable:
         else:
             delta = reconcile(delta, stored)[0]
             touched = self._touched(stored, delta, keys, old)
-        if old and not merge_conflicts(stored, delta, keys).isEmpty():
+        # The stored keys are read only if the delta repeats a key at all.
+        repeated = old and not duplicate_keys(delta, keys, skip_nulls=True).isEmpty()
+        if repeated and not merge_conflicts(stored, delta, keys).isEmpty():
             raise MergeConflict(f"{self.path}: a stored row has several new rows")
         rewrite = [r for r in old if touched is None or r.slice in touched]
         carried = [r for r in old if touched is not None and r.slice not in touched]
@@ -213,13 +227,13 @@ class VersionedTable:
         """Slices that hold a key of the delta or will receive one of its rows."""
         if len({r.slice for r in old}) <= 1:
             return None
-        part = F.coalesce(self._slices.cast("string"), F.lit("none")).alias(_SLICE)
-        holding = stored.select(*keys, part).join(
-            delta.select(*keys).distinct(), list(keys), "left_semi"
-        )
-        receiving = delta.select(part)
-        found = holding.select(_SLICE).distinct().union(receiving.distinct())
-        return {r[0] for r in found.distinct().collect()}
+        found = delta.select(self._slice).distinct()
+        if not self._by_key:
+            holding = stored.select(*keys, self._slice).join(
+                delta.select(*keys).distinct(), list(keys), "left_semi"
+            )
+            found = found.union(holding.select(_SLICE).distinct()).distinct()
+        return {r[0] for r in found.collect()}  # as many as the table has slices
 
 
 def _carry(rows: list[Row], version: int) -> list[tuple]:
