@@ -87,12 +87,17 @@ class Warehouse:
             rows = conform(
                 stamp(changed, batch_id, SYSTEM_DATABASE, run_ts), schemas.RAW[name]
             )
+            table = self.raw[name]
+            if not table.row_count():
+                # Nothing to merge with: written once, not landed first.
+                table.publish(rows)
+                return {"rows": table.row_count(), "mark": table.newest()}
             folder = f"{self.root}/landing/{name}/batch_id={batch_id}"
             seen = land(rows, folder)
             if seen["rows"]:
                 delta = load_by_name(self.spark, folder, schemas.RAW[name])
                 keys, guard = schemas.SOURCE_KEYS[name]
-                self.raw[name].upsert(delta, keys, guard)
+                table.upsert(delta, keys, guard)
             return seen
 
         try:
@@ -224,10 +229,13 @@ class Warehouse:
         agreements = staged["commission_agreements"]
         pairs = hot_for(stored.read(), ["organizer_id", "reseller_id"], agreements)
         rows = star.fact_ticket_sales(stored.read(), agreements, hot=pairs, **since)
-        folder = f"{self.root}/landing/fact_ticket_sales/batch_id={batch_id}"
-        land(rows, folder)
-        delta = load_by_name(self.spark, folder, schemas.FACT)
-        self.fact.upsert(delta, ["sales_key"])
+        if not since:
+            self.fact.publish(rows)
+        else:
+            folder = f"{self.root}/landing/fact_ticket_sales/batch_id={batch_id}"
+            if land(rows, folder)["rows"]:
+                delta = load_by_name(self.spark, folder, schemas.FACT)
+                self.fact.upsert(delta, ["sales_key"])
         named["fact_ticket_sales"] = self.fact.read()
         self._gate(named, self._checks("fact_"), f"{batch_id}-fact", run_ts)
         counts["fact_ticket_sales"] = self.fact.row_count()

@@ -12,10 +12,16 @@ from .files import exists
 
 
 class Ledger:
-    """One Parquet dataset that only grows."""
+    """One Parquet dataset that only grows.
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType):
-        self.spark, self.path, self.schema = spark, path, schema
+    ``brief``: an append is a handful of rows (a row per table, file or check) and
+    becomes one file; rejects are data and keep their partitions.
+    """
+
+    def __init__(
+        self, spark: SparkSession, path: str, schema: T.StructType, brief: bool = True
+    ):
+        self.spark, self.path, self.schema, self.brief = spark, path, schema, brief
 
     def read(self) -> DataFrame:
         if not exists(self.spark, self.path):
@@ -23,7 +29,10 @@ class Ledger:
         return self.spark.read.schema(self.schema).parquet(self.path)
 
     def append(self, df: DataFrame) -> None:
-        conform(df, self.schema).write.mode("append").parquet(self.path)
+        rows = conform(df, self.schema)
+        if self.brief:
+            rows = rows.coalesce(1)
+        rows.write.mode("append").parquet(self.path)
 
     def add(self, **values) -> None:
         """Append one row; columns not named are null."""
@@ -44,7 +53,7 @@ class Ledgers:
         self.watermarks = Ledger(spark, f"{root}/watermarks", schemas.WATERMARKS)
         self.files = Ledger(spark, f"{root}/file_history", schemas.FILE_HISTORY)
         self.jobs = Ledger(spark, f"{root}/job_audit", schemas.JOB_AUDIT)
-        self.rejects = Ledger(spark, f"{root}/rejects", schemas.REJECTS)
+        self.rejects = Ledger(spark, f"{root}/rejects", schemas.REJECTS, brief=False)
         self.checks = Ledger(spark, f"{root}/check_log", schemas.CHECK_LOG)
 
     def watermark(self, table: str) -> Column:

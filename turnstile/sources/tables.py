@@ -13,6 +13,7 @@ new row; the other slices are carried over by name, not copied.
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -100,12 +101,14 @@ class VersionedTable:
     def exists(self) -> bool:
         return bool(self._manifest())
 
-    def high_mark(self) -> Column:
+    def newest(self) -> datetime | None:
         """Largest change time in the table, from the manifest: no scan."""
-        marks = [r.mark for r in self._manifest() if r.mark is not None]
-        if marks:
-            return F.lit(max(marks)).cast("timestamp_ntz")
-        return F.lit(EPOCH_MARK).cast("timestamp_ntz")
+        return max((r.mark for r in self._manifest() if r.mark is not None), default=None)
+
+    def high_mark(self) -> Column:
+        """The same as a literal, the start of time for an empty table."""
+        newest = self.newest()
+        return F.lit(EPOCH_MARK if newest is None else newest).cast("timestamp_ntz")
 
     def row_count(self) -> int:
         return sum(r.rows for r in self._manifest())
