@@ -121,6 +121,20 @@ def test_second_run_loads_only_changes(spark, tmp_path, inbox, run_ts):
     assert [int(r[0]) for r in rows(f.table.read())] == [1, 1, 2]
 
 
+def test_known_content_under_another_name(spark, tmp_path, inbox, run_ts):
+    folder = inbox(GOOD, line(1))
+    f = feed(spark, tmp_path, by_name=False, log_skipped=True)
+    f.load(folder, "B1", run_ts)
+    inbox("DailySales_01062020_RES006.csv", line(1))
+    assert f.load(folder, "B2", run_ts)["files"] == 0
+    history = f.ledgers.files.read().select("file_name", "status", "record_count")
+    assert rows(history) == [
+        ("DailySales_01052020_RES005.csv", "SKIPPED", 0),
+        ("DailySales_01052020_RES005.csv", "SUCCESS", 1),
+        ("DailySales_01062020_RES006.csv", "SKIPPED", 0),
+    ]
+
+
 def test_fail_file_option_and_loose_names(spark, tmp_path, inbox, run_ts):
     folder = inbox(GOOD, line(1), line(2, total="?"))
     inbox("DailySales_02002020_RES010.csv", line(3))

@@ -18,6 +18,7 @@ from turnstile.operators import (
     incremental_rows,
     latest_by,
     lookup_join,
+    stamp_file,
     merge_conflicts,
     name_join,
     orphan_count,
@@ -44,6 +45,11 @@ def test_coerce_timestamps_any_case(frame):
     assert rows(out) == [(datetime(2020, 1, 1),), (None,)]
 
 
+def test_stamp_file(frame):
+    out = stamp_file(frame("a int", (1,)), F.lit("f.csv"), F.lit("ab"), F.lit("2020-01-01").cast("timestamp_ntz"))
+    assert rows(out) == [(1, "f.csv", "ab", T0)]
+
+
 def test_latest_null_time_wins_and_ties_go_to_id(frame):
     schema = (
         "agreement_id int, organizer_id string, reseller_id string, effective_from date, "
@@ -150,6 +156,33 @@ def test_salted_keys_must_agree_in_type(spark):
         lookup_join(left, right, {"id": "r"}, spread=["id"], hot=[1])
 
 
+def test_salted_interval_join_with_a_hot_pair(spark, no_broadcast):
+    """One pair holds a third of the sales, a third has no reseller."""
+    sales = spark.range(9000).selectExpr(
+        "id", "'o' AS organizer_id",
+        "CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN NULL ELSE concat('r', id % 50) END AS reseller_id",
+        "date_add(DATE'2020-01-01', CAST(id % 700 AS INT)) AS day",
+    )
+    terms = spark.range(51).selectExpr(
+        "'o' AS organizer_id", "IF(id = 50, 'hot', concat('r', id)) AS reseller_id", "id AS rate",
+        "inline(array(struct(DATE'2020-02-01' AS effective_from, DATE'2020-12-31' AS effective_to),"
+        " struct(DATE'2020-12-01' AS effective_from, CAST(NULL AS DATE) AS effective_to)))",
+    )
+    keys = ["organizer_id", "reseller_id"]
+    hot = hot_tokens(sales, keys)
+    assert hot
+    salted = effective_join(sales, terms, keys, "day", spread=["id"], hot=hot)
+    plain = sales.alias("s").join(
+        terms.alias("t"),
+        F.expr("s.organizer_id = t.organizer_id AND s.reseller_id = t.reseller_id AND day >= effective_from"
+               " AND (effective_to IS NULL OR day <= effective_to)"),
+        "left",
+    ).select("id", "s.organizer_id", "s.reseller_id", "day", "rate")
+    salted = salted.select(*plain.columns)
+    assert salted.count() == plain.count() > 9000
+    assert salted.exceptAll(plain).isEmpty()
+
+
 def test_name_join_normalises_and_fans_out(frame):
     left = frame("id int, name string", (1, " Rock Night "), (2, "none"), (3, None))
     right = frame("known string, e int", ("ROCK night", 10), ("rock night ", 11), ("Jazz", 12))

@@ -26,6 +26,7 @@ from .shape import (
     conform,
     rename_columns,
     stamp,
+    stamp_file,
 )
 from .upsert import MergeConflict, apply_upsert, merge_conflicts
 
@@ -36,5 +37,5 @@ __all__ = [
     "hot_tokens", "incremental_rows",
     "labelled_counts", "latest_by", "lookup_join", "merge_conflicts",
     "name_join", "orphan_count", "orphan_rows", "reconcile", "rename_columns",
-    "split_rejects", "stamp", "top_k", "top_k_per", "totals",
+    "split_rejects", "stamp", "stamp_file", "top_k", "top_k_per", "totals",
 ]

@@ -23,22 +23,23 @@ def incremental_rows(
 
     lateness  look back by an interval such as ``2 days``; safe before a keyed
               upsert, which makes re-read rows harmless
-    by        keep one mark per value of a column (for example
-              ``source_system``), so that one feed cannot hide another's rows
+    by        keep one mark per value of a column that names a few feeds (for
+              example ``source_system``), so that one cannot hide another's rows
 
     ``mark`` gives the mark as a value (from a ledger or a table's manifest) and
     saves the scan of the target.
     """
     back = F.expr(f"interval {lateness}") if lateness else None
     if by is not None:
-        marks = target.groupBy(by).agg(F.max(column).alias("_mark"))
-        # One row per feed; far below any broadcast limit, and not forced.
-        marks = marks.withColumnRenamed(by, "_by")
-        joined = df.join(marks, F.col(by).eqNullSafe(F.col("_by")), "left")
-        since = F.col("_mark") if back is None else F.col("_mark") - back
-        return joined.where(F.col("_mark").isNull() | (F.col(column) > since)).drop(
-            "_mark", "_by"
-        )
+        # The marks become one map value. A join to them might be planned as a
+        # shuffle of all rows on a column with only a few values.
+        feed = F.coalesce(F.col(by).cast("string"), F.lit(""))
+        marks = target.groupBy(feed.alias("feed")).agg(F.max(column).alias("mark"))
+        listed = F.collect_list(F.struct("feed", "mark"))
+        by_feed = marks.agg(F.map_from_entries(listed)).scalar()
+        since = F.try_element_at(by_feed, feed)
+        since = since if back is None else since - back
+        return df.where(since.isNull() | (F.col(column) > since))
     if mark is None:
         mark = high_water_mark(target, column).scalar()
     return df.where(F.col(column) > (mark if back is None else mark - back))

@@ -65,6 +65,19 @@ def stamp(
     return df.withColumns(columns)
 
 
+def stamp_file(
+    df: DataFrame, file_name: Column, file_sha: Column, run_ts: Column
+) -> DataFrame:
+    """The file, its content hash and the load time: the short form of a file stamp."""
+    return df.withColumns(
+        {
+            "file_name": file_name,
+            "file_sha": file_sha,
+            "loaded_at": run_ts.cast("timestamp_ntz"),
+        }
+    )
+
+
 def coerce_timestamps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Named columns as timestamps, unparseable text as null, absent ones ignored."""
     wanted = {c.lower() for c in columns}

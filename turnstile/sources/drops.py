@@ -169,14 +169,22 @@ class DropFeed:
         dated: bool = True,
         on_bad_rows: str = "reject",
         multi_line: bool = False,
+        by_name: bool = True,
+        log_skipped: bool = False,
     ):
-        """``on_bad_rows``: ``reject`` loads the good rows of a file and sets the
-        bad ones aside; ``fail_file`` loads nothing of a file with a bad row."""
+        """
+        pattern      rule for file names; ``dated``: its date must exist
+        on_bad_rows  ``reject`` loads the good rows of a file and sets the bad ones
+                     aside; ``fail_file`` loads nothing of a file with a bad row
+        by_name      a known file is known by name and content, or by content alone
+        log_skipped  known files get a ledger row as well
+        """
         if on_bad_rows not in ("reject", "fail_file"):
             raise ValueError(on_bad_rows)
         self.spark, self.table, self.ledgers = spark, table, ledgers
         self.pattern, self.dated = pattern, dated
         self.on_bad_rows, self.multi_line = on_bad_rows, multi_line
+        self.by_name, self.log_skipped = by_name, log_skipped
 
     def parse(
         self, files: list[Row], batch_id: str, run_ts: Column
@@ -194,7 +202,19 @@ class DropFeed:
     def load(self, folder: str, batch_id: str, run_ts: Column) -> dict:
         """Load what is new in a folder; each file succeeds or fails on its own."""
         found = fingerprint(self.spark, folder)
-        fresh = unseen_files(found, self.ledgers.files.read())
+        fresh = unseen_files(found, self.ledgers.files.read(), self.by_name)
+        if self.log_skipped:
+            known = lookup_join(found, fresh, {"file_path": "file_path"}, "left_anti")
+            self.ledgers.files.append(
+                known.select(
+                    "file_name",
+                    "file_sha",
+                    run_ts.alias("load_date"),
+                    F.lit(0).alias("record_count"),
+                    F.lit("SKIPPED").alias("status"),
+                    F.lit("File already processed").alias("error_message"),
+                )
+            )
         valid = drop_file_reseller("file_name", self.pattern).isNotNull()
         if self.dated:
             valid = valid & drop_file_date("file_name", self.pattern).isNotNull()
