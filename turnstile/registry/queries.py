@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from .. import functions as fn
 from .. import schemas
-from ..fixed import CHANNELS, DROP_HEADERS, FILE_NAME_LOOSE
+from ..fixed import CHANNELS, DROP_HEADERS, FILE_NAME_LOOSE, SYSTEM_FILES
 from ..operators import (
     add_missing_columns,
     apply_upsert,
@@ -308,7 +308,7 @@ def _(d):
 def _(d):
     bare = d("customer").select("c_custkey", "c_name")
     return stamp(
-        bare, "BATCH_9", "GITHUB", ts(RUN), source_file=F.lit("f.csv"),
+        bare, "BATCH_9", SYSTEM_FILES, ts(RUN), source_file=F.lit("f.csv"),
         reseller=fn.drop_file_reseller(F.lit("DailySales_01052020_RES005.csv")),
     )
 
@@ -946,7 +946,7 @@ def _(d):
 @query("i05_shared_mark_loses_late_rows")
 def _(d):
     f = fact(d)
-    files, early = F.col("source_system") == "GITHUB", F.col("updated_at") <= ts(_CUT)
+    files, early = F.col("source_system") == SYSTEM_FILES, F.col("updated_at") <= ts(_CUT)
     target = f.where(files | early)
     delta = incremental_rows(f, target)
     return apply_upsert(target, delta, ["sales_key"])
@@ -955,7 +955,7 @@ def _(d):
 @query("i05_mark_per_feed")
 def _(d):
     f = fact(d)
-    files, early = F.col("source_system") == "GITHUB", F.col("updated_at") <= ts(_CUT)
+    files, early = F.col("source_system") == SYSTEM_FILES, F.col("updated_at") <= ts(_CUT)
     target = f.where(files | early)
     delta = incremental_rows(f, target, by="source_system")
     return apply_upsert(target, delta, ["sales_key"])
