@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstile.llm import scoring
+from turnstile.llm import language, leaks, lines, nearest, neardup, packing, quotes, scoring, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,8 +29,62 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score_documents(docs, tokenizer("byte_bpe_50k.tiktoken"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", _fold(5, 0).alias("held_out"))
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").dropDuplicates(["doc_id"])
+    return toxicity.score_toxicity(docs, docs.where(~F.col("held_out")).join(labels, "doc_id"), ["doc_id", "held_out"])
+
+
+def op3_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), ["doc_id"])
+
+
+def op4_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_rows(_table(spark, sf_dir, "documents"), 40)
+
+
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.drop_recurring_lines(_table(spark, sf_dir, "documents"), length="n_chars")
+
+
+def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings").withColumn("asks", F.col("vec_id") % 20 == 0)
+    return nearest.search(vectors, "asks", k=20)
+
+
+def op7_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.group_near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), ["doc_id"])
+
+
+def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").withColumn("held_out", _fold(4, 2))
+    return language.identify(docs, docs.where(~F.col("held_out")), ["doc_id", "held_out"])
+
+
+def op10_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_order(_table(spark, sf_dir, "conversations"))
+
+
+_ALL = (
+    op1_lm_scoring,
+    op2_toxicity,
+    op3_retrieval_packing,
+    op4_feistel_sharding,
+    op5_line_dedup,
+    op6_nearest_neighbours,
+    op7_minhash_neardup,
+    op8_benchmark_leaks,
+    op9_language_mixture,
+    op10_quotation_linking,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_lm_scoring,)}
+    return {f.__name__: f for f in _ALL}
 
 
 def oracle_sql() -> dict[str, str]:
