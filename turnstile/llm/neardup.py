@@ -182,12 +182,12 @@ def components(edges: DataFrame, kept: Scratch) -> DataFrame:
         else:
             small = joined.where(F.col("b") < F.col("a"))
             out = small.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(least.select("a", F.col("m").alias("b")))
-        return out.where(F.col("a") != F.col("b")).distinct()
+        return out.where(F.col("a") != F.col("b"))
 
     links = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where(F.col("a") != F.col("b")).distinct()
     mark = None
     while True:
-        links = kept.stored(star(star(links, True), False), "stars")
+        links = kept.stored(star(star(links, True), False).distinct(), "stars")
         new = links.agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)).alias("x")).first()
         if new == mark:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))

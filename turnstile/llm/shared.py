@@ -21,22 +21,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 
 class Scratch:
-    """Intermediate tables that are given up together."""
+    """Intermediate tables under one folder, given up together."""
 
     def __init__(self, spark: SparkSession):
-        self._spark, self._paths = spark, []
+        self._spark, self._root, self._count = spark, scratch_dir(spark, "scratch"), 0
 
     def stored(self, df: DataFrame, name: str) -> DataFrame:
-        path = scratch_dir(self._spark, name)
-        self._paths.append(path)
+        self._count += 1
+        path = f"{self._root}/{self._count}-{name}"
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> None:
         """Free the space; an overwrite with no rows is the portable delete."""
-        for path in self._paths:
-            self._spark.range(0).coalesce(1).write.mode("overwrite").parquet(path)
-        self._paths.clear()
+        if self._count:
+            self._spark.range(0).coalesce(1).write.mode("overwrite").parquet(self._root)
 
 
 @contextmanager
