@@ -54,13 +54,19 @@ def permuted(number: Column, n: int, seed: int, steps: int) -> Column:
 
 
 def walks(spark: SparkSession, n: int, seed: int) -> int:
-    """How many more passes bring every number inside: a walk stays outside only
-    on the fewer than a numbers there, which are all tried."""
+    """How many more passes bring every number inside.
+
+    A walk can only linger on the fewer than a numbers outside, which are all
+    followed. Those that no pass brings inside turn in circles out there and are
+    met from nowhere inside; they are the ones left when a pass frees no more.
+    """
     a, b = radix(n)
-    outside, steps = spark.range(n, a * b), 1 if a * b > n else 0
-    while steps and outside.where(permuted(F.col("id"), n, seed, steps - 1) >= n).limit(1).count():
-        steps *= 2
-    return steps
+    outside, left = spark.range(n, a * b), [a * b - n]
+    while left[-1]:
+        left.append(outside.where(permuted(F.col("id"), n, seed, len(left) - 1) >= n).count())
+        if left[-1] == left[-2]:
+            break
+    return len(left) - 1 if not left[-1] else len(left) - 2
 
 
 def numbered(df: DataFrame, by: list[str], name: str = "row_no") -> DataFrame:
