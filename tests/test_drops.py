@@ -1,5 +1,5 @@
-import hashlib
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from conftest import rows
@@ -56,26 +56,28 @@ def test_master_csv_quoted_commas(spark, tmp_path):
     assert rows(df) == [("ORG001", 'Wilson, "W" and Co', "USA", "California")]
 
 
-def test_fingerprint_is_the_blob_hash(spark, inbox):
-    folder = inbox(GOOD, line(1))
+def test_fingerprint_follows_content_order_and_size(spark, inbox):
+    folder = inbox(GOOD, line(1), line(2))
     inbox("notes.txt", "x")
-    inbox("DailySales_01062020_RES006.CSV", line(2))
+    inbox("DailySales_01062020_RES006.CSV", line(2), line(1))
+    inbox("DailySales_01072020_RES007.csv", line(1), line(2))
+    (Path(folder) / "DailySales_01082020_RES008.csv").write_text("")
     found = {r.file_name: r for r in fingerprint(spark, folder).collect()}
-    assert set(found) == {GOOD, "DailySales_01062020_RES006.CSV"}
-    data = f"{HEADER}\n{line(1)}\n".encode()
-    want = hashlib.sha1(b"blob %d\0" % len(data) + data).hexdigest()
-    assert found[GOOD].file_sha == want and found[GOOD].header == HEADER
+    assert len(found) == 4 and found[GOOD].header == HEADER
+    same, swapped, empty = (found[f"DailySales_010{n}2020_RES00{n}.{e}"] for n, e in ((7, "csv"), (6, "CSV"), (8, "csv")))
+    assert found[GOOD].file_sha == same.file_sha != swapped.file_sha
+    assert empty.header is None and empty.file_size == 0 and len(empty.file_sha) == 40
 
 
-def test_large_files_are_hashed_by_line(spark, inbox):
-    folder = inbox(GOOD, line(1), line(2))
-    inbox("DailySales_01062020_RES006.csv")
-    first = {r.file_name: r for r in fingerprint(spark, folder, whole_limit=150).collect()}
-    assert len(first) == 2 and first[GOOD].header is None
-    inbox(GOOD, line(1), line(3))
-    again = {r.file_name: r for r in fingerprint(spark, folder, whole_limit=150).collect()}
-    assert first[GOOD].file_sha != again[GOOD].file_sha
-    assert first["DailySales_01062020_RES006.csv"].file_sha == again["DailySales_01062020_RES006.csv"].file_sha
+def test_fingerprint_does_not_depend_on_how_a_file_is_cut(spark, inbox):
+    folder = inbox(GOOD, *[line(i) for i in range(2000)])
+    whole = fingerprint(spark, folder).first().file_sha
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7001")
+    try:
+        assert fingerprint(spark, folder).first().file_sha == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
 
 
 def test_unseen_by_name_or_by_content(frame):
@@ -111,6 +113,60 @@ def test_load_isolates_files_and_rejects_rows(spark, tmp_path, inbox, run_ts):
     ]
 
 
+def test_unusable_files_fail_alone(spark, tmp_path, inbox, run_ts):
+    folder = inbox(GOOD, line(1))
+    put = lambda n, text: (Path(folder) / f"DailySales_010{n}2020_RES00{n}.csv").write_text(text)
+    put(1, "")
+    put(2, f"\n{HEADER}\n{line(2)}\n")
+    put(3, f"Transaction ID,Transaction ID\n1,2\n")
+    put(4, "a,b\n1,2\n")
+    f = feed(spark, tmp_path)
+    assert f.load(folder, "B1", run_ts) == {"files": 1, "failed": 4, "rows": 1, "rejected": 0}
+    bad = f.ledgers.files.read().where("status = 'FAILED'").select("error_message")
+    assert [r[0] for r in rows(bad)] == ["Blank header line", "Empty file", "No known column", "Repeated column: Transaction ID"]
+
+
+def test_quoted_line_breaks_are_kept(spark, tmp_path, inbox, run_ts):
+    f = feed(spark, tmp_path)
+    f.load(inbox(GOOD, line(1).replace("Rock, Night", "Rock\nNight")), "B1", run_ts)
+    assert [r.event_name for r in f.table.read().collect()] == ["Rock\nNight"]
+
+
+def test_equal_files_of_one_run_load_once(spark, tmp_path, inbox, run_ts):
+    folder = inbox(GOOD, line(1))
+    inbox("DailySales_01062020_RES006.csv", line(1))
+    f = feed(spark, tmp_path, by_name=False, log_skipped=True)
+    assert f.load(folder, "B1", run_ts)["rows"] == 1
+    history = f.ledgers.files.read().select("file_name", "status")
+    assert rows(history) == [(GOOD, "SUCCESS"), ("DailySales_01062020_RES006.csv", "SKIPPED")]
+
+
+def test_a_run_that_dies_before_the_ledger_is_not_repeated(spark, tmp_path, inbox, run_ts, monkeypatch):
+    folder = inbox(GOOD, line(1), line(2, tickets="many"))
+    f = feed(spark, tmp_path)
+
+    def die(*_):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(type(f.ledgers.files), "append", die)
+    with pytest.raises(RuntimeError):
+        f.load(folder, "B1", run_ts)
+    monkeypatch.undo()
+    again = feed(spark, tmp_path)
+    assert again.load(folder, "B1", run_ts)["files"] == 0
+    assert again.table.read().count() == 1
+    history = again.ledgers.files.read().select("file_name", "record_count", "status")
+    assert rows(history) == [(GOOD, 1, "SUCCESS")]
+
+
+def test_emptying_the_table_forgets_its_files(spark, tmp_path, inbox, run_ts):
+    folder = inbox(GOOD, line(1))
+    f = feed(spark, tmp_path)
+    f.load(folder, "B1", run_ts)
+    f.table.truncate()
+    assert f.load(folder, "B2", run_ts)["rows"] == 1 and f.table.read().count() == 1
+
+
 def test_second_run_loads_only_changes(spark, tmp_path, inbox, run_ts):
     folder = inbox(GOOD, line(1))
     f = feed(spark, tmp_path)

@@ -157,3 +157,34 @@ def test_full_reload(spark, sources, tmp_path):
     w.full_reload("B2", at("2020-06-02"))
     assert w.raw["ticket_sales"].row_count() == 0
     assert w.load_tables(sources(tickets(spark, 1, 4)), "B3", at("2020-06-03"))["ticket_sales"] == 4
+
+
+def test_full_reload_brings_the_files_back(spark, inbox, tmp_path):
+    folder = inbox("DailySales_01052020_R1.csv", "901,Show 1,3,30.00,web,a,b,Office,2020-01-05")
+    w = Warehouse(spark, str(tmp_path / "w"))
+    w.load_files(folder, "F1", at("2020-06-01"))
+    w.full_reload("B2", at("2020-06-02"))
+    assert w.raw["reseller_daily_sales"].row_count() == 0
+    assert w.load_files(folder, "F2", at("2020-06-03"))["rows"] == 1
+    assert w.raw["reseller_daily_sales"].read().count() == 1
+
+
+def test_a_repaired_run_passes_the_gate_under_the_same_id(spark, sources, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    w.load_tables(sources(tickets(spark, 1, 4).withColumn("sales_channel", F.lit("facebook"))), "B1", at("2020-06-01"))
+    with pytest.raises(ChecksFailed):
+        w.build("B1", at("2020-06-01"))
+    jobs = rows(w.ledgers.jobs.read().where("job_name = 'build'").select("status", "error_message"))
+    assert len(jobs) == 1 and jobs[0][0] == "FAILED" and "accepted_values" in jobs[0][1]
+    mended = tickets(spark, 1, 4).withColumn("updated_at", F.col("updated_at") + F.expr("interval 60 days"))
+    w.load_tables(sources(mended), "B1", at("2020-06-02"))
+    w.build("B1", at("2020-06-02"))
+    assert len(fact(w)) == 4
+
+
+def test_failed_file_loads_are_audited(spark, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    with pytest.raises(Exception, match="missing"):
+        w.load_files(str(tmp_path / "missing"), "F1", at("2020-06-01"))
+    job = w.ledgers.jobs.read().first()
+    assert job.status == "FAILED" and "missing" in job.error_message

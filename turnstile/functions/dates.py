@@ -6,11 +6,20 @@ from pyspark.sql import functions as F
 from .text import _col
 
 
+_DAY = r"\d{4}-\d{1,2}-\d{1,2}"
+_TIME = r"[T ]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?"
+
+
 def try_date(c: Column | str, pattern: str | None = None) -> Column:
-    """Date or null. With a pattern the text must match it in full."""
-    if pattern is None:
-        return _col(c).try_cast("date")
-    return F.try_to_date(_col(c), pattern)
+    """Date or null. The text must be a whole date, with or without a valid time;
+    with a pattern it must match that in full."""
+    if pattern is not None:
+        return F.try_to_date(_col(c), pattern)
+    text = F.trim(_col(c).cast("string"))
+    # A plain cast takes a year, a month or any text after a date as well.
+    return F.when(text.rlike(f"^{_DAY}$"), text.try_cast("date")).when(
+        text.rlike(f"^{_DAY}{_TIME}$"), text.try_cast("timestamp_ntz").cast("date")
+    )
 
 
 def date_parts(c: Column | str) -> dict[str, Column]:

@@ -1,7 +1,8 @@
 """The whole load: two feeds into raw tables, raw tables into the star schema."""
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -107,13 +108,14 @@ class Warehouse:
                 if s["rows"]:
                     self.ledgers.set_watermark(name, s["mark"], batch_id, run_ts)
         except Exception as error:
-            self._audit("load_tables", run_ts, "FAILED", 0, 0, str(error)[:1000])
+            self._audit("load_tables", run_ts, "FAILED", 0, 0, str(error))
             raise
         self._audit("load_tables", run_ts, "SUCCESS", sum(counts.values()), 0, None)
         return counts
 
     def load_files(self, folder: str, batch_id: str, run_ts: Column) -> dict:
-        done = self.feed.load(folder, batch_id, run_ts)
+        with self._audited("load_files", run_ts):
+            done = self.feed.load(folder, batch_id, run_ts)
         self._audit("load_files", run_ts, "SUCCESS", done["rows"], done["files"], None)
         return done
 
@@ -124,8 +126,20 @@ class Warehouse:
             error_message=error,
         )
 
+    @contextmanager
+    def _audited(self, job: str, run_ts: Column) -> Iterator[None]:
+        """A failed run leaves its row and its whole message."""
+        try:
+            yield
+        except Exception as error:
+            self._audit(job, run_ts, "FAILED", 0, 0, str(error))
+            raise
+
     def full_reload(self, batch_id: str, run_ts: Column) -> None:
-        """Empty raw tables and marks at the start of time; then load again."""
+        """Empty raw tables, marks at the start of time, no file known; then load
+        again. Staging and fact stay until the next build brings the rows back
+        under the same keys.
+        """
         for name, table in self.raw.items():
             table.truncate()
             if name in schemas.SOURCES:
@@ -145,13 +159,14 @@ class Warehouse:
         run_ts: Column,
     ) -> None:
         """Log the checks; a failed one stops the models downstream."""
-        log = run_checks(tables, checks).withColumns(
-            {"batch_id": F.lit(batch_id), "checked_at": run_ts}
-        )
-        self.ledgers.checks.append(log)
-        assert_checks(
-            self.ledgers.checks.read().where(F.col("batch_id") == batch_id), self.severity
+        results = run_checks(tables, checks)
+        # One row a check. Only this run's results decide, not what an earlier
+        # run under the same id has left in the ledger.
+        log = self.spark.createDataFrame(results.collect(), results.schema)
+        self.ledgers.checks.append(
+            log.withColumns({"batch_id": F.lit(batch_id), "checked_at": run_ts})
         )
+        assert_checks(log, self.severity)
 
     def _checks(self, prefix: str) -> list[Check]:
         return [
@@ -164,6 +179,13 @@ class Warehouse:
         run_ts: Column,
         by: str | None = None,
         rebuild_sales: bool = True,
+    ) -> dict[str, int]:
+        """See ``_build``; a failed build leaves a row in the job audit."""
+        with self._audited("build", run_ts):
+            return self._build(batch_id, run_ts, by, rebuild_sales)
+
+    def _build(
+        self, batch_id: str, run_ts: Column, by: str | None, rebuild_sales: bool
     ) -> dict[str, int]:
         """Staging, unified sales, dimensions and the incremental fact.
 

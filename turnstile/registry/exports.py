@@ -27,7 +27,7 @@ def daily_with_headers(domain: Domain) -> DataFrame:
 
 
 def export_drops(spark: SparkSession, folder: str) -> str:
-    """All purchase events as drop files, one per day; returns the folder."""
+    """All events as drop files, one per day; returns the folder."""
     daily = Domain(spark, folder).reseller_daily_sales()
     day = F.col("created_date").cast("date")
     file = F.concat(

@@ -72,10 +72,10 @@ _add("s02_reseller_csv_scan", f"""
 SELECT DISTINCT {DAY_FILE} AS file_name,
   'Transaction ID,Event name,Number of purchased tickets,Total amount,Sales channel,'
   || 'Customer first name,Customer last name,Office location,Created Date' AS header
-FROM events WHERE event_type = 'purchase'""")
+FROM events""")
 _add("s03_file_fingerprint", """
 SELECT count(DISTINCT ts::DATE) AS files, count(DISTINCT ts::DATE) AS hashes,
-  40 AS hash_length FROM events WHERE event_type = 'purchase'""")
+  40 AS hash_length FROM events""")
 _add("s04_positional_scan", """
 SELECT event_id, ts::DATE::VARCHAR AS sale_date, 'R' || user_id AS reseller_id,
   'Seller, Ltd' AS reseller_name, event_id % 7 AS quantity,
@@ -438,11 +438,11 @@ FROM stg_commissions GROUP BY organizer_id, reseller_id""")
 _add("i08_unseen_files", """
 SELECT DISTINCT 'DailySales_' || strftime(ts, '%m%d%Y') || '_RES'
   || lpad(user_id::VARCHAR, 9, '0') || '.csv' AS file_name
-FROM events WHERE event_type = 'purchase' AND ts::DATE >= DATE '2024-01-10'""")
+FROM events WHERE ts::DATE >= DATE '2024-01-10'""")
 _add("i09_file_history", f"""
 SELECT {DAY_FILE} AS file_name, '2024-03-01 00:00:00' AS load_date,
   count(*) AS record_count, 'SUCCESS' AS status, NULL::VARCHAR AS error_message
-FROM events WHERE event_type = 'purchase' GROUP BY 1""")
+FROM events GROUP BY 1""")
 _model("i10_load_files", f"""
 SELECT {LOADED}, 'BATCH_3' AS batch_id FROM raw_reseller_daily_sales""")
 _model("i10_stream_files", f"SELECT {LOADED} FROM raw_reseller_daily_sales")
@@ -450,7 +450,7 @@ _add("i11_job_audit", """
 SELECT 'load_files' AS job_name, '2024-03-01 00:00:00' AS start_time,
   'SUCCESS' AS status, count(*) AS records_loaded,
   count(DISTINCT ts::DATE) AS files_processed, NULL::VARCHAR AS error_message
-FROM events WHERE event_type = 'purchase'""")
+FROM events""")
 _model("i12_full_reload", """
 SELECT 0 AS second_load, 0 AS after_reset, count(*) AS third_load, count(*) AS stored
 FROM raw_customers""")

@@ -7,16 +7,18 @@ per file (name, size, fingerprint), never file content.
 import csv
 from collections import defaultdict
 
-from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixed import DROP_HEADERS, FILE_NAME_STRICT, SYSTEM_FILES
+from ..functions.dates import try_date
 from ..functions.filenames import drop_file_date, drop_file_reseller
 from ..operators.joins import lookup_join
 from ..operators.rejects import reject_reason, split_rejects
 from ..operators.shape import add_missing_columns, conform, rename_columns, stamp
 from ..schemas import DAILY_SALES, FILE_HISTORY, POSITIONAL_DROP
+from .files import empty_files
 from .ledgers import Ledgers
 from .tables import VersionedTable
 
@@ -25,56 +27,73 @@ _BAD = "_corrupt_record"
 DROP_TEXT = T.StructType(
     [T.StructField(c, T.StringType()) for c in DROP_HEADERS.values()]
 )
-# Files up to this size are hashed whole; larger ones line by line, in splits.
-WHOLE_FILE_LIMIT = 64 * 1024 * 1024
 
 
-def fingerprint(
-    spark: SparkSession, folder: str, whole_limit: int = WHOLE_FILE_LIMIT
-) -> DataFrame:
+def list_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Name, path and size of each CSV in a folder, empty ones too; reads no content."""
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB).load(folder)
+    ).select("path", "length")
+    empty = [(p, 0) for p in empty_files(spark, folder, CSV_GLOB)]
+    files = files.unionByName(spark.createDataFrame(empty, "path string, length long"))
+    return files.select(
+        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        F.col("path").alias("file_path"),
+        F.col("length").alias("file_size"),
+    )
+
+
+def fingerprint(spark: SparkSession, folder: str) -> DataFrame:
     """Name, path, size, content hash and header line of each CSV in a folder.
 
-    The hash of a file up to ``whole_limit`` is the SHA-1 that a version-control
-    host reports for it (a blob header before the content). Larger files are
-    never held in one row: their lines are hashed where they are read and the
-    hashes summed per file, twice with different seeds.
+    One rule at every size: a line's hash covers its number in the file, the sum
+    of them and the file's size make the file's hash. No file is held in one row,
+    and how a file is cut for reading does not matter. Lines are numbered by the
+    line counts of the blocks before. A file without content has a null header.
     """
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB).load(folder)
+    files = list_files(spark, folder)
+    lines = (
+        spark.read.option("pathGlobFilter", CSV_GLOB)
+        .text(folder)
+        .select(
+            F.col("_metadata.file_path").alias("file_path"),
+            F.col("_metadata.file_block_start").alias("start"),
+            F.monotonically_increasing_id().alias("at"),
+            "value",
+        )
     )
-    name = F.element_at(F.split("path", "/"), -1)
-    blob = F.concat(
-        F.encode(F.concat(F.lit("blob "), F.col("length").cast("string")), "utf-8"),
-        F.lit(b"\x00"),
-        F.col("content"),
+    blocks = lines.groupBy("file_path", "start").agg(
+        F.min("at").alias("first"), F.count("*").alias("n")
     )
-    whole = files.where(F.col("length") <= whole_limit).select(
-        name.alias("file_name"),
-        F.col("path").alias("file_path"),
-        F.col("length").alias("file_size"),
-        F.sha1(blob).alias("file_sha"),
-        F.substring_index(F.col("content").cast("string"), "\n", 1).alias("header"),
+    before = Window.partitionBy("file_path").orderBy("start").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    offsets = blocks.select(
+        "file_path", "start",
+        (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("first")).alias("shift"),
+    )
+    numbered = lines.join(offsets, ["file_path", "start"]).withColumn(
+        "line", F.col("at") + F.col("shift")
     )
-    if files.where(F.col("length") > whole_limit).select("path").isEmpty():
-        return whole
-    lines = spark.read.option("pathGlobFilter", CSV_GLOB).text(folder)
-    size = F.col("_metadata.file_size")
     hashes = [
-        F.sum(F.xxhash64(F.lit(seed), F.col("value")).cast("decimal(38,0)"))
+        F.sum(F.xxhash64(F.lit(seed), "line", "value").cast("decimal(38,0)"))
         for seed in (1, 2)
     ]
-    # Headers of the few large files are read when the file is opened.
-    large = (
-        lines.where(size > whole_limit)
-        .groupBy(
-            F.col("_metadata.file_name").alias("file_name"),
-            F.col("_metadata.file_path").alias("file_path"),
-            size.alias("file_size"),
+    contents = numbered.groupBy("file_path").agg(
+        F.concat_ws("/", *[h.cast("string") for h in hashes]).alias("sums"),
+        F.max(F.when(F.col("line") == 0, F.col("value"))).alias("header"),
+    )
+    # Paths of the two readers differ in how they write the scheme.
+    bare = lambda c: F.regexp_replace(c, "^file:/+", "/")
+    return (
+        files.withColumn("key", bare("file_path"))
+        .join(contents.select(bare("file_path").alias("key"), "sums", "header"), "key", "left")
+        .select(
+            "file_name", "file_path", "file_size",
+            F.sha1(F.concat_ws("/", F.col("file_size").cast("string"), "sums")).alias("file_sha"),
+            "header",
         )
-        .agg(F.sha1(F.concat_ws("/", *[h.cast("string") for h in hashes])).alias("file_sha"))
-        .withColumn("header", F.lit(None).cast("string"))
     )
-    return whole.unionByName(large)
 
 
 def unseen_files(files: DataFrame, history: DataFrame, by_name: bool = True) -> DataFrame:
@@ -119,9 +138,12 @@ def _row_rules(target: T.StructType, named: list[str]) -> dict[str, Column]:
     for field in target:
         if field.name in named and field.dataType != T.StringType():
             raw = F.col(field.name)
-            rules[f"bad {field.name}"] = (
-                raw.isNotNull() & raw.try_cast(field.dataType).isNull()
+            fits = (
+                try_date(raw)
+                if field.dataType == T.DateType()
+                else raw.try_cast(field.dataType)
             )
+            rules[f"bad {field.name}"] = raw.isNotNull() & fits.isNull()
     return rules
 
 
@@ -150,11 +172,24 @@ def drop_rows(
     return stamped, rules
 
 
-def _header(spark: SparkSession, file: Row) -> tuple[str, ...]:
-    line = file.header
+def _header(line: str | None) -> tuple[str, ...]:
+    return tuple(next(csv.reader([(line or "").strip("\ufeff\r\n")]), []))
+
+
+def header_fault(line: str | None) -> str | None:
+    """Why a file cannot be read by its header line, or None."""
     if line is None:
-        line = spark.read.text(file.file_path).first()[0]
-    return tuple(next(csv.reader([line.strip("\ufeff\r\n")]), []))
+        return "Empty file"
+    names = _header(line)
+    if not any(n.strip() for n in names):
+        return "Blank header line"
+    folded = [n.lower() for n in names]
+    twice = sorted({n for n in names if folded.count(n.lower()) > 1})
+    if twice:
+        return f"Repeated column: {', '.join(twice)}"
+    if not set(folded) & {h.lower() for h in DROP_HEADERS}:
+        return "No known column"
+    return None
 
 
 class DropFeed:
@@ -168,7 +203,7 @@ class DropFeed:
         pattern: str = FILE_NAME_STRICT,
         dated: bool = True,
         on_bad_rows: str = "reject",
-        multi_line: bool = False,
+        multi_line: bool = True,
         by_name: bool = True,
         log_skipped: bool = False,
     ):
@@ -176,6 +211,7 @@ class DropFeed:
         pattern      rule for file names; ``dated``: its date must exist
         on_bad_rows  ``reject`` loads the good rows of a file and sets the bad ones
                      aside; ``fail_file`` loads nothing of a file with a bad row
+        multi_line   keep quoted line breaks; without it a large file is read in parts
         by_name      a known file is known by name and content, or by content alone
         log_skipped  known files get a ledger row as well
         """
@@ -192,17 +228,36 @@ class DropFeed:
         """Rows of the files in target columns as text, and the row rules."""
         layouts = defaultdict(list)
         for f in files:
-            layouts[_header(self.spark, f)].append(f.file_path)
+            layouts[_header(f.header)].append(f.file_path)
         whole = None
         for header, paths in layouts.items():
             part = _read_layout(self.spark, paths, list(header), self.multi_line)
             whole = part if whole is None else whole.unionByName(part)
         return drop_rows(whole, self.pattern, batch_id, run_ts)
 
+    def loaded(self) -> DataFrame:
+        """Ledger rows of the files whose rows are in the table now. They are part
+        of the table's commits, so a run that died after one is not repeated, and
+        emptying the table forgets them."""
+        return self.table.beside(FILE_HISTORY)
+
+    def _catch_up(self) -> None:
+        """Files of a run that died between its commit and the ledger."""
+        known = self.ledgers.files.read().where("status = 'SUCCESS'")
+        keys = {k: k for k in ("file_name", "file_sha", "load_date")}
+        missing = lookup_join(self.loaded(), known, keys, "left_anti")
+        if not missing.isEmpty():
+            self.ledgers.files.append(missing)
+
     def load(self, folder: str, batch_id: str, run_ts: Column) -> dict:
         """Load what is new in a folder; each file succeeds or fails on its own."""
+        self._catch_up()
         found = fingerprint(self.spark, folder)
-        fresh = unseen_files(found, self.ledgers.files.read(), self.by_name)
+        fresh = unseen_files(found, self.loaded(), self.by_name)
+        if not self.by_name:
+            # Equal files of one run: the first by name is loaded.
+            first = Window.partitionBy("file_sha").orderBy("file_name")
+            fresh = fresh.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
         if self.log_skipped:
             known = lookup_join(found, fresh, {"file_path": "file_path"}, "left_anti")
             self.ledgers.files.append(
@@ -220,11 +275,13 @@ class DropFeed:
             valid = valid & drop_file_date("file_name", self.pattern).isNotNull()
         # One row per new file.
         files = fresh.withColumn("valid", valid).collect()
-        named = [f for f in files if f.valid]
-        loaded, failed = {}, {
-            f.file_name: f"Invalid file name: {f.file_name}" for f in files if not f.valid
+        faults = {
+            f.file_name: header_fault(f.header) if f.valid else f"Invalid file name: {f.file_name}"
+            for f in files
         }
-        rejected = 0
+        failed = {name: why for name, why in faults.items() if why}
+        named = [f for f in files if f.file_name not in failed]
+        loaded, rejected = {}, 0
         if named:
             rows, rules = self.parse(named, batch_id, run_ts)
             reason = reject_reason(rules)
@@ -232,22 +289,40 @@ class DropFeed:
                 broken = rows.where(reason.isNotNull()).groupBy("source_file_name")
                 for r in broken.agg(F.min(reason).alias("why")).collect():
                     failed[r.source_file_name] = r.why
-                rows = rows.where(~F.col("source_file_name").isin(list(failed)))
+                if failed:
+                    bad = self.spark.createDataFrame([(n,) for n in failed], "name string")
+                    rows = lookup_join(rows, bad, {"source_file_name": "name"}, "left_anti")
             seen = Observation()
             tagged = rows.withColumn("_reason", reason).observe(
                 seen, F.count(F.col("_reason")).alias("bad")
             )
             good = tagged.where(F.col("_reason").isNull())
-            version = self.table.append(conform(good, DAILY_SALES))
+            entries = self._entries([f for f in named if f.file_name not in failed], {}, run_ts)
+
+            def counted(written: DataFrame) -> DataFrame:
+                counts = written.groupBy(F.col("source_file_name").alias("file_name")).agg(
+                    F.count("*").alias("n")
+                )
+                return conform(
+                    lookup_join(entries, counts, {"file_name": "file_name"}).withColumn(
+                        "record_count", F.coalesce("n", F.lit(0))
+                    ),
+                    FILE_HISTORY,
+                )
+
+            self.table.append(conform(good, DAILY_SALES), counted)
             rejected = seen.get["bad"]
             if rejected:
                 _, bad = split_rejects(
                     rows, rules, batch_id, "reseller_daily_sales", run_ts, "source_file_name"
                 )
                 self.ledgers.rejects.append(bad)
-            counts = self.table.added(version).groupBy("source_file_name").count()
-            loaded = {r.source_file_name: r["count"] for r in counts.collect()}
-        self._record(files, loaded, failed, run_ts)
+            self._catch_up()
+            done = lookup_join(self.loaded(), entries, {"file_name": "file_name", "file_sha": "file_sha"}, "left_semi")
+            loaded = {r.file_name: r.record_count for r in done.collect()}
+        lost = [f for f in files if f.file_name in failed]
+        if lost:
+            self.ledgers.files.append(self._entries(lost, failed, run_ts))
         return {
             "files": len(files) - len(failed),
             "failed": len(failed),
@@ -255,22 +330,16 @@ class DropFeed:
             "rejected": rejected,
         }
 
-    def _record(self, files, loaded: dict, failed: dict, run_ts: Column) -> None:
-        if not files:
-            return
+    def _entries(self, files: list[Row], failed: dict, run_ts: Column) -> DataFrame:
         rows = [
             (
-                f.file_name,
-                f.file_sha,
-                None,
-                0 if f.file_name in failed else loaded.get(f.file_name, 0),
+                f.file_name, f.file_sha, None, 0,
                 "FAILED" if f.file_name in failed else "SUCCESS",
                 failed.get(f.file_name),
             )
             for f in files
         ]
-        entries = self.spark.createDataFrame(rows, FILE_HISTORY)
-        self.ledgers.files.append(entries.withColumn("load_date", run_ts))
+        return self.spark.createDataFrame(rows, FILE_HISTORY).withColumn("load_date", run_ts)
 
 
 def positional_drops(

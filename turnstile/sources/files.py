@@ -13,6 +13,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def empty_files(spark: SparkSession, folder: str, glob: str) -> list[str]:
+    """Paths of the files without content, which Spark's readers pass over."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{glob}")
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p) or []
+    return [s.getPath().toString() for s in found if s.isFile() and not s.getLen()]
+
+
 def csv_scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header line and quoted fields, read with a given schema."""
     return (

@@ -11,7 +11,7 @@ of the key). An upsert rewrites only the slices that hold a changed key or get a
 new row; the other slices are carried over by name, not copied.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -24,12 +24,14 @@ from ..operators.aggregates import duplicate_keys
 from ..operators.incremental import reconcile
 from ..operators.upsert import MergeConflict, apply_upsert, merge_conflicts
 from ..schemas import fields
-from .files import exists
+from .files import append_rows, exists
 
 _MANIFEST = fields(
     "version bigint, slice string, folder string, rows bigint, mark timestamp_ntz"
 )
 _SLICE = "slice_"
+# Manifest entry of rows that a commit brings beside the table's own.
+_BESIDE = "beside"
 
 
 @dataclass(frozen=True)
@@ -111,10 +113,12 @@ class VersionedTable:
         return F.lit(EPOCH_MARK if newest is None else newest).cast("timestamp_ntz")
 
     def row_count(self) -> int:
-        return sum(r.rows for r in self._manifest())
+        return sum(r.rows for r in self._manifest() if r.slice != _BESIDE)
 
     def _load(self, rows: list[Row]) -> DataFrame:
-        folders = [f"{self.path}/{r.folder}" for r in rows if r.rows]
+        folders = [
+            f"{self.path}/{r.folder}" for r in rows if r.rows and r.slice != _BESIDE
+        ]
         if not folders:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*folders)
@@ -184,11 +188,34 @@ class VersionedTable:
         """Replace the content by nothing."""
         return self._commit(self.version + 1, [])
 
-    def append(self, df: DataFrame) -> int:
-        """Add rows without looking at the stored ones."""
+    def append(
+        self,
+        df: DataFrame,
+        beside: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> int:
+        """Add rows without looking at the stored ones.
+
+        ``beside`` makes a few more rows of the written ones, such as one per
+        file. They are kept next to the table and appear with the same commit.
+        """
         old = self._manifest()
         version = (old[0].version if old else 0) + 1
-        return self._commit(version, _carry(old, version) + self._write(df, version))
+        written = self._write(df, version)
+        if beside:
+            folder = f"beside/v{version}"
+            new = [Row(*_MANIFEST.fieldNames())(*r) for r in written]
+            more = append_rows(beside(self._load(new)).coalesce(1), f"{self.path}/{folder}")
+            written.append((version, _BESIDE, folder, more, None))
+        return self._commit(version, _carry(old, version) + written)
+
+    def beside(self, schema: T.StructType) -> DataFrame:
+        """What the commits of the current rows brought beside them."""
+        folders = [
+            f"{self.path}/{r.folder}" for r in self._manifest() if r.slice == _BESIDE
+        ]
+        if not folders:
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*folders)
 
     def upsert(
         self,

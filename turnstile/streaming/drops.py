@@ -37,6 +37,7 @@ def stream_drops(
         spark.readStream.schema(_LAYOUT)
         .option("header", True)
         .option("escape", '"')
+        .option("multiLine", True)
         .option("enforceSchema", False)
         .option("columnNameOfCorruptRecord", _BAD)
         .option("columnPruning", False)
