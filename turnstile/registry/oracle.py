@@ -188,12 +188,18 @@ SELECT p_partkey, array_to_string(list_transform(
     '[^ #-]+|[ #-]'), lambda p: upper(p[1]) || p[2:]), '') AS name
 FROM part""")
 _model("f06_f10_casts", """
-SELECT event_id, event_date, try_cast(event_date AS DATE)::VARCHAR AS event_day,
-  coalesce(try_cast(event_date AS DATE), DATE '2999-12-31')::VARCHAR AS known_day,
+SELECT event_id, form, event_date || behind AS event_date, day::VARCHAR AS event_day,
+  coalesce(day, DATE '2999-12-31')::VARCHAR AS known_day,
   try_cast(p_retailprice::DECIMAL(12,4)::VARCHAR AS DECIMAL(5,2))::DOUBLE AS small_price,
   NULL::DOUBLE AS no_number, p_retailprice::DECIMAL(18,2)::DOUBLE AS price,
-  try_cast(event_date AS TIMESTAMP)::VARCHAR AS day_ts
-FROM raw_events JOIN part ON event_id = 'EVT' || lpad(p_partkey::VARCHAR, 9, '0')""")
+  day::TIMESTAMP::VARCHAR AS day_ts
+FROM (
+  SELECT event_id, form, behind, left(event_date, size) AS event_date,
+    CASE WHEN form IN ('whole', 'timed') THEN try_cast(event_date AS DATE) END AS day
+  FROM raw_events CROSS JOIN (VALUES ('whole', 10, ''), ('timed', 10, ' 10:20:30'),
+    ('year', 4, ''), ('month', 7, ''), ('more', 10, ' garbage'), ('letter', 10, 'Tx'))
+    AS f(form, size, behind))
+  JOIN part ON event_id = 'EVT' || lpad(p_partkey::VARCHAR, 9, '0')""")
 _add("f11_f13_date_parts", """
 SELECT o_orderkey, year(o_orderdate) AS year, quarter(o_orderdate) AS quarter,
   month(o_orderdate) AS month, strftime(o_orderdate, '%b') AS month_name,
@@ -542,6 +548,11 @@ def _outside(t: str, c: str, first: str, last: str) -> str:
 
 _model("q11_price_and_date_bounds", _log([
     ("unit_price_positive", "ticket_sales", _rows("stg_ticket_sales", "unit_price <= 0")),
+    ("relationships(organizer_id, reseller_id -> commission_agreements)", "ticket_sales",
+     """SELECT count(*) FROM stg_ticket_sales s
+        WHERE organizer_id IS NOT NULL AND reseller_id IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM stg_commissions a
+            WHERE a.organizer_id = s.organizer_id AND a.reseller_id = s.reseller_id)"""),
     ("event_date_range", "events",
      _outside("events", "event_date", "1995-06-01", "2001-06-30")),
     ("purchase_date_range", "ticket_sales",
@@ -570,6 +581,11 @@ _model("q13_source_report", _log([
                       ("ticket_sales", "event_id", "events"),
                       ("ticket_sales", "customer_id", "customers"),
                       ("ticket_sales", "reseller_id", "resellers")]],
+    ("relationships(organizer_id, reseller_id -> commission_agreements)", "ticket_sales",
+     """SELECT count(*) FROM stg_ticket_sales s
+        WHERE organizer_id IS NOT NULL AND reseller_id IS NOT NULL
+          AND NOT EXISTS (SELECT 1 FROM stg_commissions a
+            WHERE a.organizer_id = s.organizer_id AND a.reseller_id = s.reseller_id)"""),
     ("event_date_range", "events",
      _outside("events", "event_date", "1995-01-01", "2001-08-01")),
     ("purchase_date_range", "ticket_sales",

@@ -446,7 +446,16 @@ def _(d):
 def _(d):
     e = d.events()
     price = F.col("p_retailprice").cast("decimal(12,4)").cast("string")
-    dates = e.select("event_id", "event_date", fn.try_date("event_date").alias("event_day"))
+    # Whole dates, parts of dates, and dates with more text behind them.
+    forms = F.expr(
+        """stack(6, 'whole', event_date, 'timed', event_date || ' 10:20:30',
+             'year', left(event_date, 4), 'month', left(event_date, 7),
+             'more', event_date || ' garbage', 'letter', event_date || 'Tx')"""
+    ).alias("form", "text")
+    dates = e.select("event_id", forms).select(
+        "event_id", "form", F.col("text").alias("event_date"),
+        fn.try_date("text").alias("event_day"),
+    )
     keyed = dates.withColumn(
         "known_day", F.coalesce("event_day", F.lit("2999-12-31").cast("date"))
     )
