@@ -6,10 +6,10 @@ hashed Poisson stream of darts by rank, and each dart a coordinate. A document's
 signature keeps the earliest dart of each coordinate, so two documents agree
 on a coordinate with the chance of their weighted Jaccard similarity.
 
-Documents that share a band of coordinates are linked to one member of the
-bucket, and all such links are checked exactly. What is then still in several
-classes within one bucket is checked against the bucket's other classes, so no
-link of the buckets is lost, and members of one class are never paired.
+Documents that share a band of coordinates are held against one member of the
+bucket, exactly. What is then still in several classes within one bucket is held
+against the bucket's other classes, so no link of the buckets is lost, while
+members of one class are never paired.
 """
 
 from collections.abc import Callable
@@ -17,14 +17,17 @@ from hashlib import blake2b
 from math import log
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from turnstile.llm.shared import Scratch, batch, scratch, stored
 
 _REMEMBERED = 300_000
+#: Members of a bucket in one task.
+MEETING = 4_096
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -153,16 +156,72 @@ def _checking(least: float) -> Callable:
     return run
 
 
-def _verified(pairs: DataFrame, signed: DataFrame, least: float, kept: Scratch) -> DataFrame:
-    """The pairs (a, b) whose similarity is ``least`` or more."""
-    # Sizes alone rule many out. Only texts of a pair travel with it.
-    sizes = signed.select("id", "n")
-    sized = pairs.join(sizes.select(F.col("id").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("id").alias("b"), F.col("n").alias("nb")), "b")
-    fit = kept.stored(sized.where(F.least("na", "nb") >= F.greatest("na", "nb") * F.lit(least - 1e-9)).select("a", "b").distinct(), "sized-pairs")
-    sides = fit.select(F.col("a").alias("id"), "a", "b", F.lit(True).alias("first")).unionByName(fit.select(F.col("b").alias("id"), "a", "b", F.lit(False).alias("first")))
-    texts = sides.join(signed.select("id", "units"), "id")
+def _fitting(least: float, one: str, other: str) -> Column:
+    """Whether two numbers of cells allow the similarity at all."""
+    return F.least(one, other) >= F.greatest(one, other) * F.lit(least - 1e-9)
+
+
+def _verified(pairs: DataFrame, signed: DataFrame, least: float) -> DataFrame:
+    """The pairs (a, b) whose similarity is ``least`` or more. Only the cells of
+    texts in a pair travel with it."""
+    sides = pairs.select(F.explode(F.array(F.struct(F.col("a").alias("id"), F.lit(True).alias("first")), F.struct(F.col("b").alias("id"), F.lit(False).alias("first")))).alias("side"), "a", "b")
+    texts = sides.select("side.id", "side.first", "a", "b").join(signed, "id")
     both = texts.groupBy("a", "b").agg(F.collect_set(F.when(F.col("first"), F.col("units"))).alias("left"), F.collect_set(F.when(~F.col("first"), F.col("units"))).alias("right"))
-    return kept.stored(both.mapInArrow(_checking(least), "a long, b long"), "links")
+    return both.mapInArrow(_checking(least), "a long, b long")
+
+
+def _meeting(least: float) -> Callable:
+    """Links between members of one bucket that are in different classes."""
+
+    def run(members: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(members) and len(asking):
+            band = int(members["band"].iloc[0])
+            root, size, ids = (members[c].to_numpy() for c in ("root", "n", "id"))
+            earlier = np.array(members["bands"].tolist(), np.int64)[:, :band]
+            cells_of = [np.frombuffer(u, "<u4") for u in members["units"]]
+            for x, own_root, own_size, own_bands, units in zip(*(asking[c] for c in ("id", "root", "n", "bands", "units")), strict=True):
+                own = np.frombuffer(units, "<u4")
+                fit = (root != own_root) & (np.minimum(size, own_size) >= np.maximum(size, own_size) * (least - 1e-9))
+                # Texts that share an earlier band too have met there.
+                fit &= ~(earlier == np.array(own_bands, np.int64)[:band]).any(axis=1)
+                at = np.flatnonzero(fit)
+                if not len(at):
+                    continue
+                each = np.array([len(cells_of[i]) for i in at])
+                theirs = np.concatenate([cells_of[i] for i in at])
+                place = np.searchsorted(own, theirs)
+                place[place == len(own)] = 0
+                common = np.add.reduceat(own[place] == theirs, np.r_[0, np.cumsum(each)[:-1]], dtype=np.int64)
+                near = at[common >= least * (each + len(own) - common)]
+                # One link to a class says all.
+                _, first = np.unique(root[near], return_index=True)
+                found += [(min(x, y), max(x, y)) for y in ids[near[first]].tolist()]
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return run
+
+
+def _across(named: DataFrame, main: DataFrame, bands: DataFrame, signed: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) between the classes of a bucket.
+
+    Members outside the bucket's largest class (``main``) are held against the
+    members of all other classes, inside tasks: pairs never become rows, and
+    pairs within a class, which can be most of the bucket, are never looked at.
+    Both sides come in blocks of bounded size.
+    """
+    at = ["band", "bucket"]
+    open_ = named.join(main, at)
+    sizes = open_.groupBy(*at).agg(F.ceil(F.count("*") / MEETING).cast("int").alias("i_n"), F.ceil(F.count_if(F.col("root") != F.col("main")) / MEETING).cast("int").alias("q_n"))
+    whole = open_.join(sizes, at).join(signed, "id").join(bands, "id")
+    spread = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    columns = ["id", "root", "n", "bands", "units"]
+    members = whole.select(*at, spread("i_n").alias("i"), every("q_n").alias("q"), *columns)
+    asking = whole.where(F.col("root") != F.col("main")).select(*at, every("i_n").alias("i"), spread("q_n").alias("q"), *columns)
+    asking = asking.toDF(*asking.columns)  # columns of its own, told apart from the members'
+    keys = [*at, "i", "q"]
+    return members.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(_meeting(least), "a long, b long").distinct()
 
 
 def components(edges: DataFrame, kept: Scratch) -> DataFrame:
@@ -185,13 +244,13 @@ def components(edges: DataFrame, kept: Scratch) -> DataFrame:
         return out.where(F.col("a") != F.col("b"))
 
     links = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where(F.col("a") != F.col("b")).distinct()
-    mark = None
     while True:
         links = kept.stored(star(star(links, True), False).distinct(), "stars")
-        new = links.agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(F.xxhash64("a", "b")), F.lit(0)).alias("x")).first()
-        if new == mark:
+        # Done if each node has one link, to a node that has none.
+        ends = links.select(F.explode(F.array(F.struct(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")), F.struct(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")))).alias("e"))
+        counts = ends.groupBy("e.node").agg(F.sum("e.up").alias("up"), F.max("e.down").alias("down"))
+        if not counts.where((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).limit(1).count():
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        mark = new
 
 
 def group_near_duplicates(
@@ -220,34 +279,29 @@ def group_near_duplicates(
             own.where(F.col("id").isNotNull()).mapInArrow(_signing(words, coordinates, band_rows), "id long, digest binary, bands array<long>, units binary, n int"), "signed"
         )
         # Equal words: the smallest id stands for all. Wordless texts stand for themselves.
-        some = every.where(F.col("n") > 0).select("id", "digest", "bands")
-        firsts = kept.stored(some.groupBy("digest").agg(F.min("id").alias("rep")), "firsts")
-        member = kept.stored(some.select("id", "digest").join(firsts, "digest").select("id", "rep").distinct(), "members")
-        standing = some.join(firsts, (some["digest"] == firsts["digest"]) & (some["id"] == firsts["rep"]), "left_semi")
-        placed = kept.stored(standing.select("id", F.posexplode("bands").alias("band", "bucket")).distinct(), "bands")
-        shared = kept.stored(placed.groupBy("band", "bucket").agg(F.min("id").alias("head"), F.max("id").alias("tail")).where(F.col("head") != F.col("tail")).select("band", "bucket", "head"), "buckets")
-        inside = kept.stored(placed.join(shared, ["band", "bucket"]).select("band", "bucket", "id", "head"), "in-buckets")
-        partners = inside.select("id").distinct()
-        signed = kept.stored(every.select("id", "units", "n").join(partners, "id", "left_semi"), "partners")
+        some = every.where(F.col("n") > 0)
+        firsts = kept.stored(some.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "firsts")
+        member = kept.stored(some.select("id", "digest").join(firsts.select("digest", F.col("id").alias("rep")), "digest").select("id", "rep").distinct(), "members")
+        placed = firsts.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
+        heads = kept.stored(
+            placed.groupBy("band", "bucket").agg(F.min(F.struct("id", "n")).alias("head"), F.max("id").alias("last")).where(F.col("head.id") != F.col("last")).select("band", "bucket", "head"), "heads"
+        )
+        inside = kept.stored(placed.join(heads, ["band", "bucket"]), "in-buckets")
+        signed = kept.stored(every.select("id", "units").join(inside.select("id").distinct(), "id", "left_semi"), "partners")
         # Ids that a table repeats with several texts tie those texts' classes.
-        ties = kept.stored(member.where(F.col("id") != F.col("rep")).select(F.col("rep").alias("a"), F.col("id").alias("b")).join(firsts.select(F.col("rep").alias("b")).distinct(), "b", "left_semi").select("a", "b"), "ties")
-        pairs = kept.stored(inside.where(F.col("id") != F.col("head")).select(F.col("head").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-        links = kept.stored(_verified(pairs, signed, least, kept).unionByName(ties), "first-links")
+        ties = member.where(F.col("id") != F.col("rep")).select(F.col("rep").alias("a"), F.col("id").alias("b")).join(firsts.select(F.col("id").alias("b")).distinct(), "b", "left_semi").select("a", "b")
+        pairs = kept.stored(inside.where((F.col("id") != F.col("head.id")) & _fitting(least, "n", "head.n")).select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
+        links = kept.stored(_verified(pairs, signed, least).unionByName(ties), "links")
         roots = components(links, kept)
         # Buckets that still hold several classes.
-        named = kept.stored(inside.select("band", "bucket", "id").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")), "named")
-        classes = named.groupBy("band", "bucket", "root").count()
-        rank = Window.partitionBy("band", "bucket").orderBy(F.desc("count"), "root")
-        main = kept.stored(classes.withColumn("r", F.row_number().over(rank)).groupBy("band", "bucket").agg(F.max("r").alias("n"), F.max(F.when(F.col("r") == 1, F.col("root"))).alias("main")).where("n > 1").select("band", "bucket", "main"), "mixed-buckets")
-        if main.limit(1).count():
-            # Members outside the bucket's largest class meet all other classes: the
-            # pairs inside a class, which can be most of the bucket, never arise.
-            open_ = kept.stored(named.join(main, ["band", "bucket"]), "open")
-            minor = open_.where(F.col("root") != F.col("main")).select("band", "bucket", F.col("id").alias("x"), F.col("root").alias("xr"))
-            cross = minor.join(open_.select("band", "bucket", F.col("id").alias("y"), F.col("root").alias("yr")), ["band", "bucket"]).where(F.col("xr") != F.col("yr"))
-            fresh = kept.stored(cross.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti"), "fresh-pairs")
-            if fresh.limit(1).count():
-                roots = components(links.unionByName(_verified(fresh, signed, least, kept)), kept)
+        named = kept.stored(inside.select("band", "bucket", "id", "n").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")), "named")
+        most = F.max(F.struct("count", "root"))
+        main = kept.stored(
+            named.groupBy("band", "bucket", "root").count().groupBy("band", "bucket").agg(F.count("*").alias("classes"), most.getField("root").alias("main")).where("classes > 1").select("band", "bucket", "main"), "mixed-buckets"
+        )
+        more = kept.stored(_across(named, main, firsts.select("id", "bands"), signed, least), "more-links")
+        if more.limit(1).count():
+            roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(more), kept)
         class_of = member.join(roots.withColumnRenamed("node", "rep"), "rep", "left").groupBy("id").agg(F.min(F.coalesce("root", "rep")).alias("class_id"))
         rows = own.select("id").join(class_of, "id", "left").select(F.col("id").alias("doc_id"), F.coalesce("class_id", "id").alias("class_id"))
         rows = kept.stored(rows, "rows")
