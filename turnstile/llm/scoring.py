@@ -171,13 +171,13 @@ def score_documents(
     text: str = "text",
     held_out: str = "held_out",
     rounds: int = 2,
-    common: int = 100_000,
+    common: int = 400_000,
 ) -> DataFrame:
     """Score whole texts; learn from the rows where ``held_out`` is not true.
 
-    ``rounds``: passes of expectation-maximisation. ``common``: so many of the
-    most used words are sent to every task; all others meet their scores in a
-    join, so no key of it is hot.
+    ``rounds``: passes of expectation-maximisation. ``common``: words that make
+    up one in so many of all uses are sent to every task, so there are at most
+    that many; all others meet their scores in a join, and no key of it is hot.
 
     Rows: doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-one
     unigram), score (log10 probability). Null and empty texts are the end alone.
@@ -244,7 +244,10 @@ def score_documents(
             ),
             "word-scores",
         )
-        top = scored.orderBy(F.desc("used"), "word").limit(common).collect()
+        # Of all uses at most ``common`` words can each have that share: a bound
+        # on what is sent, and no sort.
+        uses = counts.agg(F.coalesce(F.sum("used"), F.lit(0))).first()[0]
+        top = scored.where(F.col("used") * common >= uses).collect()
         usual = spark.sparkContext.broadcast({bytes(r["word"]): (r["c"] > 0, log10((r["c"] + 1) / (n + v + 1)), r["lp"]) for r in top})
 
         def summing(batches):
