@@ -1,11 +1,11 @@
 """Document likelihood under a unigram subword model, all segmentations summed.
 
-A text is a sequence of words and one end. A word is drawn whole, with its
-discounted training frequency, or spelled by pieces of an existing subword
-vocabulary and a stop. Its probability is the sum over all paths of that
-lattice, computed by a forward recursion in log space. The pieces' scores start
-from the vocabulary's order and are re-estimated on the training words by
-expectation-maximisation.
+A text is a sequence of words and one end. A word is drawn whole, by its
+training frequency, or spelled by pieces of an existing subword vocabulary and a
+stop. Its probability is the sum over all paths of that lattice, computed by a
+forward recursion in log space. The pieces' scores start from the vocabulary's
+order and are re-estimated on the training words by expectation-maximisation;
+the weight of spelling is that of greatest leave-one-out likelihood.
 """
 
 import base64
@@ -164,13 +164,27 @@ def _spelling(pieces: list[bytes], model: Callable[[], tuple[np.ndarray, float]]
     return run
 
 
+def _prior(seen: DataFrame, n: int) -> float:
+    """How many training tokens the spelled path is worth: of a row of values the
+    one that makes the words, each left out once, most likely."""
+    if not n:
+        return 1.0
+    sizes = [n * 2.0**k for k in range(-8, 5)]
+    left_out = [
+        F.sum(F.col("c") * F.log((F.col("c") - 1 + F.lit(size) * F.exp(F.greatest("spelled", F.lit(-700.0)))) / F.lit(n - 1 + size))) for size in sizes
+    ]
+    found = seen.agg(*(f.alias(f"s{k}") for k, f in enumerate(left_out))).first()
+    fits = [-float("inf") if f is None else f for f in found]
+    return sizes[fits.index(max(fits))]
+
+
 def score_documents(
     docs: DataFrame,
     vocabulary_path: str,
     doc_id: str = "doc_id",
     text: str = "text",
     held_out: str = "held_out",
-    rounds: int = 2,
+    rounds: int = 3,
     common: int = 400_000,
 ) -> DataFrame:
     """Score whole texts; learn from the rows where ``held_out`` is not true.
@@ -182,7 +196,7 @@ def score_documents(
     Rows: doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-one
     unigram), score (log10 probability). Null and empty texts are the end alone.
     A null id is a row like others; equal rows are scored alike and all returned.
-    No rows to learn from: the spelled path takes all the mass. No rows: no rows.
+    With no rows to learn from every word is spelled. No rows: no rows.
     Other columns are not read.
     """
     spark = docs.sparkSession
@@ -203,8 +217,6 @@ def score_documents(
         total = counts.agg(
             F.coalesce(F.sum("c"), F.lit(0)).alias("n"),
             F.count_if(seen).alias("v"),
-            F.count_if(F.col("c") == 1).alias("once"),
-            F.count_if(F.col("c") == 2).alias("twice"),
         ).first()
         pieces = vocabulary(vocabulary_path)
         prior = 1 / np.arange(1, len(pieces) + 1)
@@ -227,23 +239,19 @@ def score_documents(
             scores, stop = np.log(expected / whole), log(ends / whole)
         model = spark.sparkContext.broadcast((scores, stop))
         n, v = total["n"], total["v"]
-        discount = total["once"] / (total["once"] + 2 * total["twice"]) if total["once"] else 0.5
-        discount = min(max(discount, 0.1), 0.9)
-        # The words' discounts go to spelling; the end keeps its whole count.
-        rest = discount * max(v - 1, 0) / n if n else 1.0
-        spare = log(max(rest, 1e-300))
-        direct = F.when(words, F.greatest(F.col("c") - F.lit(discount), F.lit(0.0))).otherwise(F.col("c").cast("double")) / F.lit(float(max(n, 1)))
-        spelled = F.when(words, F.exp(F.col("spelled") + F.lit(spare))).otherwise(F.lit(0.0))
-        by_paths = F.when(direct + spelled > 0, F.log10(direct + spelled)).otherwise(
-            # Underflow: a long word that was never seen.
-            F.when(words, (F.col("spelled") + F.lit(spare)) / F.lit(log(10))).otherwise(F.lit(-300.0))
-        )
+        spelled = kept.stored(counts.mapInArrow(_spelling(pieces, lambda m=model: m.value), "word binary, c long, used long, spelled double"), "word-spellings")
+        prior = _prior(spelled.where(seen & words), n)
+        whole = F.col("c") / F.lit(n + prior)
+        by_pieces = F.col("spelled") + F.lit(log(prior / (n + prior)))
+        both = whole + F.when(words, F.exp(by_pieces)).otherwise(F.lit(0.0))
+        # Past the range of a double only a long unseen word is left.
         scored = kept.stored(
-            counts.mapInArrow(_spelling(pieces, lambda m=model: m.value), "word binary, c long, used long, spelled double").select(
-                "word", "c", "used", by_paths.alias("lp")
+            spelled.select(
+                "word", "c", "used",
+                F.when(both > 0, F.log10(both)).when(words, by_pieces / F.lit(log(10))).otherwise(F.lit(-300.0)).alias("lp"),
             ),
             "word-scores",
-        )
+        )
         # Of all uses at most ``common`` words can each have that share: a bound
         # on what is sent, and no sort.
         uses = counts.agg(F.coalesce(F.sum("used"), F.lit(0))).first()[0]
