@@ -89,7 +89,8 @@ def drop_recurring_lines(
             .select("template", "first"),
             "recurring-templates",
         )
-        dropped = kept.stored(
+        # The one thing that outlives the block: a row for each document that loses lines.
+        dropped = stored(
             lines.select("template", "doc", "at")
             .join(recurring, "template")
             .where(F.col("doc") != F.col("first"))
@@ -97,14 +98,14 @@ def drop_recurring_lines(
             .agg(F.collect_set("at").alias("__gone")),
             "dropped-lines",
         )
-        split = F.split(F.col("__text"), "\n")
-        left = F.array_join(F.filter(split, lambda _, i: ~F.array_contains(F.col("__gone"), i)), "\n")
-        whole = docs.select(F.struct(*(cell(c) for c in names)).alias("__row"), cell(text).cast("string").alias("__text"), key.alias("__key"))
-        joined = whole.join(dropped, "__key", "left").withColumn("__left", F.when(F.col("__gone").isNull(), F.col("__text")).otherwise(left))
-        fields = [F.col("__row").getField(c).alias(c) for c in names]
-        out = {c: f for c, f in zip(names, fields, strict=True)}
-        out[text] = F.col("__left").alias(text)
-        if length in out:
-            changed = F.when(F.col("__gone").isNull(), F.col("__row").getField(length)).otherwise(F.length("__left"))
-            out[length] = changed.cast(docs.schema[length].dataType).alias(length)
-        return stored(joined.select(*out.values(), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("lines_dropped")), "deduped-lines")
+    split = F.split(F.col("__text"), "\n")
+    left = F.array_join(F.filter(split, lambda _, i: ~F.array_contains(F.col("__gone"), i)), "\n")
+    whole = docs.select(F.struct(*(cell(c) for c in names)).alias("__row"), cell(text).cast("string").alias("__text"), key.alias("__key"))
+    joined = whole.join(dropped, "__key", "left").withColumn("__left", F.when(F.col("__gone").isNull(), F.col("__text")).otherwise(left))
+    fields = [F.col("__row").getField(c).alias(c) for c in names]
+    out = {c: f for c, f in zip(names, fields, strict=True)}
+    out[text] = F.col("__left").alias(text)
+    if length in out:
+        changed = F.when(F.col("__gone").isNull(), F.col("__row").getField(length)).otherwise(F.length("__left"))
+        out[length] = changed.cast(docs.schema[length].dataType).alias(length)
+    return joined.select(*out.values(), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("lines_dropped"))
