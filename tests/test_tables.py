@@ -129,3 +129,38 @@ def test_watermarks(spark, tmp_path):
     assert value(ledgers.watermark("x")) == datetime(2020, 2, 1)
     assert value(ledgers.watermark("y")) == datetime(1900, 1, 1)
     assert current_watermarks(ledgers.watermarks.read()).count() == 2
+
+
+def test_new_columns_are_there_after_reopening(spark, tmp_path):
+    day = "CAST('2020-01-01' AS TIMESTAMP_NTZ) AS updated_at"
+    old = spark.range(3).selectExpr("id AS k", "'x' AS a", day)
+    t = VersionedTable(spark, str(tmp_path / "t"), old.schema)
+    t.publish(old)
+    t.upsert(spark.range(1, 4).selectExpr("id AS k", "'y' AS a", "id * 2 AS b", day), ["k"], evolve=True)
+    again = VersionedTable(spark, str(tmp_path / "t"), old.schema).read()
+    assert rows(again.select("k", "a", "b")) == [(0, "x", None), (1, "y", 2), (2, "y", 4), (3, "y", 6)]
+
+
+def test_a_span_of_days_opens_only_its_slices(spark, tmp_path):
+    df = spark.range(600).selectExpr("id AS k", "date_add(DATE'2020-01-01', CAST(id AS INT)) AS day", "CAST(NULL AS TIMESTAMP_NTZ) AS updated_at")
+    t = VersionedTable(spark, str(tmp_path / "t"), df.schema, months("day"))
+    t.publish(df)
+    span = t.between(date(2020, 2, 10), date(2020, 3, 5))
+    assert span.count() == 25 and sorted(r.day for r in span.collect())[0] == date(2020, 2, 10)
+    folders = {f.split("slice_=")[1].split("/")[0] for f in span.inputFiles()}
+    assert folders == {"2020-02", "2020-03"}
+    with pytest.raises(ValueError):
+        VersionedTable(spark, str(tmp_path / "u"), df.schema).between(date(2020, 1, 1), date(2020, 1, 2))
+
+
+def test_vacuum_keeps_what_the_newest_version_names(spark, tmp_path):
+    df = spark.range(100).selectExpr("id AS k", "date_add(DATE'2020-01-01', CAST(id AS INT)) AS day", "CAST(NULL AS TIMESTAMP_NTZ) AS updated_at")
+    t = VersionedTable(spark, str(tmp_path / "t"), df.schema, months("day"))
+    t.publish(df)
+    t.upsert(df.where("k < 5"), ["k"])  # one month anew, the others carried over
+    before = rows(t.read())
+    assert t.vacuum() == 1 and t.vacuum() == 0
+    again = VersionedTable(spark, str(tmp_path / "t"), df.schema, months("day"))
+    assert rows(again.read()) == before and len(before) == 100
+    again.publish(df.where("k = 0"))
+    assert again.vacuum() == 2 and again.read().count() == 1

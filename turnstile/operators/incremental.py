@@ -7,6 +7,10 @@ from pyspark.sql import types as T
 from .aggregates import high_water_mark
 
 
+# Feeds that a column may name; each has a mark of its own.
+FEEDS = 1000
+
+
 def incremental_rows(
     df: DataFrame,
     target: DataFrame | None = None,
@@ -35,8 +39,12 @@ def incremental_rows(
         # shuffle of all rows on a column with only a few values.
         feed = F.coalesce(F.col(by).cast("string"), F.lit(""))
         marks = target.groupBy(feed.alias("feed")).agg(F.max(column).alias("mark"))
-        listed = F.collect_list(F.struct("feed", "mark"))
-        by_feed = marks.agg(F.map_from_entries(listed)).scalar()
+        few = marks.limit(FEEDS + 1).collect()
+        if len(few) > FEEDS:
+            raise ValueError(f"{by} names more than {FEEDS} feeds")
+        if not few:
+            return df
+        by_feed = F.create_map(*[F.lit(v) for r in few for v in (r.feed, r.mark)])
         since = F.try_element_at(by_feed, feed)
         since = since if back is None else since - back
         return df.where(since.isNull() | (F.col(column) > since))

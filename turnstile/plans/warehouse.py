@@ -256,8 +256,11 @@ class Warehouse:
         else:
             folder = f"{self.root}/landing/fact_ticket_sales/batch_id={batch_id}"
             if land(rows, folder)["rows"]:
-                delta = load_by_name(self.spark, folder, schemas.FACT)
-                self.fact.upsert(delta, ["sales_key"])
+                landed = self.spark.read.parquet(folder)
+                # Columns that the model has gained or lost are taken over.
+                same = set(landed.columns) == set(self.fact.schema.fieldNames())
+                delta = load_by_name(self.spark, folder, self.fact.schema) if same else landed
+                self.fact.upsert(delta, ["sales_key"], evolve=not same)
         named["fact_ticket_sales"] = self.fact.read()
         self._gate(named, self._checks("fact_"), f"{batch_id}-fact", run_ts)
         counts["fact_ticket_sales"] = self.fact.row_count()

@@ -20,6 +20,29 @@ def empty_files(spark: SparkSession, folder: str, glob: str) -> list[str]:
     return [s.getPath().toString() for s in found if s.isFile() and not s.getLen()]
 
 
+def remove_others(spark: SparkSession, folder: str, prefix: str, named: set[str]) -> int:
+    """Delete the parts of a folder's versions that are not named; their number.
+
+    A version folder is either named itself or holds slice folders that are.
+    """
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    top = Path(folder)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    gone = 0
+    for version in fs.listStatus(top) if fs.exists(top) else []:
+        name = f"{prefix}{version.getPath().getName()}"
+        if name in named:
+            continue
+        if not any(n.startswith(f"{name}/") for n in named):
+            gone += fs.delete(version.getPath(), True)
+            continue
+        for part in fs.listStatus(version.getPath()):
+            inner = f"{name}/{part.getPath().getName()}"
+            if part.isDirectory() and inner not in named:
+                gone += fs.delete(part.getPath(), True)
+    return gone
+
+
 def csv_scan(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header line and quoted fields, read with a given schema."""
     return (

@@ -11,9 +11,10 @@ of the key). An upsert rewrites only the slices that hold a changed key or get a
 new row; the other slices are carried over by name, not copied.
 """
 
+import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -24,10 +25,11 @@ from ..operators.aggregates import duplicate_keys
 from ..operators.incremental import reconcile
 from ..operators.upsert import MergeConflict, apply_upsert, merge_conflicts
 from ..schemas import fields
-from .files import append_rows, exists
+from .files import append_rows, exists, remove_others
 
 _MANIFEST = fields(
-    "version bigint, slice string, folder string, rows bigint, mark timestamp_ntz"
+    "version bigint, slice string, folder string, rows bigint, mark timestamp_ntz, "
+    "schema string"
 )
 _SLICE = "slice_"
 # Manifest entry of rows that a commit brings beside the table's own.
@@ -37,10 +39,14 @@ _BESIDE = "beside"
 @dataclass(frozen=True)
 class Slices:
     """How a table is cut. ``by_key``: a row's slice follows from its key, so an
-    upsert finds the slices of a delta without looking at the stored rows."""
+    upsert finds the slices of a delta without looking at the stored rows.
+    ``column`` and ``pattern``: the slice's name is that column's date, formatted,
+    so that a span of dates names its slices."""
 
     value: Column
     by_key: bool = False
+    column: str = ""
+    pattern: str = ""
 
 
 def key_buckets(keys: Sequence[str], buckets: int) -> Slices:
@@ -49,11 +55,11 @@ def key_buckets(keys: Sequence[str], buckets: int) -> Slices:
 
 
 def months(column: str) -> Slices:
-    return Slices(F.date_format(F.col(column), "yyyy-MM"))
+    return Slices(F.date_format(F.col(column), "yyyy-MM"), column=column, pattern="%Y-%m")
 
 
 def days(column: str) -> Slices:
-    return Slices(F.date_format(F.col(column), "yyyy-MM-dd"))
+    return Slices(F.date_format(F.col(column), "yyyy-MM-dd"), column=column, pattern="%Y-%m-%d")
 
 
 class VersionedTable:
@@ -67,12 +73,12 @@ class VersionedTable:
     ):
         self.spark = spark
         self.path = path.rstrip("/")
-        self.schema = schema
+        self.schema = self._declared = schema
         self.mark = mark
         self._current: list[Row] | None = None
         self._sliced = slices is not None
         slices = slices or Slices(F.lit("all"))
-        self._by_key = slices.by_key
+        self._by_key, self._dated = slices.by_key, (slices.column, slices.pattern)
         self._slice = F.coalesce(slices.value.cast("string"), F.lit("none")).alias(_SLICE)
 
     # -- reading ----------------------------------------------------------
@@ -85,6 +91,9 @@ class VersionedTable:
         """
         if self._current is None:
             self._current = self._newest()
+            # The stored columns count: an upsert may have brought new ones.
+            if self._current and self._current[0].schema:
+                self.schema = T.StructType.fromJson(json.loads(self._current[0].schema))
         return self._current
 
     def _newest(self) -> list[Row]:
@@ -126,6 +135,16 @@ class VersionedTable:
     def read(self) -> DataFrame:
         return self._load(self._manifest())
 
+    def between(self, first: date, last: date) -> DataFrame:
+        """Rows of a span of days; opens only the folders of the slices in it."""
+        column, pattern = self._dated
+        if not column:
+            raise ValueError(f"{self.path} is not cut by date")
+        low, high = first.strftime(pattern), last.strftime(pattern)
+        inside = [r for r in self._manifest() if low <= r.slice <= high]
+        day = F.col(column).cast("date")
+        return self._load(inside).where(day.between(F.lit(first), F.lit(last)))
+
     def added(self, version: int) -> DataFrame:
         """Rows written by one version (all of them for a full publish)."""
         rows = [r for r in self._manifest() if r.folder.startswith(f"data/v{version}/")]
@@ -158,7 +177,7 @@ class VersionedTable:
             .agg(F.count("*").alias("n"), F.max(self._mark_column()).alias("m"))
         )
         return [
-            (version, r[_SLICE], f"{folder}/{_SLICE}={r[_SLICE]}", r.n, r.m)
+            (version, r[_SLICE], f"{folder}/{_SLICE}={r[_SLICE]}", r.n, r.m, None)
             for r in stats.collect()
         ]
 
@@ -169,7 +188,9 @@ class VersionedTable:
 
     def _commit(self, version: int, rows: list[tuple]) -> int:
         """One file, so the new version appears as a whole or not at all."""
-        rows = rows or [(version, "none", "none", 0, None)]
+        rows = rows or [(version, "none", "none", 0, None, None)]
+        columns = json.dumps(self.schema.jsonValue())
+        rows = [(*r[:-1], columns) for r in rows]
         (
             self.spark.createDataFrame(rows, _MANIFEST)
             .coalesce(1)
@@ -180,10 +201,22 @@ class VersionedTable:
         return version
 
     def publish(self, df: DataFrame) -> int:
-        """Replace the content."""
+        """Replace the content, and the columns by the declared ones."""
         version = self.version + 1
+        self.schema = self._declared
         return self._commit(version, self._write(df, version))
 
+    def vacuum(self) -> int:
+        """Delete the folders that the newest version does not name; their number.
+
+        Readers of older versions lose them, so wait until those are done.
+        """
+        named = {r.folder for r in self._manifest()}
+        return sum(
+            remove_others(self.spark, f"{self.path}/{top}", f"{top}/", named)
+            for top in ("data", "beside")
+        )
+
     def truncate(self) -> int:
         """Replace the content by nothing."""
         return self._commit(self.version + 1, [])
@@ -205,7 +238,7 @@ class VersionedTable:
             folder = f"beside/v{version}"
             new = [Row(*_MANIFEST.fieldNames())(*r) for r in written]
             more = append_rows(beside(self._load(new)).coalesce(1), f"{self.path}/{folder}")
-            written.append((version, _BESIDE, folder, more, None))
+            written.append((version, _BESIDE, folder, more, None, None))
         return self._commit(version, _carry(old, version) + written)
 
     def beside(self, schema: T.StructType) -> DataFrame:
@@ -230,7 +263,7 @@ class VersionedTable:
         With ``evolve`` the table takes over the delta's columns, which rewrites
         it whole; otherwise the delta is matched to the table's columns.
         """
-        old = self._manifest()
+        old = self._manifest()  # also sets the stored columns
         version = (old[0].version if old else 0) + 1
         stored = self._load(old)
         if evolve and delta.schema.simpleString() != self.schema.simpleString():
@@ -267,4 +300,4 @@ class VersionedTable:
 
 
 def _carry(rows: list[Row], version: int) -> list[tuple]:
-    return [(version, r.slice, r.folder, r.rows, r.mark) for r in rows if r.rows]
+    return [(version, r.slice, r.folder, r.rows, r.mark, None) for r in rows if r.rows]
