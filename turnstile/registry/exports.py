@@ -17,7 +17,8 @@ def _rename_parts(spark: SparkSession, folder: str, target: str) -> None:
     for status in fs.globStatus(Path(f"{folder}/file=*/part-*.csv")):
         part = status.getPath()
         name = part.getParent().getName().split("=", 1)[1]
-        fs.rename(part, Path(f"{target}/{name}.csv"))
+        if not fs.rename(part, Path(f"{target}/{name}.csv")):
+            raise OSError(f"two parts for {name}")
 
 
 def daily_with_headers(domain: Domain) -> DataFrame:
@@ -52,10 +53,11 @@ def export_drops(spark: SparkSession, folder: str) -> str:
 
 
 def export_positional(spark: SparkSession, folder: str) -> str:
-    """All events in the 16-column layout; error events carry a quantity that is
-    no number."""
+    """All events in the 16-column layout, a file for each day; error events carry
+    a quantity that is no number."""
     events = Domain(spark, folder)("events")
     rows = events.select(
+        F.concat(F.lit("DailySales_"), F.date_format("ts", "MMddyyyy"), F.lit("_R001")).alias("file"),
         F.col("ts").cast("date").cast("string").alias("sale_date"),
         F.concat(F.lit("R"), "user_id").alias("reseller_id"),
         F.lit("Seller, Ltd").alias("reseller_name"),
@@ -75,6 +77,8 @@ def export_positional(spark: SparkSession, folder: str) -> str:
         F.lit("someone@example.org").alias("customer_email"),
         F.lit("USD").alias("currency"),
     )
+    written = scratch_dir(spark, "positional-parts")
+    rows.repartition("file").write.partitionBy("file").option("header", True).csv(written)
     target = scratch_dir(spark, "positional")
-    rows.write.option("header", True).csv(target)
+    _rename_parts(spark, written, target)
     return target

@@ -77,9 +77,15 @@ _add("s03_file_fingerprint", """
 SELECT count(DISTINCT ts::DATE) AS files, count(DISTINCT ts::DATE) AS hashes,
   40 AS hash_length FROM events""")
 _add("s04_positional_scan", """
-SELECT event_id, ts::DATE::VARCHAR AS sale_date, 'R' || user_id AS reseller_id,
-  'Seller, Ltd' AS reseller_name, event_id % 7 AS quantity,
+SELECT ts::DATE::VARCHAR AS sale_date, 'R' || user_id AS reseller_id,
+  'Seller, Ltd' AS reseller_name, 'Europe' AS reseller_region, event_id,
+  'Show ' || event_id AS event_name, event_type, 5001 AS ticket_type_id,
+  'VIP' AS ticket_name, 'WEB' AS sales_channel, event_id % 7 AS quantity,
+  "value"::DECIMAL(12,2)::DOUBLE AS unit_price,
   "value"::DECIMAL(12,2)::DOUBLE AS gross_amount, 10.0::DOUBLE AS commission_rate,
+  'someone@example.org' AS customer_email, 'USD' AS currency,
+  'DailySales_' || strftime(ts, '%m%d%Y') || '_R001.csv' AS file_name,
+  ts::DATE::VARCHAR AS file_sale_date,
   'BATCH_3' AS batch_id, '2024-03-01 00:00:00' AS load_ts
 FROM events WHERE event_type <> 'error'""")
 _add("s05_parquet_sink", """
@@ -457,9 +463,12 @@ SELECT 'load_files' AS job_name, '2024-03-01 00:00:00' AS start_time,
   'SUCCESS' AS status, count(*) AS records_loaded,
   count(DISTINCT ts::DATE) AS files_processed, NULL::VARCHAR AS error_message
 FROM events""")
-_model("i12_full_reload", """
-SELECT 0 AS second_load, 0 AS after_reset, count(*) AS third_load, count(*) AS stored
-FROM raw_customers""")
+_model("i12_full_reload", "\nUNION ALL\n".join(
+    f"""SELECT '{n}' AS table_name, count(*) AS loaded, 0 AS loaded_again, 0 AS after_reset,
+  count(*) AS reloaded, count(*) AS stored FROM raw_{n}"""
+    for n in ("organizers", "resellers", "commission_agreements", "events", "customers",
+              "ticket_sales", "reseller_daily_sales")
+))
 _model("i13_load_then_marks", "\nUNION ALL\n".join(
     f"""SELECT '{n}' AS source_table, max(updated_at)::VARCHAR AS last_updated_at,
   count(*) AS row_count FROM raw_{n}"""
@@ -638,6 +647,13 @@ SELECT f.reseller_id, reseller_name, event_type, {MEASURES}
 FROM fact f JOIN dim_event e ON f.event_id = e.event_id
   JOIN dim_reseller r ON f.reseller_id = r.reseller_id
 GROUP BY ALL""")
+_model("r03_chosen_resellers_and_types", f"""
+SELECT f.reseller_id, reseller_name, event_type, {MEASURES}
+FROM fact f JOIN dim_event e ON f.event_id = e.event_id
+  JOIN dim_reseller r ON f.reseller_id = r.reseller_id
+WHERE f.reseller_id IN ('RES000000001', 'RES000000002', 'RES000000003', 'RES000000004')
+  AND (SELECT count(DISTINCT event_type) FROM dim_event k WHERE k.event_type < e.event_type) < 3
+GROUP BY ALL""")
 _model("r04_commission_bands", f"""
 SELECT floor(commission_rate)::INT AS rate_band, {MEASURES} FROM fact GROUP BY 1""")
 _model("r04_commission_by_reseller", f"""

@@ -216,10 +216,7 @@ def _(d):
     good, _ = positional_drops(
         d.spark, export_positional(d.spark, d.folder), "BATCH_3", ts(RUN)
     )
-    return good.select(
-        "event_id", "sale_date", "reseller_id", "reseller_name", "quantity",
-        "gross_amount", "commission_rate", "batch_id", "load_ts",
-    )
+    return good
 
 
 @query("s05_parquet_sink")
@@ -1052,15 +1049,24 @@ def _typed(df):
 @query("i12_full_reload")
 def _(d):
     w = Warehouse(d.spark, scratch_dir(d.spark, "warehouse"))
-    source = {"customers": _sources(d)["customers"]}
-    w.load_tables(source, "B1", ts(RUN))
-    again = w.load_tables(source, "B2", ts("2024-03-02 00:00:00"))["customers"]
-    w.full_reload("B3", ts("2024-03-03 00:00:00"))
-    emptied = w.raw["customers"].row_count()
-    reloaded = w.load_tables(source, "B4", ts("2024-03-04 00:00:00"))["customers"]
-    return w.raw["customers"].read().agg(F.count("*").alias("stored")).select(
-        F.lit(again).alias("second_load"), F.lit(emptied).alias("after_reset"),
-        F.lit(reloaded).alias("third_load"), "stored",
+    sources, folder = _sources(d), export_drops(d.spark, d.folder)
+    days = iter(range(1, 9))
+
+    def load(batch):
+        at = ts(f"2024-03-0{next(days)} 00:00:00")
+        counts = w.load_tables(sources, batch, at)
+        return {**counts, "reseller_daily_sales": w.load_files(folder, batch, at)["rows"]}
+
+    first, again = load("B1"), load("B2")
+    w.full_reload("B3", ts(f"2024-03-0{next(days)} 00:00:00"))
+    emptied = {n: t.row_count() for n, t in w.raw.items()}
+    reloaded = load("B4")
+    rows = [
+        (n, first[n], again[n], emptied[n], reloaded[n], w.raw[n].read().count()) for n in w.raw
+    ]
+    return d.spark.createDataFrame(
+        rows,
+        "table_name string, loaded long, loaded_again long, after_reset long, reloaded long, stored long",
     )
 
 
@@ -1279,6 +1285,13 @@ def _(d):
     return reports.sales_for(fact(d), x["dim_event"], x["dim_reseller"])
 
 
+@query("r03_chosen_resellers_and_types")
+def _(d):
+    events, chosen = dims(d)["dim_event"], [f"RES{k:09d}" for k in range(1, 5)]
+    types = [r[0] for r in events.select("event_type").distinct().orderBy("event_type").limit(3).collect()]
+    return reports.sales_for(fact(d), events, dims(d)["dim_reseller"], chosen, types)
+
+
 @query("r04_commission_bands")
 def _(d):
     return reports.commission_bands(fact(d))
