@@ -32,11 +32,11 @@ def test_alignment_is_that_of_the_full_table():
 
 def test_finds_what_a_full_search_finds_on_the_small_table(spark):
     folder = "/root/testdata/sf0.001"
-    words = leaks.Words()
-    items = {r["item_id"]: words(r["text"].encode()) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()}
+    words = lambda text: leaks.words_of([text])[0]
+    items = {r["item_id"]: words(r["text"]) for r in spark.read.parquet(f"{folder}/benchmark.parquet").collect()}
     expect = set()
     for r in spark.read.parquet(f"{folder}/documents.parquet").where("n_chars < 6000").collect():
-        text = words((r["text"] or "").encode())
+        text = words(r["text"])
         expect |= {(r["doc_id"], i) for i, w in items.items() if len(text) and leaks.align(w, text)[0] >= leaks.MATCH * len(w) * 0.5}
     got = {(r["doc_id"], r["item_id"]) for r in op8_benchmark_leaks(spark, folder).join(spark.read.parquet(f"{folder}/documents.parquet").where("n_chars < 6000").select("doc_id"), "doc_id").collect()}
     assert got == expect and got

@@ -9,44 +9,42 @@ Items are sent to every task in blocks of a stated size; the corpus is read once
 for the counts and once for the search of each block, and is never shuffled.
 """
 
-import re
 from collections import defaultdict
 from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.shared import batch, raw, scratch, stored
+from turnstile.llm.shared import SIGNS, batch, scratch, stored, word_hashes
 
 MATCH, MISMATCH, GAP = 2, -1, -1
 _COUNTS = pa.schema([("seed", pa.int64()), ("n", pa.int64())])
-_EDGE = re.compile(rb"^[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]+|[\x21-\x2f\x3a-\x40\x5b-\x60\x7b-\x7e]+$")
-_REMEMBERED = 300_000
+#: Bits of the table that tells at once that an n-gram is no seed.
+_SIEVE = 22
 
 
-class Words:
-    """Word hashes of texts: lower-cased, without ASCII signs at either end."""
+def words_of(texts: list[str | None]) -> list[np.ndarray]:
+    """Word hashes: lower-cased runs of letters, digits and other non-ASCII signs."""
+    return list(word_hashes(pa.array(texts, pa.string()), SIGNS))
 
-    def __init__(self):
-        self._known: dict[bytes, int] = {}
 
-    def __call__(self, text: bytes | None) -> np.ndarray:
-        words = (text or b"").decode("utf-8", "replace").lower().encode().split()
-        if len(self._known) > _REMEMBERED:
-            self._known = {}
-        known = self._known
-        out = []
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                bare = _EDGE.sub(b"", w)
-                h = known[w] = xxhash.xxh64_intdigest(bare) if bare else 0
-            out.append(h)
-        hashes = np.array(out, np.uint64)
-        return hashes[hashes != 0]
+class Sieve:
+    """Finds the few n-grams that are among the codes."""
+
+    def __init__(self, codes: np.ndarray):
+        self.codes, self._table = codes, np.zeros(1 << _SIEVE, bool)
+        self._table[codes & ((1 << _SIEVE) - 1)] = True
+
+    def hits(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in ``found`` and in the codes where they are equal."""
+        near = np.flatnonzero(self._table[found & ((1 << _SIEVE) - 1)])
+        if not len(near):
+            return near, near
+        at = np.minimum(np.searchsorted(self.codes, found[near]), len(self.codes) - 1)
+        same = self.codes[at] == found[near]
+        return near[same], at[same]
 
 
 def ngrams(words: np.ndarray, n: int) -> np.ndarray:
@@ -91,16 +89,13 @@ def align(item: np.ndarray, stretch: np.ndarray) -> tuple[int, int, int]:
 
 def _counting(seeds: Callable[[], np.ndarray], n: int) -> Callable:
     def run(batches):
-        known, words = seeds(), Words()
-        counts = np.zeros(len(known), np.int64)
+        sieve = Sieve(seeds())
+        counts = np.zeros(len(sieve.codes), np.int64)
         for b in batches:
-            for text in raw(b.column("text")):
-                found = ngrams(words(text), n)
-                at = np.searchsorted(known, found)
-                at[at == len(known)] = 0
-                counts[np.unique(at[known[at] == found])] += 1
+            for words in word_hashes(b.column("text"), SIGNS):
+                counts[np.unique(sieve.hits(ngrams(words, n))[1])] += 1
         used = np.flatnonzero(counts)
-        yield batch(_COUNTS, known[used], counts[used])
+        yield batch(_COUNTS, sieve.codes[used], counts[used])
 
     return run
 
@@ -117,20 +112,16 @@ class Seeds:
                     places[gram].append((item, at))
         self.codes = np.array(sorted(places), np.int64)
         self.places = [places[c] for c in self.codes.tolist()]
-        self.n = n
+        self.n, self.sieve = n, None
 
     def stretches(self, words: np.ndarray) -> list[tuple[object, int, int]]:
         """(item, from, to) to align: around each seed as far as the item could
         reach with a fifth of its length in insertions; overlapping ones as one."""
-        found = ngrams(words, self.n)
-        if not len(found) or not len(self.codes):
-            return []
-        at = np.searchsorted(self.codes, found)
-        at[at == len(self.codes)] = 0
-        hits = np.flatnonzero(self.codes[at] == found)
+        # Made where it is used: the table is larger than the codes.
+        self.sieve = self.sieve or Sieve(self.codes)
         spans = defaultdict(list)
-        for place in hits.tolist():
-            for item, within in self.places[at[place]]:
+        for place, code in zip(*(x.tolist() for x in self.sieve.hits(ngrams(words, self.n))), strict=True):
+            for item, within in self.places[code]:
                 length = len(self.items[item])
                 slack = length // 5 + 3
                 spans[item].append((max(0, place - within - slack), min(len(words), place + length - within + slack)))
@@ -151,11 +142,10 @@ class Seeds:
 
 def _searching(seeds: Callable[[], Seeds], least: float, schema: pa.Schema) -> Callable:
     def run(batches):
-        own, words = seeds(), Words()
+        own = seeds()
         for b in batches:
             at, rows = [], []
-            for i, text in enumerate(raw(b.column("__text"))):
-                tokens = words(text)
+            for i, tokens in enumerate(word_hashes(b.column("__text"), SIGNS)):
                 best: dict = {}
                 for item, start, end in own.stretches(tokens):
                     score, first, last = align(own.items[item], tokens[start:end])
@@ -187,8 +177,8 @@ def find_leaks(
     """A row for each document and item whose passage it holds, copied or edited.
 
     Rows: the columns ``keep`` of the document, item_id, score (alignment score as
-    a share of the item's own), first_word, past_word (the stretch, in words that
-    hold more than signs). ``rare_share``: so much of an item's n-grams, the
+    a share of the item's own), first_word, past_word (the stretch, in words, which
+    are apart by white space or ASCII signs). ``rare_share``: so much of an item's n-grams, the
     rarest by documents of the corpus and all that tie with the last, are its
     seeds. ``least``: from this score on it counts. ``block``: items that are
     sent to the tasks at once; more are searched block by block.
@@ -213,8 +203,8 @@ def find_leaks(
     with scratch(spark) as kept:
         for k in range(blocks):
             part = own.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k) if blocks > 1 else own
-            hashed = Words()
-            texts = {r["item_id"]: hashed(r["text"].encode()) for r in part.collect()}  # a block at most, give or take its hash share
+            listed = part.collect()  # a block at most, give or take its hash share
+            texts = dict(zip((r["item_id"] for r in listed), words_of([r["text"] for r in listed]), strict=True))
             texts = {i: w for i, w in texts.items() if len(w) >= n}
             codes = spark.sparkContext.broadcast(np.unique(np.concatenate([np.zeros(0, np.int64), *(ngrams(w, n) for w in texts.values())])))
             counted = rows.select(F.col("__text").alias("text")).mapInArrow(_counting(lambda c=codes: c.value, n), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))

@@ -3,7 +3,9 @@
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from turnstile.session import scratch_dir
@@ -55,3 +57,52 @@ def raw(column: pa.Array) -> list:
 
 def batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
+
+
+#: Odd multiplier of the words' polynomial, and its inverse modulo 2**64.
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Bytes whose words are hashed in one go.
+_BLOCK = 1 << 20
+SPACES = np.isin(np.arange(256), list(b" \t\n\x0b\x0c\r"))
+#: White space and all other ASCII signs that are neither letter nor digit.
+SIGNS = np.array([i < 128 and not chr(i).isalnum() for i in range(256)])
+
+
+def _powers(base: int, n: int, _held: dict = {}) -> np.ndarray:  # noqa: B006
+    held = _held.get(base)
+    if held is None or len(held) < n:
+        steps = np.full(max(n, _BLOCK + 1), base, np.uint64)
+        steps[0] = 1
+        held = _held[base] = np.cumprod(steps)
+    return held[:n]
+
+
+def _hashed(texts: list[bytes], apart: np.ndarray) -> list[np.ndarray]:
+    sizes = np.array([len(t) + 1 for t in texts])
+    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    inside = ~apart[data]
+    change = np.diff(inside.astype(np.int8), prepend=0)
+    start, end = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+    # Sums of a polynomial over the bytes so far; a word's part of them, moved to
+    # its own start, does not depend on where the word stands.
+    sums = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(data)))
+    before = np.where(start > 0, sums[start - 1], np.uint64(0)) if len(start) else np.zeros(0, np.uint64)
+    hashes = (sums[end - 1] - before) * _powers(_INVERSE, len(data))[start]
+    hashes = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    hashes ^= hashes >> np.uint64(29)
+    return np.split(hashes, np.searchsorted(start, np.cumsum(sizes)[:-1]))
+
+
+def word_hashes(column: pa.Array, apart: np.ndarray) -> Iterator[np.ndarray]:
+    """64-bit hashes of the lower-cased words of each text, null as empty.
+    ``apart``: the bytes between words; white space must be among them."""
+    block, size = [], 0
+    for text in raw(pc.utf8_lower(column)):
+        block.append(text or b"")
+        size += len(block[-1]) + 1
+        if size >= _BLOCK:
+            yield from _hashed(block, apart)
+            block, size = [], 0
+    if block:
+        yield from _hashed(block, apart)
