@@ -50,16 +50,17 @@ def test_a_small_cache_changes_nothing(monkeypatch):
 
 @pytest.mark.parametrize(("labels", "share"), [([1, 1], 1.0), ([0, 0], 0.0), ([], 0.0), ([None], 0.0)])
 def test_labels_of_one_kind(spark, labels, share):
-    docs = spark.createDataFrame([(1, "a text", 5), (2, None, 5)], "doc_id long, text string, score int")
-    known = spark.createDataFrame([(k, "words", v) for k, v in enumerate(labels)], "doc_id long, text string, toxic int")
+    docs = spark.createDataFrame([(0, "a text", 5), (1, None, 5)], "doc_id long, text string, score int")
+    known = spark.createDataFrame([(k, v) for k, v in enumerate(labels)], "doc_id long, toxic int")
     assert {(r["score"], r["predicted"]) for r in toxicity.score_toxicity(docs, known, ["doc_id"]).collect()} == {(share, int(share))}
 
 
 def test_toxic_texts_score_high_and_odd_rows_have_scores(spark):
     rows = [(k, f"calm words number {'abcdefghij'[k % 10]} {'qrstuvwxyz'[k // 10 % 10]}" + (" you are a worthless moron" if k % 4 == 0 else ""), int(k % 4 == 0)) for k in range(200)]
-    known = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    docs = spark.createDataFrame([(1, "you moron"), (2, "calm words"), (3, None), (None, ""), (2, "calm words")], "doc_id long, text string")
+    odd = [(1001, "well now you are a worthless moron"), (1002, "calm words"), (1003, None), (None, ""), (1002, "calm words")]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + odd, "doc_id long, text string")
+    known = spark.createDataFrame([(i, v) for i, _, v in rows] + [(None, 1), (5, None), (9999, 1)], "doc_id long, toxic int")
     got = toxicity.score_toxicity(docs, known, ["doc_id"]).collect()
-    assert len(got) == 5
+    assert len(got) == 205
     by = {r["doc_id"]: r for r in got}
-    assert by[1]["predicted"] == 1 and by[2]["predicted"] == 0 and by[3]["predicted"] == 0 and by[1]["score"] > by[2]["score"]
+    assert by[1001]["predicted"] == 1 and by[1002]["predicted"] == 0 and by[1003]["predicted"] == 0 and by[1001]["score"] > by[1002]["score"]

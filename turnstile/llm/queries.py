@@ -31,8 +31,8 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", _fold(5, 0).alias("held_out"))
-    labels = _table(spark, sf_dir, "labels").select("doc_id", "toxic").dropDuplicates(["doc_id"])
-    return toxicity.score_toxicity(docs, docs.where(~F.col("held_out")).join(labels, "doc_id"), ["doc_id", "held_out"])
+    labels = _table(spark, sf_dir, "labels").where(~_fold(5, 0))
+    return toxicity.score_toxicity(docs, labels, ["doc_id", "held_out"])
 
 
 def op3_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

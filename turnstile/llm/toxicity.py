@@ -164,7 +164,7 @@ def _featured(lexicon: Callable[[], dict], schema: pa.Schema) -> Callable:
 
 def score_toxicity(
     docs: DataFrame,
-    labelled: DataFrame,
+    labels: DataFrame,
     keep: list[str],
     text: str = "text",
     label: str = "toxic",
@@ -178,10 +178,10 @@ def score_toxicity(
 ) -> DataFrame:
     """The columns ``keep`` of each row of ``docs``, with score (0 to 1) and predicted.
 
-    ``labelled``: rows with a text and a 0/1 label to learn from; about
-    ``sample_rows`` of them are used, picked by a hash of id and text, or all if
-    there are fewer. A quarter of the sample calibrates, the rest grows the
-    trees. Null labels are left out. Null and empty texts are scored on their
+    ``labels``: ids and 0/1 labels of the rows of ``docs`` to learn from; about
+    ``sample_rows`` of them are used, picked by a hash of the id, or all if there
+    are fewer, and sent to the documents. A quarter of the sample calibrates, the
+    rest grows the trees. Null ids and labels are left out. Null and empty texts are scored on their
     zero features. With labels of one kind only, that kind's share is every score.
     Ties and equal rows score alike and all return.
     """
@@ -194,15 +194,16 @@ def score_toxicity(
         out = kept.withColumn("__features", F.array(F.lit(0.0))).schema
         return rows.select(*names, F.col(text).cast("string").alias("__text")).mapInArrow(_featured(lambda: lexicon.value, to_arrow_schema(out)), out)
 
-    rows = labelled.where(F.col(label).isNotNull())
-    n = rows.select(label).count()
+    chosen = labels.select(F.col(doc_id).alias("id"), (F.col(label) > 0).cast("int").alias("label")).dropna()
+    n = chosen.count()
     scale = 1_000_000
-    hashed = F.xxhash64(F.col(doc_id), F.length(text))
+    hashed = F.xxhash64("id")
     if n > sample_rows:
-        rows = rows.where(F.pmod(hashed, F.lit(scale)) < int(scale * sample_rows / n))
+        chosen = chosen.where(F.pmod(hashed, F.lit(scale)) < int(scale * sample_rows / n))
+    known = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("string").alias("text"))
     with scratch(spark) as kept:
         sample = kept.stored(
-            rows.select(F.col(text).cast("string").alias("text"), (F.col(label) > 0).cast("int").alias("label"), (F.pmod(hashed.bitwiseXOR(F.lit(0x5DEECE66D)), F.lit(4)) == 0).alias("calibrates")),
+            known.join(F.broadcast(chosen), "id").select("text", "label", (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(4)) == 0).alias("calibrates")),
             "toxic-sample",
         )
         kinds = sample.agg(F.count("*").alias("n"), F.coalesce(F.sum("label"), F.lit(0)).alias("toxic")).first()
