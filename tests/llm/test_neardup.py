@@ -93,9 +93,18 @@ def test_coordinates_agree_as_often_as_texts_are_similar(weights):
         own = rng.integers(0, 1 << 62, 120).astype(np.uint64)
         left = np.repeat(own[:90], weights[0])
         right = np.concatenate([np.repeat(own[:60], weights[1]), own[90:]])
-        a, b = neardup.cells(left), neardup.cells(right)
+        zero = lambda x: np.zeros(len(x), np.int64)
+        a, b = neardup.cells(left, zero(left))[0], neardup.cells(right, zero(right))[0]
         share.append(len(np.intersect1d(a, b)) / len(np.union1d(a, b)))
-        x, y = neardup.signature(a, 100), neardup.signature(b, 100)
+        x, y = neardup.signatures(a, zero(a), 1, 100), neardup.signatures(b, zero(b), 1, 100)
         hits += (x == y).sum()
         total += 100
     assert hits / total == pytest.approx(np.mean(share), abs=0.03)
+
+
+def test_documents_signed_together_are_signed_as_alone():
+    texts = ["a b c d e f g", "", "x", "a b c d e f g", "one two three", " ".join(f"w{k}" for k in range(3000)), "r r r r r r r r r"]
+    tokens = list(neardup.word_hashes(neardup.pa.array(texts), neardup.SPACES))
+    together = list(neardup._signed(tokens, 5, 100, 4))
+    assert together == [next(neardup._signed([t], 5, 100, 4)) for t in tokens]
+    assert [n for _, _, _, n in together] == [3, 0, 1, 3, 1, 2996, 5]

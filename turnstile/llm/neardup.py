@@ -12,20 +12,17 @@ against the bucket's other classes, so no link of the buckets is lost, while
 members of one class are never paired.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 from math import log
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.shared import Scratch, batch, scratch, stored
+from turnstile.llm.shared import SPACES, Scratch, batch, scratch, stored, word_hashes
 
-_REMEMBERED = 300_000
 #: Members of a bucket in one task.
 MEETING = 4_096
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
@@ -39,102 +36,121 @@ def mixed(x: np.ndarray, salt: int) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-class Shingles:
-    """Shingle hashes of texts: lower-cased words, cut at white space."""
-
-    def __init__(self, words: int):
-        self.words, self._known = words, {}
-
-    def tokens(self, text: str | None) -> np.ndarray:
-        words = (text or "").lower().split()
-        if len(self._known) > _REMEMBERED:
-            self._known = {}
-        known = self._known
-        for w in words:
-            if w not in known:
-                known[w] = xxhash.xxh64_intdigest(w)
-        return np.array([known[w] for w in words], np.uint64)
-
-    def of(self, tokens: np.ndarray) -> np.ndarray:
-        """One for each place; a shorter text is one shingle."""
-        n = min(self.words, len(tokens))
-        if not n:
-            return tokens
+def shingles(tokens: np.ndarray, doc: np.ndarray, count: int, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle hashes of ``count`` documents and the documents they are of. A text
+    of fewer words is one shingle."""
+    size = np.bincount(doc, minlength=count)
+    found, owner = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+    for n in range(1, words + 1):
+        if len(tokens) < n or (n < words and not (size == n).any()):
+            continue
         out = np.zeros(len(tokens) - n + 1, np.uint64)
         for k in range(n):
             out = mixed(out ^ tokens[k : len(tokens) - n + 1 + k], k)
-        return out
-
-
-def cells(shingles: np.ndarray) -> np.ndarray:
-    """Distinct 64-bit names of the units of weight: an element that occurs w times
-    has w of them, so the weighted Jaccard similarity is that of the cells."""
-    if not len(shingles):
-        return shingles
-    order = np.sort(shingles)
-    new = np.r_[True, order[1:] != order[:-1]]
-    at = np.arange(len(order))
-    occurrence = at - np.maximum.accumulate(np.where(new, at, 0))
-    return np.unique(mixed(order + occurrence.astype(np.uint64) * _GOLDEN, 11))
-
-
-def signature(units: np.ndarray, k: int) -> np.ndarray:
-    """Name of the earliest dart of each of k coordinates; units must not be empty."""
+        first = doc[: len(out)]
+        whole = first == doc[n - 1 :]
+        if n < words:
+            whole &= size[first] == n
+        found.append(out[whole])
+        owner.append(first[whole])
+    return np.concatenate(found), np.concatenate(owner)
+
+
+def cells(hashes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit names of the units of weight, by document: a shingle that occurs w
+    times has w of them, so the weighted Jaccard similarity is that of the cells."""
+    order = np.lexsort((hashes, owner))
+    hashes, owner = hashes[order], owner[order]
+    at = np.arange(len(hashes))
+    new = np.r_[True, (hashes[1:] != hashes[:-1]) | (owner[1:] != owner[:-1])][: len(at)]
+    occurrence = at - np.maximum.accumulate(np.where(new, at, 0)) if len(at) else at
+    return mixed(hashes + occurrence.astype(np.uint64) * _GOLDEN, 11), owner
+
+
+def signatures(units: np.ndarray, owner: np.ndarray, count: int, k: int, wider: int = 1) -> np.ndarray:
+    """Name of the earliest dart of each of k coordinates, a row a document.
+    Documents without units have zeros."""
+    size = np.bincount(owner, minlength=count)
     # With so many darts expected, a coordinate seldom stays empty.
-    bound = (k * log(k) + 2 * k) / len(units)
-    while True:
-        rank, names, ranks, live = np.zeros(len(units)), [], [], np.arange(len(units))
-        throw = 0
-        while len(live):
-            # The next dart of each stream comes an exponential gap later.
-            h = mixed(units[live], 101 + throw)
-            rank[live] -= np.log((h.astype(np.float64) + 1) * 2.0**-64)
-            live, h = live[inside := rank[live] < bound], h[inside]
-            names.append(mixed(h, 7))
-            ranks.append(rank[live])
-            throw += 1
-        name, when = np.concatenate(names), np.concatenate(ranks)
-        order = np.argsort(-when, kind="stable")
-        out, hit = np.zeros(k, np.uint64), np.zeros(k, bool)
-        slot = (name[order] % np.uint64(k)).astype(np.int64)
-        out[slot] = name[order]  # the last write, the earliest dart, stays
+    bound = (wider * (k * log(k) + 4 * k) / np.maximum(size, 1))[owner]
+    rank, live, throw = np.zeros(len(units)), np.arange(len(units)), 0
+    names, ranks, slots = [], [], []
+    while len(live):
+        # The next dart of each stream comes an exponential gap later.
+        h = mixed(units[live], 101 + throw)
+        rank[live] -= np.log((h.astype(np.float64) + 1) * 2.0**-64)
+        inside = rank[live] < bound[live]
+        live, name = live[inside], mixed(h[inside], 7)
+        names.append(name)
+        ranks.append(rank[live])
+        slots.append(owner[live] * k + (name % np.uint64(k)).astype(np.int64))
+        throw += 1
+    out, hit = np.zeros(count * k, np.uint64), np.zeros(count * k, bool)
+    if names:
+        order = np.argsort(-np.concatenate(ranks), kind="stable")
+        slot = np.concatenate(slots)[order]
+        out[slot] = np.concatenate(names)[order]  # the last write, the earliest dart, stays
         hit[slot] = True
-        if hit.all():
-            return out
-        bound *= 2
+    out = out.reshape(count, k)
+    short = np.flatnonzero(~hit.reshape(count, k).all(axis=1) & (size > 0))
+    if len(short):
+        # Throw further for these: what was earliest stays earliest.
+        place = np.full(count, -1)
+        place[short] = np.arange(len(short))
+        again = place[owner] >= 0
+        out[short] = signatures(units[again], place[owner[again]], len(short), k, wider * 2)
+    return out
 
 
 def bands(sig: np.ndarray, rows: int) -> np.ndarray:
-    """One hash for each ``rows`` coordinates."""
-    out = np.zeros(len(sig) // rows, np.uint64)
+    """One hash for each ``rows`` coordinates of each signature."""
+    out = np.zeros((len(sig), sig.shape[1] // rows), np.uint64)
     for r in range(rows):
-        out = mixed(out ^ sig[r :: rows][: len(out)], 31 + r)
+        out = mixed(out ^ sig[:, r::rows][:, : out.shape[1]], 31 + r)
     return out.view(np.int64)
 
 
 _SIGNED = pa.schema([("id", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("units", pa.binary()), ("n", pa.int32())])
 
 
-def _signing(shingles: int, k: int, rows: int) -> Callable:
+#: Words of the documents that are signed in one go.
+_AT_ONCE = 200_000
+
+
+def _signed(texts: list[np.ndarray], words: int, k: int, rows: int) -> Iterator[tuple]:
+    """Digest, bands and cells of each document; cells of 32 bits tell two texts
+    apart well enough to count them."""
+    doc = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
+    units, owner = cells(*shingles(np.concatenate(texts), doc, len(texts), words))
+    keys = bands(signatures(units, owner, len(texts), k), rows)
+    cut = np.searchsorted(owner, np.arange(len(texts) + 1))
+    short = (units >> np.uint64(32)).astype("<u4")
+    for i, tokens in enumerate(texts):
+        own = short[cut[i] : cut[i + 1]]
+        digest = blake2b(tokens.tobytes(), digest_size=16).digest()
+        yield digest, keys[i].tolist() if len(own) else [], own.tobytes(), len(own)
+
+
+def _signing(words: int, k: int, rows: int) -> Callable:
     def run(batches):
-        words = Shingles(shingles)
         for b in batches:
-            digests, keys, units = [], [], []
-            for text in b.column("text").to_pylist():
-                tokens = words.tokens(text)
-                own = cells(words.of(tokens))
-                digests.append(blake2b(tokens.tobytes(), digest_size=16).digest())
-                keys.append(bands(signature(own, k), rows).tolist() if len(own) else [])
-                # 32 bits tell the cells of two texts apart well enough to count them.
-                units.append(np.unique((own >> np.uint64(32)).astype("<u4")))
-            yield batch(_SIGNED, b.column("id"), digests, keys, [u.tobytes() for u in units], [len(u) for u in units])
+            found, held, size = [], [], 0
+            for tokens in word_hashes(b.column("text"), SPACES):
+                held.append(tokens)
+                size += len(tokens)
+                if size >= _AT_ONCE:
+                    found += _signed(held, words, k, rows)
+                    held, size = [], 0
+            if held:
+                found += _signed(held, words, k, rows)
+            yield batch(_SIGNED, b.column("id"), *([f[c] for f in found] for c in range(4)))
 
     return run
 
 
 def _similarity(left: bytes, right: bytes) -> float:
-    p, q = np.frombuffer(left, "<u4"), np.frombuffer(right, "<u4")
-    # Both are sorted and distinct: equal neighbours in the merged list are common.
+    p, q = np.unique(np.frombuffer(left, "<u4")), np.unique(np.frombuffer(right, "<u4"))
+    # Equal neighbours in the merged list are common.
     merged = np.sort(np.concatenate([p, q]), kind="stable")
     common = int((merged[1:] == merged[:-1]).sum())
     return common / (len(merged) - common)
@@ -170,34 +186,56 @@ def _verified(pairs: DataFrame, signed: DataFrame, least: float) -> DataFrame:
     return both.mapInArrow(_checking(least), "a long, b long")
 
 
+_MEETING = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+
+def _links(rows: list[tuple], least: float) -> Iterator[tuple[int, int]]:
+    """Links between members of one bucket (band, id, root, bands, units, member,
+    asks) that are in different classes."""
+    members, asking = [r for r in rows if r[5]], [r for r in rows if r[6]]
+    if not members or not asking:
+        return
+    band = rows[0][0]
+    ids, root = np.array([r[1] for r in members]), np.array([r[2] for r in members])
+    earlier = np.array([r[3][:band] for r in members], np.int64).reshape(len(members), band)
+    cells_of = [np.frombuffer(r[4], "<u4") for r in members]
+    size = np.array([len(c) for c in cells_of])
+    for _, x, own_root, own_bands, units, _, _ in asking:
+        own = np.sort(np.frombuffer(units, "<u4"))
+        fit = (root != own_root) & (np.minimum(size, len(own)) >= np.maximum(size, len(own)) * (least - 1e-9))
+        # Texts that share an earlier band too have met there.
+        if band:
+            fit &= ~(earlier == np.array(own_bands[:band], np.int64)).any(axis=1)
+        at = np.flatnonzero(fit)
+        if not len(at):
+            continue
+        theirs = np.concatenate([cells_of[i] for i in at])
+        place = np.minimum(np.searchsorted(own, theirs), len(own) - 1)
+        common = np.add.reduceat(own[place] == theirs, np.r_[0, np.cumsum(size[at])[:-1]], dtype=np.int64)
+        near = at[common >= least * (size[at] + len(own) - common)]
+        # One link to a class says all.
+        _, first = np.unique(root[near], return_index=True)
+        for y in ids[near[first]].tolist():
+            yield min(x, y), max(x, y)
+
+
 def _meeting(least: float) -> Callable:
-    """Links between members of one bucket that are in different classes."""
-
-    def run(members: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(members) and len(asking):
-            band = int(members["band"].iloc[0])
-            root, size, ids = (members[c].to_numpy() for c in ("root", "n", "id"))
-            earlier = np.array(members["bands"].tolist(), np.int64)[:, :band]
-            cells_of = [np.frombuffer(u, "<u4") for u in members["units"]]
-            for x, own_root, own_size, own_bands, units in zip(*(asking[c] for c in ("id", "root", "n", "bands", "units")), strict=True):
-                own = np.frombuffer(units, "<u4")
-                fit = (root != own_root) & (np.minimum(size, own_size) >= np.maximum(size, own_size) * (least - 1e-9))
-                # Texts that share an earlier band too have met there.
-                fit &= ~(earlier == np.array(own_bands, np.int64)[:band]).any(axis=1)
-                at = np.flatnonzero(fit)
-                if not len(at):
-                    continue
-                each = np.array([len(cells_of[i]) for i in at])
-                theirs = np.concatenate([cells_of[i] for i in at])
-                place = np.searchsorted(own, theirs)
-                place[place == len(own)] = 0
-                common = np.add.reduceat(own[place] == theirs, np.r_[0, np.cumsum(each)[:-1]], dtype=np.int64)
-                near = at[common >= least * (each + len(own) - common)]
-                # One link to a class says all.
-                _, first = np.unique(root[near], return_index=True)
-                found += [(min(x, y), max(x, y)) for y in ids[near[first]].tolist()]
-        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+    """Rows come sorted by bucket and block, and a block's rows are bounded."""
+
+    def run(batches):
+        held, key = [], None
+        for b in batches:
+            found = []
+            columns = [b.column(c).to_pylist() for c in ("bucket", "i", "q", "band", "id", "root", "bands", "units", "member", "asks")]
+            for bucket, i, q, *row in zip(*columns, strict=True):
+                here = row[0], bucket, i, q
+                if here != key:
+                    found += _links(held, least)
+                    held, key = [], here
+                held.append(row)
+            yield batch(_MEETING, [f[0] for f in found], [f[1] for f in found])
+        found = list(_links(held, least))
+        yield batch(_MEETING, [f[0] for f in found], [f[1] for f in found])
 
     return run
 
@@ -208,20 +246,21 @@ def _across(named: DataFrame, main: DataFrame, bands: DataFrame, signed: DataFra
     Members outside the bucket's largest class (``main``) are held against the
     members of all other classes, inside tasks: pairs never become rows, and
     pairs within a class, which can be most of the bucket, are never looked at.
-    Both sides come in blocks of bounded size.
+    A large bucket comes in blocks of bounded size on either side.
     """
     at = ["band", "bucket"]
+    minor = F.col("root") != F.col("main")
     open_ = named.join(main, at)
-    sizes = open_.groupBy(*at).agg(F.ceil(F.count("*") / MEETING).cast("int").alias("i_n"), F.ceil(F.count_if(F.col("root") != F.col("main")) / MEETING).cast("int").alias("q_n"))
-    whole = open_.join(sizes, at).join(signed, "id").join(bands, "id")
-    spread = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    columns = ["id", "root", "n", "bands", "units"]
-    members = whole.select(*at, spread("i_n").alias("i"), every("q_n").alias("q"), *columns)
-    asking = whole.where(F.col("root") != F.col("main")).select(*at, every("i_n").alias("i"), spread("q_n").alias("q"), *columns)
-    asking = asking.toDF(*asking.columns)  # columns of its own, told apart from the members'
+    sizes = open_.groupBy(*at).agg(F.ceil(F.count("*") / MEETING).cast("int").alias("i_n"), F.ceil(F.count_if(minor) / MEETING).cast("int").alias("q_n"))
+    own_i, own_q = (F.pmod(F.xxhash64("id"), F.col(n)).cast("int") for n in ("i_n", "q_n"))
+    span = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    # As a member in its own row of blocks, as one that asks in its own column.
+    place = lambda i, q: F.struct(i.alias("i"), q.alias("q"), (i == own_i).alias("member"), (minor & (q == own_q)).alias("asks"))
+    places = F.flatten(F.transform(span("i_n"), lambda i: F.transform(span("q_n"), lambda q: place(i, q))))
+    placed = open_.join(sizes, at).select(*at, "id", "root", F.explode(F.filter(places, lambda p: p["member"] | p["asks"])).alias("p"))
     keys = [*at, "i", "q"]
-    return members.groupBy(*keys).cogroup(asking.groupBy(*keys)).applyInPandas(_meeting(least), "a long, b long").distinct()
+    rows = placed.select(*at, "id", "root", "p.*").join(signed, "id").join(bands, "id")
+    return rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_meeting(least), "a long, b long").distinct()
 
 
 def components(edges: DataFrame, kept: Scratch) -> DataFrame:
