@@ -188,3 +188,10 @@ def test_failed_file_loads_are_audited(spark, tmp_path):
         w.load_files(str(tmp_path / "missing"), "F1", at("2020-06-01"))
     job = w.ledgers.jobs.read().first()
     assert job.status == "FAILED" and "missing" in job.error_message
+
+
+def test_times_that_are_no_times_do_not_stop_the_load(spark, sources, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    text = tickets(spark, 1, 4).withColumn("updated_at", F.expr("IF(ticket_id = 'TKT2', 'soon', CAST(updated_at AS STRING))"))
+    given = {"ticket_sales": text.selectExpr(*[c if c == "updated_at" else f"CAST({c} AS {t.dataType.simpleString()}) AS {c}" for c, t in zip(schemas.SOURCES["ticket_sales"].fieldNames(), schemas.SOURCES["ticket_sales"])])}
+    assert w.load_tables(given, "B1", at("2020-06-01"))["ticket_sales"] == 3

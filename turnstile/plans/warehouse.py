@@ -7,13 +7,14 @@ from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..fixed import EPOCH_MARK, FILE_NAME_STRICT, SYSTEM_DATABASE
 from ..operators.checks import Check, assert_checks, run_checks
 from ..operators.incremental import incremental_rows
 from ..operators.joins import hot_for
-from ..operators.shape import conform, stamp
+from ..operators.shape import coerce_timestamps, conform, stamp
 from ..sources.drops import DropFeed
 from ..sources.files import incremental_scan, land, load_by_name
 from ..sources.ledgers import Ledgers
@@ -84,7 +85,15 @@ class Warehouse:
         """
 
         def merge(name: str) -> dict:
-            changed = incremental_scan(sources[name], self.ledgers.watermark(name))
+            # Times that come as text and are none become null; the load goes on.
+            kinds = dict(sources[name].dtypes)
+            times = [
+                f.name
+                for f in schemas.RAW[name]
+                if isinstance(f.dataType, T.TimestampNTZType) and kinds.get(f.name) == "string"
+            ]
+            source = coerce_timestamps(sources[name], times)
+            changed = incremental_scan(source, self.ledgers.watermark(name))
             rows = conform(
                 stamp(changed, batch_id, SYSTEM_DATABASE, run_ts), schemas.RAW[name]
             )
