@@ -52,8 +52,8 @@ def test_every_id_of_the_small_table_is_packed_once(spark):
     "text",
     ["", " ", "a", " a  b\n c ", "tab\t x", "don't  you'll", "end. \n\nNext", "x" * 5000, "<|endoftext|> and <|endoftext|>", "é ü 漢字 🙂", "a b c d", "\r\n \r\n"],
 )
-def test_ids_by_remembered_stretches_are_the_tokenizers(text):
-    assert packing.Encoder(PATH)([text, text + " more"])[0].tolist() == reference_ids(text)[:-1]
+def test_ids_are_the_tokenizer_files(text):
+    assert packing._encoder(PATH)([text, text + " more"])[0].tolist() == reference_ids(text)[:-1]
 
 
 def test_nulls_repeats_and_no_rows(spark):
