@@ -56,7 +56,7 @@ def test_labels_of_one_kind(spark, labels, share):
 
 
 def test_toxic_texts_score_high_and_odd_rows_have_scores(spark):
-    rows = [(k, f"calm words number {'abcdefghij'[k % 10]} {'qrstuvwxyz'[k // 10 % 10]}" + (" you are a worthless moron" if k % 4 == 0 else ""), int(k % 4 == 0)) for k in range(200)]
+    rows = [(k, f"calm words number {'abcdefghij'[k % 10]} {'qrstuvwxyz'[k // 10 % 10]}" + (" you are a worthless moron" if k % 4 == 0 else " and all is well today"), int(k % 4 == 0)) for k in range(200)]
     odd = [(1001, "well now you are a worthless moron"), (1002, "calm words"), (1003, None), (None, ""), (1002, "calm words")]
     docs = spark.createDataFrame([(i, t) for i, t, _ in rows] + odd, "doc_id long, text string")
     known = spark.createDataFrame([(i, v) for i, _, v in rows] + [(None, 1), (5, None), (9999, 1)], "doc_id long, toxic int")

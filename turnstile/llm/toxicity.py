@@ -9,6 +9,7 @@ capitals, punctuation and obfuscation rates. Trees and calibration are Spark ML'
 import re
 from collections import Counter
 from collections.abc import Callable
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +49,14 @@ TRAITS = (
 _TERMS = pa.schema([("term", pa.string()), ("toxic", pa.int64()), ("other", pa.int64())])
 
 
+_DRAWN = re.compile(r"(.)\1{2,}")
+
+
 def plain(word: str) -> str:
     """The lower-cased word without what is not a letter at either end."""
+    core = word.strip(punctuation)
+    if core.isalpha():  # nearly all words
+        return core.lower()
     low = word.lower()
     start, end = 0, len(low)
     while start < end and not low[start].isalpha():
@@ -62,7 +69,7 @@ def plain(word: str) -> str:
 def revealed(word: str) -> str:
     """The word with look-alike signs as letters, others taken out, drawn-out letters once."""
     letters = "".join(c for c in word.lower().strip(".,;:!?\"'()").translate(_LEET) if c.isalpha())
-    return re.sub(r"(.)\1{2,}", r"\1", letters)
+    return _DRAWN.sub(r"\1", letters)
 
 
 def terms(word: str) -> list[str]:
@@ -90,40 +97,56 @@ def learn_lexicon(rows: DataFrame, size: int, least: int, odds: float) -> dict[s
     return {r["term"]: r["odds"] for r in top.collect()}
 
 
+class _Places(dict):
+    """Row numbers of words; a new word is given one."""
+
+    def __init__(self, add: Callable[[str], int]):
+        super().__init__()
+        self._add = add
+
+    def __missing__(self, word: str) -> int:
+        self[word] = at = self._add(word)
+        return at
+
+
 class Traits:
     """Features of texts; a word's part in them is worked out once."""
 
     def __init__(self, lexicon: dict[str, float]):
-        self.lexicon, self.known = lexicon, {}
-        self.rows, self.used = np.zeros((1024, len(TRAITS))), 0
+        self.lexicon, self.known = lexicon, _Places(self._place)
+        self.rows, self.used = np.zeros((1024, len(TRAITS)), np.float32), 0
+
+    def _place(self, word: str) -> int:
+        if self.used == len(self.rows):
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+        self.rows[self.used] = self._traits(word)
+        self.used += 1
+        return self.used - 1
 
     def _traits(self, word: str) -> tuple:
-        low, bare = plain(word), revealed(word)
+        low = plain(word)
+        clean = word.strip(punctuation).isalpha()
+        drawn = bool(_DRAWN.search(low))
+        # A word of letters hides nothing but by repeating them.
+        bare = low if clean and not drawn else revealed(word)
         odds = self.lexicon.get
         begins = lambda w: max((odds(f"{w[:n]}^", 0.0) for n in PREFIXES if len(w) > n), default=0.0)
         whole, start = odds(low, 0.0), begins(low)
         hidden = 0.0 if whole or start or bare == low else max(odds(bare, 0.0), begins(bare))
-        letters = sum(map(str.isalpha, word))
-        inside = word.strip(".,;:!?\"'()[]*#$%&-_")
+        letters = len(low) if clean else sum(map(str.isalpha, word))
+        inside = "" if clean else word.strip(".,;:!?\"'()[]*#$%&-_")
         return (
             whole > 0, start > 0, hidden > 0, max(whole, start, hidden), low in SECOND_PERSON,
-            letters > 1 and word.isupper(), sum(map(str.isupper, word)), word.count("!"), word.count("?"),
-            len(word) - letters - sum(map(str.isdigit, word)), letters > 0 and any(map(str.isdigit, inside)),
-            letters > 0 and any(not c.isalnum() and c not in "'-’" for c in inside), bool(re.search(r"(.)\1{2,}", low)), len(word),
+            letters > 1 and word.isupper(), 0 if word.islower() else sum(map(str.isupper, word)), word.count("!"), word.count("?"),
+            len(word) - letters - (0 if clean else sum(map(str.isdigit, word))), letters > 0 and any(map(str.isdigit, inside)),
+            letters > 0 and any(not c.isalnum() and c not in "'-’" for c in inside), drawn, len(word),
         )
 
     def _ids(self, words: list[str]) -> list[int]:
         if self.used > _REMEMBERED:
-            self.known, self.used = {}, 0
-        known = self.known
-        for w in words:
-            if w not in known:
-                if self.used == len(self.rows):
-                    self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-                known[w] = self.used
-                self.rows[self.used] = self._traits(w)
-                self.used += 1
-        return [known[w] for w in words]
+            self.known.clear()
+            self.used = 0
+        return list(map(self.known.__getitem__, words))
 
     def table(self, texts: list[str | None]) -> np.ndarray:
         """A row of FEATURES for each text."""
@@ -134,7 +157,7 @@ class Traits:
                 continue
             ids = self._ids(words)
             rows = self.rows[ids]
-            total, n = rows.sum(axis=0), len(words)
+            total, n = rows.sum(axis=0, dtype=float), len(words)
             bad = np.flatnonzero(rows[:, 3] > 0)
             near = 0
             if len(bad) and total[4]:
