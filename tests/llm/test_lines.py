@@ -88,3 +88,34 @@ def test_nulls_blanks_repeats_and_names(spark):
     )
     assert {r["key"] for r in got} == {"k"}
     assert run(spark, []).count() == 0
+
+
+def test_edits_at_both_parities_and_short_lines_with_a_name(spark):
+    edited = LONG.replace("five", "V").replace("ten", "X")  # an even and an odd place
+    short = ["Photo taken by Anna in Ulm", "Photo taken by Bernd in Ulm"]
+    far = "one two three " + " ".join(f"w{'abcdefghijk'[i]}" for i in range(11))
+    docs = [(1, f"{LONG}\n{short[0]}"), (2, f"{edited}\nkept\n{short[1]}"), (3, far)]
+    got = {r["doc_id"]: r["text"] for r in run(spark, docs, similarity=0.5).collect()}
+    assert got == {1: f"{LONG}\n{short[0]}", 2: "kept", 3: far}
+
+
+def test_similar_lines_are_those_of_a_search_of_all_pairs(spark):
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
+    mask = re.compile(r"^(?:\S*\d\S*|https?://\S+|www\.\S+|\S+@\S+\.\S+)$")
+    leaves = defaultdict(list)
+    for d, text in docs:
+        for at, line in enumerate((text or "").split("\n")):
+            tokens = [lines.WILDCARD if mask.match(t) else t for t in line.split()]
+            if len(tokens) >= 5:
+                leaves[len(tokens), *tokens[:3]].append((d, at, tokens))
+    gone = defaultdict(set)
+    for leaf in leaves.values():
+        for d, at, tokens in leaf:
+            for e, _, other in leaf:
+                same = [x for x, y in zip(tokens, other, strict=True) if x == y]
+                if e < d and 2 * len(same) >= len(tokens) and sum(x != lines.WILDCARD for x in same) >= 3:
+                    gone[d].add(at)
+    left = {d: [line for at, line in enumerate((t or "").split("\n")) if at not in gone[d]] for d, t in docs}
+    got = {r["doc_id"]: (r["text"] or "").split("\n") for r in run(spark, docs, similarity=0.5).collect()}
+    long = lambda rows: [x for x in rows if len(x.split()) >= 5]
+    assert {d: long(x) for d, x in got.items()} == {d: long(x) for d, x in left.items()}

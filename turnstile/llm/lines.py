@@ -4,8 +4,10 @@ A line's tokens are masked where they are variable by form (numbers, hex,
 addresses, links). The tree is of fixed depth: token count, then the leading
 tokens. In a leaf, long lines fall together if they agree on every token of the
 even or of the odd places, which is a similarity of one half or more; where they
-differ the template has a wildcard. A template met in several documents stays in
-the first of them and its lines are dropped from the others.
+differ the template has a wildcard. With ``similarity`` lines of a leaf that share
+any of several parts are also held against the earliest line with that part,
+place by place. A template met in several documents stays in the first of them
+and its lines are dropped from the others.
 
 Only DataFrame functions. Lines are compared by 64-bit hashes; texts move once,
 to meet the places of their dropped lines.
@@ -14,7 +16,7 @@ to meet the places of their dropped lines.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.shared import scratch, stored
+from turnstile.llm.shared import Scratch, scratch, stored
 
 #: What a mask makes of a variable token.
 WILDCARD = "<*>"
@@ -30,19 +32,76 @@ def masked(line: Column) -> Column:
     return F.when(some, F.transform(words, lambda w: F.regexp_replace(w, _VARIABLE, WILDCARD))).otherwise(words)
 
 
-def _templates(tokens: Column, leading: int, merge_tokens: int) -> Column:
-    """Hashes of the templates that the line belongs to: its own, and for a long
-    line those with wildcards at the odd or at the even places."""
+def _templates(tokens: Column, leading: int, merge_tokens: int | None) -> Column:
+    """Hashes of the templates that the line belongs to: its own, and for one of
+    ``merge_tokens`` those with wildcards at the odd or at the even places."""
     count = F.size(tokens)
     leaf = lambda kind: (F.lit(kind), count, F.slice(tokens, 1, leading))
     places = lambda odd: F.filter(tokens, lambda _, i: i % 2 == odd)
     whole = F.xxhash64(*leaf("whole"), tokens)
+    if merge_tokens is None:
+        return F.array(whole)
     # Every part must still tell something once its variable tokens are out.
     telling = lambda odd: F.size(F.filter(places(odd), lambda t: t != WILDCARD)) * 2 >= merge_tokens - 2
     part = lambda odd: F.when(telling(odd), F.xxhash64(*leaf(str(odd)), places(odd)))
     return F.when(count >= merge_tokens, F.array_compact(F.array(whole, part(0), part(1)))).otherwise(F.array(whole))
 
 
+#: Classes of places, and contiguous segments, by which similar lines meet.
+_CLASSES, _SEGMENTS = (2, 3, 4), 8
+
+
+def _parts(leaf: Column, cells: Column, leading: int) -> Column:
+    """Hashes of parts of a line: its leaf alone, every second, third and fourth
+    place, and segments of what follows the leading tokens."""
+    after = F.greatest(F.size(cells) - leading, F.lit(0))
+    edge = lambda k: F.floor(after * k / _SEGMENTS).cast("int")
+    place = lambda n, c: F.filter(cells, lambda _, i: i % n == c)
+    found = [F.xxhash64(F.lit("leaf"), leaf)]
+    found += [F.xxhash64(F.lit(f"{n}/{c}"), leaf, place(n, c)) for n in _CLASSES for c in range(n)]
+    for k in range(_SEGMENTS):
+        size = edge(k + 1) - edge(k)
+        found.append(F.when(size > 0, F.xxhash64(F.lit(f"segment {k}"), leaf, F.slice(cells, edge(k) + leading + 1, size))))
+    return F.array_compact(F.array(*found))
+
+
+def _similar(kept: Scratch, lines: DataFrame, leading: int, least: float) -> DataFrame:
+    """(template, first): whole lines that agree with one of an earlier document in
+    a share ``least`` of their places, three of them no wildcards, and that document.
+
+    Lines meet the earliest line of each part, so no two rows of a large group are paired.
+    """
+    own = lines.where("long").select("leaf", F.element_at("templates", 1).alias("whole"), "doc", "cells")
+    shared = own.groupBy("leaf").agg(F.min("whole").alias("a"), F.max("whole").alias("b")).where("a != b").select("leaf")
+    near = kept.stored(
+        own.join(shared, "leaf", "left_semi").groupBy("leaf", "whole").agg(F.min("doc").alias("first"), F.first("cells").alias("cells")),
+        "lines-of-shared-leaves",
+    )
+    parts = near.select("whole", "first", F.explode(_parts(F.col("leaf"), F.col("cells"), leading)).alias("part"))
+    earliest = (
+        parts.groupBy("part")
+        .agg(F.min(F.struct("first", "whole")).alias("rep"), F.min("whole").alias("a"), F.max("whole").alias("b"))
+        .where("a != b")
+        .select("part", "rep")
+    )
+    pairs = (
+        parts.join(earliest, "part")
+        .where(F.col("rep.first") < F.col("first"))
+        .select("whole", F.col("rep.whole").alias("other"), F.col("rep.first").alias("earlier"))
+        .distinct()
+    )
+    same = F.zip_with("cells", "others", lambda x, y: F.when(x == y, x))
+    agreeing = F.filter(same, lambda x: x.isNotNull())
+    telling = F.filter(agreeing, lambda x: x != F.hash(F.lit(WILDCARD)))
+    return (
+        pairs.join(near.select("whole", "cells"), "whole")
+        .join(near.select(F.col("whole").alias("other"), F.col("cells").alias("others")), "other")
+        .where((F.size(agreeing) >= F.size("cells") * F.lit(least)) & (F.size(telling) >= 3))
+        .groupBy(F.col("whole").alias("template"))
+        .agg(F.min("earlier").alias("first"))
+    )
+
+
 def drop_recurring_lines(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -52,6 +111,7 @@ def drop_recurring_lines(
     merge_tokens: int = 12,
     short_min_docs: int = 20,
     length: str | None = None,
+    similarity: float | None = None,
 ) -> DataFrame:
     """``docs`` with the recurring lines taken out of ``text``, and ``lines_dropped`` long.
 
@@ -59,7 +119,9 @@ def drop_recurring_lines(
     document, earlier by (id, nulls last, then content). Shorter lines recur by
     chance in prose; theirs goes only if ``short_min_docs`` documents hold it.
     Repeats within one document stay. ``length``: a column to hold the new text's
-    number of characters where lines were dropped.
+    number of characters where lines were dropped. ``similarity``: a line of
+    ``min_tokens`` or more also goes if an earlier document holds one with as many
+    tokens, the same leading ones and this share of equal places, wherever they are.
 
     Documents are told apart by id and text: equal rows count as one document and
     all get the same result. Null texts stay null, empty ones empty, blank lines
@@ -71,29 +133,37 @@ def drop_recurring_lines(
     key = F.xxhash64(cell(doc_id), cell(text))
     # Copies sort by content hash, documents without id after all others.
     order = F.struct(cell(doc_id).isNull().alias("none"), cell(doc_id).alias("id"), key.alias("key"))
+    # The parts of a similarity search include the even and the odd places.
+    own = _templates(F.col("tokens"), leading, merge_tokens if similarity is None else None)
     with scratch(spark) as kept:
         lines = kept.stored(
             docs.where(cell(text).isNotNull())
             .select(order.alias("doc"), F.posexplode(F.split(cell(text).cast("string"), "\n")).alias("at", "line"))
             .where(F.col("line").rlike(r"\S"))
             .select("doc", "at", masked(F.col("line")).alias("tokens"))
-            .select("doc", "at", (F.size("tokens") >= min_tokens).alias("long"), F.explode(_templates(F.col("tokens"), leading, merge_tokens)).alias("template")),
+            .select(
+                "doc", "at", (F.size("tokens") >= min_tokens).alias("long"), own.alias("templates"),
+                *([] if similarity is None else [F.xxhash64(F.size("tokens"), F.slice("tokens", 1, leading)).alias("leaf"), F.transform("tokens", lambda t: F.hash(t)).alias("cells")]),
+            ),
             "line-templates",
-        )
+        )
+        by_template = lines.select("doc", "at", "long", F.explode("templates").alias("template"))
         # A row a document first, so that a template met everywhere stays small.
         recurring = kept.stored(
-            lines.groupBy("template", "doc").agg(F.first("long").alias("long"))
+            by_template.groupBy("template", "doc").agg(F.first("long").alias("long"))
             .groupBy("template")
             .agg(F.min("doc").alias("first"), F.count("*").alias("docs"), F.first("long").alias("long"))
             .where((F.col("docs") >= 2) & (F.col("long") | (F.col("docs") >= short_min_docs)))
             .select("template", "first"),
             "recurring-templates",
         )
+        if similarity is not None:
+            recurring = recurring.unionByName(kept.stored(_similar(kept, lines, leading, similarity), "similar-lines"))
         # The one thing that outlives the block: a row for each document that loses lines.
         dropped = stored(
-            lines.select("template", "doc", "at")
+            by_template.select("template", "doc", "at")
             .join(recurring, "template")
-            .where(F.col("doc") != F.col("first"))
+            .where(F.col("doc") > F.col("first"))
             .groupBy(F.col("doc.key").alias("__key"))
             .agg(F.collect_set("at").alias("__gone")),
             "dropped-lines",
