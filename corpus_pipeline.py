@@ -44,7 +44,7 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines stay in their first document; one left without any goes.
     Null and blank texts stay."""
     plain, names = _numbered_columns(docs)
-    left = lines.drop_recurring_lines(plain, names["doc_id"], names["text"], length=names.get("n_chars"), similarity=0.5)
+    left = lines.drop_recurring_lines(plain, names["doc_id"], names["text"], length=names.get("n_chars"), similarity=0.5, short_share=0.01)
     return _back(left.where((F.col("lines_dropped") == 0) | F.col(names["text"]).rlike(r"\S")), names)
 
 

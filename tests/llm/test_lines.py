@@ -119,3 +119,16 @@ def test_similar_lines_are_those_of_a_search_of_all_pairs(spark):
     got = {r["doc_id"]: (r["text"] or "").split("\n") for r in run(spark, docs, similarity=0.5).collect()}
     long = lambda rows: [x for x in rows if len(x.split()) >= 5]
     assert {d: long(x) for d, x in got.items()} == {d: long(x) for d, x in left.items()}
+
+
+def test_short_lines_go_by_their_neighbours_and_by_share(spark):
+    song = "Row row\nrow your boat\n\nGently\ndown the stream\nMerrily"
+    han = "今天天气很好"
+    docs = [(1, f"Home\n{song}\n{han}"), (2, f"mine\n{song}\nown words\nIt."), (3, f"{han}\nother\ndown the stream"), (4, f"{LONG}\nRead on"), (5, f"{LONG}\nRead on")]
+    got = {r["doc_id"]: r["text"] for r in run(spark, docs, short_share=0.01).collect()}
+    assert got == {1: docs[0][1], 2: "mine\n\nown words\nIt.", 3: "other\ndown the stream", 4: docs[3][1], 5: ""}
+    # 25 of 3,000 documents are no template, 25 of 1,000 are one.
+    own = lambda k: f"w{chr(97 + k % 26)}" * (k // 26 + 1)
+    for n, gone in ((1000, 24), (3000, 0)):
+        many = [(k, f"It.\n{own(k)}" if k < 25 else own(k)) for k in range(n)]
+        assert sum(r["lines_dropped"] for r in run(spark, many, short_share=0.01).collect()) == gone

@@ -13,7 +13,9 @@ Only DataFrame functions. Lines are compared by 64-bit hashes; texts move once,
 to meet the places of their dropped lines.
 """
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstile.llm.shared import Scratch, scratch, stored
@@ -26,7 +28,9 @@ _VARIABLE = r"^(?:\S*\d\S*|https?://\S+|www\.\S+|\S+@\S+\.\S+)$"
 
 def masked(line: Column) -> Column:
     """The line's tokens, variable ones as wildcards."""
-    words = F.split(F.trim(F.regexp_replace(line, r"\s+", " ")), " ")
+    # Few lines have white space other than single blanks.
+    spaced = reduce(Column.__or__, (line.contains(x) for x in ("  ", "\t", "\n", "\x0b", "\f", "\r")))
+    words = F.split(F.trim(F.when(spaced, F.regexp_replace(line, r"\s+", " ")).otherwise(line)), " ")
     # Most lines have no token to mask, which one look at the line tells.
     some = line.rlike(r"[0-9@]|www\.|://")
     return F.when(some, F.transform(words, lambda w: F.regexp_replace(w, _VARIABLE, WILDCARD))).otherwise(words)
@@ -102,6 +106,47 @@ def _similar(kept: Scratch, lines: DataFrame, leading: int, least: float) -> Dat
     )
 
 
+#: Letters of scripts that put no spaces between words; each counts as a token.
+_UNSPACED = r"[\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}]"
+
+
+def _weight(line: Column, tokens: Column, min_tokens: int) -> Column:
+    """How many tokens the line counts for, or any number from ``min_tokens`` on."""
+    # Such a letter takes three bytes; both spare most lines the look.
+    some = (F.size(tokens) < min_tokens) & (F.octet_length(line) >= F.length(line) + 2)
+    return F.when(some, F.greatest(F.size(tokens), F.regexp_count(line, F.lit(_UNSPACED)))).otherwise(F.size(tokens))
+
+
+def _short_runs(kept: Scratch, lines: DataFrame, met: DataFrame, min_tokens: int) -> DataFrame:
+    """(doc, at): short lines that recur with their neighbours in an earlier document.
+
+    A run starts at a short line and takes the lines after it, or before it, until
+    it has ``min_tokens`` tokens. Only lines that recur themselves can be in one that does.
+    """
+    own = lines.select("doc", "at", "nth", "weight", "long", F.element_at("templates", 1).alias("whole")).join(met.select(F.col("template").alias("whole")), "whole")
+    order = Window.partitionBy("doc").orderBy("nth")
+
+    def run(move, step):
+        size, total = F.lit(None).cast("int"), F.col("weight")
+        for k in range(1, min_tokens):
+            total = total + move("weight", k).over(order)
+            # Null or another number if a line between does not recur.
+            joined = move("nth", k).over(order) == F.col("nth") + step * k
+            size = F.coalesce(size, F.when(joined & (total >= min_tokens), k + 1))
+        every = lambda c: F.slice(F.array(F.col(c), *(move(c, k).over(order) for k in range(1, min_tokens))), 1, size)
+        # In the order of the text, so that both ways give one hash for one run.
+        turned = (lambda c: every(c)) if step > 0 else (lambda c: F.reverse(every(c)))
+        places = F.filter(F.transform(F.arrays_zip(every("at").alias("at"), every("long").alias("long")), lambda x: F.when(~x["long"], x["at"])), lambda x: x.isNotNull())
+        return F.when(~F.col("long") & size.isNotNull(), F.struct(F.xxhash64(turned("whole")).alias("run"), places.alias("places")))
+
+    runs = kept.stored(
+        own.select("doc", F.array(run(F.lead, 1), run(F.lag, -1)).alias("runs")).select("doc", F.explode(F.array_compact("runs")).alias("r")).select("doc", "r.run", "r.places"),
+        "short-runs",
+    )
+    first = runs.groupBy("run").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first != last").select("run", "first")
+    return runs.join(first, "run").where(F.col("doc") > F.col("first")).select("doc", F.explode("places").alias("at"))
+
+
 def drop_recurring_lines(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -112,6 +157,7 @@ def drop_recurring_lines(
     short_min_docs: int = 20,
     length: str | None = None,
     similarity: float | None = None,
+    short_share: float | None = None,
 ) -> DataFrame:
     """``docs`` with the recurring lines taken out of ``text``, and ``lines_dropped`` long.
 
@@ -122,6 +168,10 @@ def drop_recurring_lines(
     number of characters where lines were dropped. ``similarity``: a line of
     ``min_tokens`` or more also goes if an earlier document holds one with as many
     tokens, the same leading ones and this share of equal places, wherever they are.
+    ``short_share``: a shorter line goes if it recurs together with the lines next
+    to it, ``min_tokens`` tokens in all; alone it goes only if this share of the
+    documents, and ``short_min_docs``, hold it. A letter of a script without
+    spaces then counts as a token.
 
     Documents are told apart by id and text: equal rows count as one document and
     all get the same result. Null texts stay null, empty ones empty, blank lines
@@ -135,39 +185,39 @@ def drop_recurring_lines(
     order = F.struct(cell(doc_id).isNull().alias("none"), cell(doc_id).alias("id"), key.alias("key"))
     # The parts of a similarity search include the even and the odd places.
     own = _templates(F.col("tokens"), leading, merge_tokens if similarity is None else None)
+    weight = F.size("tokens") if short_share is None else _weight(F.col("line"), F.col("tokens"), min_tokens)
+    numbered = F.filter(F.transform(F.split(cell(text).cast("string"), "\n"), lambda line, i: F.struct(i.alias("at"), line.alias("line"))), lambda x: x["line"].rlike(r"\S"))
+    split_lines = docs.where(cell(text).isNotNull()).select(order.alias("doc"), F.posexplode(numbered).alias("nth", "l")).select("doc", "nth", "l.at", "l.line")
     with scratch(spark) as kept:
         lines = kept.stored(
-            docs.where(cell(text).isNotNull())
-            .select(order.alias("doc"), F.posexplode(F.split(cell(text).cast("string"), "\n")).alias("at", "line"))
-            .where(F.col("line").rlike(r"\S"))
-            .select("doc", "at", masked(F.col("line")).alias("tokens"))
+            split_lines.select("doc", "at", "nth", masked(F.col("line")).alias("tokens"), F.col("line"))
             .select(
-                "doc", "at", (F.size("tokens") >= min_tokens).alias("long"), own.alias("templates"),
+                "doc", "at", "nth", weight.alias("weight"), (weight >= min_tokens).alias("long"), own.alias("templates"),
                 *([] if similarity is None else [F.xxhash64(F.size("tokens"), F.slice("tokens", 1, leading)).alias("leaf"), F.transform("tokens", lambda t: F.hash(t)).alias("cells")]),
             ),
             "line-templates",
         )
         by_template = lines.select("doc", "at", "long", F.explode("templates").alias("template"))
         # A row a document first, so that a template met everywhere stays small.
-        recurring = kept.stored(
+        met = kept.stored(
             by_template.groupBy("template", "doc").agg(F.first("long").alias("long"))
             .groupBy("template")
             .agg(F.min("doc").alias("first"), F.count("*").alias("docs"), F.first("long").alias("long"))
-            .where((F.col("docs") >= 2) & (F.col("long") | (F.col("docs") >= short_min_docs)))
-            .select("template", "first"),
+            .where("docs >= 2"),
             "recurring-templates",
         )
+        least = F.lit(short_min_docs)
+        if short_share is not None:
+            # A share does not depend on the size of the table.
+            least = F.lit(max(short_min_docs, short_share * docs.where(cell(text).isNotNull()).select(key).distinct().count()))
+        recurring = met.where(F.col("long") | (F.col("docs") >= least)).select("template", "first")
         if similarity is not None:
             recurring = recurring.unionByName(kept.stored(_similar(kept, lines, leading, similarity), "similar-lines"))
+        gone = by_template.select("template", "doc", "at").join(recurring, "template").where(F.col("doc") > F.col("first")).select("doc", "at")
+        if short_share is not None:
+            gone = gone.unionByName(_short_runs(kept, lines, met, min_tokens))
         # The one thing that outlives the block: a row for each document that loses lines.
-        dropped = stored(
-            by_template.select("template", "doc", "at")
-            .join(recurring, "template")
-            .where(F.col("doc") > F.col("first"))
-            .groupBy(F.col("doc.key").alias("__key"))
-            .agg(F.collect_set("at").alias("__gone")),
-            "dropped-lines",
-        )
+        dropped = stored(gone.groupBy(F.col("doc.key").alias("__key")).agg(F.collect_set("at").alias("__gone")), "dropped-lines")
     split = F.split(F.col("__text"), "\n")
     left = F.array_join(F.filter(split, lambda _, i: ~F.array_contains(F.col("__gone"), i)), "\n")
     whole = docs.select(F.struct(*(cell(c) for c in names)).alias("__row"), cell(text).cast("string").alias("__text"), key.alias("__key"))

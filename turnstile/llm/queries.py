@@ -44,7 +44,7 @@ def op4_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.drop_recurring_lines(_table(spark, sf_dir, "documents"), length="n_chars", similarity=0.5)
+    return lines.drop_recurring_lines(_table(spark, sf_dir, "documents"), length="n_chars", similarity=0.5, short_share=0.01)
 
 
 def op6_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
