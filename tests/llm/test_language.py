@@ -44,3 +44,13 @@ def test_the_fit_is_that_of_a_grid_search():
     grid = np.linspace(0.001, 0.999, 999)
     best = grid[np.argmax([np.log(p @ [g, 1 - g]).sum() for g in grid])]
     assert abs(fit._shares(p)[0][0] - best) < 0.01
+
+
+def test_a_small_share_of_a_long_text_is_a_language_of_it(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    words = {lang: " ".join(r["text"] for r in docs.where(docs.lang == lang).orderBy("doc_id").collect()).split() for lang in ("en", "de")}
+    langs, chances = language.learn(docs, "text", "lang", "doc_id", 20_000)
+    fit = language.Mixture(langs, chances, 3.0, 12).fit
+    mixed, alone = dict(fit(" ".join(words["en"][:19_800] + words["de"][:200]))), dict(fit(" ".join(words["en"][:20_000])))
+    assert set(mixed) - set(alone) == {"de"} and abs(mixed["de"] - 0.01) < 0.005
+    assert all(share > 0 for share in alone.values()) and max(alone, key=alone.get) == "en"

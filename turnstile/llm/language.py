@@ -18,7 +18,7 @@ from turnstile.llm.shared import batch
 #: Trigrams are counted by hash.
 CELLS = 1 << 16
 _SPACE = 32
-#: Languages below this share leave the mixture together, before each other one is tried.
+#: Languages below this share are tried together, before each one on its own.
 _TRACE = 0.02
 
 _TALLY = pa.schema([("lang", pa.string()), ("cell", pa.int32()), ("n", pa.int64())])
@@ -84,18 +84,21 @@ class Mixture:
         among = np.arange(len(self.langs))
         shares, fit = self._shares(p)
         cost = self.penalty * np.log(len(cells) + 1)
-        if len(among) > 1:
-            keep = shares >= min(_TRACE, shares.max())
-            if not keep.all():
-                among = among[keep]
-                shares, fit = self._shares(p[:, among])
-            order = np.argsort(shares)
-            for i in among[order][:-1]:
+        keep = shares >= min(_TRACE, shares.max())
+        if not keep.all():
+            fewer, worse = self._shares(p[:, keep])
+            # None of them would be missed more than all of them are.
+            if fit - worse <= cost:
+                among, shares, fit = among[keep], fewer, worse
+        left = True
+        while left and len(among) > 1:
+            left = False
+            for i in among[np.argsort(shares)]:
                 rest = among[among != i]
                 fewer, worse = self._shares(p[:, rest])
-                if fit - worse > cost:
-                    continue
-                among, shares, fit = rest, fewer, worse
+                if fit - worse <= cost:
+                    among, shares, fit, left = rest, fewer, worse, True
+                    break
         shares = shares / shares.sum()
         order = sorted(range(len(among)), key=lambda k: (-shares[k], self.langs[among[k]]))
         return [(self.langs[among[k]], float(shares[k])) for k in order]
