@@ -84,3 +84,22 @@ def test_held_out_texts_beat_a_uniform_spelling(spark):
     assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2) for r in rows)
     spelled = sum(len(docs[r["doc_id"]].encode()) for r in rows if r["held_out"]) * -math.log10(30)
     assert sum(r["score"] for r in rows if r["held_out"]) > spelled
+
+
+def test_pieces_of_all_lengths_take_part():
+    pieces = scoring.vocabulary(RANKS)
+    assert max(map(len, pieces)) > 100 and sum(len(p) > 8 for p in pieces) > 5000
+    pieces = [b"a", b"b", b"abababababab", b"bababababa", b"b" * 9]
+    chance = dict(zip(pieces, (0.2, 0.15, 0.1, 0.2, 0.05), strict=True))
+    lattice = scoring.Lattice(pieces, np.log(list(chance.values())), math.log(0.3))
+    for word in (b"abababababab", b"bababababababa", b"a" + b"b" * 11, b"ababababbbab"):
+        alpha = [1.0]
+        for end in range(1, len(word) + 1):
+            alpha.append(sum(alpha[end - len(p)] * c for p, c in chance.items() if word[:end].endswith(p)))
+        assert lattice.spelled(np.array([list(word)], np.uint64))[0] == pytest.approx(math.log(alpha[-1] * 0.3))
+
+
+def test_expected_uses_count_a_word_as_often_as_it_is_used():
+    into = np.zeros(2)
+    scoring.Lattice([b"a", b"b"], np.log([0.5, 0.25]), math.log(0.25)).expect(np.array([list(b"ab"), list(b"bb")], np.uint64), into, np.array([3.0, 1.0]))
+    assert into == pytest.approx([3.0, 5.0])

@@ -23,8 +23,9 @@ from turnstile.llm.shared import batch, raw, scratch, stored
 
 #: Stands for the end of a text; no word holds white space.
 END = b"\n"
-#: Longest piece in bytes: eight fit one integer, which makes look-ups exact.
+#: Bytes that fit one integer. Longer pieces are looked up by a hash and then compared.
 WIDTH = 8
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Distinct words that a task holds before it hands its counts on.
 HELD = 400_000
 
@@ -35,12 +36,12 @@ _SPELLED = pa.schema([("word", pa.binary()), ("c", pa.int64()), ("used", pa.int6
 
 def vocabulary(path: str) -> list[bytes]:
     """Pieces of a rank file (base64 and rank a line), by rank: no white space,
-    at most ``WIDTH`` bytes, every single byte present."""
+    every single byte present."""
     with open(path, "rb") as lines:
         ranked = sorted((int(rank), base64.b64decode(piece)) for piece, rank in map(bytes.split, lines))
     pieces = (piece.strip() for _, piece in ranked)
     one = (bytes([i]) for i in range(256) if not bytes([i]).isspace())
-    return list(dict.fromkeys(p for p in chain(pieces, one) if p and len(p) <= WIDTH and len(p.split()) == 1))
+    return list(dict.fromkeys(p for p in chain(pieces, one) if p and len(p.split()) == 1))
 
 
 class Lattice:
@@ -48,28 +49,43 @@ class Lattice:
 
     def __init__(self, pieces: list[bytes], scores: np.ndarray, stop: float):
         self.scores, self.stop = scores, stop
-        self.tables = {}
-        for n in range(1, WIDTH + 1):
-            own = [(int.from_bytes(p, "big"), i) for i, p in enumerate(pieces) if len(p) == n]
-            own.sort()
-            codes = np.array([c for c, _ in own] or [0], np.uint64)
-            at = np.array([i for _, i in own] or [-1], np.int64)
-            self.tables[n] = codes, at
+        self.tables, by_length = {}, {}
+        for i, piece in enumerate(pieces):
+            by_length.setdefault(len(piece), []).append(i)
+        self.lengths = sorted(by_length)
+        for n, own in by_length.items():
+            at = np.array(own, np.int64)
+            spelt = np.frombuffer(b"".join(pieces[i] for i in own), np.uint8).reshape(len(own), n).astype(np.uint64)
+            codes = np.zeros(len(own), np.uint64)
+            for k in range(n):
+                codes = self._longer(codes, spelt[:, k], k + 1)
+            order = np.argsort(codes)
+            self.tables[n] = codes[order], at[order], spelt[order]
+
+    @staticmethod
+    def _longer(code: np.ndarray, byte: np.ndarray, n: int) -> np.ndarray:
+        """Codes of n bytes from those of n-1 and the last byte: exact up to ``WIDTH``, then a rolling hash."""
+        return (code << np.uint64(8)) | byte if n <= WIDTH else code * _BASE + byte
 
     def _found(self, words: np.ndarray) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
         """(end, length) -> rows of ``words`` that hold a piece there, and the pieces."""
         found, width = {}, words.shape[1]
         code = np.zeros(words.shape, np.uint64)  # of the n bytes up to each place
-        for n in range(1, min(WIDTH, width) + 1):
+        for n in range(1, min(self.lengths[-1], width) + 1):
             # Code of the n bytes that start at i: one more byte on those of n-1.
-            code = (code[:, : width - n + 1] << np.uint64(8)) | words[:, n - 1 :]
-            codes, at = self.tables[n]
+            code = self._longer(code[:, : width - n + 1], words[:, n - 1 :], n)
+            if n not in self.tables:
+                continue
+            codes, at, spelt = self.tables[n]
             place = np.searchsorted(codes, code.ravel()).reshape(code.shape)
             place[place == len(codes)] = 0
-            hit = (codes[place] == code) & (at[place] >= 0)
+            hit = codes[place] == code
             for i in np.flatnonzero(hit.any(axis=0)):
                 rows = np.flatnonzero(hit[:, i])
-                found[i + n, n] = rows, at[place[rows, i]]
+                if n > WIDTH:
+                    rows = rows[(words[rows, i : i + n] == spelt[place[rows, i]]).all(axis=1)]
+                if len(rows):
+                    found[i + n, n] = rows, at[place[rows, i]]
         return found
 
     def _forward(self, words: np.ndarray, found: dict) -> np.ndarray:
@@ -77,7 +93,7 @@ class Lattice:
         alpha[0] = 0
         for end in range(1, words.shape[1] + 1):
             here = alpha[end]
-            for n in range(1, min(WIDTH, end) + 1):
+            for n in self.lengths:
                 if (end, n) in found:
                     rows, pieces = found[end, n]
                     here[rows] = np.logaddexp(here[rows], alpha[end - n, rows] + self.scores[pieces])
@@ -87,8 +103,10 @@ class Lattice:
         """Natural-log probability of each of the equally long words."""
         return self._forward(words, self._found(words))[-1] + self.stop
 
-    def expect(self, words: np.ndarray, into: np.ndarray) -> None:
-        """Add the expected uses of each piece, one for each word and segmentation."""
+    def expect(self, words: np.ndarray, into: np.ndarray, times: np.ndarray | None = None) -> None:
+        """Add the expected uses of each piece over all segmentations, each word
+        as many ``times`` as it is used, or once."""
+        times = np.ones(len(words)) if times is None else times
         found = self._found(words)
         alpha = self._forward(words, found)
         width, whole = words.shape[1], alpha[-1]
@@ -96,12 +114,12 @@ class Lattice:
         beta[width] = 0
         for start in range(width - 1, -1, -1):
             here = beta[start]
-            for n in range(1, min(WIDTH, width - start) + 1):
+            for n in self.lengths:
                 if (start + n, n) in found:
                     rows, pieces = found[start + n, n]
                     step = self.scores[pieces] + beta[start + n, rows]
                     here[rows] = np.logaddexp(here[rows], step)
-                    np.add.at(into, pieces, np.exp(alpha[start, rows] + step - whole[rows]))
+                    np.add.at(into, pieces, times[rows] * np.exp(alpha[start, rows] + step - whole[rows]))
 
 
 def _by_length(words: list[bytes]) -> Iterator[tuple[list[int], np.ndarray]]:
@@ -143,8 +161,9 @@ def _expecting(pieces: list[bytes], model: Callable[[], tuple[np.ndarray, float]
     def run(batches):
         lattice, into = Lattice(pieces, *model()), np.zeros(len(pieces))
         for b in batches:
-            for _, rows in _by_length(b.column("word").to_pylist()):
-                lattice.expect(rows, into)
+            times = b.column("c").to_numpy(zero_copy_only=False).astype(float)
+            for at, rows in _by_length(b.column("word").to_pylist()):
+                lattice.expect(rows, into, times[at])
         used = np.flatnonzero(into)
         yield batch(_EXPECTED, used, into[used])
 
@@ -217,6 +236,7 @@ def score_documents(
         total = counts.agg(
             F.coalesce(F.sum("c"), F.lit(0)).alias("n"),
             F.count_if(seen).alias("v"),
+            F.coalesce(F.sum(F.when(words, F.col("c"))), F.lit(0)).alias("words"),
         ).first()
         pieces = vocabulary(vocabulary_path)
         prior = 1 / np.arange(1, len(pieces) + 1)
@@ -227,14 +247,14 @@ def score_documents(
             expected = np.full(len(pieces), 1e-3)
             # At most one row a piece of the vocabulary comes back.
             for row in (
-                types.select("word")
+                types.select("word", "c")
                 .mapInArrow(_expecting(pieces, lambda m=model: m.value), "piece int, weight double")
                 .groupBy("piece")
                 .agg(F.sum("weight").alias("weight"))
                 .collect()
             ):
                 expected[row["piece"]] += row["weight"]
-            ends = total["v"] + 1
+            ends = total["words"] + 1
             whole = expected.sum() + ends
             scores, stop = np.log(expected / whole), log(ends / whole)
         model = spark.sparkContext.broadcast((scores, stop))
