@@ -88,3 +88,19 @@ def test_a_window_is_filled_by_the_seeds_neighbours():
     windows, rest = packer.shard(docs, True)
     assert len(windows) == 4 and not rest
     assert [{key % 4 for (key, _), _, _ in w} for w in windows] == [{0}, {1}, {2}, {3}]
+
+
+def test_like_documents_far_apart_in_lexical_order_meet(spark):
+    rng = np.random.default_rng(3)
+    letters = np.array(list("abcdefghijklmnopqrstuvwxyz"))
+    word = lambda: "".join(rng.choice(letters, 7))
+    docs = []
+    for pair in range(700):
+        shared = [word() for _ in range(6)]
+        # Words of their own give the two other keys.
+        docs += [(2 * pair + k, " ".join([*(word() for _ in range(12)), *shared])) for k in (0, 1)]
+    rows = packing.pack(spark.createDataFrame(docs, "doc_id long, text string"), PATH, ["doc_id"], window=128).collect()
+    held = defaultdict(set)
+    for r in rows:
+        held[r["doc_id"]].add(r["sequence_id"])
+    assert sum(bool(held[2 * p] & held[2 * p + 1]) for p in range(700)) > 0.5 * 700

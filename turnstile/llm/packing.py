@@ -22,8 +22,8 @@ from pyspark.sql import functions as F
 
 from turnstile.llm.shared import batch, scratch, stored
 
-#: Documents of a shard's index.
-SHARD = 512
+#: Tokens of a shard's index: some hundred megabytes while it is built.
+SHARD = 4 << 20
 K1, B = 1.2, 0.75
 # Fixed value: how a byte-level BPE of this family cuts a text before merging.
 CUTS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
@@ -204,7 +204,7 @@ class Packer:
 def _packing(shared: Callable[[], tuple], kind: str, window: int, schema: pa.Schema) -> Callable:
     def run(batches):
         packer = Packer(*shared(), window)
-        sequence, held, full = TaskContext.get().partitionId() << 40, [], SHARD
+        sequence, held, tokens, full = TaskContext.get().partitionId() << 40, [], 0, SHARD
         names = schema.names[:-6]
 
         def emit(windows):
@@ -227,9 +227,11 @@ def _packing(shared: Callable[[], tuple], kind: str, window: int, schema: pa.Sch
         for b in batches:
             for piece in pieces(b):
                 held.append(piece)
-                if len(held) >= full:
+                tokens += len(piece[2])
+                if tokens >= full:
                     windows, held = packer.shard(held, False)
-                    full = len(held) + SHARD
+                    tokens = sum(len(ids) for _, _, ids in held)
+                    full = tokens + SHARD
                     if out := emit(windows):
                         yield out
         if held and (out := emit(packer.shard(held, True)[0])):
@@ -276,8 +278,8 @@ def pack(
             df[token] = n
         idf = np.log1p((totals["n"] - df + 0.5) / (df + 0.5))
         shared = spark.sparkContext.broadcast((idf, max(1.0, totals["tokens"] / max(1, totals["n"]))))
-        # As many tasks as the session asks for, but none of less than some shards.
-        tasks = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), totals["n"] // (2 * SHARD)), totals["tokens"] // (64 << 20))
+        # As many tasks as the session asks for, but none of less than a shard.
+        tasks = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), totals["tokens"] // SHARD), totals["tokens"] // (64 << 20))
         order = ["key_one", "key_two", "number"]
         dealt = rests.select(*keep, "doc_tokens", "start", "ids", *order).repartitionByRange(tasks, *order).sortWithinPartitions(*order)
         packed = dealt.mapInArrow(_packing(lambda: shared.value, kind, window, to_arrow_schema(out_type)), out_type)
