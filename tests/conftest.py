@@ -38,7 +38,3 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     yield
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
-
-
-def rows(df):
-    return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple(map(str, r)))

@@ -8,6 +8,7 @@ from turnstile.operators.checks import (
     nonempty,
     not_null,
     related,
+    related_through,
     run_checks,
     unique,
 )
@@ -51,6 +52,20 @@ def test_pairs_as_relationship(frame):
     }
 
 
+def test_agreement_of_the_events_organizer(frame):
+    """The organizer of the event decides, not the sale's own; direct sales fail; an unknown event is skipped."""
+    sales = frame(
+        "event_id string, organizer_id string, reseller_id string",
+        ("e1", "o2", "r1"), ("e1", "o1", "r1"), ("e2", "o1", "r1"), ("e1", "o1", None), ("e9", "o1", "r1"), ("e3", "o1", "r1"),
+    )
+    tables = {
+        "s": sales, "e": frame("event_id string, organizer_id string", ("e1", "o1"), ("e2", "o2"), ("e3", None)),
+        "a": frame("organizer_id string, reseller_id string", ("o1", "r1"), ("o1", "r1"), (None, "r1"), ("o1", None)),
+    }
+    got = failures(tables, related_through("s", "event_id", "e", "organizer_id", "reseller_id", "a"))
+    assert got == {("s", "relationships(e.organizer_id, reseller_id -> a)"): 3}
+
+
 def test_planted_defects(spark):
     """300 bad quantities, 300 bad prices, 200 bad channels, 200 bad totals."""
     sales = spark.range(100_000).selectExpr(

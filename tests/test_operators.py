@@ -2,7 +2,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from helpers import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 

@@ -18,7 +18,7 @@ from .joins import (
     name_join,
 )
 from .latest import latest_by
-from .orphans import orphan_count, orphan_rows
+from .orphans import orphan_count, orphan_rows, unrelated_pairs
 from .rejects import split_rejects
 from .shape import (
     add_missing_columns,
@@ -37,5 +37,5 @@ __all__ = [
     "hot_tokens", "incremental_rows",
     "labelled_counts", "latest_by", "lookup_join", "merge_conflicts",
     "name_join", "orphan_count", "orphan_rows", "reconcile", "rename_columns",
-    "split_rejects", "stamp", "stamp_file", "top_k", "top_k_per", "totals",
+    "split_rejects", "stamp", "stamp_file", "top_k", "top_k_per", "totals", "unrelated_pairs",
 ]

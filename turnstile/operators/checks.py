@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .joins import lookup_join
+from .orphans import unrelated_pairs
 
 
 @dataclass(frozen=True)
@@ -28,6 +29,8 @@ class Check:
     parent: str = ""
     parent_columns: tuple[str, ...] = ()
     nulls: bool = False
+    via: str = ""
+    key: str = ""
 
 
 def bad_rows(name: str, table: str, condition: str) -> Check:
@@ -72,6 +75,15 @@ def related(
     return Check(name, table, "related", "", c, parent, p, nulls)
 
 
+def related_through(
+    table: str, key: str, via: str, owner: str, other: str, parent: str
+) -> Check:
+    """Every row's pair of the ``owner`` that its ``key`` has in ``via`` and its own
+    ``other`` is in the parent; a null ``other`` is not."""
+    name = f"relationships({via}.{owner}, {other} -> {parent})"
+    return Check(name, table, "through", "", (owner, other), parent, (owner, other), True, via, key)
+
+
 def _line(check: Check, failed: Column) -> Column:
     return F.struct(
         F.lit(check.name).alias("check_name"),
@@ -111,6 +123,16 @@ def _related(df: DataFrame, parent: DataFrame, check: Check) -> DataFrame:
     return failed.select(_line(check, F.col("failed")).alias("l")).select("l.*")
 
 
+def _through(tables: Mapping[str, DataFrame], check: Check) -> DataFrame:
+    owner, other = check.columns
+    lost = unrelated_pairs(
+        tables[check.table], tables[check.via], check.key, owner, other,
+        tables[check.parent], check.parent_columns,
+    )
+    failed = lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("failed"))
+    return failed.select(_line(check, F.col("failed")).alias("l")).select("l.*")
+
+
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
     """One row per check: name, table, PASS or FAIL, number of failures."""
     single = defaultdict(list)
@@ -120,6 +142,8 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
             single[c.table].append(c)
         elif c.kind == "unique":
             results.append(_unique(tables[c.table], c))
+        elif c.kind == "through":
+            results.append(_through(tables, c))
         else:
             results.append(_related(tables[c.table], tables[c.parent], c))
     results += [_one_pass(tables[t], cs) for t, cs in single.items()]

@@ -39,3 +39,27 @@ def orphan_rows(
     return lookup_join(
         child.dropna(subset=list(on)), parent, on, "left_anti", None, spread, hot
     )
+
+
+def unrelated_pairs(
+    child: DataFrame,
+    via: DataFrame,
+    key: str,
+    owner: str,
+    other: str,
+    parent: DataFrame,
+    parent_on: tuple[str, str] | None = None,
+    name: str = "n",
+) -> DataFrame:
+    """Pairs (``owner``, ``other``) that occur in ``child`` and not in ``parent``,
+    with the number of child rows.
+
+    The owner is not the child's own column but that of the row of ``via`` its
+    ``key`` points to; a key unknown there is another check's affair. A null in a
+    pair is in no parent.
+    """
+    mine, theirs = parent_on or (owner, other)
+    per_key = child.groupBy(key, other).agg(F.count("*").alias(name))
+    owned = lookup_join(per_key, via.select(key, owner), {key: key}, "inner")
+    pairs = owned.groupBy(owner, other).agg(F.sum(name).alias(name))
+    return lookup_join(pairs, parent, {owner: mine, other: theirs}, "left_anti")

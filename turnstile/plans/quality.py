@@ -18,6 +18,7 @@ from ..operators.checks import (
     nonempty,
     not_null,
     related,
+    related_through,
     unique,
 )
 
@@ -139,9 +140,10 @@ def source_checks(start: str = RANGE_START, end: str = RANGE_END) -> list[Check]
         related(sales, "event_id", "events", "event_id", True),
         related(sales, "customer_id", "customers", "customer_id", True),
         related(sales, "reseller_id", "resellers", "reseller_id", True),
-        # A reseller sells only for organizers it has an agreement with.
-        related(sales, ("organizer_id", "reseller_id"),
-                "commission_agreements", ("organizer_id", "reseller_id")),
+        # A reseller sells only for organizers it has an agreement with. The organizer
+        # is the event's, and a sale without reseller has no agreement.
+        related_through(sales, "event_id", "events", "organizer_id", "reseller_id",
+                        "commission_agreements"),
         bad_rows("event_date_range", "events",
                  f"event_date < DATE'{start}' OR event_date > DATE'{end}'"),
         bad_rows("purchase_date_range", sales,

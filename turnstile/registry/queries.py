@@ -34,6 +34,7 @@ from ..operators import (
     stamp,
     top_k,
     totals,
+    unrelated_pairs,
 )
 from ..operators.checks import (
     ChecksFailed,
@@ -657,15 +658,12 @@ def _(d):
 
 
 def _sale_pairs(d):
-    """Sales counted per organizer of the event and reseller."""
+    """Sales counted per organizer of the event and reseller, without agreement."""
     s = staged(d)
-    per_key = totals(s["ticket_sales"], ["event_id", "reseller_id"], {"n": F.count("*")})
-    owned = lookup_join(
-        per_key, s["events"].select("event_id", "organizer_id"), {"event_id": "event_id"}, "inner"
+    return unrelated_pairs(
+        s["ticket_sales"], s["events"], "event_id", "organizer_id", "reseller_id",
+        s["commission_agreements"],
     )
-    pairs = totals(owned, ["organizer_id", "reseller_id"], {"n": F.sum("n")})
-    on = {"organizer_id": "organizer_id", "reseller_id": "reseller_id"}
-    return lookup_join(pairs, s["commission_agreements"], on, "left_anti")
 
 
 @query("j10_sales_without_agreement")
