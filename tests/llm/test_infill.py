@@ -1,0 +1,106 @@
+import hashlib
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from turnstile.llm import infill
+from turnstile.llm.queries import op11_infill, oracle_sql
+
+TEXTS = st.text(st.sampled_from("ab\n\né日😀<P>SM \r"), max_size=40)
+
+
+def reference(text, doc_id, seed=7, rate=100, spm=50):
+    """(n, form, prefix, middle, output), written from the rule on strings."""
+    text = text or ""
+    lines = re.findall(r"[^\n]*\n|[^\n]+", text)
+    h = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[i : i + 8], 16) for i in (0, 8, 16, 24))
+    n = len(lines)
+    a, b = sorted((h1 % (n + 1), h2 % (n + 1)))
+    p, m, s = ("".join(x) for x in (lines[:a], lines[a:b], lines[b:]))
+    if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h3 % 100 >= rate:
+        return n, "plain", None, None, text
+    if h4 % 100 < spm:
+        return n, "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return n, "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+@settings(max_examples=300, deadline=None)
+@given(TEXTS, st.integers(0, 10**6), st.integers(0, 100), st.integers(0, 100))
+def test_pieces_follow_the_rule_and_come_back(text, key, rate, spm):
+    buffer = memoryview(text.encode())
+    n, form, table = infill.infilled(buffer, str(key), 7, rate, spm)
+    want = reference(text, key, 7, rate, spm)
+    output = table.materialised()
+    assert (n, form, output.decode()) == (want[0], want[1], want[4])
+    assert table.sha256() == sha(want[4])
+    again = infill.parsed(memoryview(output), form)
+    back = again if form == "plain" else again.restored(infill.FORMS[form])
+    assert back.materialised() == bytes(buffer)
+    # Nothing is copied: text descriptors cover the buffer once.
+    covered = sorted((i, j) for b, i, j in table.pieces if b == infill.TEXT)
+    assert covered[0][0] == 0 and covered[-1][1] == len(buffer) and all(x[1] == y[0] for x, y in zip(covered, covered[1:]))
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.binary(max_size=30), st.lists(st.integers(0, 30), max_size=5))
+def test_cutting_keeps_the_bytes(data, places):
+    places = sorted(min(p, len(data)) for p in places)
+    table = infill.PieceTable.of(memoryview(data)).cut(places)
+    assert table.materialised() == data and len(table.pieces) == len(places) + 1
+    # A second cut splits pieces of the first.
+    assert table.cut(places).materialised() == data
+
+
+def test_an_output_of_another_form_is_an_error():
+    for output in (b"<P>a<M>b<S>c", b"x<P>a<S>b<M>c", b"abc"):
+        with pytest.raises(ValueError):
+            infill.parsed(memoryview(output), "psm")
+
+
+def test_whole_table_against_the_rule(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()}
+    got = {r.doc_id: r for r in op11_infill(spark, folder).collect()}
+    assert got.keys() == docs.keys()
+    for i, text in docs.items():
+        n, form, p, m, output = reference(text, i)
+        r = got[i]
+        assert (r.n, r.form, r.prefix_chars, r.middle_chars) == (n, form, p, m)
+        assert (r.output_sha256, r.restored_sha256) == (sha(output), sha(text or ""))
+    assert {r.form for r in got.values()} >= {"psm", "spm"}
+    assert "op11_infill" in oracle_sql()
+
+
+def test_odd_rows(spark):
+    """Nulls, empty texts, sentinels, repeats, clashing names, a long text of one line and of a million."""
+    long, many = "x" * 8_000_000 + "é", "a\n" * 1_000_000
+    rows = [(1, "a\nb\nc", "u"), (1, "a\nb\nc", "u"), (2, None, None), (3, "", "u"), (4, "a <M> b", "u"), (None, "x\ny", "u"), (5, "\n\n", "u"), (6, long, "u"), (7, many, "u"), (8, "no end", "u")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, form string")
+    made = infill.fill_in_middle(docs, ["doc_id", "text", "form"])
+    assert made.columns == ["doc_id", "text", "n", "form", "prefix_chars", "middle_chars", "pieces", "output", "output_sha256"]
+    for r in infill.restore(made, [*made.columns]).collect():
+        n, form, p, m, output = reference(r.text, r.doc_id)
+        assert (r.n, r.form, r.prefix_chars, r.middle_chars, r.output) == (n, form, p, m, output)
+        assert r.restored == (r.text or "") and r.restored_sha256 == sha(r.restored) and r.output_sha256 == sha(output)
+        own = (r.text or "").encode()
+        described = b"".join((own if x.buffer == "text" else b"<P><M><S>")[x.start : x.start + x.length] for x in r.pieces)
+        assert described.decode() == output
+    assert made.count() == len(rows)
+    assert infill.fill_in_middle(docs.limit(0), ["doc_id"]).collect() == []
+    none = infill.restore(spark.createDataFrame([(None, "psm"), ("x", None)], "output string, form string"), ["form"])
+    assert none.where(F.col("restored").isNotNull()).isEmpty()
+
+
+def test_rate_and_share(spark):
+    docs = spark.range(2_000).select(F.col("id").alias("doc_id"), F.lit("a\nb\n").alias("text"))
+    got = infill.fill_in_middle(docs, ["doc_id"], rate=60, spm=0, output=False).groupBy("form").count().collect()
+    count = {r.form: r["count"] for r in got}
+    assert count.keys() == {"plain", "psm"} and abs(count["psm"] - 1200) < 100

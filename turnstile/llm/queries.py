@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstile.llm import language, leaks, lines, nearest, neardup, packing, quotes, scoring, sharding, toxicity
+from turnstile.llm import infill, language, leaks, lines, nearest, neardup, packing, quotes, scoring, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,6 +69,12 @@ def op10_quotation_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.reply_order(_table(spark, sf_dir, "conversations"))
 
 
+def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = infill.fill_in_middle(_table(spark, sf_dir, "documents"), ["doc_id"])
+    columns = ["doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256"]
+    return infill.restore(made, columns).drop("restored")
+
+
 _ALL = (
     op1_lm_scoring,
     op2_toxicity,
@@ -80,6 +86,7 @@ _ALL = (
     op8_benchmark_leaks,
     op9_language_mixture,
     op10_quotation_linking,
+    op11_infill,
 )
 
 
@@ -87,5 +94,35 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in _ALL}
 
 
+OP11_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || doc_id::VARCHAR) AS h,
+    regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS l
+  FROM documents
+), drawn AS (
+  SELECT doc_id, text, l, len(l) AS n,
+    ('0x' || h[1:8])::BIGINT % (len(l) + 1) AS a, ('0x' || h[9:16])::BIGINT % (len(l) + 1) AS b,
+    ('0x' || h[17:24])::BIGINT % 100 AS c, ('0x' || h[25:32])::BIGINT % 100 AS d
+  FROM lines
+), cut AS (
+  SELECT doc_id, text, n,
+    array_to_string(l[1:least(a, b)], '') AS prefix,
+    array_to_string(l[least(a, b) + 1:greatest(a, b)], '') AS middle,
+    array_to_string(l[greatest(a, b) + 1:], '') AS suffix,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+        OR c >= 100 THEN 'plain' WHEN d < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+)
+SELECT doc_id, n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text
+    WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cut
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op11_infill": OP11_SQL}
