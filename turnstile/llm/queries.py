@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstile.llm import infill, language, leaks, lines, nearest, neardup, packing, quotes, scoring, sharding, toxicity
+from turnstile.llm import infill, language, leaks, lines, nearest, neardup, packing, quality, quotes, scoring, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,6 +75,12 @@ def op11_infill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return infill.restore(made, columns).drop("restored")
 
 
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", _fold(3, 1).alias("held_out"))
+    labels = _table(spark, sf_dir, "labels").where(~_fold(3, 1))
+    return quality.score_quality(docs, labels, ["doc_id", "held_out"])
+
+
 _ALL = (
     op1_lm_scoring,
     op2_toxicity,
@@ -87,6 +93,7 @@ _ALL = (
     op9_language_mixture,
     op10_quotation_linking,
     op11_infill,
+    op12_quality,
 )
 
 

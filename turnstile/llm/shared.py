@@ -78,12 +78,12 @@ def _powers(base: int, n: int, _held: dict = {}) -> np.ndarray:  # noqa: B006
     return held[:n]
 
 
-def _hashed(texts: list[bytes], apart: np.ndarray) -> list[np.ndarray]:
+def _hashed(texts: list[bytes], kinds: np.ndarray) -> list[np.ndarray]:
     sizes = np.array([len(t) + 1 for t in texts])
     data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
-    inside = ~apart[data]
-    change = np.diff(inside.astype(np.int8), prepend=0)
-    start, end = np.flatnonzero(change == 1), np.flatnonzero(change == -1)
+    kind = kinds[data]
+    change = np.flatnonzero(np.diff(kind, prepend=np.int8(0)))
+    start, end = change[kind[change] > 0], change[kind[change - 1] > 0] if len(change) else change
     # Sums of a polynomial over the bytes so far; a word's part of them, moved to
     # its own start, does not depend on where the word stands.
     sums = np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_BASE, len(data)))
@@ -97,12 +97,19 @@ def _hashed(texts: list[bytes], apart: np.ndarray) -> list[np.ndarray]:
 def word_hashes(column: pa.Array, apart: np.ndarray) -> Iterator[np.ndarray]:
     """64-bit hashes of the lower-cased words of each text, null as empty.
     ``apart``: the bytes between words; white space must be among them."""
+    return token_hashes(column, (~apart).astype(np.int8))
+
+
+def token_hashes(column: pa.Array, kinds: np.ndarray) -> Iterator[np.ndarray]:
+    """64-bit hashes of the tokens of each lower-cased text, null as empty: longest
+    stretches of bytes of one kind. ``kinds``: of each byte, 0 for those between
+    tokens; white space must be among them."""
     block, size = [], 0
     for text in raw(pc.utf8_lower(column)):
         block.append(text or b"")
         size += len(block[-1]) + 1
         if size >= _BLOCK:
-            yield from _hashed(block, apart)
+            yield from _hashed(block, kinds)
             block, size = [], 0
     if block:
-        yield from _hashed(block, apart)
+        yield from _hashed(block, kinds)
