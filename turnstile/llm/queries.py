@@ -5,7 +5,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from turnstile.llm import infill, language, leaks, lines, nearest, neardup, packing, quality, quotes, scoring, sharding, toxicity
+from turnstile.llm import hardneg, infill, language, leaks, lines, nearest, neardup, packing, quality, quotes, scoring, sharding, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +81,12 @@ def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(docs, labels, ["doc_id", "held_out"])
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.hard_negatives(vectors.withColumns({"label": moved, "anchor": F.col("vec_id") % 100 == 0}), "anchor")
+
+
 _ALL = (
     op1_lm_scoring,
     op2_toxicity,
@@ -94,6 +100,7 @@ _ALL = (
     op10_quotation_linking,
     op11_infill,
     op12_quality,
+    op13_hard_negatives,
 )
 
 
@@ -131,5 +138,29 @@ FROM cut
 """
 
 
+OP13_SQL = """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    [floor(256 * x::DOUBLE) FOR x IN embedding] AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id, a.label = r.label AS same,
+    list_inner_product(a.v, r.v)::BIGINT AS score
+  FROM rows a JOIN rows r ON a.vec_id % 100 = 0 AND a.vec_id <> r.vec_id
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+  row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op11_infill": OP11_SQL}
+    return {"op11_infill": OP11_SQL, "op13_hard_negatives": OP13_SQL}
