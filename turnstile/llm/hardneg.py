@@ -142,7 +142,9 @@ class Best:
     def need(self, at=slice(None)) -> tuple[np.ndarray, np.ndarray]:
         """What a score must reach, and must not pass, to be of use in any window."""
         least = np.maximum(self.low[at], self.scores[at][:, :, -1]).astype(float)
-        return np.where(self.open[at], least, np.inf).min(axis=1, initial=np.inf), np.where(self.open[at], self.high[at], -np.inf).max(axis=1, initial=-np.inf)
+        # The greatest long stands for all that is beyond it, which bounds may show.
+        most = np.where(self.high[at] == LONG.max, np.inf, self.high[at])
+        return np.where(self.open[at], least, np.inf).min(axis=1, initial=np.inf), np.where(self.open[at], most, -np.inf).max(axis=1, initial=-np.inf)
 
     def look(self, rows: Rows) -> None:
         top, low = chunk_bounds(self.anchors, rows)
