@@ -1,43 +1,71 @@
 import re
+import time
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
-from turnstile.llm import lines
+from turnstile.llm import lines, shared
 
 LONG = "one two three four five six seven eight nine ten eleven twelve thirteen fourteen"
 
 
-def plain(docs, min_tokens=5, merge=12, short=20, leading=3):
-    """The operator in plain Python; docs: (id, text)."""
-    mask = re.compile(r"^(?:\S*\d\S*|https?://\S+|www\.\S+|\S+@\S+\.\S+)$")
-    held = defaultdict(set)
-    parts = {}
-    for d, text in set(docs):
-        for at, line in enumerate((text or "").split("\n")):
-            tokens = tuple(lines.WILDCARD if mask.match(t) else t for t in line.split())
-            if not tokens:
-                continue
-            leaf = (len(tokens), tokens[:leading])
-            own = [("whole", leaf, tokens)]
-            for odd in (0, 1):
-                half = tokens[odd::2]
-                if len(tokens) >= merge and sum(t != lines.WILDCARD for t in half) * 2 >= merge - 2:
-                    own.append((odd, leaf, half))
-            parts[d, text, at] = own
-            for t in own:
-                held[t].add((d, text))
+MASK = re.compile(r"(?:\S*\d\S*|https?://\S+|www\.\S+|\S+@\S+\.\S+)", re.S)
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff]")
+
+
+def similar(a, b, least=0.5):
+    same = [x for x, y in zip(a, b, strict=True) if x == y]
+    return len(same) >= least * len(a) and sum(x != lines.WILDCARD for x in same) >= 3
+
+
+def plain(docs, min_tokens=5, leading=3):
+    """The operator in plain Python, by a search of all pairs; docs: (id, text)."""
+    order = sorted(set(docs), key=lambda d: (d[0] is None, d[0] or 0, d[1] or ""))
+    rank = {d: i for i, d in enumerate(order)}
+    held, leaves, parsed = defaultdict(set), defaultdict(set), {}
+    for d in order:
+        rows = []
+        for at, line in enumerate((d[1] or "").split("\n")):
+            tokens = tuple(lines.WILDCARD if MASK.fullmatch(t) else t for t in line.split())
+            if tokens:
+                rows.append((at, tokens, max(len(tokens), len(UNSPACED.findall(line)))))
+                held[tokens].add(rank[d])
+                if rows[-1][2] >= min_tokens:
+                    leaves[len(tokens), tokens[:leading]].add(tokens)
+        parsed[rank[d]] = rows
+    first = {t: min(r) for t, r in held.items()}
+    recurs = {t for t, r in held.items() if len(r) > 1}
+    like = dict(first)
+    for leaf in leaves.values():
+        for t in leaf:
+            like[t] = min([first[t], *(first[u] for u in leaf if u != t and first[u] < first[t] and similar(t, u))])
+    runs = defaultdict(list)
+    for r, rows in parsed.items():
+        for k, (_, tokens, weight) in enumerate(rows):
+            for step in (1, -1):
+                part, total = [], 0
+                while 0 <= k + step * len(part) < len(rows) and total < min_tokens and len(part) < min_tokens:
+                    row = rows[k + step * len(part)]
+                    if row[1] not in recurs:
+                        break
+                    part.append(row)
+                    total += row[2]
+                if weight < min_tokens <= total:
+                    key = tuple(x[1] for x in part[::step])
+                    runs[key].append((r, [at for at, _, w in part if w < min_tokens]))
+    gone = defaultdict(set)
+    for r, rows in parsed.items():
+        gone[r] |= {at for at, t, w in rows if w >= min_tokens and like[t] < r}
+    for found in runs.values():
+        least = min(r for r, _ in found)
+        for r, places in found:
+            if r > least:
+                gone[r] |= set(places)
     out = []
-    for d, text in docs:
-        kept = []
-        for at, line in enumerate((text or "").split("\n")):
-            gone = False
-            for t in parts.get((d, text, at), []):
-                many = len(held[t]) >= (2 if t[1][0] >= min_tokens else short)
-                gone |= many and min(x for x, _ in held[t]) < d
-            if not gone:
-                kept.append(line)
-        out.append((d, None if text is None else "\n".join(kept)))
+    for d in docs:
+        left = [line for at, line in enumerate((d[1] or "").split("\n")) if at not in gone[rank[d]]]
+        out.append((d[0], None if d[1] is None else "\n".join(left)))
     return sorted(out, key=str)
 
 
@@ -46,11 +74,43 @@ def run(spark, docs, **more):
     return lines.drop_recurring_lines(df, length="n_chars", **more)
 
 
-def test_matches_plain_python_on_the_small_table(spark):
-    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+@pytest.mark.parametrize("folder", ["sf0.001", "sf0.01"])
+def test_equals_a_search_of_all_pairs(spark, folder):
+    """With the parameters that the query and the pipeline use."""
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"/root/testdata/{folder}/documents.parquet").collect()]
     got = run(spark, docs).collect()
     assert sorted(((r["doc_id"], r["text"]) for r in got), key=str) == plain(docs)
     assert all(r["n_chars"] == len(r["text"]) for r in got if r["lines_dropped"])
+    assert sum(r["lines_dropped"] for r in got) > 0
+
+
+def test_a_line_left_by_the_earliest_meets_the_next(spark):
+    """The first line of a part is like none; two behind it are like each other."""
+    words = LONG.split()
+    first = " ".join(words[:5] + [f"x{c}" for c in "abcdefghi"])
+    one = " ".join(words[:5] + [f"y{c}" for c in "abcdefghi"])
+    two = " ".join(words[:5] + [f"y{c}" for c in "abcdef"] + ["za", "zb", "zc"])
+    docs = [(1, first), (2, one), (3, two)]
+    assert {r["doc_id"]: r["text"] for r in run(spark, docs).collect()} == dict(plain(docs)) == {1: first, 2: one, 3: ""}
+
+
+def test_marks_of_a_word_cost_time_in_proportion(spark):
+    """A megabyte of signs that could start an address, as one token."""
+    texts = ["@" * 1_000_000, "a@" * 500_000, "a@b." + "." * 1_000_000, "x" * 4_000_000]
+    start = time.time()
+    got = {r["doc_id"]: r for r in run(spark, list(enumerate(texts))).collect()}
+    assert [got[i]["text"] for i in range(4)] == texts
+    assert time.time() - start < 60
+    start = time.time()
+    mask = spark.createDataFrame([(t,) for t in texts], "t string").select(F.size(lines.masked(F.col("t"))).alias("n"))
+    assert [r.n for r in mask.collect()] == [1] * 4
+    assert time.time() - start < 5
+
+
+@pytest.mark.parametrize("token", ["a@b.c", "@@b.c", "a@@.c", "a@.c", "@a.c", "a@b.", "a@b.c.", "a@b..", "é@ü.ß", "a@b", "x1", "http://x", "https://", "www.a", "www.", "-", "a.b@c"])
+def test_masked_tokens_are_those_of_the_plain_pattern(spark, token):
+    got = spark.createDataFrame([(token,)], "t string").select(lines.masked(F.col("t"))).first()[0]
+    assert got == [lines.WILDCARD if MASK.fullmatch(token) else token]
 
 
 def test_a_recurring_line_stays_in_its_first_document(spark):
@@ -73,11 +133,10 @@ def test_long_lines_with_other_words_at_some_places_are_one_template(spark):
 
 
 def test_short_lines_recur_by_chance(spark):
-    docs = [(k, f"The end.\nbody of {'abcdefghijklmnopqrstuvwxyz'[k]} alone here now") for k in range(25)]
-    few = run(spark, docs[:19]).collect()
-    assert all(r["lines_dropped"] == 0 for r in few)
-    many = run(spark, docs).collect()
-    assert sum(r["lines_dropped"] for r in many) == 24
+    """A short line alone stays, however many documents hold it and however many there are."""
+    for n in (19, 600):
+        docs = [(k, f"The end.\n{chr(97 + k % 26)}{k}x of it alone here now {'abcdefghijklmnopqrstuvwxyz'[k % 26] * (k // 26 + 1)}") for k in range(n)]
+        assert not any(r["text"].count("The end.") != 1 for r in run(spark, docs).collect())
 
 
 def test_nulls_blanks_repeats_and_names(spark):
@@ -95,40 +154,25 @@ def test_edits_at_both_parities_and_short_lines_with_a_name(spark):
     short = ["Photo taken by Anna in Ulm", "Photo taken by Bernd in Ulm"]
     far = "one two three " + " ".join(f"w{'abcdefghijk'[i]}" for i in range(11))
     docs = [(1, f"{LONG}\n{short[0]}"), (2, f"{edited}\nkept\n{short[1]}"), (3, far)]
-    got = {r["doc_id"]: r["text"] for r in run(spark, docs, similarity=0.5).collect()}
+    got = {r["doc_id"]: r["text"] for r in run(spark, docs).collect()}
     assert got == {1: f"{LONG}\n{short[0]}", 2: "kept", 3: far}
 
 
-def test_similar_lines_are_those_of_a_search_of_all_pairs(spark):
-    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()]
-    mask = re.compile(r"^(?:\S*\d\S*|https?://\S+|www\.\S+|\S+@\S+\.\S+)$")
-    leaves = defaultdict(list)
-    for d, text in docs:
-        for at, line in enumerate((text or "").split("\n")):
-            tokens = [lines.WILDCARD if mask.match(t) else t for t in line.split()]
-            if len(tokens) >= 5:
-                leaves[len(tokens), *tokens[:3]].append((d, at, tokens))
-    gone = defaultdict(set)
-    for leaf in leaves.values():
-        for d, at, tokens in leaf:
-            for e, _, other in leaf:
-                same = [x for x, y in zip(tokens, other, strict=True) if x == y]
-                if e < d and 2 * len(same) >= len(tokens) and sum(x != lines.WILDCARD for x in same) >= 3:
-                    gone[d].add(at)
-    left = {d: [line for at, line in enumerate((t or "").split("\n")) if at not in gone[d]] for d, t in docs}
-    got = {r["doc_id"]: (r["text"] or "").split("\n") for r in run(spark, docs, similarity=0.5).collect()}
-    long = lambda rows: [x for x in rows if len(x.split()) >= 5]
-    assert {d: long(x) for d, x in got.items()} == {d: long(x) for d, x in left.items()}
-
-
-def test_short_lines_go_by_their_neighbours_and_by_share(spark):
+def test_short_lines_go_by_their_neighbours(spark):
     song = "Row row\nrow your boat\n\nGently\ndown the stream\nMerrily"
     han = "今天天气很好"
     docs = [(1, f"Home\n{song}\n{han}"), (2, f"mine\n{song}\nown words\nIt."), (3, f"{han}\nother\ndown the stream"), (4, f"{LONG}\nRead on"), (5, f"{LONG}\nRead on")]
-    got = {r["doc_id"]: r["text"] for r in run(spark, docs, short_share=0.01).collect()}
-    assert got == {1: docs[0][1], 2: "mine\n\nown words\nIt.", 3: "other\ndown the stream", 4: docs[3][1], 5: ""}
-    # 25 of 3,000 documents are no template, 25 of 1,000 are one.
-    own = lambda k: f"w{chr(97 + k % 26)}" * (k // 26 + 1)
-    for n, gone in ((1000, 24), (3000, 0)):
-        many = [(k, f"It.\n{own(k)}" if k < 25 else own(k)) for k in range(n)]
-        assert sum(r["lines_dropped"] for r in run(spark, many, short_share=0.01).collect()) == gone
+    got = {r["doc_id"]: r["text"] for r in run(spark, docs).collect()}
+    assert got == dict(plain(docs)) == {1: docs[0][1], 2: "mine\n\nown words\nIt.", 3: "other\ndown the stream", 4: docs[3][1], 5: ""}
+
+
+def test_marks_let_all_that_match_pass(spark):
+    keys = spark.range(5_000).select((F.col("id") * 7).alias("k"))
+    rows = spark.range(60_000).select(F.col("id").alias("k"))
+    marks = shared.Marks(keys, "k")
+    within, others = marks.split(rows, F.col("k"))
+    inside = {r.k for r in within.collect()}
+    assert {k for k in range(60_000) if k % 7 == 0 and k < 35_000} <= inside and len(inside) < 5_600
+    assert others.count() == 60_000 - len(inside)
+    empty = shared.Marks(keys.limit(0), "k")
+    assert empty.within(rows, F.col("k")).count() == 0 and empty.split(rows, F.col("k"))[1].count() == 60_000

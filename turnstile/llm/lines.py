@@ -2,15 +2,15 @@
 
 A line's tokens are masked where they are variable by form (numbers, hex,
 addresses, links). The tree is of fixed depth: token count, then the leading
-tokens. In a leaf, long lines fall together if they agree on every token of the
-even or of the odd places, which is a similarity of one half or more; where they
-differ the template has a wildcard. With ``similarity`` lines of a leaf that share
-any of several parts are also held against the earliest line with that part,
-place by place. A template met in several documents stays in the first of them
-and its lines are dropped from the others.
-
-Only DataFrame functions. Lines are compared by 64-bit hashes; texts move once,
-to meet the places of their dropped lines.
+tokens. In a leaf, lines that share any of several parts are held place by place
+against the earliest line with that part; those that agree in enough places are
+one template, with wildcards where they differ. A template met in several
+documents stays in the first of them, its lines are dropped from the others. Short
+lines recur by chance; theirs go where they recur together with their neighbours.
+
+Only DataFrame functions. Lines are compared by 64-bit hashes. A bitmap of the keys
+that matter goes before each shuffle, so that only lines which may recur, and texts
+which may lose some, are moved.
 """
 
 from functools import reduce
@@ -18,12 +18,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from turnstile.llm.shared import Scratch, scratch, stored
+from turnstile.llm.shared import Marks, Scratch, scratch, stored
 
 #: What a mask makes of a variable token.
 WILDCARD = "<*>"
-#: Forms of variable tokens.
-_VARIABLE = r"^(?:\S*\d\S*|https?://\S+|www\.\S+|\S+@\S+\.\S+)$"
+#: Forms of variable tokens. The address is looked for behind the first @ alone, since a
+#: search behind each of many would take the square of their number.
+_VARIABLE = r"^(?:\S*\d\S*|https?://\S+|www\.\S+|\S[^@]*+@\S+\.\S+)$"
 
 
 def masked(line: Column) -> Column:
@@ -36,21 +37,6 @@ def masked(line: Column) -> Column:
     return F.when(some, F.transform(words, lambda w: F.regexp_replace(w, _VARIABLE, WILDCARD))).otherwise(words)
 
 
-def _templates(tokens: Column, leading: int, merge_tokens: int | None) -> Column:
-    """Hashes of the templates that the line belongs to: its own, and for one of
-    ``merge_tokens`` those with wildcards at the odd or at the even places."""
-    count = F.size(tokens)
-    leaf = lambda kind: (F.lit(kind), count, F.slice(tokens, 1, leading))
-    places = lambda odd: F.filter(tokens, lambda _, i: i % 2 == odd)
-    whole = F.xxhash64(*leaf("whole"), tokens)
-    if merge_tokens is None:
-        return F.array(whole)
-    # Every part must still tell something once its variable tokens are out.
-    telling = lambda odd: F.size(F.filter(places(odd), lambda t: t != WILDCARD)) * 2 >= merge_tokens - 2
-    part = lambda odd: F.when(telling(odd), F.xxhash64(*leaf(str(odd)), places(odd)))
-    return F.when(count >= merge_tokens, F.array_compact(F.array(whole, part(0), part(1)))).otherwise(F.array(whole))
-
-
 #: Classes of places, and contiguous segments, by which similar lines meet.
 _CLASSES, _SEGMENTS = (2, 3, 4), 8
 
@@ -69,41 +55,55 @@ def _parts(leaf: Column, cells: Column, leading: int) -> Column:
     return F.array_compact(F.array(*found))
 
 
+def _repeated(rows: DataFrame, group: str, value: str) -> DataFrame:
+    """Groups that hold more than one value; partial sums of two numbers a group."""
+    found = rows.groupBy(group).agg(F.min(value).alias("a"), F.max(value).alias("b"))
+    return found.where("a != b").select(group)
+
+
 def _similar(kept: Scratch, lines: DataFrame, leading: int, least: float) -> DataFrame:
-    """(template, first): whole lines that agree with one of an earlier document in
-    a share ``least`` of their places, three of them no wildcards, and that document.
+    """(whole, first): lines that agree with one of an earlier document in a share
+    ``least`` of their places, three of them no wildcards, and that document.
 
-    Lines meet the earliest line of each part, so no two rows of a large group are paired.
+    Lines meet the earliest line of each part, so no two rows of a large group are
+    paired. What found none meets the earliest of those that are left, and so on
+    until a round links no line.
     """
-    own = lines.where("long").select("leaf", F.element_at("templates", 1).alias("whole"), "doc", "cells")
-    shared = own.groupBy("leaf").agg(F.min("whole").alias("a"), F.max("whole").alias("b")).where("a != b").select("leaf")
+    own = lines.where("long").select("leaf", "whole", "doc", "cells")
+    shared = kept.stored(_repeated(own, "leaf", "whole"), "shared-leaves")
     near = kept.stored(
-        own.join(shared, "leaf", "left_semi").groupBy("leaf", "whole").agg(F.min("doc").alias("first"), F.first("cells").alias("cells")),
+        Marks(shared, "leaf").within(own, F.col("leaf")).groupBy("leaf", "whole").agg(F.min("doc").alias("first"), F.first("cells").alias("cells")),
         "lines-of-shared-leaves",
     )
     parts = near.select("whole", "first", F.explode(_parts(F.col("leaf"), F.col("cells"), leading)).alias("part"))
-    earliest = (
-        parts.groupBy("part")
-        .agg(F.min(F.struct("first", "whole")).alias("rep"), F.min("whole").alias("a"), F.max("whole").alias("b"))
-        .where("a != b")
-        .select("part", "rep")
-    )
-    pairs = (
-        parts.join(earliest, "part")
-        .where(F.col("rep.first") < F.col("first"))
-        .select("whole", F.col("rep.whole").alias("other"), F.col("rep.first").alias("earlier"))
-        .distinct()
-    )
+    common = kept.stored(_repeated(parts, "part", "whole"), "shared-parts")
+    left = kept.stored(Marks(common, "part").within(parts, F.col("part")), "parts")
+    cells, linked = near.select("whole", "cells"), None
     same = F.zip_with("cells", "others", lambda x, y: F.when(x == y, x))
     agreeing = F.filter(same, lambda x: x.isNotNull())
     telling = F.filter(agreeing, lambda x: x != F.hash(F.lit(WILDCARD)))
-    return (
-        pairs.join(near.select("whole", "cells"), "whole")
-        .join(near.select(F.col("whole").alias("other"), F.col("cells").alias("others")), "other")
-        .where((F.size(agreeing) >= F.size("cells") * F.lit(least)) & (F.size(telling) >= 3))
-        .groupBy(F.col("whole").alias("template"))
-        .agg(F.min("earlier").alias("first"))
-    )
+    while True:
+        earliest = left.groupBy("part").agg(F.min(F.struct("first", "whole")).alias("rep"))
+        met = left.join(earliest, "part").withColumn("leads", F.col("rep.whole") == F.col("whole"))
+        pairs = kept.stored(
+            met.where(F.col("rep.first") < F.col("first")).select("whole", F.col("rep.whole").alias("other"), F.col("rep.first").alias("earlier")).distinct(),
+            "pairs",
+        )
+        mine, theirs = (Marks(pairs.select(c).distinct(), c).within(cells, F.col("whole")) for c in ("whole", "other"))
+        found = kept.stored(
+            pairs.join(mine, "whole")
+            .join(theirs.select(F.col("whole").alias("other"), F.col("cells").alias("others")), "other")
+            .where((F.size(agreeing) >= F.size("cells") * F.lit(least)) & (F.size(telling) >= 3))
+            .groupBy("whole")
+            .agg(F.min("earlier").alias("first")),
+            "linked",
+        )
+        linked = found if linked is None else linked.unionByName(found)
+        if not found.limit(1).count():
+            return linked
+        # Neither a line that is linked nor one that led is met in its part again.
+        again = met.where(~F.col("leads") & (F.col("rep.first") < F.col("first"))).select("whole", "first", "part").join(found.select("whole"), "whole", "left_anti")
+        left = kept.stored(again, "parts-left")
 
 
 #: Letters of scripts that put no spaces between words; each counts as a token.
@@ -117,13 +117,13 @@ def _weight(line: Column, tokens: Column, min_tokens: int) -> Column:
     return F.when(some, F.greatest(F.size(tokens), F.regexp_count(line, F.lit(_UNSPACED)))).otherwise(F.size(tokens))
 
 
-def _short_runs(kept: Scratch, lines: DataFrame, met: DataFrame, min_tokens: int) -> DataFrame:
-    """(doc, at): short lines that recur with their neighbours in an earlier document.
+def _short_runs(kept: Scratch, own: DataFrame, min_tokens: int) -> DataFrame:
+    """(key, at): short lines that recur with their neighbours in an earlier document.
 
     A run starts at a short line and takes the lines after it, or before it, until
-    it has ``min_tokens`` tokens. Only lines that recur themselves can be in one that does.
+    it has ``min_tokens`` tokens. ``own``: lines that recur themselves, as only they
+    can be in one that does.
     """
-    own = lines.select("doc", "at", "nth", "weight", "long", F.element_at("templates", 1).alias("whole")).join(met.select(F.col("template").alias("whole")), "whole")
     order = Window.partitionBy("doc").orderBy("nth")
 
     def run(move, step):
@@ -144,7 +144,7 @@ def _short_runs(kept: Scratch, lines: DataFrame, met: DataFrame, min_tokens: int
         "short-runs",
     )
     first = runs.groupBy("run").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first != last").select("run", "first")
-    return runs.join(first, "run").where(F.col("doc") > F.col("first")).select("doc", F.explode("places").alias("at"))
+    return runs.join(first, "run").where(F.col("doc") > F.col("first")).select(F.col("doc.key").alias("key"), F.explode("places").alias("at"))
 
 
 def drop_recurring_lines(
@@ -153,29 +153,24 @@ def drop_recurring_lines(
     text: str = "text",
     leading: int = 3,
     min_tokens: int = 5,
-    merge_tokens: int = 12,
-    short_min_docs: int = 20,
+    similarity: float = 0.5,
     length: str | None = None,
-    similarity: float | None = None,
-    short_share: float | None = None,
 ) -> DataFrame:
     """``docs`` with the recurring lines taken out of ``text``, and ``lines_dropped`` long.
 
-    A line of ``min_tokens`` or more goes if its template stands in an earlier
-    document, earlier by (id, nulls last, then content). Shorter lines recur by
-    chance in prose; theirs goes only if ``short_min_docs`` documents hold it.
-    Repeats within one document stay. ``length``: a column to hold the new text's
-    number of characters where lines were dropped. ``similarity``: a line of
-    ``min_tokens`` or more also goes if an earlier document holds one with as many
-    tokens, the same leading ones and this share of equal places, wherever they are.
-    ``short_share``: a shorter line goes if it recurs together with the lines next
-    to it, ``min_tokens`` tokens in all; alone it goes only if this share of the
-    documents, and ``short_min_docs``, hold it. A letter of a script without
-    spaces then counts as a token.
+    A line of ``min_tokens`` or more goes if an earlier document, earlier by (id,
+    nulls last, then content), holds one of its template: as many tokens, the same
+    ``leading`` ones, and a share ``similarity`` of equal places, wherever they are.
+    Shorter lines recur by chance in prose; theirs go if they recur together with the
+    lines next to them, ``min_tokens`` tokens in all, whatever the size of the table.
+    A letter of a script without spaces counts as a token. Repeats within one document
+    stay. ``length``: a column to hold the new text's number of characters where lines
+    were dropped.
 
     Documents are told apart by id and text: equal rows count as one document and
     all get the same result. Null texts stay null, empty ones empty, blank lines
-    are no lines. A row keeps all its other columns, whatever their names.
+    are no lines. A line may be as long as the text; the work on it is linear in its
+    length. A row keeps all its other columns, whatever their names.
     """
     spark = docs.sparkSession
     names = docs.columns
@@ -183,49 +178,44 @@ def drop_recurring_lines(
     key = F.xxhash64(cell(doc_id), cell(text))
     # Copies sort by content hash, documents without id after all others.
     order = F.struct(cell(doc_id).isNull().alias("none"), cell(doc_id).alias("id"), key.alias("key"))
-    # The parts of a similarity search include the even and the odd places.
-    own = _templates(F.col("tokens"), leading, merge_tokens if similarity is None else None)
-    weight = F.size("tokens") if short_share is None else _weight(F.col("line"), F.col("tokens"), min_tokens)
+    weight = _weight(F.col("line"), F.col("tokens"), min_tokens)
+    leaf = F.xxhash64(F.size("tokens"), F.slice("tokens", 1, leading))
     numbered = F.filter(F.transform(F.split(cell(text).cast("string"), "\n"), lambda line, i: F.struct(i.alias("at"), line.alias("line"))), lambda x: x["line"].rlike(r"\S"))
     split_lines = docs.where(cell(text).isNotNull()).select(order.alias("doc"), F.posexplode(numbered).alias("nth", "l")).select("doc", "nth", "l.at", "l.line")
     with scratch(spark) as kept:
         lines = kept.stored(
-            split_lines.select("doc", "at", "nth", masked(F.col("line")).alias("tokens"), F.col("line"))
-            .select(
-                "doc", "at", "nth", weight.alias("weight"), (weight >= min_tokens).alias("long"), own.alias("templates"),
-                *([] if similarity is None else [F.xxhash64(F.size("tokens"), F.slice("tokens", 1, leading)).alias("leaf"), F.transform("tokens", lambda t: F.hash(t)).alias("cells")]),
+            split_lines.select("doc", "at", "nth", masked(F.col("line")).alias("tokens"), F.col("line")).select(
+                "doc", "at", "nth", weight.alias("weight"), (weight >= min_tokens).alias("long"), leaf.alias("leaf"),
+                F.xxhash64(leaf, "tokens").alias("whole"), F.transform("tokens", lambda t: F.hash(t)).alias("cells"),
             ),
             "line-templates",
         )
-        by_template = lines.select("doc", "at", "long", F.explode("templates").alias("template"))
-        # A row a document first, so that a template met everywhere stays small.
-        met = kept.stored(
-            by_template.groupBy("template", "doc").agg(F.first("long").alias("long"))
-            .groupBy("template")
-            .agg(F.min("doc").alias("first"), F.count("*").alias("docs"), F.first("long").alias("long"))
-            .where("docs >= 2"),
-            "recurring-templates",
-        )
-        least = F.lit(short_min_docs)
-        if short_share is not None:
-            # A share does not depend on the size of the table.
-            least = F.lit(max(short_min_docs, short_share * docs.where(cell(text).isNotNull()).select(key).distinct().count()))
-        recurring = met.where(F.col("long") | (F.col("docs") >= least)).select("template", "first")
-        if similarity is not None:
-            recurring = recurring.unionByName(kept.stored(_similar(kept, lines, leading, similarity), "similar-lines"))
-        gone = by_template.select("template", "doc", "at").join(recurring, "template").where(F.col("doc") > F.col("first")).select("doc", "at")
-        if short_share is not None:
-            gone = gone.unionByName(_short_runs(kept, lines, met, min_tokens))
+        several = kept.stored(_repeated(lines.select("whole", F.col("doc.key").alias("key")), "whole", "key"), "recurring-templates")
+        recurring = Marks(several, "whole").within(lines.select("doc", "whole"), F.col("whole")).join(several, "whole").groupBy("whole").agg(F.min("doc").alias("first"))
+        similar = _similar(kept, lines, leading, similarity)
+        # One row a template: the first document of it and of what is like it.
+        known = kept.stored(
+            recurring.withColumn("met", F.lit(True)).unionByName(similar.withColumn("met", F.lit(False))).groupBy("whole").agg(F.min("first").alias("first"), F.max("met").alias("met")),
+            "templates",
+        )
+        held = kept.stored(
+            Marks(known, "whole").within(lines.drop("cells", "leaf"), F.col("whole")).join(known, "whole"),
+            "recurring-lines",
+        )
+        gone = held.where(F.col("long") & (F.col("doc") > F.col("first"))).select(F.col("doc.key").alias("key"), "at")
+        gone = gone.unionByName(_short_runs(kept, held.where("met").drop("first", "met"), min_tokens))
         # The one thing that outlives the block: a row for each document that loses lines.
-        dropped = stored(gone.groupBy(F.col("doc.key").alias("__key")).agg(F.collect_set("at").alias("__gone")), "dropped-lines")
+        dropped = stored(gone.groupBy(F.col("key").alias("__key")).agg(F.collect_set("at").alias("__gone")), "dropped-lines")
     split = F.split(F.col("__text"), "\n")
     left = F.array_join(F.filter(split, lambda _, i: ~F.array_contains(F.col("__gone"), i)), "\n")
     whole = docs.select(F.struct(*(cell(c) for c in names)).alias("__row"), cell(text).cast("string").alias("__text"), key.alias("__key"))
-    joined = whole.join(dropped, "__key", "left").withColumn("__left", F.when(F.col("__gone").isNull(), F.col("__text")).otherwise(left))
+    losing, others = Marks(dropped, "__key").split(whole, F.col("__key"))
+    joined = losing.join(dropped, "__key", "left").withColumn("__left", F.when(F.col("__gone").isNull(), F.col("__text")).otherwise(left))
     fields = [F.col("__row").getField(c).alias(c) for c in names]
+    kept_as_is = others.select(*fields, F.lit(0).cast("long").alias("lines_dropped"))
     out = {c: f for c, f in zip(names, fields, strict=True)}
     out[text] = F.col("__left").alias(text)
     if length in out:
         changed = F.when(F.col("__gone").isNull(), F.col("__row").getField(length)).otherwise(F.length("__left"))
         out[length] = changed.cast(docs.schema[length].dataType).alias(length)
-    return joined.select(*out.values(), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("lines_dropped"))
+    return joined.select(*out.values(), F.coalesce(F.size("__gone"), F.lit(0)).cast("long").alias("lines_dropped")).unionByName(kept_as_is)

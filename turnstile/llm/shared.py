@@ -6,7 +6,8 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from turnstile.session import scratch_dir
 
@@ -50,6 +51,50 @@ def scratch(spark: SparkSession) -> Iterator[Scratch]:
         own.release()
 
 
+#: A set of marks has so many bits for a key, 2**_MOST in all at most (32 MB).
+_BITS_A_KEY, _LEAST, _MOST = 32, 20, 28
+#: Bits of one row of marks, the size that Spark's bitmap aggregate has.
+_ROW_BITS = 1 << 15
+
+
+class Marks:
+    """A bitmap of hashed keys, for tasks to tell rows that cannot match before they
+    are shuffled.
+
+    Of bounded size whatever the number of keys: with very many it lets more rows
+    pass that match nothing, and in the end all, so what follows must still be exact.
+    """
+
+    def __init__(self, keys: DataFrame, key: str):
+        n = keys.count()
+        self.bits = min(_MOST, max(_LEAST, (n * _BITS_A_KEY).bit_length()))
+        row, bits = self._places(F.col(key))
+        # A row for each stretch of the bitmap: 8,192 of 4 KB at most.
+        marked = keys.select(row.alias("mark_row"), F.explode(F.array(*bits)).alias("bit"))
+        self.rows = marked.groupBy("mark_row").agg(F.bitmap_construct_agg("bit").alias("marks"))
+
+    def _places(self, key: Column) -> tuple[Column, list[Column]]:
+        """A key's stretch of the bitmap and its two bits there."""
+        hashed = F.xxhash64(key)
+        row = F.shiftrightunsigned(hashed, 40).bitwiseAND((1 << (self.bits - 15)) - 1)
+        return row, [hashed.bitwiseAND(_ROW_BITS - 1), F.shiftrightunsigned(hashed, 20).bitwiseAND(_ROW_BITS - 1)]
+
+    def split(self, df: DataFrame, key: Column) -> tuple[DataFrame, DataFrame]:
+        """Rows of ``df`` whose key may be among the keys, and those whose key is not."""
+        row, bits = self._places(key)
+
+        def held(bit: Column) -> Column:
+            byte = F.ascii(F.decode(F.substring("marks", (F.shiftright(bit, 3) + 1).cast("int"), F.lit(1)), "ISO-8859-1"))
+            return F.getbit(byte, bit.bitwiseAND(7).cast("int")) == 1
+
+        marked = F.coalesce(held(bits[0]) & held(bits[1]), F.lit(False))
+        joined = df.withColumn("mark_row", row).join(F.broadcast(self.rows), "mark_row", "left")
+        return tuple(joined.where(marked == found).select(*(F.col(f"`{c}`") for c in df.columns)) for found in (True, False))
+
+    def within(self, df: DataFrame, key: Column) -> DataFrame:
+        return self.split(df, key)[0]
+
+
 def raw(column: pa.Array) -> list:
     """UTF-8 bytes of a text column, None for null."""
     return column.cast(pa.large_binary()).to_pylist()
