@@ -78,10 +78,38 @@ def test_nulls_empty_short_repeated_and_clashing_names(spark):
     assert neardup.group_near_duplicates(df.limit(0)).count() == 0
 
 
-def test_an_id_with_several_texts_is_one_class(spark):
+def test_rows_of_one_id_are_in_the_class_of_their_own_text(spark):
     a, b = (" ".join(f"{p}{k}" for k in range(40)) for p in "ab")
-    df = spark.createDataFrame([(5, a), (5, b), (6, a), (7, b + " end")], "doc_id long, text string")
-    assert {(r["doc_id"], r["class_id"]) for r in neardup.group_near_duplicates(df).collect()} == {(5, 5), (6, 5), (7, 5)}
+    rows = [(5, a), (5, b), (5, b), (5, None), (5, ""), (6, a), (7, b + " end"), (8, "else")]
+    df = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, class_id int")
+    got = neardup.group_near_duplicates(df.withColumnRenamed("class_id", "row"), keep=["row"]).collect()
+    assert [(r["class_id"], r["class_size"]) for r in sorted(got, key=lambda r: r["row"])] == [(5, 2), (5, 3), (5, 3), (5, 2), (5, 2), (5, 2), (5, 3), (8, 1)]
+    # Of one smallest id, but not one class.
+    key = {r["row"]: r["class_key"] for r in got}
+    assert key[0] == key[5] and key[1] == key[2] == key[6] and key[3] == key[4] and len(set(key.values())) == 4
+
+
+def test_long_near_copies_meet_in_blocks_of_bytes(spark, monkeypatch):
+    """A bound of a few thousand cells cuts a bucket into many blocks and loses no link."""
+    monkeypatch.setattr(neardup, "MEETING_CELLS", 3_000)
+    rng = random.Random(9)
+    docs = []
+    for g in range(3):
+        base = [f"g{g}w{rng.randrange(10**6)}" for _ in range(1_000)]
+        for k in range(12):
+            own = base[:]
+            for _ in range(30):
+                own[rng.randrange(1_000)] = f"e{rng.randrange(10**6)}"
+            docs.append((100 * g + k, " ".join(own)))
+    got = neardup.group_near_duplicates(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == classes(docs)
+
+
+def test_texts_of_megabytes(spark):
+    long = " ".join(f"w{k}" for k in range(600_000))
+    docs = [(1, long), (2, long + " more"), (3, "x" * 4_000_000), (4, "y " * 2_000_000)]
+    got = neardup.group_near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["class_id"] for r in got} == {1: 1, 2: 1, 3: 3, 4: 4}
 
 
 @pytest.mark.parametrize("weights", [(1, 1), (3, 1)])

@@ -12,7 +12,7 @@ against the bucket's other classes, so no link of the buckets is lost, while
 members of one class are never paired.
 """
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from hashlib import blake2b
 from math import log
 
@@ -20,11 +20,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from turnstile.llm.shared import SPACES, Scratch, batch, scratch, stored, word_hashes
+from turnstile.llm.shared import SPACES, Marks, Scratch, batch, scratch, stored, word_hashes
 
-#: Members of a bucket in one task.
-MEETING = 4_096
+#: Members of a bucket in one task, and their cells of four bytes.
+MEETING, MEETING_CELLS = 4_096, 8 << 20
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -110,7 +111,7 @@ def bands(sig: np.ndarray, rows: int) -> np.ndarray:
     return out.view(np.int64)
 
 
-_SIGNED = pa.schema([("id", pa.int64()), ("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("units", pa.binary()), ("n", pa.int32())])
+_SIGNED = [("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("units", pa.binary()), ("n", pa.int32())]
 
 
 #: Words of the documents that are signed in one go.
@@ -132,6 +133,8 @@ def _signed(texts: list[np.ndarray], words: int, k: int, rows: int) -> Iterator[
 
 
 def _signing(words: int, k: int, rows: int) -> Callable:
+    """Replaces the last column, the text, by what is known of it."""
+
     def run(batches):
         for b in batches:
             found, held, size = [], [], 0
@@ -143,7 +146,8 @@ def _signing(words: int, k: int, rows: int) -> Callable:
                     held, size = [], 0
             if held:
                 found += _signed(held, words, k, rows)
-            yield batch(_SIGNED, b.column("id"), *([f[c] for f in found] for c in range(4)))
+            made = [pa.array([f[c] for f in found], kind) for c, (_, kind) in enumerate(_SIGNED)]
+            yield pa.record_batch([*b.columns[:-1], *made], names=[*b.schema.names[:-1], *(n for n, _ in _SIGNED)])
 
     return run
 
@@ -163,7 +167,6 @@ def _checking(least: float) -> Callable:
         for b in batches:
             a, z = [], []
             for x, y, left, right in zip(*(b.column(c).to_pylist() for c in ("a", "b", "left", "right")), strict=True):
-                # An id has several texts only if the table repeats it.
                 if any(_similarity(p, q) >= least for p in left for q in right):
                     a.append(x)
                     z.append(y)
@@ -251,7 +254,9 @@ def _across(named: DataFrame, main: DataFrame, bands: DataFrame, signed: DataFra
     at = ["band", "bucket"]
     minor = F.col("root") != F.col("main")
     open_ = named.join(main, at)
-    sizes = open_.groupBy(*at).agg(F.ceil(F.count("*") / MEETING).cast("int").alias("i_n"), F.ceil(F.count_if(minor) / MEETING).cast("int").alias("q_n"))
+    # Blocks are bounded by members and by what these hold: few long texts, or many short ones.
+    blocks = lambda some: F.ceil(F.greatest(F.count_if(some) / MEETING, F.sum(F.when(some, F.col("n")).otherwise(0)) / MEETING_CELLS)).cast("int")
+    sizes = open_.groupBy(*at).agg(blocks(F.lit(True)).alias("i_n"), blocks(minor).alias("q_n"))
     own_i, own_q = (F.pmod(F.xxhash64("id"), F.col(n)).cast("int") for n in ("i_n", "q_n"))
     span = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     # As a member in its own row of blocks, as one that asks in its own column.
@@ -292,6 +297,19 @@ def components(edges: DataFrame, kept: Scratch) -> DataFrame:
             return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def _apart(every: DataFrame, kept: Scratch) -> DataFrame:
+    """``every`` with a number ``id`` for each text of a document: the doc's own, but
+    a hash where the table has several texts under one."""
+    digests = every.select("doc", F.xxhash64("digest").alias("d")).groupBy("doc").agg(F.min("d").alias("a"), F.max("d").alias("b"))
+    several = kept.stored(digests.where("a != b").select("doc"), "ids-of-several-texts")
+    if not several.limit(1).count():
+        return every.withColumn("id", F.col("doc"))
+    some, others = Marks(several, "doc").split(every, F.col("doc"))
+    told = some.join(several.withColumn("several", F.lit(True)), "doc", "left")
+    own = F.when(F.col("several"), F.xxhash64("doc", "digest")).otherwise(F.col("doc"))
+    return kept.stored(told.withColumn("id", own).drop("several").unionByName(others.withColumn("id", F.col("doc"))), "told-apart")
+
+
 def group_near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -300,37 +318,45 @@ def group_near_duplicates(
     least: float = 0.8,
     coordinates: int = 100,
     band_rows: int = 4,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """A row for each row of ``docs``: doc_id, class_id (the smallest doc_id of the
-    class), class_size (rows in it).
+    """A row for each row of ``docs``: doc_id, the columns ``keep``, class_id (the
+    smallest doc_id of the class), class_size (rows in it), class_key (a number for the class,
+    its own even where a repeated id is the smallest of several classes).
 
     Two texts are linked if the weighted Jaccard similarity of their word
     shingles is ``least`` or more and they share a band; classes are what links
     connect. 25 bands of 4 miss a pair of 0.8 once in half a million. Texts of equal
     words are one class outright. Texts without a word, and null texts, are each a
-    class of their own, as are rows with a null id, whose class_id is null. Rows of
-    one id form one class. Other columns are not read.
+    class of their own, as are rows with a null id, whose class_id and class_key are null. Rows that
+    repeat an id are each in the class of their own text; without words they are one
+    class. Whole texts of any length; a task holds the cells of two blocks of bounded size,
+    or of one text if that is larger. Other columns are not read.
     """
     spark = docs.sparkSession
-    own = docs.select(F.col(doc_id).cast("long").alias("id"), F.col(text).cast("string").alias("text"))
+    # Numbered names: no name of the input can clash with one that is needed here.
+    held = [f"k{i}" for i in range(len(keep))]
+    own = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc"), *(F.col(f"`{c}`").alias(h) for c, h in zip(keep, held, strict=True)), F.col(f"`{text}`").cast("string").alias("text"))
     with scratch(spark) as kept:
-        every = kept.stored(
-            own.where(F.col("id").isNotNull()).mapInArrow(_signing(words, coordinates, band_rows), "id long, digest binary, bands array<long>, units binary, n int"), "signed"
-        )
+        some = own.where(F.col("doc").isNotNull())
+        known = T.StructType([*some.schema.fields[:-1], *T.StructType.fromDDL("digest binary, bands array<long>, units binary, n int").fields])
+        every = _apart(kept.stored(some.mapInArrow(_signing(words, coordinates, band_rows), known), "signed"), kept)
         # Equal words: the smallest id stands for all. Wordless texts stand for themselves.
         some = every.where(F.col("n") > 0)
         firsts = kept.stored(some.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "firsts")
         member = kept.stored(some.select("id", "digest").join(firsts.select("digest", F.col("id").alias("rep")), "digest").select("id", "rep").distinct(), "members")
         placed = firsts.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
+        spot = F.xxhash64("band", "bucket")
         heads = kept.stored(
-            placed.groupBy("band", "bucket").agg(F.min(F.struct("id", "n")).alias("head"), F.max("id").alias("last")).where(F.col("head.id") != F.col("last")).select("band", "bucket", "head"), "heads"
+            placed.groupBy("band", "bucket").agg(F.min(F.struct("id", "n")).alias("head"), F.max("id").alias("last")).where(F.col("head.id") != F.col("last")).select("band", "bucket", "head", spot.alias("spot")),
+            "heads",
         )
-        inside = kept.stored(placed.join(heads, ["band", "bucket"]), "in-buckets")
-        signed = kept.stored(every.select("id", "units").join(inside.select("id").distinct(), "id", "left_semi"), "partners")
-        # Ids that a table repeats with several texts tie those texts' classes.
-        ties = member.where(F.col("id") != F.col("rep")).select(F.col("rep").alias("a"), F.col("id").alias("b")).join(firsts.select(F.col("id").alias("b")).distinct(), "b", "left_semi").select("a", "b")
+        # Most places hold one text only, and go no further.
+        inside = kept.stored(Marks(heads, "spot").within(placed, spot).join(heads.drop("spot"), ["band", "bucket"]), "in-buckets")
+        partner = kept.stored(inside.select("id").distinct(), "ids-in-buckets")
+        signed = kept.stored(Marks(partner, "id").within(every.select("id", "units"), F.col("id")).join(partner, "id", "left_semi").dropDuplicates(["id"]), "partners")
         pairs = kept.stored(inside.where((F.col("id") != F.col("head.id")) & _fitting(least, "n", "head.n")).select(F.col("head.id").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-        links = kept.stored(_verified(pairs, signed, least).unionByName(ties), "links")
+        links = kept.stored(_verified(pairs, signed, least), "links")
         roots = components(links, kept)
         # Buckets that still hold several classes.
         named = kept.stored(inside.select("band", "bucket", "id", "n").join(roots.withColumnRenamed("node", "id"), "id", "left").withColumn("root", F.coalesce("root", "id")), "named")
@@ -341,8 +367,9 @@ def group_near_duplicates(
         more = kept.stored(_across(named, main, firsts.select("id", "bands"), signed, least), "more-links")
         if more.limit(1).count():
             roots = components(roots.select(F.col("root").alias("a"), F.col("node").alias("b")).unionByName(more), kept)
-        class_of = member.join(roots.withColumnRenamed("node", "rep"), "rep", "left").groupBy("id").agg(F.min(F.coalesce("root", "rep")).alias("class_id"))
-        rows = own.select("id").join(class_of, "id", "left").select(F.col("id").alias("doc_id"), F.coalesce("class_id", "id").alias("class_id"))
-        rows = kept.stored(rows, "rows")
-        sizes = kept.stored(rows.where(F.col("class_id").isNotNull()).groupBy("class_id").agg(F.count("*").alias("class_size")), "sizes")
-        return stored(rows.join(sizes, "class_id", "left").select("doc_id", "class_id", F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size")), "classes")
+        class_of = member.join(roots.withColumnRenamed("node", "rep"), "rep", "left").select("id", F.coalesce("root", "rep").alias("root"))
+        rows = kept.stored(every.select("doc", *held, "id").join(class_of, "id", "left").withColumn("root", F.coalesce("root", "id")), "rows")
+        sizes = kept.stored(rows.groupBy("root").agg(F.min("doc").alias("class_id"), F.count("*").alias("class_size")), "sizes")
+        none = own.where(F.col("doc").isNull()).select("doc", *held, F.lit(None).cast("long").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(None).cast("long").alias("root"))
+        out = rows.join(sizes, "root").select("doc", *held, "class_id", "class_size", "root").unionByName(none)
+        return stored(out.toDF("doc_id", *keep, "class_id", "class_size", "class_key"), "classes")

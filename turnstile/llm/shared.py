@@ -2,6 +2,7 @@
 
 from collections.abc import Iterator
 from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -95,6 +96,17 @@ class Marks:
         return self.split(df, key)[0]
 
 
+def without(df: DataFrame, gone: DataFrame, on: list[str]) -> DataFrame:
+    """Rows of ``df`` whose columns ``on`` are no row of ``gone``; nulls are equal.
+    Only rows that may be one are shuffled. ``gone`` is read twice: a stored table."""
+    names = [f"gone_{i}" for i in range(len(on))]
+    keys = gone.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(on, names, strict=True)))
+    marks = Marks(keys.select(F.xxhash64(*names).alias("gone_key")), "gone_key")
+    some, others = marks.split(df, F.xxhash64(*(F.col(f"`{c}`") for c in on)))
+    equal = reduce(Column.__and__, (some[f"`{c}`"].eqNullSafe(F.col(n)) for c, n in zip(on, names, strict=True)))
+    return some.join(keys, equal, "left_anti").unionByName(others)
+
+
 def raw(column: pa.Array) -> list:
     """UTF-8 bytes of a text column, None for null."""
     return column.cast(pa.large_binary()).to_pylist()
