@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from turnstile.llm import language, leaks, lines, neardup, packing
 from turnstile.llm.queries import tokenizer
-from turnstile.llm.shared import stored
+from turnstile.llm.shared import Marks, scratch, stored, without
 
 #: A document whose main language has a smaller share than this is rejected.
 LEAST_SHARE = 0.4
@@ -44,37 +44,45 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Recurring lines stay in their first document; one left without any goes.
     Null and blank texts stay."""
     plain, names = _numbered_columns(docs)
-    left = lines.drop_recurring_lines(plain, names["doc_id"], names["text"], length=names.get("n_chars"), similarity=0.5, short_share=0.01)
+    left = lines.drop_recurring_lines(plain, names["doc_id"], names["text"], length=names.get("n_chars"))
     return _back(left.where((F.col("lines_dropped") == 0) | F.col(names["text"]).rlike(r"\S")), names)
 
 
+def _marked(docs: DataFrame, names: dict[str, str]) -> DataFrame:
+    """With a column that tells the texts of a repeated id apart."""
+    return docs.withColumn("mark", F.xxhash64(names["text"]))
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, that of the smallest id.
 
-    Of rows that repeat an id one stays; rows without id all stay.
+    Of equal rows one stays, unlike texts of one id are each judged on their own;
+    rows without id all stay.
     """
     plain, names = _numbered_columns(docs)
-    key = names["doc_id"]
-    classes = neardup.group_near_duplicates(plain, key, names["text"])
-    others = classes.where(F.col("doc_id") != F.col("class_id")).select(F.col("doc_id").alias(key)).distinct()
-    left = plain.join(others, key, "left_anti")
-    repeated = classes.where(F.col("doc_id").isNotNull()).groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(key))
-    if repeated.limit(1).count():
-        # Only rows of repeated ids meet again to leave one of each.
-        once = left.join(repeated, key, "left_semi").dropDuplicates([key])
-        left = left.join(repeated, key, "left_anti").unionByName(once)
+    marked, key = _marked(plain, names), names["doc_id"]
+    classes = neardup.group_near_duplicates(marked, key, names["text"], keep=["mark"])
+    rows = classes.where(F.col("class_size") > 1).select(F.col("doc_id").alias(key), "mark", "class_key")
+    first = rows.groupBy("class_key").agg(F.min(F.struct(key, "mark")).alias("stays"))
+    others = rows.join(first, "class_key").where(F.struct(key, "mark") != F.col("stays")).select(key, "mark").distinct()
+    left = without(marked, stored(others, "near-duplicates"), [key, "mark"])
+    equal = stored(rows.groupBy(key, "mark").count().where("count > 1").select(key, "mark"), "equal-rows")
+    if equal.limit(1).count():
+        # Only rows that repeat both id and text meet again to leave one of each.
+        some, rest = Marks(equal.select(F.xxhash64(key, "mark").alias("k")), "k").split(left, F.xxhash64(key, "mark"))
+        repeated = some.join(equal, [key, "mark"], "left_semi")
+        left = rest.unionByName(some.join(equal, [key, "mark"], "left_anti")).unionByName(repeated.dropDuplicates([key, "mark"]))
     return _back(left, names)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark passage, copied or edited, go."""
     plain, names = _numbered_columns(docs)
-    key = names["doc_id"]
-    marked = plain.withColumn("mark", F.xxhash64(names["text"]))
+    on = [names["doc_id"], "mark"]
+    marked = _marked(plain, names)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = leaks.find_leaks(marked, items, [key, "mark"], text=names["text"]).select(F.col(key).alias("id"), F.col("mark").alias("m")).distinct()
-    left = marked.join(found, marked[key].eqNullSafe(found["id"]) & (marked["mark"] == found["m"]), "left_anti")
-    return _back(left, names)
+    found = stored(leaks.find_leaks(marked, items, on, text=names["text"]).select(*on).distinct(), "leaks")
+    return _back(without(marked, found, on), names)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -98,6 +106,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), name)
-    return docs
+    (*first, (name, last)) = STAGES
+    # What a stage has read is given up as soon as the one after it is written.
+    with scratch(spark) as kept:
+        for step, stage in first:
+            docs = kept.stored(stage(spark, docs, sf_dir), step)
+        return stored(last(spark, docs, sf_dir), name)
