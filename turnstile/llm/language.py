@@ -13,11 +13,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.shared import batch
+from turnstile.llm.shared import batch, slices
 
 #: Trigrams are counted by hash.
 CELLS = 1 << 16
 _SPACE = 32
+#: Characters of a text that are looked at in one go.
+_BLOCK = 1 << 18
 #: Languages below this share are tried together, before each one on its own.
 _TRACE = 0.02
 
@@ -29,28 +31,39 @@ def _letters() -> np.ndarray:
     return np.array([chr(i).isalpha() for i in range(0x110000)])
 
 
-def trigrams(text: str | None) -> np.ndarray:
-    """Hashes of the letter trigrams of the lower-cased text; words are apart by a space."""
+def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """The letter trigrams of the lower-cased text, words apart by a space: hashes,
+    ascending, and their counts. A text of any length yields CELLS hashes at most and
+    is read in blocks."""
     codes = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), "<u4")
-    letters = _letters()[codes]
-    if not letters.any():
-        return np.zeros(0, np.int64)
-    codes = np.where(letters, codes, _SPACE)
-    # A space for each run of other characters, and one at either end.
-    codes = codes[letters | np.r_[True, letters[:-1]]].astype(np.uint64)
-    codes = np.r_[np.uint64(_SPACE), codes, np.uint64(_SPACE)]
-    mixed = (codes[:-2] * np.uint64(0x9E3779B1) + codes[1:-1]) * np.uint64(0x85EBCA77) + codes[2:]
-    return ((mixed * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(48)).astype(np.int64)
+    total, some, inside, tail = None, False, True, np.array([_SPACE], np.uint64)
+    for start in range(0, len(codes) + 1, _BLOCK):
+        block = codes[start : start + _BLOCK]
+        letters = _letters()[block]
+        some |= bool(letters.any())
+        # A space for each run of other characters, and one at either end.
+        held = np.where(letters, block, _SPACE)[letters | np.r_[inside, letters[:-1]][: len(block)]]
+        inside = bool(letters[-1]) if len(block) else inside
+        end = [_SPACE] if start + _BLOCK > len(codes) else []
+        held = np.r_[tail, held.astype(np.uint64), np.array(end, np.uint64)]
+        tail = held[-2:]
+        mixed = (held[:-2] * np.uint64(0x9E3779B1) + held[1:-1]) * np.uint64(0x85EBCA77) + held[2:]
+        cells = ((mixed * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(48)).astype(np.int64)
+        if len(codes) < _BLOCK:
+            return np.unique(cells if some else cells[:0], return_counts=True)
+        total = np.bincount(cells, minlength=CELLS) + (0 if total is None else total)
+    found = np.flatnonzero(total) if some else np.zeros(0, np.int64)
+    return found, total[found]
 
 
 def _tally(batches):
     found: dict[str, np.ndarray] = {}
     for b in batches:
-        for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
-            cells = trigrams(text)
-            if len(cells):
-                own = found.setdefault(lang, np.zeros(CELLS, np.int64))
-                np.add.at(own, cells, 1)
+        for langs, texts in zip(slices(b.column("lang")), slices(b.column("text")), strict=True):
+            for lang, text in zip(langs.to_pylist(), texts.to_pylist(), strict=True):
+                cells, counts = trigrams(text)
+                if len(cells):
+                    found.setdefault(lang, np.zeros(CELLS, np.int64))[cells] += counts
     for lang, own in found.items():
         used = np.flatnonzero(own)
         yield batch(_TALLY, [lang] * len(used), used, own[used])
@@ -64,29 +77,30 @@ class Mixture:
         self.langs, self.chances = langs, np.ascontiguousarray(chances.T)
         self.penalty, self.rounds = penalty, rounds
 
-    def _shares(self, p: np.ndarray) -> tuple[np.ndarray, float]:
+    def _shares(self, p: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, float]:
+        """Shares and log likelihood of trigrams that occur so many ``times``."""
         shares = np.full(p.shape[1], 1 / p.shape[1])
         for _ in range(self.rounds):
             seen = p @ shares
-            new = shares * ((1 / seen) @ p) / len(p)
+            new = shares * ((times / seen) @ p) / times.sum()
             done = np.abs(new - shares).max() < 1e-4
             shares = new
             if done:
                 break
-        return shares, float(np.log(p @ shares).sum())
+        return shares, float(times @ np.log(p @ shares))
 
     def fit(self, text: str | None) -> list[tuple[str, float]]:
         """Languages and shares, largest first; none if the text has no letter."""
-        cells = trigrams(text)
+        cells, times = trigrams(text)
         if not len(cells) or not self.langs:
             return []
         p = self.chances[cells]
         among = np.arange(len(self.langs))
-        shares, fit = self._shares(p)
-        cost = self.penalty * np.log(len(cells) + 1)
+        shares, fit = self._shares(p, times)
+        cost = self.penalty * np.log(times.sum() + 1)
         keep = shares >= min(_TRACE, shares.max())
         if not keep.all():
-            fewer, worse = self._shares(p[:, keep])
+            fewer, worse = self._shares(p[:, keep], times)
             # None of them would be missed more than all of them are.
             if fit - worse <= cost:
                 among, shares, fit = among[keep], fewer, worse
@@ -95,7 +109,7 @@ class Mixture:
             left = False
             for i in among[np.argsort(shares)]:
                 rest = among[among != i]
-                fewer, worse = self._shares(p[:, rest])
+                fewer, worse = self._shares(p[:, rest], times)
                 if fit - worse <= cost:
                     among, shares, fit, left = rest, fewer, worse, True
                     break
@@ -132,11 +146,11 @@ def _identifying(model: Callable[[], tuple], schema: pa.Schema) -> Callable:
         mixture = Mixture(*model())
         for b in batches:
             best, score, shares = [], [], []
-            for text in b.column("__text").to_pylist():
-                found = mixture.fit(text)
-                best.append(found[0][0] if found else "und")
-                score.append(min(1.0, found[0][1]) if found else 0.0)
-                shares.append([{"lang": k, "share": s} for k, s in found])
+            for texts in slices(b.column("__text")):
+                for found in map(mixture.fit, texts.to_pylist()):
+                    best.append(found[0][0] if found else "und")
+                    score.append(min(1.0, found[0][1]) if found else 0.0)
+                    shares.append([{"lang": k, "share": s} for k, s in found])
             kept = [b.column(n) for n in schema.names[: len(schema) - 3]]
             yield batch(schema, *kept, best, score, shares)
 
@@ -158,7 +172,8 @@ def identify(
 
     lang_pred: the language of largest share, ``und`` for a text that is null or
     has no letter (score 0, no languages). score: that share. languages: all
-    shares of the chosen set. Texts are read whole. ``labelled`` gives the rows
+    shares of the chosen set. Texts are read whole; a long one takes time and room by
+    its distinct trigrams, of which there are ``CELLS`` at most. ``labelled`` gives the rows
     to learn from; with none every text is ``und``. Equal rows all return; ties
     go to the first language by name. A column of ``docs`` that is not kept may
     have any name.

@@ -115,7 +115,7 @@ _SIGNED = [("digest", pa.binary()), ("bands", pa.list_(pa.int64())), ("units", p
 
 
 #: Words of the documents that are signed in one go.
-_AT_ONCE = 200_000
+_AT_ONCE = 50_000
 
 
 def _signed(texts: list[np.ndarray], words: int, k: int, rows: int) -> Iterator[tuple]:

@@ -107,6 +107,16 @@ def without(df: DataFrame, gone: DataFrame, on: list[str]) -> DataFrame:
     return some.join(keys, equal, "left_anti").unionByName(others)
 
 
+#: Rows of a batch that are made Python's own at once.
+_SLICE = 512
+
+
+def slices(column: pa.Array) -> Iterator[pa.Array]:
+    """A column piece by piece, so that few of its texts are held twice."""
+    for i in range(0, len(column), _SLICE):
+        yield column.slice(i, _SLICE)
+
+
 def raw(column: pa.Array) -> list:
     """UTF-8 bytes of a text column, None for null."""
     return column.cast(pa.large_binary()).to_pylist()
@@ -162,11 +172,12 @@ def token_hashes(column: pa.Array, kinds: np.ndarray) -> Iterator[np.ndarray]:
     stretches of bytes of one kind. ``kinds``: of each byte, 0 for those between
     tokens; white space must be among them."""
     block, size = [], 0
-    for text in raw(pc.utf8_lower(column)):
-        block.append(text or b"")
-        size += len(block[-1]) + 1
-        if size >= _BLOCK:
-            yield from _hashed(block, kinds)
-            block, size = [], 0
+    for part in slices(column):
+        for text in raw(pc.utf8_lower(part)):
+            block.append(text or b"")
+            size += len(block[-1]) + 1
+            if size >= _BLOCK:
+                yield from _hashed(block, kinds)
+                block, size = [], 0
     if block:
         yield from _hashed(block, kinds)
