@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnstile.llm.shared import batch
+from turnstile.llm.shared import batch, parts
 
 # The sentinel before each part, and each form's order of the parts,
 # which are numbered prefix 0, middle 1, suffix 2.
@@ -151,7 +151,7 @@ def infilled(text: memoryview, key: str | None, seed: int, rate: int, spm: int)
 
 def _arrange(names: list[str], schema: pa.Schema, seed: int, rate: int, spm: int, output: bool):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             rows = []
             for text, key in zip(_buffers(b.column("__text")), b.column("__key").to_pylist(), strict=True):
                 text = memoryview(b"") if text is None else text
@@ -159,8 +159,8 @@ def _arrange(names: list[str], schema: pa.Schema, seed: int, rate: int, spm: int
                 chars = (None, None)
                 if form != PLAIN:
                     # Prefix and middle by number, wherever the form has put them.
-                    parts = table.restored(FORMS[form]).stream()
-                    chars = (_chars(next(parts)), _chars(next(parts)))
+                    both = table.restored(FORMS[form]).stream()
+                    chars = (_chars(next(both)), _chars(next(both)))
                 rows.append((n, form, *chars, table.described(), table.materialised() if output else None, table.sha256()))
             yield batch(schema, *(b.column(c) for c in names), *_columns(rows, schema))
 
@@ -169,7 +169,7 @@ def _arrange(names: list[str], schema: pa.Schema, seed: int, rate: int, spm: int
 
 def _restore(names: list[str], schema: pa.Schema):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in parts(batches):
             rows = []
             for output, form in zip(_buffers(b.column("__output")), b.column("__form").to_pylist(), strict=True):
                 if output is None or form is None:

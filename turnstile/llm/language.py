@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.shared import batch, slices
+from turnstile.llm.shared import batch, parts
 
 #: Trigrams are counted by hash.
 CELLS = 1 << 16
@@ -58,12 +58,11 @@ def trigrams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 def _tally(batches):
     found: dict[str, np.ndarray] = {}
-    for b in batches:
-        for langs, texts in zip(slices(b.column("lang")), slices(b.column("text")), strict=True):
-            for lang, text in zip(langs.to_pylist(), texts.to_pylist(), strict=True):
-                cells, counts = trigrams(text)
-                if len(cells):
-                    found.setdefault(lang, np.zeros(CELLS, np.int64))[cells] += counts
+    for b in parts(batches):
+        for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist(), strict=True):
+            cells, counts = trigrams(text)
+            if len(cells):
+                found.setdefault(lang, np.zeros(CELLS, np.int64))[cells] += counts
     for lang, own in found.items():
         used = np.flatnonzero(own)
         yield batch(_TALLY, [lang] * len(used), used, own[used])
@@ -144,13 +143,12 @@ def learn(docs: DataFrame, text: str, lang: str, doc_id: str, sample_rows: int)
 def _identifying(model: Callable[[], tuple], schema: pa.Schema) -> Callable:
     def run(batches):
         mixture = Mixture(*model())
-        for b in batches:
+        for b in parts(batches):
             best, score, shares = [], [], []
-            for texts in slices(b.column("__text")):
-                for found in map(mixture.fit, texts.to_pylist()):
-                    best.append(found[0][0] if found else "und")
-                    score.append(min(1.0, found[0][1]) if found else 0.0)
-                    shares.append([{"lang": k, "share": s} for k, s in found])
+            for found in map(mixture.fit, b.column("__text").to_pylist()):
+                best.append(found[0][0] if found else "und")
+                score.append(min(1.0, found[0][1]) if found else 0.0)
+                shares.append([{"lang": k, "share": s} for k, s in found])
             kept = [b.column(n) for n in schema.names[: len(schema) - 3]]
             yield batch(schema, *kept, best, score, shares)
 

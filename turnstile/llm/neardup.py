@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from turnstile.llm.shared import SPACES, Marks, Scratch, batch, scratch, stored, word_hashes
+from turnstile.llm.shared import SPACES, Marks, Scratch, batch, parts, scratch, stored, word_hashes
 
 #: Members of a bucket in one task, and their cells of four bytes.
 MEETING, MEETING_CELLS = 4_096, 8 << 20
@@ -136,7 +136,7 @@ def _signing(words: int, k: int, rows: int) -> Callable:
     """Replaces the last column, the text, by what is known of it."""
 
     def run(batches):
-        for b in batches:
+        for b in parts(batches):
             found, held, size = [], [], 0
             for tokens in word_hashes(b.column("text"), SPACES):
                 held.append(tokens)

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.shared import SIGNS, SPACES, batch, scratch, token_hashes
+from turnstile.llm.shared import SIGNS, SPACES, batch, parts, scratch, token_hashes
 
 #: Kinds of bytes: white space, letters and digits, other signs.
 _KINDS = np.where(SPACES, 0, np.where(SIGNS, 2, 1)).astype(np.int8)
@@ -167,7 +167,7 @@ def score_quality(
         chosen = chosen.where(F.pmod(F.xxhash64("id"), F.lit(scale)) < int(scale * sample_rows / n))
 
     def hashed(batches):
-        for b in batches:
+        for b in parts(batches):
             found = list(features(b.column("text"), order, bits))
             made = batch(_ROWS, [p for p, _ in found], [v for _, v in found])
             yield pa.record_batch([b.column("label"), b.column("shard"), b.column("turn"), *made.columns], names=["label", "shard", "turn", *_ROWS.names])
@@ -196,7 +196,7 @@ def score_quality(
 
     def scored(batches):
         w = weights.value
-        for b in batches:
+        for b in parts(batches):
             level = np.array([w[p] @ v for p, v in features(b.column("__text"), order, bits)]) + w[-1]
             score = logistic(level.astype(float))
             yield pa.record_batch([*(b.column(c) for c in names), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], names=[*names, "score", "predicted"])

@@ -111,10 +111,11 @@ def without(df: DataFrame, gone: DataFrame, on: list[str]) -> DataFrame:
 _SLICE = 512
 
 
-def slices(column: pa.Array) -> Iterator[pa.Array]:
-    """A column piece by piece, so that few of its texts are held twice."""
-    for i in range(0, len(column), _SLICE):
-        yield column.slice(i, _SLICE)
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches cut into smaller ones, so that little of one is held as Python's own."""
+    for b in batches:
+        for i in range(0, b.num_rows, _SLICE):
+            yield b.slice(i, _SLICE)
 
 
 def raw(column: pa.Array) -> list:
@@ -172,8 +173,8 @@ def token_hashes(column: pa.Array, kinds: np.ndarray) -> Iterator[np.ndarray]:
     stretches of bytes of one kind. ``kinds``: of each byte, 0 for those between
     tokens; white space must be among them."""
     block, size = [], 0
-    for part in slices(column):
-        for text in raw(pc.utf8_lower(part)):
+    for i in range(0, len(column), _SLICE):
+        for text in raw(pc.utf8_lower(column.slice(i, _SLICE))):
             block.append(text or b"")
             size += len(block[-1]) + 1
             if size >= _BLOCK:
