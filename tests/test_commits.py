@@ -1,0 +1,145 @@
+"""Drafts, versions that change together, the directory of keys, rows replaced by key."""
+
+from datetime import date, datetime
+
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+
+from turnstile.sources import Commits, VersionedTable, commit_together
+from turnstile.sources.tables import months
+
+DDL = "k int, day date, v string, updated_at timestamp_ntz"
+
+
+def row(k, month, v, t=1):
+    return (k, date(2020, month, 1), v, datetime(2020, 1, t))
+
+
+@pytest.fixture
+def make(spark, tmp_path, frame):
+    """A table of one record, opened as another reader would."""
+
+    def build(name="t", commits=None, keys=(), **more):
+        record = commits or Commits(spark, str(tmp_path / "commits"))
+        schema = frame(DDL).schema
+        return VersionedTable(spark, str(tmp_path / name), schema, months("day"), commits=record, name=name, keys=keys, **more)
+
+    return build
+
+
+def test_a_draft_is_read_by_its_owner_alone(make, frame):
+    make().publish(frame(DDL, row(1, 1, "old"), row(2, 2, "old")))
+    t = make()
+    draft = t.draft_upsert(frame(DDL, row(2, 2, "new", 3)), ["k"])
+    assert {r[2] for r in rows(draft.read())} == {"old", "new"} and draft.row_count() == 2
+    assert draft.newest() == datetime(2020, 1, 3) and t.newest() == datetime(2020, 1, 1)
+    assert {r[2] for r in rows(t.read())} == {r[2] for r in rows(make().read())} == {"old"}
+    # A manifest that no record names is not in force either, and its number is not used again.
+    draft.prepare()
+    assert {r[2] for r in rows(make().read())} == {"old"}
+    later = make().draft_upsert(frame(DDL, row(3, 3, "later")), ["k"])
+    assert later.version > draft.version
+    later.commit()
+    assert [(r[0], r[2]) for r in rows(make().read())] == [(1, "old"), (2, "old"), (3, "later")]
+
+
+def test_tables_change_together_or_not_at_all(spark, make, frame, tmp_path):
+    record = Commits(spark, str(tmp_path / "commits"))
+    a, b = make("a", record), make("b", record)
+    commit_together([a.draft(frame(DDL, row(1, 1, "a1"))), b.draft(frame(DDL, row(1, 1, "b1")))], "one")
+    drafts = [a.draft(frame(DDL, row(1, 1, "a2"))), b.draft(frame(DDL, row(1, 1, "b2")))]
+    seen = lambda: [r[2] for n in "ab" for r in rows(make(n).read())]
+    drafts[0].prepare()  # the run dies between the two tables
+    assert seen() == ["a1", "b1"]
+    commit_together(drafts, "two", {"basis": 7})
+    assert seen() == ["a2", "b2"] and make("a").commits.current()["basis"] == 7
+    # What is not named stays.
+    a.publish(frame(DDL, row(1, 1, "a3")))
+    assert seen() == ["a3", "b2"] and Commits(spark, str(tmp_path / "commits")).current()["basis"] == 7
+    with pytest.raises(ValueError, match="share one record"):
+        commit_together([a.draft_empty(), VersionedTable(spark, str(tmp_path / "c"), a.schema).draft_empty()])
+
+
+def test_older_versions_and_what_changed_since(make, frame):
+    t = make()
+    t.publish(frame(DDL, *[row(m, m, "old") for m in (1, 2, 3)]))
+    first = t.version
+    t.upsert(frame(DDL, row(2, 2, "new"), row(9, 4, "new")), ["k"])
+    assert t.slices_since(first) == {"2020-02", "2020-04"}
+    assert [r[0] for r in rows(t.at(first))] == [1, 2, 3] and [r[0] for r in rows(t.only({"2020-02", "2020-04"}))] == [2, 9]
+    t.vacuum(keep=[first])
+    assert [r[2] for r in rows(make().at(first))] == ["old"] * 3
+    t.vacuum()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        make().at(first).count()
+    with pytest.raises(ValueError, match="no version"):
+        t.at(99)
+
+
+def test_slices_are_replaced(make, frame):
+    t = make()
+    t.publish(frame(DDL, *[row(m, m, "old") for m in (1, 2, 3)]))
+    before = {r.slice: r.folder for r in t._manifest()}
+    t.draft_slices(frame(DDL, row(7, 2, "new"), row(8, 5, "new")), {"2020-02", "2020-03", "2020-05"}).commit()
+    assert [(r[0], r[2]) for r in rows(make().read())] == [(1, "old"), (7, "new"), (8, "new")]
+    assert {r.slice: r.folder for r in t._manifest()}["2020-01"] == before["2020-01"]
+
+
+def opened(df):
+    return {f.split("/t/")[1].split("/part-")[0] for f in df.inputFiles()}
+
+
+def test_an_upsert_asks_the_directory_and_not_the_table(make, frame, monkeypatch):
+    """The plan that finds a delta's slices opens its own buckets of the directory and nothing else."""
+    t = make(keys=["k"], directory=16)
+    t.publish(frame(DDL, *[row(k, k % 9 + 1, "old") for k in range(90)]))
+    assert not any(f.startswith("data") for f in opened(t._directory(t._manifest(), set(range(16)))))
+    t = make(keys=["k"], directory=16)
+    delta = frame(DDL, row(5, 2, "moved"))
+    asked = []
+    load = t._load
+    monkeypatch.setattr(t, "_load", lambda r, s=None: asked.append({x.slice for x in r}) or load(r, s))
+    touched, buckets = t._touched(delta, ["k"], t._manifest())
+    assert touched == {"2020-06", "2020-02"} and len(buckets) == 1 and asked == []
+    t.upsert(delta, ["k"])
+    # The one scan with rows is that of the slices to be rewritten.
+    assert asked[-1] == {"2020-06", "2020-02"}
+    assert [(r[1].month, r[2]) for r in rows(t.read()) if r[0] == 5] == [(2, "moved")] and t.row_count() == 90
+
+
+def test_the_directory_follows_moves_inserts_and_many_commits(make, frame):
+    """Equal to a table without one, whatever comes; a bucket's files stay few."""
+    with_one, without = make(keys=["k"], directory=2), make("u")
+    base = frame(DDL, *[row(k, k % 4 + 1, "v0") for k in range(12)], (None, date(2020, 1, 1), "null", datetime(2020, 1, 1)))
+    for t in (with_one, without):
+        t.publish(base)
+    for i in range(1, 12):
+        delta = frame(DDL, row(i, (i * 5) % 6 + 1, f"v{i}", i), row(100 + i, i % 3 + 1, f"n{i}", i), row(3, i % 5 + 1, f"v{i}", i))
+        delta = delta.dropDuplicates(["k"])
+        for t in (with_one, without):
+            t.upsert(delta, ["k"], "updated_at")
+        assert rows(with_one.read()) == rows(without.read())
+    files = [r.slice for r in with_one._manifest() if r.slice.startswith("keys/")]
+    assert max(files.count(f) for f in files) <= 9
+    again = make(keys=["k"], directory=2)
+    again.upsert(frame(DDL, row(3, 6, "last", 28)), ["k"])
+    assert [(r[1].month, r[2]) for r in rows(again.read()) if r[0] == 3] == [(6, "last")]
+    # Another key than the directory's, and new columns: the whole table is written again, directory included.
+    again.upsert(frame(DDL, row(3, 1, "last", 28)), ["k", "v"])
+    again.upsert(frame("k int, day date, updated_at timestamp_ntz, w int", (3, date(2020, 2, 1), datetime(2020, 1, 2), 7)), ["k"], evolve=True)
+    assert [r["w"] for r in again.read().where("k = 3").collect()] == [7]
+
+
+def test_rows_are_replaced_by_key(make, frame):
+    """A key may have several rows before and after; null keys only come."""
+    t = make(keys=["k"], directory=4)
+    t.publish(frame(DDL, row(1, 1, "a"), row(1, 2, "b"), row(2, 3, "c"), row(3, 4, "d")))
+    before = {r.slice: r.folder for r in t._manifest()}
+    new = frame(DDL, row(1, 3, "x"), row(1, 5, "y"), row(1, 5, "z"), (None, date(2020, 5, 1), "n", None))
+    t.draft_replace(new, ["k"]).commit()
+    assert [(r[0], r[1].month, r[2]) for r in rows(t.read())] == [(1, 3, "x"), (1, 5, "y"), (1, 5, "z"), (2, 3, "c"), (3, 4, "d"), (None, 5, "n")]
+    assert {r.slice: r.folder for r in t._manifest()}["2020-04"] == before["2020-04"]
+    t.draft_replace(frame(DDL, row(1, 1, "last")), ["k"]).commit()
+    assert [r[2] for r in rows(t.read()) if r[0] == 1] == ["last"]
+    assert t.read().where(F.col("k").isNull()).count() == 1

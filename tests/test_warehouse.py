@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from turnstile import schemas
 from turnstile.fixed import DROP_HEADERS
-from turnstile.operators.checks import ChecksFailed
+from turnstile.operators.checks import ChecksFailed, bad_rows
 from turnstile.operators.shape import conform
 from turnstile.plans import reports
 from turnstile.plans.warehouse import Warehouse
@@ -195,3 +195,101 @@ def test_times_that_are_no_times_do_not_stop_the_load(spark, sources, tmp_path):
     text = tickets(spark, 1, 4).withColumn("updated_at", F.expr("IF(ticket_id = 'TKT2', 'soon', CAST(updated_at AS STRING))"))
     given = {"ticket_sales": text.selectExpr(*[c if c == "updated_at" else f"CAST({c} AS {t.dataType.simpleString()}) AS {c}" for c, t in zip(schemas.SOURCES["ticket_sales"].fieldNames(), schemas.SOURCES["ticket_sales"])])}
     assert w.load_tables(given, "B1", at("2020-06-01"))["ticket_sales"] == 3
+
+
+def test_a_failing_fact_check_leaves_readers_on_the_old_rows(spark, sources, tmp_path, monkeypatch):
+    """Neither the fact nor a dimension of the refused build is seen; a mended one is."""
+    root = str(tmp_path / "w")
+    w = Warehouse(spark, root)
+    w.load_tables(sources(tickets(spark, 1, 9)), "B1", at("2020-06-01"))
+    w.build("B1", at("2020-06-01"))
+    old = {n: rows(df) for n, df in w.mart().items()}
+    w.load_tables(sources(tickets(spark, 1, 20)), "B2", at("2020-06-02"))
+    with monkeypatch.context() as m:
+        m.setattr(w, "_checks", lambda prefix: [bad_rows("never", "fact_ticket_sales", "true")] if prefix == "fact_" else [])
+        with pytest.raises(ChecksFailed, match="never"):
+            w.build("B2", at("2020-06-02"))
+    for reader in (w, Warehouse(spark, root)):
+        assert {n: rows(df) for n, df in reader.mart().items()} == old
+    log = w.ledgers.checks.read().where("batch_id = 'B2-fact'").first()
+    assert (log.status, log.failed_count) == ("FAIL", 20)
+    assert w.build("B3", at("2020-06-03"))["fact_ticket_sales"] == 20
+    new = {n: rows(df) for n, df in Warehouse(spark, root).mart().items()}
+    assert len(new["fact_ticket_sales"]) == 20 and len(new["dim_date"]) > len(old["dim_date"])
+
+
+def test_a_load_that_dies_between_two_tables_shows_old_rows(spark, sources, tmp_path, monkeypatch):
+    root = str(tmp_path / "w")
+    Warehouse(spark, root).load_tables(sources(tickets(spark, 1, 4)), "B1", at("2020-06-01"))
+    w = Warehouse(spark, root)
+    later = sources(tickets(spark, 1, 9))
+    later["events"] = later["events"].withColumns({"event_name": F.lit("Other"), "updated_at": at("2020-03-01")})
+
+    def dies(*_):
+        raise RuntimeError("the machine is gone")
+
+    monkeypatch.setattr(w.raw["ticket_sales"], "draft_upsert", dies)
+    with pytest.raises(RuntimeError, match="gone"):
+        w.load_tables(later, "B2", at("2020-06-02"))
+    seen = Warehouse(spark, root)
+    assert seen.raw["ticket_sales"].row_count() == 4
+    assert {r.event_name for r in seen.raw["events"].read().collect()} == {"Show 0", "Show 1", "Show 2"}
+    # The events' merge was written; only the record does not name it.
+    assert seen.raw["events"]._log().agg(F.max("version")).first()[0] >= seen.raw["events"].version
+    counts = seen.load_tables(later, "B3", at("2020-06-03"))
+    assert (counts["ticket_sales"], counts["events"]) == (5, 3)
+    done = Warehouse(spark, root)
+    assert done.raw["ticket_sales"].row_count() == 9 and {r.event_name for r in done.raw["events"].read().collect()} == {"Other"}
+
+
+def agreements(spark, *rows_):
+    """(id, reseller, rate, from, to, day of change in March)"""
+    df = spark.createDataFrame(rows_, "id int, r string, rate double, a string, z string, d int")
+    return df.selectExpr(
+        "id AS agreement_id", "'O1' AS organizer_id", "r AS reseller_id", "rate AS commission_rate", "CAST(a AS DATE) AS effective_from",
+        "CAST(z AS DATE) AS effective_to", "CAST(make_date(2020, 3, d) AS TIMESTAMP_NTZ) AS updated_at")
+
+
+@pytest.mark.parametrize("by", [None, "source_system"])
+def test_rerated_facts_equal_a_full_build(spark, sources, tmp_path, by):
+    """New rates, periods that shrink, move, split, overlap; with new sales in between. Only touched months are written."""
+    steps = [
+        [(1, "R0", 5.0, "2019-01-01", None, 1), (2, "R1", 7.0, "2020-01-01", "2020-01-10", 1)],
+        [(2, "R1", 8.0, "2020-01-01", "2020-01-10", 2)],  # another rate
+        [(2, "R1", 8.0, "2020-01-05", "2020-01-12", 3)],  # moved: some sales lose theirs
+        [(3, "R0", 9.0, "2020-01-03", "2020-01-04", 4)],  # overlaps: sales are multiplied
+        [(3, "R0", 9.0, "2021-01-03", "2021-01-04", 5)],  # and are single again
+    ]
+    root = str(tmp_path / "w")
+    state = {}
+    for k, step in enumerate(steps):
+        state |= {r[0]: r for r in step}
+        sold = tickets(spark, 1, 20 + k).unionByName(tickets(spark, 40, 43, month=5).withColumn("updated_at", at("2020-01-01")))
+        given = sources(sold) | {"commission_agreements": conform(agreements(spark, *state.values()), schemas.SOURCES["commission_agreements"])}
+        w = Warehouse(spark, root)
+        w.load_tables(given, f"B{k}", at("2020-06-01"))
+        w.build(f"B{k}", at("2020-06-01"), by=by, rerate=True)
+        full = Warehouse(spark, str(tmp_path / f"full{k}"))
+        full.load_tables(given, "F", at("2020-06-01"))
+        full.build("F", at("2020-06-01"))
+        assert fact(w) == fact(full), k
+        folders = {r.slice: r.folder for r in w.fact._manifest() if not r.slice.startswith("keys/")}
+        if k == 0:
+            may = folders["2020-05"]
+        assert folders["2020-05"] == may
+    assert len(fact(w)) == 28
+    w.vacuum()
+    again = Warehouse(spark, root)
+    again.build("B9", at("2020-06-02"), by=by, rerate=True)
+    assert fact(again) == fact(w)
+
+
+def test_old_sales_keep_their_rate_without_rerating(spark, sources, tmp_path):
+    w = Warehouse(spark, str(tmp_path / "w"))
+    for k, rate in enumerate((5.0, 6.0)):
+        given = sources(tickets(spark, 1, 8 + k)) | {"commission_agreements": conform(agreements(spark, (1, "R0", rate, "2019-01-01", None, 1 + k)), schemas.SOURCES["commission_agreements"])}
+        w.load_tables(given, f"B{k}", at("2020-06-01"))
+        w.build(f"B{k}", at("2020-06-01"))
+    assert {str(r[7]) for r in fact(w) if r[2] == "R0"} == {"5.00"}
+    w.build("B2", at("2020-06-01"), rerate=True)
+    assert {str(r[7]) for r in fact(w) if r[2] == "R0"} == {"6.00"}

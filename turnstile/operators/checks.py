@@ -147,6 +147,9 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Data
         else:
             results.append(_related(tables[c.table], tables[c.parent], c))
     results += [_one_pass(tables[t], cs) for t, cs in single.items()]
+    if not results:
+        spark = next(iter(tables.values())).sparkSession
+        return spark.createDataFrame([], "check_name string, table_name string, status string, failed_count bigint")
     log = reduce(DataFrame.unionByName, results)
     status = F.when(F.col("failed_count") == 0, "PASS").otherwise("FAIL")
     return log.select("check_name", "table_name", status.alias("status"), "failed_count")

@@ -5,6 +5,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..fixed import OPEN_END
 from ..functions import commission, date_parts, surrogate_key
 from ..operators.incremental import incremental_rows
 from ..operators.joins import effective_join, lookup_join
@@ -45,6 +46,32 @@ def rated_sales(
     )
 
 
+def changed_periods(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Periods of pairs in which a rate may differ between two states of the
+    agreements: those of versions in force that came, went or changed."""
+    before, after = current_agreements(old), current_agreements(new)
+    changed = before.exceptAll(after).unionByName(after.exceptAll(before))
+    return changed.select("organizer_id", "reseller_id", "effective_from", "effective_to").distinct()
+
+
+def sales_in_periods(sales: DataFrame, periods: DataFrame, at: str = "sales_date") -> DataFrame:
+    """Sales that fall into one of the periods of their pair, each once."""
+    until = F.coalesce(F.col("effective_to"), F.lit(OPEN_END).cast("date"))
+    within = (F.col(at) >= F.col("effective_from")) & (F.col(at) <= until)
+    keys = {k: k for k in ("organizer_id", "reseller_id")}
+    return lookup_join(sales, periods, keys, "left_semi", within)
+
+
+def rerated_sales(sales: DataFrame, changed: DataFrame, periods: DataFrame) -> DataFrame:
+    """All sales rows of the keys that are in ``changed`` or fall into ``periods``.
+
+    Whole keys, so that their fact rows can replace the stored ones.
+    """
+    keys = ["sales_id", "sales_source"]
+    wanted = changed.select(*keys).unionByName(sales_in_periods(sales, periods).select(*keys))
+    return lookup_join(sales, wanted, {k: k for k in keys}, "left_semi")
+
+
 def fact_ticket_sales(
     sales: DataFrame,
     agreements: DataFrame,

@@ -6,12 +6,19 @@ manifest file that names the folders of the new version. Readers see the last
 complete manifest; a job that dies before it leaves the old version in force.
 One writer per table is assumed.
 
+A change is first a draft: its files are written and can be read and checked, but
+no reader sees them before it is committed. Tables that share a ``Commits`` record
+are committed together.
+
 A table may be cut into slices by an expression over its rows (a month, a bucket
 of the key). An upsert rewrites only the slices that hold a changed key or get a
-new row; the other slices are carried over by name, not copied.
+new row; the other slices are carried over by name, not copied. Which slices hold a
+key is told by a directory of keys, if the table keeps one: small files by hash
+bucket of the key that grow with each commit, of which a change reads its own buckets.
 """
 
 import json
+from collections import Counter
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
@@ -25,6 +32,7 @@ from ..operators.aggregates import duplicate_keys
 from ..operators.incremental import reconcile
 from ..operators.upsert import MergeConflict, apply_upsert, merge_conflicts
 from ..schemas import fields
+from .commits import Commits
 from .files import append_rows, exists, remove_others
 
 _MANIFEST = fields(
@@ -34,6 +42,15 @@ _MANIFEST = fields(
 _SLICE = "slice_"
 # Manifest entry of rows that a commit brings beside the table's own.
 _BESIDE = "beside"
+# Manifest entries of the key directory, by bucket, and its columns.
+_KEYS, _BUCKET = "keys/", "bucket_"
+_DIRECTORY = fields("key_hash bigint, slice string")
+# Files of a bucket of the directory; beyond, they are made one.
+_COMPACT = 8
+
+
+def _is_data(r: Row) -> bool:
+    return r.slice != _BESIDE and not r.slice.startswith(_KEYS)
 
 
 @dataclass(frozen=True)
@@ -62,6 +79,51 @@ def days(column: str) -> Slices:
     return Slices(F.date_format(F.col(column), "yyyy-MM-dd"), column=column, pattern="%Y-%m-%d")
 
 
+class Draft:
+    """A new version of a table that is written but not in force."""
+
+    def __init__(self, table: "VersionedTable", version: int, rows: list[tuple], schema: T.StructType):
+        self.table, self.version, self.schema = table, version, schema
+        self._prepared = False
+        self._tuples = rows or [(version, "none", "none", 0, None, None)]
+        self.rows = [Row(*_MANIFEST.fieldNames())(*r) for r in self._tuples]
+
+    def read(self) -> DataFrame:
+        """What readers would see."""
+        return self.table._load(self.rows, self.schema)
+
+    def row_count(self) -> int:
+        return sum(r.rows for r in self.rows if _is_data(r))
+
+    def newest(self) -> datetime | None:
+        return max((r.mark for r in self.rows if r.mark is not None), default=None)
+
+    def prepare(self) -> None:
+        """Write the manifest: one file, so the version is there as a whole or not at all."""
+        if self._prepared:
+            return
+        columns = json.dumps(self.schema.jsonValue())
+        (
+            self.table.spark.createDataFrame([(*r[:-1], columns) for r in self._tuples], _MANIFEST)
+            .coalesce(1)
+            .write.mode("append")
+            .parquet(f"{self.table.path}/manifest")
+        )
+        self._prepared = True
+
+    def adopt(self) -> None:
+        self.table._current, self.table.schema = self.rows, self.schema
+        self.table._last = max(self.table._last, self.version)
+
+    def commit(self, note: str = "") -> int:
+        """Put this version in force."""
+        self.prepare()
+        if self.table.commits is not None:
+            self.table.commits.publish({self.table.name: self.version}, note)
+        self.adopt()
+        return self.version
+
+
 class VersionedTable:
     def __init__(
         self,
@@ -70,16 +132,31 @@ class VersionedTable:
         schema: T.StructType,
         slices: Slices | None = None,
         mark: str = "updated_at",
+        commits: Commits | None = None,
+        name: str | None = None,
+        keys: Sequence[str] = (),
+        directory: int = 64,
     ):
+        """
+        commits, name  the record that says which version is in force, and the table's
+                       name there; without it the newest version is
+        keys           columns whose places a directory remembers, for upserts by
+                       them into slices that do not follow from the key; it has
+                       ``directory`` buckets
+        """
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = self._declared = schema
         self.mark = mark
+        self.commits, self.name = commits, name or self.path
         self._current: list[Row] | None = None
+        self._last = 0
         self._sliced = slices is not None
         slices = slices or Slices(F.lit("all"))
         self._by_key, self._dated = slices.by_key, (slices.column, slices.pattern)
         self._slice = F.coalesce(slices.value.cast("string"), F.lit("none")).alias(_SLICE)
+        self.keys = tuple(keys) if self._sliced and not self._by_key else ()
+        self._buckets = directory
 
     # -- reading ----------------------------------------------------------
 
@@ -90,25 +167,35 @@ class VersionedTable:
         of its own changes; open a new object to see another writer's.
         """
         if self._current is None:
-            self._current = self._newest()
+            self._current = self._in_force()
             # The stored columns count: an upsert may have brought new ones.
             if self._current and self._current[0].schema:
                 self.schema = T.StructType.fromJson(json.loads(self._current[0].schema))
         return self._current
 
-    def _newest(self) -> list[Row]:
+    def _log(self) -> DataFrame | None:
         folder = f"{self.path}/manifest"
-        if not exists(self.spark, folder):  # the table was never published
+        if not exists(self.spark, folder):  # no version was ever written
+            return None
+        return self.spark.read.schema(_MANIFEST).parquet(folder)
+
+    def _in_force(self) -> list[Row]:
+        log = self._log()
+        if log is None:
             return []
-        log = self.spark.read.schema(_MANIFEST).parquet(folder)
-        newest = log.agg(F.max("version")).scalar()
-        return log.where(F.col("version") == newest).collect()
+        # Versions that were written and not committed keep their numbers.
+        self._last = log.agg(F.max("version")).first()[0]
+        version = self._last if self.commits is None else self.commits.current().get(self.name)
+        return [] if version is None else log.where(F.col("version") == version).collect()
 
     @property
     def version(self) -> int:
         rows = self._manifest()
         return rows[0].version if rows else 0
 
+    def _next(self) -> int:
+        return max(self.version, self._last) + 1
+
     def exists(self) -> bool:
         return bool(self._manifest())
 
@@ -122,19 +209,38 @@ class VersionedTable:
         return F.lit(EPOCH_MARK if newest is None else newest).cast("timestamp_ntz")
 
     def row_count(self) -> int:
-        return sum(r.rows for r in self._manifest() if r.slice != _BESIDE)
+        return sum(r.rows for r in self._manifest() if _is_data(r))
 
-    def _load(self, rows: list[Row]) -> DataFrame:
-        folders = [
-            f"{self.path}/{r.folder}" for r in rows if r.rows and r.slice != _BESIDE
-        ]
+    def _load(self, rows: list[Row], schema: T.StructType | None = None) -> DataFrame:
+        schema = schema or self.schema
+        folders = [f"{self.path}/{r.folder}" for r in rows if r.rows and _is_data(r)]
         if not folders:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*folders)
+            return self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*folders)
 
     def read(self) -> DataFrame:
         return self._load(self._manifest())
 
+    def at(self, version: int) -> DataFrame:
+        """An older version, as long as it is not vacuumed."""
+        if version == self.version:
+            return self.read()
+        rows = self._log().where(F.col("version") == version).collect()
+        if not rows:
+            raise ValueError(f"{self.path} has no version {version}")
+        return self._load(rows, T.StructType.fromJson(json.loads(rows[0].schema)))
+
+    def slices_since(self, version: int) -> set[str]:
+        """Slices whose files are not those of an older version: changed, new or gone."""
+        log = self._log()
+        old = [] if log is None else log.where(F.col("version") == version).collect()
+        held = lambda rows: {(r.slice, r.folder) for r in rows if r.rows and _is_data(r)}
+        return {s for s, _ in held(old) ^ held(self._manifest())}
+
+    def only(self, slices: set[str]) -> DataFrame:
+        """Rows of the named slices; opens only their folders."""
+        return self._load([r for r in self._manifest() if r.slice in slices])
+
     def between(self, first: date, last: date) -> DataFrame:
         """Rows of a span of days; opens only the folders of the slices in it."""
         column, pattern = self._dated
@@ -152,12 +258,11 @@ class VersionedTable:
 
     # -- writing ----------------------------------------------------------
 
-    def _write(self, df: DataFrame, version: int) -> list[tuple]:
+    def _write(self, df: DataFrame, version: int, schema: T.StructType | None = None) -> list[tuple]:
         """Write rows into the folders of a version, one folder per slice."""
+        schema = schema or self.schema
         folder = f"data/v{version}"
-        tagged = df.select(
-            *[F.col(f.name).cast(f.dataType) for f in self.schema], self._slice
-        )
+        tagged = df.select(*[F.col(f.name).cast(f.dataType) for f in schema], self._slice)
         if self._sliced:
             # Brings a slice's rows together, so tasks do not each write a small
             # file per slice; a large slice is split over several tasks.
@@ -170,56 +275,188 @@ class VersionedTable:
         # Reads the mark column only, of the files just written.
         stats = (
             self.spark.read.schema(
-                T.StructType(list(self.schema) + [T.StructField(_SLICE, T.StringType())])
+                T.StructType(list(schema) + [T.StructField(_SLICE, T.StringType())])
             )
             .parquet(f"{self.path}/{folder}")
             .groupBy(_SLICE)
-            .agg(F.count("*").alias("n"), F.max(self._mark_column()).alias("m"))
+            .agg(F.count("*").alias("n"), F.max(self._mark_column(schema)).alias("m"))
         )
         return [
             (version, r[_SLICE], f"{folder}/{_SLICE}={r[_SLICE]}", r.n, r.m, None)
             for r in stats.collect()
         ]
 
-    def _mark_column(self) -> Column:
-        if self.mark in self.schema.fieldNames():
+    def _mark_column(self, schema: T.StructType) -> Column:
+        if self.mark in schema.fieldNames():
             return F.col(self.mark).cast("timestamp_ntz")
         return F.lit(None).cast("timestamp_ntz")
 
-    def _commit(self, version: int, rows: list[tuple]) -> int:
-        """One file, so the new version appears as a whole or not at all."""
-        rows = rows or [(version, "none", "none", 0, None, None)]
-        columns = json.dumps(self.schema.jsonValue())
-        rows = [(*r[:-1], columns) for r in rows]
-        (
-            self.spark.createDataFrame(rows, _MANIFEST)
-            .coalesce(1)
-            .write.mode("append")
-            .parquet(f"{self.path}/manifest")
+    # -- the key directory ---------------------------------------------------
+
+    def _entries(self, df: DataFrame) -> DataFrame:
+        """(key_hash, slice, bucket_) of rows; a null key can match nothing."""
+        found = df.dropna(subset=list(self.keys)).select(
+            F.xxhash64(*self.keys).alias("key_hash"), self._slice.alias("slice")
         )
-        self._current = [Row(*_MANIFEST.fieldNames())(*r) for r in rows]
-        return version
+        bucket = F.pmod("key_hash", F.lit(self._buckets)).alias(_BUCKET)
+        return found.distinct().select("key_hash", "slice", bucket)
 
-    def publish(self, df: DataFrame) -> int:
-        """Replace the content, and the columns by the declared ones."""
-        version = self.version + 1
-        self.schema = self._declared
-        return self._commit(version, self._write(df, version))
+    def _directory(self, rows: list[Row], buckets: set[int]) -> DataFrame:
+        """Stored entries of some buckets, which are opened alone."""
+        named = {f"{_KEYS}{b}" for b in buckets}
+        folders = [f"{self.path}/{r.folder}" for r in rows if r.slice in named]
+        if not folders:
+            return self.spark.createDataFrame([], _DIRECTORY)
+        return self.spark.read.schema(_DIRECTORY).parquet(*folders)
+
+    def _write_entries(self, entries: DataFrame, version: int) -> list[tuple]:
+        folder = f"keys/v{version}"
+        path = f"{self.path}/{folder}"
+        # Spread by bucket and hash: one file a bucket while it is small.
+        entries.hint("rebalance", F.col(_BUCKET)).write.mode("overwrite").partitionBy(_BUCKET).parquet(path)
+        schema = T.StructType([*_DIRECTORY, T.StructField(_BUCKET, T.LongType())])
+        counts = self.spark.read.schema(schema).parquet(path).groupBy(_BUCKET).count()
+        return [
+            (version, f"{_KEYS}{r[_BUCKET]}", f"{folder}/{_BUCKET}={r[_BUCKET]}", r["count"], None, None)
+            for r in counts.collect()
+        ]
 
-    def vacuum(self) -> int:
-        """Delete the folders that the newest version does not name; their number.
+    def _indexed(self, written: list[tuple], version: int, schema: T.StructType | None = None) -> list[tuple]:
+        """A whole new directory for files just written."""
+        if not self.keys:
+            return []
+        new = [Row(*_MANIFEST.fieldNames())(*r) for r in written]
+        return self._write_entries(self._entries(self._load(new, schema)), version)
+
+    def _extended(self, old: list[Row], delta: DataFrame, buckets: set[int], version: int) -> list[tuple]:
+        """The directory's manifest entries once a delta's places are added. A place that
+        is known is not added again; a bucket of many small files becomes one."""
+        known = self._directory(old, buckets)
+        fresh = self._entries(delta).join(known, ["key_hash", "slice"], "left_anti")
+        files = Counter(r.slice for r in old)
+        full = {b for b in buckets if files[f"{_KEYS}{b}"] >= _COMPACT}
+        if full:
+            bucket = F.pmod("key_hash", F.lit(self._buckets)).alias(_BUCKET)
+            fresh = fresh.select("key_hash", "slice", _BUCKET).unionByName(self._directory(old, full).distinct().select("key_hash", "slice", bucket))
+        left_out = {f"{_KEYS}{b}" for b in full}
+        carried = [r for r in old if r.slice.startswith(_KEYS) and r.slice not in left_out]
+        return _carry(carried, version) + self._write_entries(fresh.select("key_hash", "slice", _BUCKET), version)
+
+    # -- drafts: a change before it is in force ---------------------------------
+
+    def draft(self, df: DataFrame) -> Draft:
+        """All content anew, in the declared columns."""
+        version, schema = self._next(), self._declared
+        written = self._write(df, version, schema)
+        return Draft(self, version, written + self._indexed(written, version, schema), schema)
+
+    def draft_empty(self) -> Draft:
+        return Draft(self, self._next(), [], self.schema)
+
+    def draft_slices(self, df: DataFrame, slices: set[str]) -> Draft:
+        """Some slices anew: ``df`` has all rows they will hold, and no others."""
+        if self.keys:
+            raise ValueError(f"{self.path}: slices of a table with a key directory change by key")
+        version = self._next()
+        carried = [r for r in self._manifest() if r.slice not in slices]
+        return Draft(self, version, _carry(carried, version) + self._write(df, version), self.schema)
+
+    def draft_upsert(
+        self, delta: DataFrame, keys: Sequence[str], guard: str | None = None, evolve: bool = False
+    ) -> Draft:
+        """See ``upsert``."""
+        old = self._manifest()  # also sets the stored columns
+        version, schema = self._next(), self.schema
+        stored = self._load(old)
+        if evolve and delta.schema.simpleString() != schema.simpleString():
+            stored, delta = reconcile(stored, delta)
+            schema = delta.schema
+            touched, buckets = None, None
+        else:
+            delta = reconcile(delta, stored)[0]
+            touched, buckets = self._touched(delta, keys, old)
+            stored = self._load([r for r in old if touched is None or r.slice in touched])
+        # The stored keys are read only if the delta repeats a key at all.
+        repeated = old and not duplicate_keys(delta, keys, skip_nulls=True).isEmpty()
+        if repeated and not merge_conflicts(stored, delta, keys).isEmpty():
+            raise MergeConflict(f"{self.path}: a stored row has several new rows")
+        merged = apply_upsert(stored, delta, keys, guard) if old else delta
+        return self._drafted(old, merged, delta, touched, buckets, version, schema)
 
-        Readers of older versions lose them, so wait until those are done.
-        """
-        named = {r.folder for r in self._manifest()}
-        return sum(
-            remove_others(self.spark, f"{self.path}/{top}", f"{top}/", named)
-            for top in ("data", "beside")
-        )
+    def draft_replace(self, rows: DataFrame, keys: Sequence[str]) -> Draft:
+        """The stored rows of all keys that ``rows`` holds go, and ``rows`` come: a key may
+        have several rows before and after. Give landed rows, they are read again."""
+        old = self._manifest()
+        version = self._next()
+        rows = reconcile(rows, self._load(old))[0]
+        touched, buckets = self._touched(rows, keys, old)
+        stored = self._load([r for r in old if touched is None or r.slice in touched])
+        kept = stored.join(rows.select(*keys).distinct(), list(keys), "left_anti").select(*rows.columns)
+        return self._drafted(old, kept.unionByName(rows), rows, touched, buckets, version, self.schema)
+
+    def _drafted(
+        self, old: list[Row], content: DataFrame, delta: DataFrame, touched: set[str] | None,
+        buckets: set[int] | None, version: int, schema: T.StructType,
+    ) -> Draft:
+        """``content`` in place of the touched slices, or of all."""
+        carried = [r for r in old if touched is not None and _is_data(r) and r.slice not in touched]
+        beside = [r for r in old if r.slice == _BESIDE]
+        written = self._write(content, version, schema)
+        if buckets is None:
+            index = self._indexed(written, version, schema) if touched is None else [
+                r for r in _carry(old, version) if r[1].startswith(_KEYS)
+            ]
+        else:
+            index = self._extended(old, delta, buckets, version)
+        return Draft(self, version, _carry(carried + beside, version) + written + index, schema)
+
+    def _touched(
+        self, delta: DataFrame, keys: Sequence[str], old: list[Row]
+    ) -> tuple[set[str] | None, set[int] | None]:
+        """Slices that hold a key of the delta or will receive one of its rows, all if
+        None; and the buckets of the directory that told it, None without one."""
+        slices = {r.slice for r in old if _is_data(r)}
+        found = delta.select(self._slice).distinct()
+        buckets = None
+        if self.keys and tuple(keys) == self.keys and any(r.slice.startswith(_KEYS) for r in old):
+            entries = self._entries(delta)
+            buckets = {r[0] for r in entries.select(_BUCKET).distinct().collect()}
+            asked = entries.select("key_hash").distinct()
+            holding = self._directory(old, buckets).join(asked, "key_hash", "left_semi")
+            found = found.union(holding.select("slice").distinct()).distinct()
+        elif self.keys or len(slices) <= 1:
+            return None, None
+        elif not self._by_key:
+            holding = self._load(old).select(*keys, self._slice).join(
+                delta.select(*keys).distinct(), list(keys), "left_semi"
+            )
+            found = found.union(holding.select(_SLICE).distinct()).distinct()
+        return {r[0] for r in found.collect()}, buckets  # as many as the table has slices
+
+    # -- changes that are in force at once ----------------------------------------
+
+    def publish(self, df: DataFrame) -> int:
+        """Replace the content, and the columns by the declared ones."""
+        return self.draft(df).commit()
 
     def truncate(self) -> int:
         """Replace the content by nothing."""
-        return self._commit(self.version + 1, [])
+        return self.draft_empty().commit()
+
+    def upsert(
+        self,
+        delta: DataFrame,
+        keys: Sequence[str],
+        guard: str | None = None,
+        evolve: bool = False,
+    ) -> int:
+        """Merge rows by key, rewriting only the slices they touch.
+
+        ``delta`` is read several times: pass landed rows, not a costly plan.
+        With ``evolve`` the table takes over the delta's columns, which rewrites
+        it whole; otherwise the delta is matched to the table's columns.
+        """
+        return self.draft_upsert(delta, keys, guard, evolve).commit()
 
     def append(
         self,
@@ -231,15 +468,15 @@ class VersionedTable:
         ``beside`` makes a few more rows of the written ones, such as one per
         file. They are kept next to the table and appear with the same commit.
         """
-        old = self._manifest()
-        version = (old[0].version if old else 0) + 1
+        old, version = self._manifest(), self._next()
         written = self._write(df, version)
+        more = self._indexed(written, version)
         if beside:
             folder = f"beside/v{version}"
             new = [Row(*_MANIFEST.fieldNames())(*r) for r in written]
-            more = append_rows(beside(self._load(new)).coalesce(1), f"{self.path}/{folder}")
-            written.append((version, _BESIDE, folder, more, None, None))
-        return self._commit(version, _carry(old, version) + written)
+            n = append_rows(beside(self._load(new)).coalesce(1), f"{self.path}/{folder}")
+            more.append((version, _BESIDE, folder, n, None, None))
+        return Draft(self, version, _carry(old, version) + written + more, self.schema).commit()
 
     def beside(self, schema: T.StructType) -> DataFrame:
         """What the commits of the current rows brought beside them."""
@@ -250,53 +487,19 @@ class VersionedTable:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*folders)
 
-    def upsert(
-        self,
-        delta: DataFrame,
-        keys: Sequence[str],
-        guard: str | None = None,
-        evolve: bool = False,
-    ) -> int:
-        """Merge rows by key, rewriting only the slices they touch.
+    def vacuum(self, keep: Sequence[int] = ()) -> int:
+        """Delete the folders that the version in force does not name; their number.
 
-        ``delta`` is read several times: pass landed rows, not a costly plan.
-        With ``evolve`` the table takes over the delta's columns, which rewrites
-        it whole; otherwise the delta is matched to the table's columns.
+        Readers of older versions lose them, so wait until those are done, or name
+        the versions to keep.
         """
-        old = self._manifest()  # also sets the stored columns
-        version = (old[0].version if old else 0) + 1
-        stored = self._load(old)
-        if evolve and delta.schema.simpleString() != self.schema.simpleString():
-            stored, delta = reconcile(stored, delta)
-            self.schema = delta.schema
-            touched = None
-        else:
-            delta = reconcile(delta, stored)[0]
-            touched = self._touched(stored, delta, keys, old)
-        # The stored keys are read only if the delta repeats a key at all.
-        repeated = old and not duplicate_keys(delta, keys, skip_nulls=True).isEmpty()
-        if repeated and not merge_conflicts(stored, delta, keys).isEmpty():
-            raise MergeConflict(f"{self.path}: a stored row has several new rows")
-        rewrite = [r for r in old if touched is None or r.slice in touched]
-        carried = [r for r in old if touched is not None and r.slice not in touched]
-        if touched is not None:
-            stored = self._load(rewrite)
-        merged = apply_upsert(stored, delta, keys, guard) if old else delta
-        return self._commit(version, _carry(carried, version) + self._write(merged, version))
-
-    def _touched(
-        self, stored: DataFrame, delta: DataFrame, keys: Sequence[str], old: list[Row]
-    ) -> set[str] | None:
-        """Slices that hold a key of the delta or will receive one of its rows."""
-        if len({r.slice for r in old}) <= 1:
-            return None
-        found = delta.select(self._slice).distinct()
-        if not self._by_key:
-            holding = stored.select(*keys, self._slice).join(
-                delta.select(*keys).distinct(), list(keys), "left_semi"
-            )
-            found = found.union(holding.select(_SLICE).distinct()).distinct()
-        return {r[0] for r in found.collect()}  # as many as the table has slices
+        named = {r.folder for r in self._manifest()}
+        if keep:
+            named |= {r.folder for r in self._log().where(F.col("version").isin(list(keep))).collect()}
+        return sum(
+            remove_others(self.spark, f"{self.path}/{top}", f"{top}/", named)
+            for top in ("data", "beside", "keys")
+        )
 
 
 def _carry(rows: list[Row], version: int) -> list[tuple]:
