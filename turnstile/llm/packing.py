@@ -8,10 +8,11 @@ unused neighbours, which fill the seed's window greedily, the last one cut to
 fit. What is left of a cut document seeds the next window.
 """
 
+import json
 import os
 import zlib
 from array import array
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import cache
 
 import numpy as np
@@ -20,11 +21,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.shared import batch, scratch, stored
+from turnstile.llm.shared import batch, parts, scratch, stored
 
 #: Tokens of a shard's index: some hundred megabytes while it is built.
 SHARD = 4 << 20
 K1, B = 1.2, 0.75
+#: Used documents leave the index once they are this share of the others.
+_LEAVE = 0.25
 # Fixed value: how a byte-level BPE of this family cuts a text before merging.
 CUTS = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}++| ?\p{N}++| ?[^\s\p{L}\p{N}]++|\s++$|\s+(?!\S)|\s"""
 
@@ -47,23 +50,31 @@ class Encoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import tiktoken
-        from tokenizers import Tokenizer
 
-        self._own = Tokenizer.from_file(path)
-        self.size = self._own.get_vocab_size()
+        self._path, self._own = path, None
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        self._special = [t["content"] for t in spec["added_tokens"]]
+        vocabulary = {t: i for t, i in spec["model"]["vocab"].items() if t not in self._special}
+        self.size = len(vocabulary) + len(self._special)
         self.kind, self._code = ("<u2", "H") if self.size <= 1 << 16 else ("<u4", "I")
-        self._special = [t.content for t in self._own.get_added_tokens_decoder().values()]
         letters = byte_letters()
-        ranks = {bytes(letters[c] for c in token): i for token, i in self._own.get_vocab().items() if token not in self._special}
+        ranks = {bytes(letters[c] for c in token): i for token, i in vocabulary.items()}
         self._fast = tiktoken.Encoding("file", pat_str=CUTS, mergeable_ranks=ranks, special_tokens={})
 
+    def _exact(self, text: str) -> list[int]:
+        """By the file's own library, which few texts need."""
+        if self._own is None:
+            from tokenizers import Tokenizer
+
+            self._own = Tokenizer.from_file(self._path)
+        return self._own.encode(text, add_special_tokens=False).ids
+
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
         out = []
         for text in texts:
-            if any(s in text for s in self._special):
-                ids = self._own.encode(text, add_special_tokens=False).ids
-            else:
-                ids = self._fast.encode_ordinary(text)
+            special = any(s in text for s in self._special)
+            ids = self._exact(text) if special else self._fast.encode_ordinary(text)
             out.append(np.frombuffer(array(self._code, ids), self.kind))
         return out
 
@@ -94,7 +105,7 @@ def _cutting(path: str, end: int, window: int, schema: pa.Schema) -> Callable:
     def run(batches):
         encode = _encoder(path)
         number = TaskContext.get().partitionId() << 40
-        for b in batches:
+        for b in parts(batches):
             texts = [t or "" for t in b.column("__text").to_pylist()]
             for k in range(0, len(texts), 256):
                 at, rows = [], []
@@ -123,7 +134,7 @@ _FREQUENCY = pa.schema([("token", pa.int32()), ("n", pa.int64())])
 def _frequencies(kind: str, size: int) -> Callable:
     def run(batches):
         counts = np.zeros(size, np.int64)
-        for b in batches:
+        for b in parts(batches):
             for ids in b.column("ids").to_pylist():
                 counts[np.unique(np.frombuffer(ids, kind))] += 1
         used = np.flatnonzero(counts)
@@ -138,26 +149,51 @@ class Index:
     def __init__(self, rests: list[np.ndarray], idf: np.ndarray, mean: float):
         self.docs = len(rests)
         counted = [np.unique(ids, return_counts=True) for ids in rests]
-        self.terms = [t.astype(np.int64) for t, _ in counted]
+        self.terms = [t.astype(np.int32) for t, _ in counted]
         token = np.concatenate(self.terms)
-        tf = np.concatenate([c for _, c in counted])
-        doc = np.repeat(np.arange(len(rests)), [len(t) for t in self.terms])
-        length = np.array([len(r) for r in rests])[doc]
-        weight = idf[token] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
+        tf = np.concatenate([c for _, c in counted]).astype(np.float32)
+        doc = np.repeat(np.arange(len(rests), dtype=np.int32), [len(t) for t in self.terms])
+        length = np.array([len(r) for r in rests], np.float32)[doc]
+        weight = idf[token].astype(np.float32) * tf * np.float32(K1 + 1) / (tf + np.float32(K1 * (1 - B)) + np.float32(K1 * B / mean) * length)
         order = np.argsort(token, kind="stable")
-        self._doc, self._weight = doc[order], weight[order]
-        self._tokens, first = np.unique(token[order], return_index=True)
-        self._first = np.append(first, len(order))
+        self._doc, self._weight, self._token = doc[order], weight[order], token[order]
+        self._place()
+
+    def _place(self) -> None:
+        self._tokens, first = np.unique(self._token, return_index=True)
+        self._first = np.append(first, len(self._token))
+
+    def without(self, used: np.ndarray) -> None:
+        """Leave out the postings of documents that no window can take any more."""
+        left = ~used[self._doc]
+        self._doc, self._weight, self._token = self._doc[left], self._weight[left], self._token[left]
+        self._place()
 
     def neighbours(self, seed: int) -> np.ndarray:
         """BM25 score of every document for the seed's tokens."""
-        row = np.searchsorted(self._tokens, self.terms[seed])
+        own = self.terms[seed]
+        row = np.minimum(np.searchsorted(self._tokens, own), len(self._tokens) - 1)
+        row = row[self._tokens[row] == own]
         start, size = self._first[row], self._first[row + 1] - self._first[row]
         # The postings of all the seed's tokens in one gather.
         at = np.repeat(start - np.r_[0, np.cumsum(size)[:-1]], size) + np.arange(size.sum())
         return np.bincount(self._doc[at], self._weight[at], minlength=self.docs)
 
 
+def best_first(score: np.ndarray, few: int = 32) -> Iterator[int]:
+    """Places by falling score, equal ones in order; only as many as are asked for are sorted."""
+    done = 0
+    while done < len(score):
+        if few < len(score):
+            least = np.partition(score, len(score) - few)[len(score) - few]
+            at = np.flatnonzero(score >= least)
+        else:
+            at = np.arange(len(score))
+        at = at[np.argsort(-score[at], kind="stable")]
+        yield from at[done:].tolist()
+        done, few = len(at), 4 * few
+
+
 class Packer:
     """Fills windows from shards that come one after the other."""
 
@@ -169,7 +205,7 @@ class Packer:
         the left pieces make one short window."""
         index = Index([ids for _, _, ids in pieces], self.idf, self.mean)
         key, start, left = [p[0] for p in pieces], [p[1] for p in pieces], [p[2] for p in pieces]
-        unused, windows = np.ones(len(pieces), bool), []
+        unused, windows, taken = np.ones(len(pieces), bool), [], 0
         room = sum(len(ids) for ids in left)
         seed, next_seed = 0, None
         while room >= self.window:
@@ -180,7 +216,7 @@ class Packer:
             score, next_seed, window, space = index.neighbours(now), None, [], self.window
             score[~unused] = -1
             score[now] = np.inf
-            for i in np.argsort(-score, kind="stable"):
+            for i in best_first(score):
                 ids = left[i][:space]
                 window.append((key[i], start[i], ids))
                 space -= len(ids)
@@ -190,10 +226,14 @@ class Packer:
                     next_seed = i
                 else:
                     unused[i] = False
+                    taken += 1
                 if not space:
                     break
             windows.append(window)
             room -= self.window
+            if taken > _LEAVE * unused.sum():
+                index.without(~unused)
+                taken = 0
         rest = [(key[i], start[i], left[i]) for i in np.flatnonzero(unused)]
         if last and rest:
             windows.append(rest)
@@ -224,7 +264,7 @@ def _packing(shared: Callable[[], tuple], kind: str, window: int, schema: pa.Sch
             for *own, tokens, start, ids in zip(*columns, strict=True):
                 yield (tuple(own), tokens), start, np.frombuffer(ids, kind)
 
-        for b in batches:
+        for b in parts(batches):
             for piece in pieces(b):
                 held.append(piece)
                 tokens += len(piece[2])
