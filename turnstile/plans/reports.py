@@ -47,6 +47,18 @@ def _measures() -> dict[str, Column]:
     }
 
 
+def partials(fact: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Sums by some columns of the fact, small enough to keep; see ``from_partials``."""
+    return totals(fact, list(by), _parts())
+
+
+def from_partials(kept: DataFrame, by: Sequence[Column | str]) -> DataFrame:
+    """Measures from partial sums, by columns that these are grouped by."""
+    if not by:
+        return kept.agg(*[c.alias(n) for n, c in _measures().items()])
+    return totals(kept, list(by), _measures())
+
+
 def measures(fact: DataFrame) -> DataFrame:
     """All measures over the whole fact, in one row."""
     return fact.agg(*[c.alias(n) for n, c in _parts().items()]).agg(
@@ -94,7 +106,7 @@ def weekly_by_channel(fact: DataFrame) -> DataFrame:
 
 
 def month_comparison(
-    fact: DataFrame, month: int = 2, year: int = 2020, base_year: int = 2019
+    fact: DataFrame, month: int = 2, year: int = 2020, base_year: int = 2019, amount: str = "total_amount"
 ) -> DataFrame:
     """Sales of a month against the same month of another year, in one pass."""
     d = F.col("sales_date")
@@ -110,7 +122,7 @@ def month_comparison(
     both = fact.where(span(year) | span(base_year))
     sums = filtered_totals(
         both,
-        F.col("total_amount"),
+        F.col(amount),
         {"current_sales": in_month(year), "base_sales": in_month(base_year)},
     )
     change = F.col("current_sales") - F.col("base_sales")

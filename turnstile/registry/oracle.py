@@ -1,5 +1,6 @@
 """The SQL counterpart of every query, for another engine to run."""
 
+from .. import schemas
 from ..plans import quality
 from .oracle_tables import PRELUDE
 
@@ -278,6 +279,35 @@ SELECT sales_id, s.organizer_id, s.reseller_id, sales_date::VARCHAR AS sales_dat
 FROM int_sales s LEFT JOIN current_agreements c
   ON s.organizer_id = c.organizer_id AND s.reseller_id = c.reseller_id
   AND sales_date BETWEEN effective_from AND coalesce(effective_to, DATE '2999-12-31')""")
+_add("j05_many_periods", """
+WITH p AS (
+  SELECT CASE WHEN o_custkey % 3 = 0 THEN 0 ELSE o_custkey % 50 END AS pair, o_orderdate::DATE AS a,
+    CASE WHEN o_orderkey % 97 = 0 THEN DATE '2999-12-31'
+      ELSE o_orderdate::DATE + (o_orderkey % 40)::INT END AS z, o_orderkey % 100 AS rate
+  FROM orders
+), s AS (
+  SELECT CASE WHEN l_partkey % 3 = 0 THEN 0 ELSE l_partkey % 50 END AS pair, l_shipdate::DATE AS day,
+    count(*) AS n
+  FROM lineitem GROUP BY ALL
+)
+SELECT s.pair::BIGINT AS pair, year(day) AS year, sum(n)::BIGINT AS rows,
+  coalesce(sum(n) FILTER (rate IS NOT NULL), 0)::BIGINT AS matches, sum(n * rate)::BIGINT AS rates
+FROM s LEFT JOIN p ON s.pair = p.pair AND day BETWEEN a AND z GROUP BY 1, 2""")
+_model("j05_multiplied_sales", """
+SELECT sales_id, sales_source, count(*) AS periods
+FROM int_sales s JOIN current_agreements c
+  ON s.organizer_id = c.organizer_id AND s.reseller_id = c.reseller_id
+  AND sales_date BETWEEN effective_from AND coalesce(effective_to, DATE '2999-12-31')
+GROUP BY ALL HAVING count(*) > 1""")
+_model("w01_overlapping_agreements", """
+SELECT organizer_id, reseller_id, effective_from::VARCHAR AS effective_from,
+  effective_to::VARCHAR AS effective_to, commission_rate::DOUBLE AS commission_rate
+FROM current_agreements a
+WHERE EXISTS (SELECT 1 FROM current_agreements b
+  WHERE a.organizer_id = b.organizer_id AND a.reseller_id = b.reseller_id
+    AND a.effective_from <> b.effective_from
+    AND a.effective_from <= coalesce(b.effective_to, DATE '2999-12-31')
+    AND b.effective_from <= coalesce(a.effective_to, DATE '2999-12-31'))""")
 _model("j06_event_organizer", """
 SELECT event_id, e.organizer_id, organizer_name FROM stg_events e
   LEFT JOIN stg_organizers o ON e.organizer_id = o.organizer_id""")
@@ -442,6 +472,25 @@ _model("i05_mark_per_feed", f"SELECT {FACT} FROM fact")
 _add("i05_schema_sync", f"""
 SELECT * , CASE WHEN o_orderstatus IN ('O', 'P') THEN 'NEW' END AS priority
 FROM ({_merge("true")})""")
+# Sales that are one row of the fact.
+SINGLE = """FROM fact WHERE sales_key NOT IN (
+  SELECT sales_key FROM fact GROUP BY sales_key HAVING count(*) > 1)"""
+_model("i05_both_feeds_stored_target", f"""
+SELECT * EXCLUDE (updated_at) FROM (SELECT {FACT} {SINGLE})""")
+_model("i05_rerated_fact", f"SELECT {FACT} FROM fact")
+_model("i06_merges_by_name", " UNION ALL ".join(
+    f"""SELECT '{t}' AS table_name, count(*) AS keys,
+  count(*) FILTER (ascii(right({ks[-1]}, 1)) % 3 = 1) AS updated
+FROM (SELECT DISTINCT {", ".join(ks)} FROM raw_{t}
+  WHERE {" AND ".join(f"{k} IS NOT NULL" for k in ks)})"""
+    for t, (ks, _) in schemas.VARIANT_KEYS.items()
+))
+_model("i13_one_commit", " UNION ALL ".join(
+    f"""SELECT '{step}' AS step, '{t}' AS table_name, count(*) AS rows FROM stg_{t}
+WHERE {"true" if step == "repeated" else f"ascii(right({k}, 1)) % 2 = 0"}"""
+    for step in ("died", "repeated")
+    for t, k in (("organizers", "organizer_id"), ("resellers", "reseller_id"), ("events", "event_id"))
+))
 _model("i06_merge_by_name", """
 SELECT max(agreement_id)::DOUBLE AS agreement_id, organizer_id, reseller_id,
   arg_max(commission_rate, agreement_id)::DOUBLE AS commission_rate,
@@ -605,6 +654,13 @@ _model("q13_source_report", _log([
      "round(quantity * unit_price, 2) <> total_amount")),
     *_CRITICAL,
 ]))
+_CHANNEL = "sales_channel IN ('WEB', 'MOBILE_APP', 'ON_SITE')"
+_model("q16_write_audit_publish", f"""
+SELECT 'refused' AS step, sales_channel, count(*) AS sales FROM stg_ticket_sales
+WHERE {_CHANNEL} GROUP BY ALL
+UNION ALL
+SELECT 'mended', CASE WHEN {_CHANNEL} THEN sales_channel ELSE 'WEB' END, count(*)
+FROM stg_ticket_sales GROUP BY ALL""")
 _add("q14_rejects", """
 SELECT 'BATCH_3' AS batch_id, 'reseller_exports' AS source_name,
   'bad quantity' AS reason, '2024-03-01 00:00:00' AS rejected_at, event_id,
@@ -629,6 +685,9 @@ _model("m03_dim_organizer", "SELECT * FROM dim_organizer")
 _model("m04_dim_event", """
 SELECT * REPLACE (event_date::VARCHAR AS event_date) FROM dim_event""")
 _model("m05_dim_date", _DATES)
+_model("r01_weekly_kept_up_to_date", f"""
+SELECT date_trunc('week', sales_date)::DATE::VARCHAR AS week, sales_channel, {MEASURES}
+{SINGLE} GROUP BY 1, 2""")
 _model("r01_weekly_by_channel", f"""
 SELECT date_trunc('week', sales_date)::DATE::VARCHAR AS week, sales_channel, {MEASURES}
 FROM fact GROUP BY 1, 2""")

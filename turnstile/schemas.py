@@ -76,11 +76,12 @@ SOURCE_KEYS = {
     "customers": (["customer_id"], None),
     "ticket_sales": (["ticket_id"], "updated_at"),
 }
-# The by-name merge variant: every table guarded, other keys for two of them.
+# The by-name merge variant: every table guarded, other keys for two of them. Daily
+# sales have no sale date but the day that the row was made.
 VARIANT_KEYS = {
     **{name: (keys, "updated_at") for name, (keys, _) in SOURCE_KEYS.items()},
     "commission_agreements": (["organizer_id", "reseller_id"], "updated_at"),
-    "reseller_daily_sales": (["reseller_id", "sale_date"], "updated_at"),
+    "reseller_daily_sales": (["reseller_id", "created_date"], "updated_at"),
 }
 RAW = {
     name: T.StructType(list(schema) + list(fields(_META)))
