@@ -69,6 +69,33 @@ def test_fingerprint_follows_content_order_and_size(spark, inbox):
     assert empty.header is None and empty.file_size == 0 and len(empty.file_sha) == 40
 
 
+def test_a_known_inbox_is_not_opened_again(spark, tmp_path, inbox, run_ts, monkeypatch):
+    """Only files that are new, or of another size or time, are read for their hash."""
+    from turnstile.sources import drops
+
+    opened = []
+    real = drops.fingerprint
+    monkeypatch.setattr(drops, "fingerprint", lambda s, f, paths=None: opened.append(sorted(Path(p).name for p in paths)) or real(s, f, paths))
+    folder = inbox(GOOD, line(1))
+    other = inbox("DailySales_01062020_RES006.csv", line(2)) and "DailySales_01062020_RES006.csv"
+    assert feed(spark, tmp_path).load(folder, "B1", run_ts)["rows"] == 2
+    assert opened.pop() == sorted([GOOD, other]) and not opened
+    assert feed(spark, tmp_path).load(folder, "B2", run_ts) == {"files": 0, "failed": 0, "rows": 0, "rejected": 0}
+    assert opened == []
+    # Touched without a change: hashed once more, and not loaded. Changed: hashed and loaded.
+    import os
+
+    os.utime(Path(folder) / GOOD, (1, 1))
+    inbox(other, line(2), line(3))
+    assert feed(spark, tmp_path).load(folder, "B3", run_ts)["rows"] == 2
+    assert opened == [sorted([GOOD, other])]
+    assert feed(spark, tmp_path).load(folder, "B4", run_ts)["files"] == 0 and len(opened) == 1
+    # A table that has lost its files loads them without reading them for their hash.
+    again = feed(spark, tmp_path)
+    again.table.truncate()
+    assert again.load(folder, "B5", run_ts)["rows"] == 3 and len(opened) == 1
+
+
 def test_fingerprint_does_not_depend_on_how_a_file_is_cut(spark, inbox):
     folder = inbox(GOOD, *[line(i) for i in range(2000)])
     whole = fingerprint(spark, folder).first().file_sha

@@ -115,6 +115,11 @@ FILE_HISTORY = fields(
     "file_name string, file_sha string, load_date timestamp_ntz, "
     "record_count bigint, status string, error_message string"
 )
+# Hash and header by what tells a file without opening it.
+SEEN_FILES = fields(
+    "file_path string, file_size bigint, modified timestamp_ntz, file_sha string, "
+    "header string"
+)
 JOB_AUDIT = fields(
     "job_name string, start_time timestamp_ntz, end_time timestamp_ntz, "
     "status string, records_loaded bigint, files_processed bigint, "

@@ -6,6 +6,7 @@ per file (name, size, fingerprint), never file content.
 
 import csv
 from collections import defaultdict
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,8 +19,8 @@ from ..operators.joins import lookup_join
 from ..operators.rejects import reject_reason, split_rejects
 from ..operators.shape import add_missing_columns, conform, rename_columns, stamp
 from ..schemas import DAILY_SALES, FILE_HISTORY, POSITIONAL_DROP
-from .files import empty_files
-from .ledgers import Ledgers
+from .files import append_rows, empty_files
+from .ledgers import Ledger, Ledgers
 from .tables import VersionedTable
 
 CSV_GLOB = "*.[cC][sS][vV]"
@@ -30,31 +31,65 @@ DROP_TEXT = T.StructType(
 
 
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Name, path and size of each CSV in a folder, empty ones too; reads no content."""
+    """Name, path, size and modification time of each CSV in a folder, empty ones too
+    (without a time); reads no content."""
     files = (
         spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB).load(folder)
-    ).select("path", "length")
-    empty = [(p, 0) for p in empty_files(spark, folder, CSV_GLOB)]
-    files = files.unionByName(spark.createDataFrame(empty, "path string, length long"))
+    ).select("path", "length", F.col("modificationTime").cast("timestamp_ntz").alias("modified"))
+    empty = [(p, 0, None) for p in empty_files(spark, folder, CSV_GLOB)]
+    files = files.unionByName(
+        spark.createDataFrame(empty, "path string, length long, modified timestamp_ntz")
+    )
     return files.select(
         F.element_at(F.split("path", "/"), -1).alias("file_name"),
         F.col("path").alias("file_path"),
         F.col("length").alias("file_size"),
+        "modified",
     )
 
 
-def fingerprint(spark: SparkSession, folder: str) -> DataFrame:
-    """Name, path, size, content hash and header line of each CSV in a folder.
+def known_fingerprints(
+    spark: SparkSession, folder: str, known: Ledger
+) -> DataFrame:
+    """What ``fingerprint`` says, in two steps: a file whose path, size and
+    modification time are in the ledger ``known`` is not opened, its hash is taken
+    from there. Those of the others are added to it.
+
+    A file that is written again with another content of the same size within the
+    clock tick of its file system would be taken for the old one.
+    """
+    listed = list_files(spark, folder)
+    on = {c: c for c in ("file_path", "file_size", "modified")}
+    timed = listed.where(F.col("modified").isNotNull())
+    unknown = lookup_join(timed, known.read().select(*on), on, "left_anti")
+    paths = [r.file_path for r in unknown.select("file_path").collect()]  # one row per new file
+    if paths:
+        hashed = fingerprint(spark, folder, paths).select("file_path", "file_sha", "header")
+        new = conform(lookup_join(timed, hashed, {"file_path": "file_path"}, "inner"), known.schema)
+        append_rows(new.coalesce(1), known.path)
+    told = lookup_join(timed, known.read().dropDuplicates(list(on)), on, "inner").drop("modified")
+    empty = [r.file_path for r in listed.where(F.col("modified").isNull()).select("file_path").collect()]
+    return told.unionByName(fingerprint(spark, folder, empty)) if empty else told
+
+
+def fingerprint(
+    spark: SparkSession, folder: str, paths: Sequence[str] | None = None
+) -> DataFrame:
+    """Name, path, size, content hash and header line of each CSV in a folder, or of
+    some of them.
 
     One rule at every size: a line's hash covers its number in the file, the sum
     of them and the file's size make the file's hash. No file is held in one row,
     and how a file is cut for reading does not matter. Lines are numbered by the
     line counts of the blocks before. A file without content has a null header.
     """
-    files = list_files(spark, folder)
+    files = list_files(spark, folder).drop("modified")
+    if paths is not None:
+        one = spark.createDataFrame([(p,) for p in paths], "file_path string")
+        files = lookup_join(files, one, {"file_path": "file_path"}, "left_semi")
     lines = (
         spark.read.option("pathGlobFilter", CSV_GLOB)
-        .text(folder)
+        .text(folder if paths is None else list(paths))
         .select(
             F.col("_metadata.file_path").alias("file_path"),
             F.col("_metadata.file_block_start").alias("start"),
@@ -252,7 +287,7 @@ class DropFeed:
     def load(self, folder: str, batch_id: str, run_ts: Column) -> dict:
         """Load what is new in a folder; each file succeeds or fails on its own."""
         self._catch_up()
-        found = fingerprint(self.spark, folder)
+        found = known_fingerprints(self.spark, folder, self.ledgers.seen)
         fresh = unseen_files(found, self.loaded(), self.by_name)
         if not self.by_name:
             # Equal files of one run: the first by name is loaded.

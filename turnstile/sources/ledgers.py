@@ -1,4 +1,4 @@
-"""Append-only ledgers: watermarks, file history, job audit, rejects, checks."""
+"""Append-only ledgers: watermarks, file history, seen files, job audit, rejects, checks."""
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +52,7 @@ class Ledgers:
         root = root.rstrip("/")
         self.watermarks = Ledger(spark, f"{root}/watermarks", schemas.WATERMARKS)
         self.files = Ledger(spark, f"{root}/file_history", schemas.FILE_HISTORY)
+        self.seen = Ledger(spark, f"{root}/seen_files", schemas.SEEN_FILES)
         self.jobs = Ledger(spark, f"{root}/job_audit", schemas.JOB_AUDIT)
         self.rejects = Ledger(spark, f"{root}/rejects", schemas.REJECTS, brief=False)
         self.checks = Ledger(spark, f"{root}/check_log", schemas.CHECK_LOG)
