@@ -261,3 +261,45 @@ def test_stream_reads_each_file_once(spark, tmp_path, inbox, run_ts):
     assert [(int(r[0]), r[1]) for r in rows(read("rows"))] == [(1, "RES005"), (6, "RES006")]
     assert rows(read("rejects").select("reason")) == [("bad number_of_purchased_tickets",), ("invalid file name",)]
     assert rows(read("files")) == [("DailySales_01052020_RES005.csv", 1), ("DailySales_01062020_RES006.csv", 1)]
+
+
+def test_stream_loads_a_transaction_once(spark, tmp_path, inbox, run_ts):
+    """A file sent again under another name, rows repeated in one batch and in later ones; a mended row comes."""
+    folder = inbox(GOOD, line(1), line(2), line(3, tickets="many"), line(3, tickets="many"))
+    inbox("DailySales_01062020_RES006.csv", line(2), line(4))
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    ledgers = Ledgers(spark, str(tmp_path / "audit"))
+    run = lambda: stream_drops(spark, folder, out, state, run_ts, ledgers=ledgers).awaitTermination()
+    loaded = lambda: sorted(int(r.transaction_id) for r in spark.read.parquet(f"{out}/rows/epoch=*").collect())
+    run()
+    assert loaded() == [1, 2, 4]
+    inbox("DailySales_01072020_RES005.csv", line(1), line(2))
+    inbox("DailySales_01082020_RES005.csv", line(3), line(4), line(9))
+    inbox("Other.csv", line(10))
+    run()
+    run()
+    assert loaded() == [1, 2, 3, 4, 9]
+    assert spark.read.parquet(f"{out}/rejects/epoch=*").where("reason = 'bad number_of_purchased_tickets'").count() == 1
+    history = {r.file_name: (r.status, r.record_count, len(r.file_sha)) for r in ledgers.files.read().collect()}
+    both = history.pop(GOOD)[1] + history.pop("DailySales_01062020_RES006.csv")[1]
+    assert both == 3 and history == {"DailySales_01082020_RES005.csv": ("SUCCESS", 2, 40), "Other.csv": ("FAILED", 0, 40)}
+
+
+def test_a_replayed_epoch_leaves_the_same_rows_and_ledger(spark, tmp_path, inbox, run_ts, monkeypatch):
+    folder = inbox(GOOD, line(1), line(2))
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    ledgers = Ledgers(spark, str(tmp_path / "audit"))
+    real = type(ledgers.files).append
+
+    def dies(self, df):
+        real(self, df)
+        raise RuntimeError("lost after the ledger")
+
+    monkeypatch.setattr(type(ledgers.files), "append", dies)
+    with pytest.raises(Exception, match="lost after"):
+        stream_drops(spark, folder, out, state, run_ts, ledgers=ledgers).awaitTermination()
+    monkeypatch.undo()
+    later = F.lit("2020-07-01 00:00:00").cast("timestamp_ntz")
+    stream_drops(spark, folder, out, state, later, ledgers=ledgers).awaitTermination()
+    assert spark.read.parquet(f"{out}/rows/epoch=*").count() == 2
+    assert [(r.file_name, r.record_count) for r in ledgers.files.read().collect()] == [(GOOD, 2)]

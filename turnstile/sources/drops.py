@@ -48,6 +48,11 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _bare(path: str) -> Column:
+    """A path without the scheme of local files, which readers write differently."""
+    return F.regexp_replace(path, "^file:/+", "/")
+
+
 def known_fingerprints(
     spark: SparkSession, folder: str, known: Ledger
 ) -> DataFrame:
@@ -85,8 +90,9 @@ def fingerprint(
     """
     files = list_files(spark, folder).drop("modified")
     if paths is not None:
-        one = spark.createDataFrame([(p,) for p in paths], "file_path string")
-        files = lookup_join(files, one, {"file_path": "file_path"}, "left_semi")
+        one = spark.createDataFrame([(p,) for p in paths], "path string")
+        named = files.withColumn("path", _bare("file_path"))
+        files = lookup_join(named, one.select(_bare("path").alias("path")), {"path": "path"}, "left_semi").drop("path")
     lines = (
         spark.read.option("pathGlobFilter", CSV_GLOB)
         .text(folder if paths is None else list(paths))
@@ -118,11 +124,9 @@ def fingerprint(
         F.concat_ws("/", *[h.cast("string") for h in hashes]).alias("sums"),
         F.max(F.when(F.col("line") == 0, F.col("value"))).alias("header"),
     )
-    # Paths of the two readers differ in how they write the scheme.
-    bare = lambda c: F.regexp_replace(c, "^file:/+", "/")
     return (
-        files.withColumn("key", bare("file_path"))
-        .join(contents.select(bare("file_path").alias("key"), "sums", "header"), "key", "left")
+        files.withColumn("key", _bare("file_path"))
+        .join(contents.select(_bare("file_path").alias("key"), "sums", "header"), "key", "left")
         .select(
             "file_name", "file_path", "file_size",
             F.sha1(F.concat_ws("/", F.col("file_size").cast("string"), "sums")).alias("file_sha"),
