@@ -45,9 +45,12 @@ from ..operators.checks import (
     assert_checks,
     bad_rows,
     not_null,
+    related,
     run_checks,
+    unique,
 )
 from ..plans import quality, reports, staging, star
+from ..plans.standing import StandingChecks
 from ..plans.summaries import DailySums
 from ..plans.sales import platform_sales, unified_sales, vendor_sales
 from ..plans.warehouse import Warehouse
@@ -1245,6 +1248,32 @@ def _(d):
     return _suite(d, "unique")
 
 
+@query("q01_q04_standing_checks")
+def _(d):
+    """Uniqueness and orphans after sales were changed and resellers went, from the changes alone."""
+    s, root = staged(d), scratch_dir(d.spark, "standing")
+    sold = s["ticket_sales"].select("ticket_id", "reseller_id", "event_id", "purchase_date", "updated_at")
+    checks = [unique("sales", "event_id"), related("sales", "reseller_id", "resellers", "reseller_id"), related("sales", "event_id", "events", "event_id", True)]
+    record = Commits(d.spark, f"{root}/record")
+    parents = {n: s[n].select(k) for n, k in (("resellers", "reseller_id"), ("events", "event_id"))}
+    tables = {
+        "sales": VersionedTable(d.spark, f"{root}/sales", sold.schema, months("purchase_date"), commits=record, name="sales", keys=["ticket_id"]),
+        **{n: VersionedTable(d.spark, f"{root}/{n}", df.schema, commits=record, name=n) for n, df in parents.items()},
+    }
+    early = F.col("purchase_date") < F.lit("1998-01-01").cast("date")
+    commit_together([tables["sales"].draft(sold.where(early)), *(tables[n].draft(df) for n, df in parents.items())])
+    standing = StandingChecks(d.spark, f"{root}/checks", checks, 16)
+    standing.refresh(tables)
+    folder = scratch_dir(d.spark, "landing")
+    land(sold.where(~early | early.isNull()), folder)
+    even = F.ascii(F.substring("reseller_id", -1, 1)) % 2 == 0
+    commit_together([
+        tables["sales"].draft_upsert(load_by_name(d.spark, folder, sold.schema), ["ticket_id"]),
+        tables["resellers"].draft(parents["resellers"].where(even)),
+    ])
+    return standing.refresh(tables)
+
+
 @query("q02_not_null")
 def _(d):
     return _suite(d, "not_null")

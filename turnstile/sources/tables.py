@@ -237,9 +237,12 @@ class VersionedTable:
         held = lambda rows: {(r.slice, r.folder) for r in rows if r.rows and _is_data(r)}
         return {s for s, _ in held(old) ^ held(self._manifest())}
 
-    def only(self, slices: set[str]) -> DataFrame:
-        """Rows of the named slices; opens only their folders."""
-        return self._load([r for r in self._manifest() if r.slice in slices])
+    def only(self, slices: set[str], version: int | None = None) -> DataFrame:
+        """Rows of the named slices, now or in an older version; opens only their folders."""
+        rows = self._manifest()
+        if version is not None and version != self.version:
+            rows = self._log().where(F.col("version") == version).collect()
+        return self._load([r for r in rows if r.slice in slices])
 
     def between(self, first: date, last: date) -> DataFrame:
         """Rows of a span of days; opens only the folders of the slices in it."""
