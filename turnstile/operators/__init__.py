@@ -30,7 +30,7 @@ from .shape import (
     stamp,
     stamp_file,
 )
-from .upsert import MergeConflict, apply_upsert, merge_conflicts
+from .upsert import MergeConflict, apply_upsert, merge_conflicts, merge_match, merge_state
 
 __all__ = [
     "MergeConflict", "add_missing_columns", "apply_upsert", "coerce_timestamps",
@@ -38,6 +38,7 @@ __all__ = [
     "filtered_totals", "fits_broadcast", "high_water_mark", "hot_for",
     "hot_tokens", "incremental_rows", "interval_join",
     "labelled_counts", "latest_by", "lookup_join", "merge_conflicts",
+    "merge_match", "merge_state",
     "multiplied_rows", "name_join", "orphan_count", "orphan_rows", "overlapping_periods", "reconcile", "rename_columns",
     "split_rejects", "stamp", "stamp_file", "top_k", "top_k_per", "totals", "unrelated_pairs",
 ]

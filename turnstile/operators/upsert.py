@@ -37,6 +37,24 @@ def _side(df: DataFrame, prefix: str, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def merge_match(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Stored and new rows met by key: columns under ``t_`` and ``s_``, and a flag
+    ``present`` of either side. A row with a null key meets none."""
+    t, s = _side(target, "t_", keys), _side(source, "s_", keys)
+    on = [F.col("t_" + k) == F.col("s_" + k) for k in keys]
+    on.append(F.col("t_salt") == F.col("s_salt"))
+    return t.join(s, on, "full_outer")
+
+
+def merge_state() -> Column:
+    """What a merge does with a row of ``merge_match``: insert, keep or match."""
+    return (
+        F.when(F.col("t_present").isNull(), "insert")
+        .when(F.col("s_present").isNull(), "keep")
+        .otherwise("match")
+    )
+
+
 def apply_upsert(
     target: DataFrame,
     source: DataFrame,
@@ -54,10 +72,7 @@ def apply_upsert(
     """
     columns = target.columns
     changing = [c for c in columns if c not in keys] if update is None else update
-    t, s = _side(target, "t_", keys), _side(source.select(*columns), "s_", keys)
-    on = [F.col("t_" + k) == F.col("s_" + k) for k in keys]
-    on.append(F.col("t_salt") == F.col("s_salt"))
-    joined = t.join(s, on, "full_outer")
+    joined = merge_match(target, source.select(*columns), keys)
 
     new = F.col("t_present").isNull()
     replaced = F.col("s_present").isNotNull()

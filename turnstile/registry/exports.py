@@ -27,12 +27,14 @@ def daily_with_headers(domain: Domain) -> DataFrame:
     return daily.select(*[F.col(c).alias(h) for h, c in DROP_HEADERS.items()])
 
 
-def export_drops(spark: SparkSession, folder: str) -> str:
-    """All events as drop files, one per day; returns the folder."""
+def export_drops(spark: SparkSession, folder: str, foreign: int = 0) -> str:
+    """All events as drop files, one per day; returns the folder. Files of the first
+    ``foreign`` days of a month get a name that no drop file has."""
     daily = Domain(spark, folder).reseller_daily_sales()
     day = F.col("created_date").cast("date")
     file = F.concat(
-        F.lit("DailySales_"), F.date_format(day, "MMddyyyy"), F.lit("_RES"),
+        F.when(F.dayofmonth(day) <= foreign, "Sales_").otherwise("DailySales_"),
+        F.date_format(day, "MMddyyyy"), F.lit("_RES"),
         F.lpad(F.dayofmonth(day).cast("string"), 3, "0"),
     )
     rows = daily.select(

@@ -74,6 +74,13 @@ SELECT DISTINCT {DAY_FILE} AS file_name,
   'Transaction ID,Event name,Number of purchased tickets,Total amount,Sales channel,'
   || 'Customer first name,Customer last name,Office location,Created Date' AS header
 FROM events""")
+_model("s02_reseller_csv_rows", f"""
+SELECT transaction_id, event_name, number_of_purchased_tickets::VARCHAR AS number_of_purchased_tickets,
+  total_amount::VARCHAR AS total_amount, sales_channel, customer_first_name,
+  customer_last_name, office_location, created_date,
+  'DailySales_' || strftime(created_date::DATE, '%m%d%Y') || '_RES'
+    || lpad(day(created_date::DATE)::VARCHAR, 3, '0') || '.csv' AS file_name
+FROM raw_reseller_daily_sales""")
 _add("s03_file_fingerprint", """
 SELECT count(DISTINCT ts::DATE) AS files, count(DISTINCT ts::DATE) AS hashes,
   40 AS hash_length FROM events""")
@@ -504,6 +511,13 @@ _add("i09_file_history", f"""
 SELECT {DAY_FILE} AS file_name, '2024-03-01 00:00:00' AS load_date,
   count(*) AS record_count, 'SUCCESS' AS status, NULL::VARCHAR AS error_message
 FROM events GROUP BY 1""")
+_STRANGE = f"""if(day(ts) <= 5, replace({DAY_FILE}, 'DailySales_', 'Sales_'), {DAY_FILE})"""
+_add("i09_failed_files", f"""
+SELECT {_STRANGE} AS file_name, '2024-03-01 00:00:00' AS load_date,
+  CASE WHEN day(ts) <= 5 THEN 0 ELSE count(*) END AS record_count,
+  CASE WHEN day(ts) <= 5 THEN 'FAILED' ELSE 'SUCCESS' END AS status,
+  CASE WHEN day(ts) <= 5 THEN 'Invalid file name: ' || {_STRANGE} END AS error_message
+FROM events GROUP BY {_STRANGE}, day(ts)""")
 _model("i10_load_files", f"""
 SELECT {LOADED}, 'BATCH_3' AS batch_id FROM raw_reseller_daily_sales""")
 _model("i10_stream_files", f"SELECT {LOADED} FROM raw_reseller_daily_sales")

@@ -27,6 +27,8 @@ from ..operators import (
     interval_join,
     latest_by,
     lookup_join,
+    merge_match,
+    merge_state,
     multiplied_rows,
     name_join,
     orphan_count,
@@ -216,6 +218,13 @@ def _(d):
     return fingerprint(d.spark, export_drops(d.spark, d.folder)).select("file_name", "header")
 
 
+@query("s02_reseller_csv_rows")
+def _(d):
+    """Every row of every drop file, as read, in all columns."""
+    rows = csv_scan(d.spark, export_drops(d.spark, d.folder), T.StructType([T.StructField(h, T.StringType()) for h in DROP_HEADERS]))
+    return rows.toDF(*DROP_HEADERS.values()).withColumn("file_name", F.col("_metadata.file_name"))
+
+
 @query("s03_file_fingerprint")
 def _(d):
     files = fingerprint(d.spark, export_drops(d.spark, d.folder))
@@ -720,11 +729,8 @@ def _new_orders(d):
 
 @query("j13_merge_match")
 def _(d):
-    t = _stored_orders(d).select("o_orderkey", F.lit(1).alias("t"))
-    s = _new_orders(d).select("o_orderkey", F.lit(1).alias("s"))
-    state = F.when(F.col("t").isNull(), "insert").when(F.col("s").isNull(), "keep").otherwise("match")
-    joined = t.join(s, "o_orderkey", "full_outer")
-    return joined.groupBy(state.alias("state")).agg(F.count("*").alias("keys"))
+    met = merge_match(_stored_orders(d), _new_orders(d), ["o_orderkey"])
+    return met.groupBy(merge_state().alias("state")).agg(F.count("*").alias("keys"))
 
 
 @query("j05_many_periods")
@@ -1135,6 +1141,14 @@ def _(d):
     return feed.ledgers.files.read().drop("file_sha")
 
 
+@query("i09_failed_files")
+def _(d):
+    """Files of a foreign name fail, each with its row, and the others are loaded."""
+    feed = _feed(d, scratch_dir(d.spark, "feed"))
+    feed.load(export_drops(d.spark, d.folder, foreign=5), "BATCH_3", ts(RUN))
+    return feed.ledgers.files.read().drop("file_sha")
+
+
 @query("i10_load_files")
 def _(d):
     feed = _feed(d, scratch_dir(d.spark, "feed"))
