@@ -79,3 +79,14 @@ def test_no_items_and_no_documents(spark):
     assert leaks.find_leaks(docs, items.limit(0), ["doc_id"]).count() == 0
     assert leaks.find_leaks(docs.limit(0), items, ["doc_id"]).count() == 0
     assert leaks.find_leaks(docs, items, ["doc_id"]).count() == 1
+
+
+@pytest.mark.parametrize("size", [1 << 24, 100])
+def test_an_item_of_several_texts_and_a_long_document(spark, monkeypatch, size):
+    """Blocks by bytes; a text of megabytes is searched to its end."""
+    monkeypatch.setattr(leaks, "BLOCK_BYTES", size)
+    items = spark.createDataFrame([(7, " ".join(passage(1))), (7, " ".join(passage(2))), (8, " ".join(passage(3)))], "item_id long, text string")
+    long = " ".join(f"w{k}" for k in range(500_000)) + " " + " ".join(passage(2))
+    docs = spark.createDataFrame([(1, " ".join(passage(1) + passage(2)[:25])), (2, long), (3, "x" * 3_000_000)], "doc_id long, text string")
+    got = sorted((r["doc_id"], r["item_id"], r["score"], r["first_word"]) for r in leaks.find_leaks(docs, items, ["doc_id"]).collect())
+    assert got == [(1, 7, 1.0, 0), (2, 7, 1.0, 500_000)]

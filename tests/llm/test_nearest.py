@@ -36,15 +36,15 @@ def test_recall_on_the_small_table(spark):
 
 def test_copies_ties_and_vectors_that_take_no_part(spark):
     e = np.eye(4)
-    rows = [(20, e[0]), (1, e[0]), (2, e[0]), (40, e[0]), (3, e[0] * 0.5 + e[1] * 0.1), (4, -e[0]), (5, e[2])]
-    odd = [(100, None), (6, [0.0] * 4), (7, [float("nan"), 1.0, 0, 0]), (8, [None, 1.0, 0.0, 0.0]), (9, [1.0, 2.0]), (10, []), (None, [1.0, 0, 0, 0]), (11, [float("inf"), 0.0, 0.0, 0.0])]
+    rows = [(20, e[0]), (1, e[0]), (2, e[0]), (40, e[0]), (3, e[0] * 0.5 + e[1] * 0.1), (4, -e[0]), (5, e[2]), (9, [1.0, 2.0])]  # a short one counts as filled up
+    odd = [(100, None), (6, [0.0] * 4), (7, [float("nan"), 1.0, 0, 0]), (8, [None, 1.0, 0.0, 0.0]), (10, []), (None, [1.0, 0, 0, 0]), (11, [float("inf"), 0.0, 0.0, 0.0])]
     df = spark.createDataFrame([(i, None if v is None else [None if x is None else float(x) for x in v], 1) for i, v in rows + odd], "vec_id long, embedding array<float>, rank int")
     got = {}
     for r in nearest.search(df.selectExpr("*", "vec_id % 20 = 0 AS asks"), "asks", k=4, recall=1.0).collect():
         got.setdefault(r["query_id"], {})[r["rank"]] = (r["vec_id"], round(r["score"], 6))
     assert got.keys() == {20, 40}
-    assert [got[20][k] for k in (1, 2, 3, 4)] == [(1, 1.0), (2, 1.0), (40, 1.0), (3, 0.5)]
-    assert [got[40][k] for k in (1, 2, 3, 4)] == [(1, 1.0), (2, 1.0), (20, 1.0), (3, 0.5)]
+    assert [got[20][k] for k in (1, 2, 3, 4)] == [(1, 1.0), (2, 1.0), (9, 1.0), (40, 1.0)]
+    assert [got[40][k] for k in (1, 2, 3, 4)] == [(1, 1.0), (2, 1.0), (9, 1.0), (20, 1.0)]
 
 
 def test_fewer_rows_than_asked_for_and_none(spark):
@@ -68,3 +68,22 @@ def test_near_vectors_share_buckets_more_often():
     same = lambda y: (nearest.buckets(x, 0, 1) == nearest.buckets(y, 0, 1)).mean()
     assert same(near) > 0.5 > 0.05 > same(far)
     assert (nearest.probes(x, 0, 1)[:, 0] == nearest.buckets(x, 0, 1)).all()
+
+
+def test_repeated_ids_and_vectors_of_several_lengths(spark):
+    """An id counts once, of its least vector; short vectors are filled up with zeros."""
+    rng = np.random.default_rng(6)
+    vectors = {i: rng.normal(size=8).tolist() for i in range(60)}
+    vectors |= {100 + i: rng.normal(size=3).tolist() for i in range(10)}
+    rows = [(i, v) for i, v in vectors.items()] + [(i, v) for i, v in vectors.items() if i < 30] + [(5, [9.0] * 8), (7, [-9.0] * 8)]
+    vectors[7] = [-9.0] * 8
+    df = spark.createDataFrame([(i, v, i % 2 == 0) for i, v in rows], "vec_id long, embedding array<double>, asks boolean")
+    got = {}
+    for r in nearest.search(df, "asks", k=69, recall=1.0).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    full = {i: np.array(v + [0.0] * (8 - len(v))) for i, v in vectors.items()}
+    assert got.keys() == {i for i in full if i % 2 == 0}
+    for q, rows in got.items():
+        ids = [i for _, i, _ in sorted(rows)]
+        assert len(ids) == len(set(ids)) and q not in ids
+        assert all(s == pytest.approx(full[q] @ full[i]) for _, i, s in rows)

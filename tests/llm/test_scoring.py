@@ -1,4 +1,5 @@
 import math
+import time
 import zlib
 from collections import Counter
 from itertools import product
@@ -103,3 +104,50 @@ def test_expected_uses_count_a_word_as_often_as_it_is_used():
     into = np.zeros(2)
     scoring.Lattice([b"a", b"b"], np.log([0.5, 0.25]), math.log(0.25)).expect(np.array([list(b"ab"), list(b"bb")], np.uint64), into, np.array([3.0, 1.0]))
     assert into == pytest.approx([3.0, 5.0])
+
+
+def test_a_word_in_a_window_scores_as_in_a_table():
+    rng = np.random.default_rng(7)
+    pieces = [b"a", b"b", b"c", b"ab", b"bca", b"aaaa", b"cabcabcab", b"abcabcabcabca"]
+    lattice = scoring.Lattice(pieces, np.log(rng.dirichlet(np.ones(len(pieces)))), math.log(0.2))
+    for n in (1, 2, 13, 14, 300):
+        word = bytes(rng.choice(list(b"abc"), n).tolist())
+        assert lattice.spelled_long(word) == pytest.approx(lattice.spelled(np.array([list(word)], np.uint64))[0])
+    assert lattice.spelled_long(b"axb") == -math.inf
+
+
+def test_a_word_of_megabytes(spark, monkeypatch):
+    """Time in proportion, whole documents scored; the score is that of a smaller bound's table."""
+    long = "".join(chr(97 + k % 23) for k in range(2_000_000))
+    docs = [(1, "red blue red", False), (2, "x" * 3_000 + " red", False), (3, long, True), (4, "日本" * 200_000, False)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, held_out boolean")
+    start = time.time()
+    got = {r["doc_id"]: r for r in scoring.score_documents(df, RANKS).collect()}
+    assert time.time() - start < 90
+    assert all(math.isfinite(r["score"]) and r["score"] < 0 for r in got.values())
+    assert got[3]["score"] < got[1]["score"] and got[3]["n_tokens"] == 2 and got[2]["n_tokens"] == 3
+
+
+def brute_force(docs, spelled, prior):
+    """Log10 probability of whole documents from the words' own chances, in plain Python."""
+    counts = Counter(t for _, text, held in docs if not held for t in scoring._tokens((text or "").encode()))
+    n = sum(counts.values())
+    out = {}
+    for i, text, _ in docs:
+        out[i] = sum(math.log10(counts[t] / (n + prior) + (0 if t == scoring.END else prior / (n + prior) * math.exp(spelled[t]))) for t in scoring._tokens((text or "").encode()))
+    return out
+
+
+def test_scores_of_documents_are_sums_over_their_words(spark, monkeypatch):
+    """With the model that the operator has learned, caught on the way."""
+    caught = []
+    real, prior = scoring._spelling, scoring._prior
+    monkeypatch.setattr(scoring, "_spelling", lambda p, m: caught.append(m()) or real(p, m))
+    monkeypatch.setattr(scoring, "_prior", lambda seen, n: caught.append(prior(seen, n)) or caught[-1])
+    docs = [(1, "the cat the dog", False), (2, "a cat of zzyzx", True), (3, None, False), (4, "dogs the the of", False)]
+    got = {r["doc_id"]: r["score"] for r in scoring.score_documents(spark.createDataFrame(docs, "doc_id long, text string, held_out boolean"), RANKS).collect()}
+    (scores, stop), weight = caught
+    lattice = scoring.Lattice(scoring.vocabulary(RANKS), scores, stop)
+    words = {t for _, text, _ in docs for t in scoring._tokens((text or "").encode())}
+    spelled = {w: lattice.spelled_long(w) if w != scoring.END else 0.0 for w in words}
+    assert got == pytest.approx(brute_force(docs, spelled, weight))

@@ -30,6 +30,10 @@ def words_of(texts: list[str | None]) -> list[np.ndarray]:
     return list(word_hashes(pa.array(texts, pa.string()), SIGNS))
 
 
+#: Bytes of the items of a block.
+BLOCK_BYTES = 16 << 20
+
+
 class Sieve:
     """Finds the few n-grams that are among the codes."""
 
@@ -147,9 +151,10 @@ def _searching(seeds: Callable[[], Seeds], least: float, schema: pa.Schema) -> C
             at, rows = [], []
             for i, tokens in enumerate(word_hashes(b.column("__text"), SIGNS)):
                 best: dict = {}
-                for item, start, end in own.stretches(tokens):
-                    score, first, last = align(own.items[item], tokens[start:end])
-                    share = score / (MATCH * len(own.items[item]))
+                for key, start, end in own.stretches(tokens):
+                    score, first, last = align(own.items[key], tokens[start:end])
+                    share = score / (MATCH * len(own.items[key]))
+                    item = key[0]  # that the table may repeat with several texts
                     if share >= least and (item not in best or share > best[item][0]):
                         best[item] = share, start + first, start + last
                 for item, (share, first, last) in best.items():
@@ -181,12 +186,13 @@ def find_leaks(
     are apart by white space or ASCII signs). ``rare_share``: so much of an item's n-grams, the
     rarest by documents of the corpus and all that tie with the last, are its
     seeds. ``least``: from this score on it counts. ``block``: items that are
-    sent to the tasks at once; more are searched block by block.
+    sent to the tasks at once, or fewer if long; more are searched block by block.
 
     Items of fewer than ``n`` words and null texts on either side match nothing.
     Items of equal text are reported each; repeated documents each. A document
     with several copies of an item gives one row, of the best copy, the first at
-    a tie. Rows of ``items`` with the same id must have the same text.
+    a tie. An id of ``items`` with several texts is found by any of them, in one row,
+    that of the best. Texts of any length are searched whole.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -198,14 +204,15 @@ def find_leaks(
         field.nullable = True
     schema = to_arrow_schema(out)
     own = items.select(F.col(item_id).alias("item_id"), F.col(item_text).cast("string").alias("text")).where("text is not null and item_id is not null").distinct()
-    blocks = -(-own.count() // block) or 1
+    size = own.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("bytes")).first()
+    blocks = max(1, -(-size["n"] // block), -(-size["bytes"] // BLOCK_BYTES))
     found = None
     with scratch(spark) as kept:
         for k in range(blocks):
+            # All texts of an item are in one block.
             part = own.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k) if blocks > 1 else own
-            listed = part.collect()  # a block at most, give or take its hash share
-            texts = dict(zip((r["item_id"] for r in listed), words_of([r["text"] for r in listed]), strict=True))
-            texts = {i: w for i, w in texts.items() if len(w) >= n}
+            listed = sorted(part.collect(), key=lambda r: r["text"])  # a block at most, give or take its hash share
+            texts = {(r["item_id"], i): w for i, (r, w) in enumerate(zip(listed, words_of([r["text"] for r in listed]), strict=True)) if len(w) >= n}
             codes = spark.sparkContext.broadcast(np.unique(np.concatenate([np.zeros(0, np.int64), *(ngrams(w, n) for w in texts.values())])))
             counted = rows.select(F.col("__text").alias("text")).mapInArrow(_counting(lambda c=codes: c.value, n), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
             counts = dict(counted.collect()) if texts else {}  # at most a row a seed

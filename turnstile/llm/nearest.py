@@ -94,10 +94,10 @@ def search(
     ``is_query`` holds: query_id, rank from 1, vec_id, score (exact inner product).
 
     Vectors that are null, empty, all zero, or hold null or non-finite parts take
-    no part, nor do those whose length is not that of most. Equal vectors are
+    no part. Shorter vectors count as filled up with zeros. Equal vectors are
     searched once and stand for all their ids; the k+1 smallest ids of a vector
-    are enough for any answer. Ties go to the smaller id. Ids must be distinct; a
-    null id takes no part. Nearest is meant among vectors of about equal length,
+    are enough for any answer. Ties go to the smaller id. Rows that repeat an id count as
+    one, of the least vector; a null id takes no part. Nearest is meant among vectors of about equal length,
     since buckets see directions only. ``sample``: queries that fit the number of
     probes to ``recall``. Other columns are not read.
     """
@@ -107,12 +107,17 @@ def search(
     clean = vectors.select(F.col(vec_id).alias("id"), F.coalesce(F.col(is_query), F.lit(False)).alias("asks"), parts.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull() & fine)
     with scratch(spark) as kept:
         clean = kept.stored(clean.withColumn("key", F.xxhash64("v")), "vectors")
-        widths = clean.groupBy(F.size("v").alias("w")).count().orderBy(F.desc("count"), "w").limit(1).collect()
+        width = clean.agg(F.max(F.size("v")).alias("w")).first()["w"]
         empty = spark.createDataFrame([], f"query_id {clean.schema['id'].dataType.simpleString()}, rank int, vec_id {clean.schema['id'].dataType.simpleString()}, score double")
-        if not widths:
+        if not width:
             return empty
-        width = widths[0]["w"]
-        clean = clean.where(F.size("v") == width)
+        repeated = kept.stored(clean.groupBy("id").count().where("count > 1").select("id"), "repeated-ids")
+        if repeated.limit(1).count():
+            once = clean.join(repeated, "id", "left_semi").groupBy("id").agg(F.max("asks").alias("asks"), F.min("v").alias("v"))
+            clean = kept.stored(clean.join(repeated, "id", "left_anti").select("id", "asks", "v").unionByName(once).withColumn("key", F.xxhash64("v")), "single-vectors")
+        if not clean.where(F.size("v") != width).isEmpty():
+            full = F.concat("v", F.array_repeat(F.lit(0.0), F.lit(width) - F.size("v")))
+            clean = kept.stored(clean.select("id", "asks", full.alias("v")).withColumn("key", F.xxhash64("v")), "filled-vectors")
         # One row a distinct vector. Of its ids only the k+1 smallest can be in an
         # answer, which each task cuts to before the ids meet.
         ranked = clean.select("key", "id").withColumn("r", F.row_number().over(Window.partitionBy("key", F.pmod(F.xxhash64("id"), F.lit(32))).orderBy("id"))).where(F.col("r") <= k + 1)

@@ -12,22 +12,24 @@ import base64
 from collections import Counter
 from collections.abc import Callable, Iterator
 from itertools import chain
-from math import log, log10
+from math import exp, inf, log, log1p, log10
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.shared import batch, raw, scratch, stored
+from turnstile.llm.shared import batch, parts, raw, scratch, stored
 
 #: Stands for the end of a text; no word holds white space.
 END = b"\n"
 #: Bytes that fit one integer. Longer pieces are looked up by a hash and then compared.
 WIDTH = 8
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-#: Distinct words that a task holds before it hands its counts on.
-HELD = 400_000
+#: Distinct words that a task holds before it hands its counts on, and bytes of texts.
+HELD, HELD_BYTES = 400_000, 64 << 20
+#: Bytes from which on a word is taken one by one, in a window.
+LONG = 1_024
 
 _COUNTS = pa.schema([("word", pa.binary()), ("c", pa.int64()), ("used", pa.int64())])
 _EXPECTED = pa.schema([("piece", pa.int32()), ("weight", pa.float64())])
@@ -48,7 +50,7 @@ class Lattice:
     """Pieces with natural-log scores, and the recursions over them."""
 
     def __init__(self, pieces: list[bytes], scores: np.ndarray, stop: float):
-        self.scores, self.stop = scores, stop
+        self.scores, self.stop, self._pieces, self._spelt = scores, stop, pieces, None
         self.tables, by_length = {}, {}
         for i, piece in enumerate(pieces):
             by_length.setdefault(len(piece), []).append(i)
@@ -103,6 +105,32 @@ class Lattice:
         """Natural-log probability of each of the equally long words."""
         return self._forward(words, self._found(words))[-1] + self.stop
 
+    def spelled_long(self, word: bytes) -> float:
+        """The same of one word of any length, over a window of the longest piece: the
+        room does not grow with the word, the time in proportion."""
+        if self._spelt is None:
+            begun = {p[:k] for p in self._pieces for k in range(1, len(p) + 1)}
+            self._spelt = dict(zip(self._pieces, self.scores.tolist(), strict=True)), begun
+        score, begun = self._spelt
+        none, size = -inf, self.lengths[-1] + 1
+        window = [none] * size
+        window[0] = 0.0
+        for start in range(len(word)):
+            here, window[start % size] = window[start % size], none
+            if here == none:
+                continue
+            end = start + 1
+            while end <= len(word) and (piece := word[start:end]) in begun:
+                step = score.get(piece)
+                if step is not None:
+                    old, new = window[end % size], here + step
+                    if old == none:
+                        window[end % size] = new
+                    else:
+                        window[end % size] = max(old, new) + log1p(exp(-abs(old - new)))
+                end += 1
+        return window[len(word) % size] + self.stop
+
     def expect(self, words: np.ndarray, into: np.ndarray, times: np.ndarray | None = None) -> None:
         """Add the expected uses of each piece over all segmentations, each word
         as many ``times`` as it is used, or once."""
@@ -149,11 +177,14 @@ def _counting(batches):
         other.clear()
         return out
 
-    for b in batches:
+    size = 0
+    for b in parts(batches):
         for text, held in zip(raw(b.column("text")), b.column("held_out").to_pylist(), strict=True):
             (other if held else learned).update(_tokens(text))
-            if len(learned) + len(other) > HELD:
+            size += len(text or b"")
+            if len(learned) + len(other) > HELD or size > HELD_BYTES:
                 yield flush()
+                size = 0
     yield flush()
 
 
@@ -161,8 +192,11 @@ def _expecting(pieces: list[bytes], model: Callable[[], tuple[np.ndarray, float]
     def run(batches):
         lattice, into = Lattice(pieces, *model()), np.zeros(len(pieces))
         for b in batches:
-            times = b.column("c").to_numpy(zero_copy_only=False).astype(float)
-            for at, rows in _by_length(b.column("word").to_pylist()):
+            words, times = b.column("word").to_pylist(), b.column("c").to_numpy(zero_copy_only=False).astype(float)
+            # A long word is learned from stretch by stretch.
+            cut = [(w[k : k + LONG], t) for w, t in zip(words, times.tolist(), strict=True) for k in range(0, len(w), LONG)]
+            times = np.array([t for _, t in cut])
+            for at, rows in _by_length([w for w, _ in cut]):
                 lattice.expect(rows, into, times[at])
         used = np.flatnonzero(into)
         yield batch(_EXPECTED, used, into[used])
@@ -176,8 +210,12 @@ def _spelling(pieces: list[bytes], model: Callable[[], tuple[np.ndarray, float]]
         for b in batches:
             words = b.column("word").to_pylist()
             out = np.full(len(words), -np.inf)
-            for at, rows in _by_length(words):
-                out[at] = lattice.spelled(rows)
+            short = [i for i, w in enumerate(words) if len(w) <= LONG]
+            for at, rows in _by_length([words[i] for i in short]):
+                out[[short[i] for i in at]] = lattice.spelled(rows)
+            for i, word in enumerate(words):
+                if len(word) > LONG:
+                    out[i] = lattice.spelled_long(word)
             yield batch(_SPELLED, words, b.column("c"), b.column("used"), out)
 
     return run
@@ -215,7 +253,9 @@ def score_documents(
     Rows: doc_id, held_out, n_tokens, n_known, train_tokens, base_score (add-one
     unigram), score (log10 probability). Null and empty texts are the end alone.
     A null id is a row like others; equal rows are scored alike and all returned.
-    With no rows to learn from every word is spelled. No rows: no rows.
+    With no rows to learn from every word is spelled. No rows: no rows. A word may be as
+    long as a text: from ``LONG`` bytes on it is scored in a window, exactly, and the
+    pieces' scores are learned from its stretches of so many bytes.
     Other columns are not read.
     """
     spark = docs.sparkSession
@@ -281,7 +321,7 @@ def score_documents(
         def summing(batches):
             schema = pa.schema([("doc_id", id_type), ("mark", pa.int64()), ("held_out", pa.bool_()), ("copies", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
             known = usual.value
-            for b in batches:
+            for b in parts(batches):
                 rows = [], [], [], []
                 for text in raw(b.column("text")):
                     tokens = _tokens(text)
@@ -295,7 +335,7 @@ def score_documents(
         def rare(batches):
             schema = pa.schema([("doc_id", id_type), ("mark", pa.int64()), ("held_out", pa.bool_()), ("word", pa.binary()), ("n", pa.int64())])
             known = usual.value
-            for b in batches:
+            for b in parts(batches):
                 at, words, ns = [], [], []
                 for i, text in enumerate(raw(b.column("text"))):
                     for word, k in Counter(t for t in _tokens(text) if t not in known).items():
