@@ -1,3 +1,5 @@
+import random
+
 from turnstile.llm import quotes
 from turnstile.llm.queries import op10_quotation_linking
 
@@ -30,6 +32,68 @@ def test_replies_are_linked_and_ordered(spark):
     assert got[1, 2]["text"] == "The new office has more room." and got[2, 1]["text"] == "not from here"
 
 
+def brute(rows):
+    """Parents and depth-first order by plain loops; rows: (conv, turn, text)."""
+    parsed = {(c, t): quotes.parse(x) for c, t, x in rows}
+    own = {k: [s for s in quotes.sentences(m or "")] for k, (m, _) in parsed.items()}
+    out, parent = {}, {}
+    for (c, t), (_, passages) in parsed.items():
+        found = {}
+        for level, passage in passages:
+            for s in quotes.sentences(passage):
+                # Who said it first, of all turns; a later one says nothing new.
+                said = min((u for (d, u), x in own.items() if d == c and s in x), default=None)
+                if said is not None and said < t:
+                    found[level, said] = found.get((level, said), 0) + len(s.split())
+        if found:
+            level = min(n for n, _ in found)
+            parent[c, t] = max((w, u) for (n, u), w in found.items() if n == level)[1]
+    for c, t in parsed:
+        way = [t]
+        while (c, way[0]) in parent:
+            way.insert(0, parent[c, way[0]])
+        out[c, t] = (parent.get((c, t)), way[0], len(way) - 1, way)
+    place = {}
+    for c in {c for c, _ in out}:
+        for i, k in enumerate(sorted((k for k in out if k[0] == c), key=lambda k: out[k][3])):
+            place[k] = i
+    return {k: (*v[:3], place[k]) for k, v in out.items()}
+
+
+def test_generated_threads_equal_plain_python(spark):
+    """Replies that quote one or two earlier messages, nested, in part, with and without announcing lines."""
+    rng = random.Random(11)
+    rows = []
+    for c in range(25):
+        texts = []
+        for t in range(rng.randrange(1, 14)):
+            words = lambda: " ".join(rng.choice(["red", "blue", "tree", "stone", "river", "cloud"]) + str(rng.randrange(40)) for _ in range(rng.randrange(2, 7)))
+            said = [f"{words()}." for _ in range(rng.randrange(1, 4))]
+            if texts and rng.random() < 0.2:
+                said.append(rng.choice(rng.choice(texts)[1]))  # says again what another said
+            lines = []
+            for _ in range(rng.randrange(0, 3) if texts else 0):
+                level = rng.randrange(1, 4)
+                if rng.random() < 0.5:
+                    lines.append(">" * (level - 1) + ("On Monday Ann wrote:" if level == 1 else " On Monday Ann wrote:"))
+                lines += [">" * level + " " + s for s in rng.choice(texts)[1] if rng.random() < 0.8]
+            lines += said
+            texts.append(("\n".join(lines), said))
+        rows += [(c, t, x) for t, (x, _) in enumerate(texts)]
+    df = spark.createDataFrame([(c, t, "u", x) for c, t, x in rows], "conv_id long, turn long, role string, text string").repartition(6)
+    got = {(r["conv_id"], r["turn"]): (r["parent_turn"], r["root_turn"], r["depth"], r["position"]) for r in quotes.reply_order(df).collect()}
+    want = brute(rows)
+    assert got == want
+    assert sum(v[0] is not None for v in want.values()) > 40 and max(v[2] for v in want.values()) > 2
+
+
+def test_a_reply_stands_by_what_it_replies_to(spark):
+    """Depth first: a late reply to an early message comes before the next root's thread and behind the earlier replies."""
+    rows = [(1, 0, "Alpha one two."), (1, 1, "Beta three four."), (1, 2, "> Alpha one two.\nGamma five."), (1, 3, "> Beta three four.\nDelta six."), (1, 4, "> Gamma five.\nNu."), (1, 5, "> Alpha one two.\nXi."), (1, 6, "> Gamma five.\nPi.")]
+    df = spark.createDataFrame([(c, t, "u", x) for c, t, x in rows], "conv_id long, turn long, role string, text string")
+    assert [r["turn"] for r in sorted(quotes.reply_order(df).collect(), key=lambda r: r["position"])] == [0, 2, 4, 6, 5, 1, 3]
+
+
 def test_a_long_chain_of_replies(spark):
     rows = [(7, 0, "Message number zero stands here.")]
     for k in range(1, 40):

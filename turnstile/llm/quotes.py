@@ -97,8 +97,9 @@ def reply_order(
     Parent: of the messages of an earlier turn that first said quoted sentences,
     the one of most quoted words, the later at a tie; the least nested level that
     finds any decides. Without a link parent_turn is null, and the message is a
-    root of depth 0. Order: by root, then by turn, so that a reply follows what
-    it replies to. Rows of one conversation and turn are linked alike and stand
+    root of depth 0. Order: depth first, replies to one message by turn, so that a
+    message stands behind what it replies to with nothing but earlier replies to that
+    between. A row carries the turns above it, as many as it is deep. Rows of one conversation and turn are linked alike and stand
     next to each other, by role and text. Null texts stay null and quote nothing;
     a text of quotes only becomes empty. Rows with a null conversation or turn
     are not linked and come first. Other columns are not read.
@@ -123,19 +124,22 @@ def reply_order(
         best = F.max(F.struct((-F.col("level")).alias("level"), "words", "source"))
         links = kept.stored(candidates.groupBy(*key).agg(best.getField("source").alias("parent")), "links")
         # Pointer doubling: each round doubles how far a message sees.
-        seen = kept.stored(links.select(*key, F.col("parent").alias("root"), F.lit(1).alias("depth")), "seen")
+        seen = kept.stored(links.select(*key, F.col("parent").alias("root"), F.array("turn").alias("path")), "seen")
         while True:
-            above = seen.select("conv_id", F.col("turn").alias("root"), F.col("root").alias("top"), F.col("depth").alias("more"))
+            above = seen.select("conv_id", F.col("turn").alias("root"), F.col("root").alias("top"), F.col("path").alias("more"))
             new = kept.stored(
-                seen.join(above, ["conv_id", "root"], "left").select(*key, F.coalesce("top", "root").alias("root"), (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"), F.col("top").isNotNull().alias("moved")),
+                seen.join(above, ["conv_id", "root"], "left").select(*key, F.coalesce("top", "root").alias("root"), F.when(F.col("more").isNull(), F.col("path")).otherwise(F.concat("more", "path")).alias("path"), F.col("top").isNotNull().alias("moved")),
                 "seen",
             )
             seen = new.drop("moved")
             if not new.where("moved").limit(1).count():
                 break
         linked = parsed.drop("quoted", "said").join(links, key, "left").join(seen, key, "left")
-        linked = linked.select(*key, "role", F.col("own").alias("text"), "quotes", F.col("parent").alias("parent_turn"), F.coalesce("root", "turn").alias("root_turn"), F.coalesce("depth", F.lit(0)).alias("depth"))
-        placed = numbered(linked, ["conv_id", "root_turn", "turn", "role", "text"], "row_no")
+        # The turns from a message's root down to it: in their order a reply and all that
+        # replies to it come right behind what it replies to.
+        way = F.when(F.col("path").isNull(), F.array("turn")).otherwise(F.concat(F.array("root"), "path"))
+        linked = linked.select(*key, "role", F.col("own").alias("text"), "quotes", F.col("parent").alias("parent_turn"), F.coalesce("root", "turn").alias("root_turn"), F.coalesce(F.size("path"), F.lit(0)).alias("depth"), way.alias("way"))
+        placed = numbered(linked, ["conv_id", "way", "role", "text"], "row_no").drop("way")
         # The numbers of a conversation are gapless: its first one makes positions.
         start = kept.stored(placed.groupBy("conv_id").agg(F.min("row_no").alias("start")), "starts")
         ordered = placed.join(start, placed["conv_id"].eqNullSafe(start["conv_id"])).select(placed["*"], (F.col("row_no") - F.col("start")).alias("position")).drop("row_no")
