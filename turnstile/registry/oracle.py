@@ -158,7 +158,7 @@ SELECT transaction_id, reseller_id, event_name,
 _model("p12_stg_ticket_sales", f"SELECT {STG_TICKETS} FROM stg_ticket_sales")
 _model("p13_literal_columns", """
 SELECT sales_id, sales_source, ticket_id, customer_id, seller_id, seller_type
-FROM int_vendor""")
+FROM int_sales WHERE sales_source = 'VENDOR PLATFORM'""")
 _model("p14_coalesce_measures", """
 SELECT sales_key, quantity::DOUBLE AS quantity, unit_price::DOUBLE AS unit_price,
   total_amount::DOUBLE AS total_amount, commission_rate::DOUBLE AS commission_rate
