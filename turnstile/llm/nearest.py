@@ -20,6 +20,8 @@ from turnstile.llm.shared import scratch, stored
 
 #: Rows of a bucket, and queries of a bucket, in one task.
 INDEX_BLOCK, QUERY_BLOCK = 8_192, 2_048
+#: Queries whose scores are held at once.
+ASKED = 128
 
 
 def hadamard(rows: np.ndarray) -> np.ndarray:
@@ -181,9 +183,11 @@ def search(
         def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
             if not len(a) or not len(b):
                 return pd.DataFrame({"query": [], "key": [], "score": []})
-            scores = np.array(b["v"].tolist()) @ np.array(a["v"].tolist()).T
+            asked, held = np.array(b["v"].tolist()), np.array(a["v"].tolist()).T
+            keys, firsts, whom = a["key"].to_numpy(), a["first"].to_numpy(), b["key"].to_numpy()
+            # A few queries at a time: their scores are a table as wide as the block.
             # The query's own vector stays: other ids may share it.
-            return _best(b["key"].to_numpy(), scores, a["key"].to_numpy(), a["first"].to_numpy(), k + 1)
+            return pd.concat([_best(whom[i : i + ASKED], asked[i : i + ASKED] @ held, keys, firsts, k + 1) for i in range(0, len(whom), ASKED)])
 
         at = ["table", "bucket", "i", "q"]
         met = left.groupBy(*at).cogroup(right.groupBy(*at)).applyInPandas(meet, "query long, key long, score double")
