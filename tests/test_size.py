@@ -1,7 +1,9 @@
 """Work that grows with the rows: small references are copied, lookups of keys alone move
-no sales. Broadcasts by Spark's own estimate are all but off, as it
+no sales, alike rows meet once. Broadcasts by Spark's own estimate are all but off, as it
 takes a joined table for far too large anyway."""
 
+import time
+
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
@@ -85,3 +87,15 @@ def test_measured_reference_too_large_is_not_copied(frame, tiny_estimate, monkey
     monkeypatch.setattr(joins, "COPIED", 51)
     found = lookup_join(left, right, {"k": "k"}, measure=True)
     assert len(lookups_by_shuffle(found)) == 1 and len(rows(found)) == 3
+
+
+def test_many_alike_rows_and_periods_meet_once(spark, tmp_path):
+    """A hundred thousand rows of one day in as many periods: ten billion matches."""
+    folder, n = str(tmp_path), 100_000
+    spark.sql(f"SELECT id * 97 AS o_orderkey, id * 3 AS o_custkey, TIMESTAMP_NTZ'1998-01-01 00:00:00' AS o_orderdate FROM range({n})").write.parquet(f"{folder}/orders.parquet")
+    spark.sql(f"SELECT id * 3 AS l_partkey, IF(id = 0, TIMESTAMP_NTZ'1997-01-01 00:00:00', TIMESTAMP_NTZ'1998-02-01 00:00:00') AS l_shipdate FROM range({n})").write.parquet(f"{folder}/lineitem.parquet")
+    start = time.time()
+    got = rows(registry.queries()["j05_many_periods"](spark, folder))
+    rates = sum(k * 97 % 100 for k in range(n))
+    assert sorted(tuple(r) for r in got) == [(0, 1997, 1, 0, None), (0, 1998, (n - 1) * n, (n - 1) * n, (n - 1) * rates)]
+    assert time.time() - start < 60
