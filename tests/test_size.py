@@ -12,7 +12,9 @@ from turnstile import registry
 from turnstile.operators import joins, lookup_join
 from turnstile.operators.joins import measured_bytes
 from turnstile.operators.latest import latest_by
+from turnstile.plans import quality, star
 from turnstile.registry.domain import Domain
+from turnstile.registry.queries import _sales_asked
 
 
 @pytest.fixture
@@ -99,3 +101,21 @@ def test_many_alike_rows_and_periods_meet_once(spark, tmp_path):
     rates = sum(k * 97 % 100 for k in range(n))
     assert sorted(tuple(r) for r in got) == [(0, 1997, 1, 0, None), (0, 1998, (n - 1) * n, (n - 1) * n, (n - 1) * rates)]
     assert time.time() - start < 60
+
+
+def test_checks_ask_for_their_columns_of_the_sales_only():
+    checks = [c for c in quality.model_checks() if c.name.startswith("unique")]
+    assert _sales_asked({"int_sales_transactions", "dim_date"}, checks) == ["sales_id", "sales_date"]
+    checks = [c for c in quality.model_checks() if c.name.startswith("not_null")]
+    asked = _sales_asked({"int_sales_transactions"}, checks)
+    assert set(asked) == set(quality.NOT_NULL["int_sales_transactions"])
+    asked = _sales_asked({"int_sales_transactions", "fact_ticket_sales"}, checks)
+    assert set(star.FACT_INPUT) <= set(asked) and "customer_last_name" not in asked
+
+
+def test_sales_in_a_few_periods_are_found_without_moving_them(frame, tiny_estimate):
+    sales = frame("sales_id int, organizer_id string, reseller_id string, sales_date string", (1, "o", "r", "2020-01-05"), (2, "o", "r", "2020-03-05"), (3, None, "r", "2020-01-05"))
+    periods = frame("organizer_id string, reseller_id string, effective_from string, effective_to string", ("o", "r", "2020-01-01", "2020-01-31"), ("o", "r", "2020-01-05", "2020-01-31"))
+    dated = lambda df, *names: df.withColumns({n: F.col(n).cast("date") for n in names})
+    found = star.sales_in_periods(dated(sales, "sales_date"), dated(periods, "effective_from", "effective_to"))
+    assert [r[0] for r in rows(found)] == [1] and lookups_by_shuffle(found) == []
