@@ -30,7 +30,7 @@ from .shape import (
     stamp,
     stamp_file,
 )
-from .upsert import MergeConflict, apply_upsert, merge_conflicts, merge_match, merge_state
+from .upsert import MergeConflict, apply_upsert, merge_conflicts, merge_match, merge_state, upsert_by_hash
 
 __all__ = [
     "MergeConflict", "add_missing_columns", "apply_upsert", "coerce_timestamps",
@@ -41,4 +41,5 @@ __all__ = [
     "merge_match", "merge_state",
     "multiplied_rows", "name_join", "orphan_count", "orphan_rows", "overlapping_periods", "reconcile", "rename_columns",
     "split_rejects", "stamp", "stamp_file", "top_k", "top_k_per", "totals", "unrelated_pairs",
+    "upsert_by_hash",
 ]
