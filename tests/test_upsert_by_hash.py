@@ -82,7 +82,7 @@ def test_derived_columns_are_not_moved(frame, opened):
     assert rows(t.read()) == rows(df)
 
 
-@pytest.mark.parametrize("name", ["i05_both_feeds_stored_target", "r01_weekly_kept_up_to_date", "q16_write_audit_publish", "i05_incremental_fact"])
+@pytest.mark.parametrize("name", ["i05_both_feeds_stored_target", "r01_weekly_kept_up_to_date", "q16_write_audit_publish", "i05_incremental_fact", "i05_shared_mark_loses_late_rows", "i05_mark_per_feed"])
 def test_tickets_are_worked_out_once(spark, given, monkeypatch, name):
     """What several steps read comes from landed rows: the given lines are planned into one write."""
     queries = sys.modules["turnstile.registry.queries"]
