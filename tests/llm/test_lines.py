@@ -113,6 +113,36 @@ def test_masked_tokens_are_those_of_the_plain_pattern(spark, token):
     assert got == [lines.WILDCARD if MASK.fullmatch(token) else token]
 
 
+def test_a_line_is_masked_as_its_tokens_are(spark):
+    """Words next to each other, odd blanks, signs beyond ASCII; the same whether looked at alone or in a line."""
+    tokens = ["a@b.c", "a@", "@a.c", "b@c.d", "x1", "http://x", "https://", "www.a", "www.", "a/b", "é@ü.ß", "\u00a0", "\u2028", "1\u2028", "\U0001f600", "\U0001f6007", "a.b@c", "<*>"]
+    lines_ = [" ".join(tokens), "\t".join(tokens[::-1]), "  ".join(tokens[3:]) + " \r", " \x0b".join(tokens[::2]), " a plain line ", "www.a", "one\u00a0two @ three", "a@b c.d", "a @b.c"]
+    df = spark.createDataFrame(list(enumerate(lines_)), "i int, t string").select("i", lines.masked(F.col("t")).alias("m"))
+    got = {r["i"]: r["m"] for r in df.collect()}
+    for i, line in enumerate(lines_):
+        want = [t for t in re.split(r"[ \t\n\x0b\f\r]+", line) if t]
+        assert got[i] == [lines.WILDCARD if re.fullmatch(MASK.pattern, t, re.S | re.A) else t for t in want], line
+
+
+def test_only_lines_that_may_be_alike_are_taken_apart(spark, monkeypatch):
+    """Hashes of every place are worked out for lines of shared leaves alone, and each line's parts once."""
+    seen, stored = {}, shared.Scratch.stored
+
+    def watched(self, df, name):
+        seen[name] = stored(self, df, name)
+        seen[f"{name} rows"] = seen[name].count()
+        return seen[name]
+
+    monkeypatch.setattr(shared.Scratch, "stored", watched)
+    near = LONG.replace("five", "V").replace("nine", "IX")
+    docs = [(1, LONG), (2, near), *((k, f"only {chr(97 + k)} line of this kind is here") for k in range(3, 20))]
+    got = {r["doc_id"]: r["lines_dropped"] for r in run(spark, docs).collect()}
+    assert got == {k: int(k == 2) for k in range(1, 20)}
+    assert "cells" not in seen["line-templates"].columns
+    assert (seen["line-templates rows"], seen["lines-of-shared-leaves rows"]) == (19, 2)
+    assert 2 < seen["parts-of-lines rows"] <= 2 * 18
+
+
 def test_a_recurring_line_stays_in_its_first_document(spark):
     got = {r["doc_id"]: r for r in run(spark, [(3, f"c\n{LONG}"), (1, f"{LONG}\na"), (2, f"b\n{LONG}\n{LONG}")]).collect()}
     assert [got[k]["text"] for k in (1, 2, 3)] == [f"{LONG}\na", "b", "c"]

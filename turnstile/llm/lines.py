@@ -13,8 +13,6 @@ that matter goes before each shuffle, so that only lines which may recur, and te
 which may lose some, are moved.
 """
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,19 +20,24 @@ from turnstile.llm.shared import Marks, Scratch, scratch, stored
 
 #: What a mask makes of a variable token.
 WILDCARD = "<*>"
-#: Forms of variable tokens. The address is looked for behind the first @ alone, since a
-#: search behind each of many would take the square of their number.
-_VARIABLE = r"^(?:\S*\d\S*|https?://\S+|www\.\S+|\S[^@]*+@\S+\.\S+)$"
+#: Forms of variable tokens, whole ones within a line. The address is looked for behind the
+#: first @ alone, since a search behind each of many would take the square of their number.
+_VARIABLE = r"(?<!\S)(?:\S*\d\S*|https?://\S+|www\.\S+|\S[^@\s]*+@\S+\.\S+)(?!\S)"
+#: Signs without which a line has no variable token, but for www, and white space other than
+#: blanks. Single signs are looked up in a table, a range or a choice would be tried one by one.
+_ODD = r"[\t\n\x0b\f\r0123456789@/]"
+
+
+def _masked_line(line: Column) -> Column:
+    """The line's tokens with single blanks between, variable ones as wildcards."""
+    # Most lines have nothing to mask and single blanks only, which one look tells.
+    odd = line.rlike(_ODD) | line.contains("  ") | line.contains("www.")
+    return F.when(odd, F.regexp_replace(F.trim(F.regexp_replace(line, r"\s+", " ")), _VARIABLE, WILDCARD)).otherwise(F.trim(line))
 
 
 def masked(line: Column) -> Column:
     """The line's tokens, variable ones as wildcards."""
-    # Few lines have white space other than single blanks.
-    spaced = reduce(Column.__or__, (line.contains(x) for x in ("  ", "\t", "\n", "\x0b", "\f", "\r")))
-    words = F.split(F.trim(F.when(spaced, F.regexp_replace(line, r"\s+", " ")).otherwise(line)), " ")
-    # Most lines have no token to mask, which one look at the line tells.
-    some = line.rlike(r"[0-9@]|www\.|://")
-    return F.when(some, F.transform(words, lambda w: F.regexp_replace(w, _VARIABLE, WILDCARD))).otherwise(words)
+    return F.split(_masked_line(line), " ")
 
 
 #: Classes of places, and contiguous segments, by which similar lines meet.
@@ -69,13 +72,18 @@ def _similar(kept: Scratch, lines: DataFrame, leading: int, least: float) -> Dat
     paired. What found none meets the earliest of those that are left, and so on
     until a round links no line.
     """
-    own = lines.where("long").select("leaf", "whole", "doc", "cells")
+    own = lines.where("long").select("leaf", "whole", "doc", "masked")
     shared = kept.stored(_repeated(own, "leaf", "whole"), "shared-leaves")
+    alike = Marks(shared, "leaf").within(own, F.col("leaf")).groupBy("leaf", "whole").agg(F.min("doc").alias("first"), F.first("masked").alias("masked"))
+    # Only these lines are compared place by place; a few of all.
     near = kept.stored(
-        Marks(shared, "leaf").within(own, F.col("leaf")).groupBy("leaf", "whole").agg(F.min("doc").alias("first"), F.first("cells").alias("cells")),
+        alike.select("leaf", "whole", "first", F.transform(F.split("masked", " "), lambda t: F.hash(t)).alias("cells")),
         "lines-of-shared-leaves",
     )
-    parts = near.select("whole", "first", F.explode(_parts(F.col("leaf"), F.col("cells"), leading)).alias("part"))
+    parts = kept.stored(
+        near.select("whole", "first", F.explode(_parts(F.col("leaf"), F.col("cells"), leading)).alias("part")),
+        "parts-of-lines",
+    )
     common = kept.stored(_repeated(parts, "part", "whole"), "shared-parts")
     left = kept.stored(Marks(common, "part").within(parts, F.col("part")), "parts")
     cells, linked = near.select("whole", "cells"), None
@@ -184,9 +192,11 @@ def drop_recurring_lines(
     split_lines = docs.where(cell(text).isNotNull()).select(order.alias("doc"), F.posexplode(numbered).alias("nth", "l")).select("doc", "nth", "l.at", "l.line")
     with scratch(spark) as kept:
         lines = kept.stored(
-            split_lines.select("doc", "at", "nth", masked(F.col("line")).alias("tokens"), F.col("line")).select(
+            split_lines.select("doc", "at", "nth", "line", _masked_line(F.col("line")).alias("masked"))
+            .select("*", F.split("masked", " ").alias("tokens"))
+            .select(
                 "doc", "at", "nth", weight.alias("weight"), (weight >= min_tokens).alias("long"), leaf.alias("leaf"),
-                F.xxhash64(leaf, "tokens").alias("whole"), F.transform("tokens", lambda t: F.hash(t)).alias("cells"),
+                F.xxhash64(leaf, "tokens").alias("whole"), "masked",
             ),
             "line-templates",
         )
@@ -199,7 +209,7 @@ def drop_recurring_lines(
             "templates",
         )
         held = kept.stored(
-            Marks(known, "whole").within(lines.drop("cells", "leaf"), F.col("whole")).join(known, "whole"),
+            Marks(known, "whole").within(lines.drop("masked", "leaf"), F.col("whole")).join(known, "whole"),
             "recurring-lines",
         )
         gone = held.where(F.col("long") & (F.col("doc") > F.col("first"))).select(F.col("doc.key").alias("key"), "at")
