@@ -2,6 +2,7 @@
 
 
 import corpus_pipeline as pipeline
+import pyarrow as pa
 import pytest
 from test_leaks import passage
 from test_lines import LONG, plain
@@ -79,3 +80,31 @@ def test_each_stage_acts_on_what_it_is_given(spark, given, tmp_path):
 def test_the_order_of_the_stages():
     assert [f for _, f in pipeline.STAGES] == [pipeline.identify_language, pipeline.drop_lines, pipeline.drop_near_duplicates, pipeline.decontaminate, pipeline.pack_sequences]
     assert pipeline.ORACLE_SQL is None
+
+
+def test_python_gets_small_batches_and_each_text_once(spark, given, monkeypatch):
+    wide = spark.range(0, 4_000, 1, 1).select("id", pipeline.F.repeat(pipeline.F.lit("abcd"), 1_000).alias("text"))  # 16 MB
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.nbytes])], names=["n"])
+
+    largest = lambda: max(r.n for r in wide.mapInArrow(sizes, "n long").collect())
+    limit, sent, send = "spark.sql.execution.arrow.maxBytesPerBatch", [], type(wide).mapInArrow
+    monkeypatch.setattr(type(wide), "mapInArrow", lambda df, *a, **k: (sent.append(df.columns), send(df, *a, **k))[1])
+    try:
+        pipeline.identify_language(spark, given, FOLDER)
+        assert len(sent[-1]) == len(given.columns)
+        assert largest() < 2 * pipeline.BATCH_BYTES
+        spark.conf.set(limit, "1m")
+        pipeline.identify_language(spark, given, FOLDER)
+        assert spark.conf.get(limit) == "1m"
+    finally:
+        spark.conf.unset(limit)
+
+
+def test_run_leaves_the_session_as_it_was(spark, monkeypatch):
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    monkeypatch.setattr(pipeline, "STAGES", pipeline.STAGES[:1])
+    assert pipeline.run(spark, FOLDER).count() > 0
+    assert spark.conf.get(limit, None) is None

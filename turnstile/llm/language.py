@@ -12,6 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from turnstile.llm.shared import batch, parts
 
@@ -140,12 +141,12 @@ def learn(docs: DataFrame, text: str, lang: str, doc_id: str, sample_rows: int)
     return [r["lang"] for r in found], counts / counts.sum(axis=1, keepdims=True) if len(found) else counts
 
 
-def _identifying(model: Callable[[], tuple], schema: pa.Schema) -> Callable:
+def _identifying(model: Callable[[], tuple], text: str, schema: pa.Schema) -> Callable:
     def run(batches):
         mixture = Mixture(*model())
         for b in parts(batches):
             best, score, shares = [], [], []
-            for found in map(mixture.fit, b.column("__text").to_pylist()):
+            for found in map(mixture.fit, b.column(text).to_pylist()):
                 best.append(found[0][0] if found else "und")
                 score.append(min(1.0, found[0][1]) if found else 0.0)
                 shares.append([{"lang": k, "share": s} for k, s in found])
@@ -180,11 +181,14 @@ def identify(
 
     langs, chances = learn(labelled, text, lang, doc_id, sample_rows)
     model = docs.sparkSession.sparkContext.broadcast((langs, chances, penalty, rounds))
-    rows = docs.select(*keep, F.col(text).cast("string").alias("__text"))
-    kept = rows.select(*keep)
+    kept = docs.select(*keep)
+    own = docs.select(F.col(text)).schema[0]
+    # Texts that are kept go to Python once.
+    held = text in keep and own.dataType == T.StringType()
+    rows = kept if held else docs.select(*keep, F.col(text).cast("string").alias("__text"))
     out = kept.withColumns(
         {"lang_pred": F.lit("").cast("string"), "score": F.lit(0.0), "languages": F.array(F.struct(F.lit("").alias("lang"), F.lit(0.0).alias("share")))}
     ).schema
     for field in out.fields:
         field.nullable = True
-    return rows.mapInArrow(_identifying(lambda: model.value, to_arrow_schema(out)), out)
+    return rows.mapInArrow(_identifying(lambda: model.value, own.name if held else "__text", to_arrow_schema(out)), out)
