@@ -9,7 +9,7 @@ from test_lines import LONG, plain
 from test_neardup import classes
 from test_packing import assert_whole, reference_ids
 
-from turnstile.llm import language, leaks
+from turnstile.llm import language, leaks, shared
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -108,3 +108,26 @@ def test_run_leaves_the_session_as_it_was(spark, monkeypatch):
     monkeypatch.setattr(pipeline, "STAGES", pipeline.STAGES[:1])
     assert pipeline.run(spark, FOLDER).count() > 0
     assert spark.conf.get(limit, None) is None
+
+
+@pytest.mark.parametrize("stage", [pipeline.drop_lines, pipeline.drop_near_duplicates])
+def test_little_data_makes_few_files_whatever_the_partitions(spark, given, monkeypatch, stage):
+    files, store = {}, shared.Scratch.stored
+
+    def watched(kept, df, name):
+        out = store(kept, df, name)
+        files[name] = len(out.inputFiles())
+        return out
+
+    monkeypatch.setattr(shared.Scratch, "stored", watched)
+    held = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        stage(spark, given, FOLDER)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    assert max(files.values()) <= 4 * spark.sparkContext.defaultParallelism < 60

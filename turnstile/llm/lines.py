@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from turnstile.llm.shared import Marks, Scratch, scratch, stored
 
+#: Lines for a file of each table that follows from them.
+LINES_A_FILE = 100_000
 #: What a mask makes of a variable token.
 WILDCARD = "<*>"
 #: Forms of variable tokens, whole ones within a line. The address is looked for behind the
@@ -200,6 +202,7 @@ def drop_recurring_lines(
             ),
             "line-templates",
         )
+        kept.sized(lines.count(), LINES_A_FILE)
         several = kept.stored(_repeated(lines.select("whole", F.col("doc.key").alias("key")), "whole", "key"), "recurring-templates")
         recurring = Marks(several, "whole").within(lines.select("doc", "whole"), F.col("whole")).join(several, "whole").groupBy("whole").agg(F.min("doc").alias("first"))
         similar = _similar(kept, lines, leading, similarity)
@@ -215,7 +218,7 @@ def drop_recurring_lines(
         gone = held.where(F.col("long") & (F.col("doc") > F.col("first"))).select(F.col("doc.key").alias("key"), "at")
         gone = gone.unionByName(_short_runs(kept, held.where("met").drop("first", "met"), min_tokens))
         # The one thing that outlives the block: a row for each document that loses lines.
-        dropped = stored(gone.groupBy(F.col("key").alias("__key")).agg(F.collect_set("at").alias("__gone")), "dropped-lines")
+        dropped = stored(kept.gathered(gone.groupBy(F.col("key").alias("__key")).agg(F.collect_set("at").alias("__gone"))), "dropped-lines")
     split = F.split(F.col("__text"), "\n")
     left = F.array_join(F.filter(split, lambda _, i: ~F.array_contains(F.col("__gone"), i)), "\n")
     whole = docs.select(F.struct(*(cell(c) for c in names)).alias("__row"), cell(text).cast("string").alias("__text"), key.alias("__key"))

@@ -26,6 +26,8 @@ from turnstile.llm.shared import SPACES, Marks, Scratch, batch, parts, scratch,
 
 #: Members of a bucket in one task, and their cells of four bytes.
 MEETING, MEETING_CELLS = 4_096, 8 << 20
+#: Documents for a file of each table that follows from them.
+DOCS_A_FILE = 10_000
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -341,6 +343,7 @@ def group_near_duplicates(
         some = own.where(F.col("doc").isNotNull())
         known = T.StructType([*some.schema.fields[:-1], *T.StructType.fromDDL("digest binary, bands array<long>, units binary, n int").fields])
         every = _apart(kept.stored(some.mapInArrow(_signing(words, coordinates, band_rows), known), "signed"), kept)
+        kept.sized(every.count(), DOCS_A_FILE)
         # Equal words: the smallest id stands for all. Wordless texts stand for themselves.
         some = every.where(F.col("n") > 0)
         firsts = kept.stored(some.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("bands").alias("bands")), "firsts")
@@ -372,4 +375,4 @@ def group_near_duplicates(
         sizes = kept.stored(rows.groupBy("root").agg(F.min("doc").alias("class_id"), F.count("*").alias("class_size")), "sizes")
         none = own.where(F.col("doc").isNull()).select("doc", *held, F.lit(None).cast("long").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(None).cast("long").alias("root"))
         out = rows.join(sizes, "root").select("doc", *held, "class_id", "class_size", "root").unionByName(none)
-        return stored(out.toDF("doc_id", *keep, "class_id", "class_size", "class_key"), "classes")
+        return stored(kept.gathered(out.toDF("doc_id", *keep, "class_id", "class_size", "class_key")), "classes")

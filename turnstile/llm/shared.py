@@ -29,11 +29,24 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self._spark, self._root, self._count = spark, scratch_dir(spark, "scratch"), 0
+        self._files = None
+
+    def sized(self, rows: int, each: int) -> None:
+        """What is stored from now on follows from so many rows: a file for ``each`` of them,
+        or four for a core, are enough, however many partitions a shuffle has.
+
+        Each file costs an executor several processes that set permissions where the
+        folder is a local one; while one starts, its executor's memory counts twice.
+        """
+        self._files = max(4 * self._spark.sparkContext.defaultParallelism, rows // each)
+
+    def gathered(self, df: DataFrame) -> DataFrame:
+        return df if self._files is None else df.coalesce(self._files)
 
     def stored(self, df: DataFrame, name: str) -> DataFrame:
         self._count += 1
         path = f"{self._root}/{self._count}-{name}"
-        df.write.parquet(path)
+        self.gathered(df).write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path)
 
     def release(self) -> None:
