@@ -47,7 +47,7 @@ def test_parts_by_size(spark, monkeypatch, no_broadcast):
     assert parts_of(df, ["id"]) == 6 and parts_of(df.limit(10), ["id"]) == 1
 
 
-@pytest.mark.parametrize("name", ["i05_rerated_fact"])
+@pytest.mark.parametrize("name", ["i05_rerated_fact", "i05_both_feeds_stored_target", "r01_weekly_kept_up_to_date"])
 def test_equal_by_parts(spark, given, monkeypatch, name):  # noqa: F811
     """Events, agreements and hashes of keys are too many to be copied at once."""
     query = registry.queries()[name]
@@ -93,3 +93,17 @@ def test_replaced_keys_leave_other_rows_in_place(spark, frame, tmp_path, monkeyp
     content, kept = written[0]
     assert kept and not any("/data/v1/" in f for f in content.inputFiles())
     assert len(kept) > 1 or copied > 64
+
+
+def test_gathered_new_rows_are_not_moved(spark, frame, tmp_path, monkeypatch):
+    t = VersionedTable(spark, str(tmp_path / "t"), T.StructType.fromDDL(DDL), months("day"), keys=["k"], directory=4)
+    t.publish(frame(DDL, row("a", 1, "old"), row("b", 2, "old"), row(None, 1, "null")))
+    delta = Parted(spark, str(tmp_path / "d"), t.schema)
+    land(frame(DDL, row("a", 2, "new"), row("c", 1, "new"), row("d", 3, "new"), row(None, 2, "null")), delta.folder, "updated_at", F.date_format("day", "yyyy-MM"))
+    written = []
+    write = t._write
+    monkeypatch.setattr(t, "_write", lambda df, *x: written.append(df) or write(df, *x))
+    t.upsert(delta.read(), ["k"], gathered=delta.gathered())
+    want = [row("a", 2, "new"), row("b", 2, "old"), row("c", 1, "new"), row("d", 3, "new"), row(None, 1, "null"), row(None, 2, "null")]
+    assert rows(t.read()) == sorted(want, key=lambda r: tuple(map(str, r)))
+    assert [r.k for r in written[0].collect()] == ["a"]  # the one that met a stored row
